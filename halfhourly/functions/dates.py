@@ -10,20 +10,19 @@ from pyspark.sql import Column, functions as F
 from halfhourly.functions.text import base_name, squeeze_blanks
 from halfhourly.schemas import NORMAL_PERIODS, PERIOD_MINUTES
 
-# Accepted shapes of a date text and how each is read.  Year-first
-# stays year-first, everything else is day-first; a month that cannot be one is
-# taken as the day, as in "05/14/2014".
+# Accepted shapes of a date text and how each is read, once its
+# separators are dashes.  Year-first stays year-first, everything else is
+# day-first; a month that cannot be one is taken as the day, as in "05/14/2014".
 DATE_SHAPES = (
-    (r"(\d{4}-\d{1,2}-\d{1,2})", ("yyyy-M-d",)),
-    (r"(\d{4}/\d{1,2}/\d{1,2})", ("yyyy/M/d",)),
-    (r"(\d{8})", ("yyyyMMdd",)),
-    (r"(\d{1,2}-\d{1,2}-\d{4})", ("d-M-yyyy", "M-d-yyyy")),
-    (r"(\d{1,2}/\d{1,2}/\d{4})", ("d/M/yyyy", "M/d/yyyy")),
-    (r"(\d{1,2}\.\d{1,2}\.\d{4})", ("d.M.yyyy", "M.d.yyyy")),
-    (r"(\d{1,2} [A-Za-z]{3} \d{4})", ("d MMM yyyy",)),
-    (r"(\d{1,2} [A-Za-z]{4,9} \d{4})", ("d MMMM yyyy",)),
+    (r"^\d{8}$", ("yyyyMMdd",)),
+    (r"^\d{4}-", ("yyyy-M-d",)),
+    (r"^\d{1,2}-", ("d-M-yyyy", "M-d-yyyy")),
+    (r" [A-Za-z]{3} ", ("d MMM yyyy",)),
+    (r" ", ("d MMMM yyyy",)),
 )
-_TIME_TAIL = r"(?:[ T].*)?$"
+# the date part of a text, which a time may follow
+DATE_PART = (r"^(\d{8}|\d{4}([-/.])\d{1,2}\2\d{1,2}|\d{1,2}([-/.])\d{1,2}\3\d{4}"
+             r"|\d{1,2} [A-Za-z]{3,9} \d{4})(?:[ T].*)?$")
 _PY_CODES = {"yyyy": "%Y", "MMMM": "%B", "MMM": "%b", "MM": "%m", "dd": "%d", "M": "%m", "d": "%d"}
 
 
@@ -33,17 +32,15 @@ def day(value) -> dt.date:
         return value.date()
     if isinstance(value, dt.date):
         return value
-    text = str(value).strip()
-    for shape, patterns in DATE_SHAPES:
-        found = re.match("^" + shape + _TIME_TAIL, text)
-        if not found:
-            continue
-        for pattern in patterns:
-            code = re.sub("yyyy|MMMM|MMM|MM|dd|M|d", lambda m: _PY_CODES[m.group()], pattern)
-            try:
-                return dt.datetime.strptime(found.group(1), code).date()
-            except ValueError:
-                pass
+    found = re.match(DATE_PART, str(value).strip())
+    part = re.sub("[/.]", "-", found.group(1)) if found else ""
+    patterns = next((p for shape, p in DATE_SHAPES if re.search(shape, part)), ())
+    for pattern in patterns:
+        code = re.sub("yyyy|MMMM|MMM|MM|dd|M|d", lambda m: _PY_CODES[m.group()], pattern)
+        try:
+            return dt.datetime.strptime(part, code).date()
+        except ValueError:
+            pass
     raise ValueError(f"not a date: {value!r}")
 
 
@@ -52,14 +49,12 @@ def parse_date(col: Column | str) -> Column:
 
     The shape of the text picks the format, so each row is parsed once.
     """
-    text = F.trim(_c(col).cast("string"))
+    part = F.translate(F.regexp_extract(F.trim(_c(col).cast("string")), DATE_PART, 1), "/.", "--")
     parsed = None
     for shape, patterns in DATE_SHAPES:
-        regex = "^" + shape + _TIME_TAIL
-        part = F.regexp_extract(text, regex, 1)
         value = F.coalesce(*[F.try_to_date(part, p) for p in patterns])
-        parsed = F.when(text.rlike(regex), value) if parsed is None \
-            else parsed.when(text.rlike(regex), value)
+        parsed = F.when(part.rlike(shape), value) if parsed is None \
+            else parsed.when(part.rlike(shape), value)
     return parsed
 
 

@@ -120,9 +120,10 @@ def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[floa
     """
     counted = df.select(*keys, F.col(col).cast("double").alias("_value"),
                         F.lit(1).cast("bigint").alias("_n"))
-    ranks = _running(counted, keys, "_value", "_n", "_upto", chunks, bounds)
     # a value covers the ranks from the rows below it up to its own last row
-    below, upto = F.col("_upto") - F.col("_n"), F.col("_upto")
+    ranks = (_running(counted, keys, "_value", "_n", "_upto", chunks, bounds)
+             .withColumn("_below", F.col("_upto") - F.col("_n")))
+    below, upto = F.col("_below"), F.col("_upto")
 
     def place(p: Column) -> Column:
         at = p * (F.col("_all") - 1)
@@ -131,8 +132,7 @@ def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[floa
 
     places = F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), place)
     touched = F.filter(places, lambda w: (w.high >= below) & (w.low < upto))
-    ends = ranks.select(*keys, "_value", upto.alias("_upto"), below.alias("_below"),
-                        F.explode(touched).alias("_w"))
+    ends = ranks.select(*keys, "_value", "_upto", "_below", F.explode(touched).alias("_w"))
     at_low = (F.col("_w.low") >= F.col("_below")) & (F.col("_w.low") < F.col("_upto"))
     at_high = (F.col("_w.high") >= F.col("_below")) & (F.col("_w.high") < F.col("_upto"))
     found = ends.groupBy(*keys, F.col("_w.probability").alias("probability")).agg(

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from halfhourly.functions.dates import file_year, parse_date, parse_timestamp
 from halfhourly.functions.text import base_name
-from halfhourly.operators.joins import BROADCAST_ROWS
 from halfhourly.schemas import TABLES, Table
 
 REASON = "reject_reason"
 SOURCE = "source_file"
+CORRUPT = "_corrupt"
 
 
 def table_of(table: Table | str) -> Table:
@@ -27,34 +27,50 @@ def read_csv(spark: SparkSession, path: str | list[str], table: Table | str,
 
     Files may or may not have a header line; each is told by its own lines.
     Columns are taken in table order, or by the names in a file's own header with
-    ``by_name``.  The result has the table's columns, ``trading_year`` where the
-    table is split by year, ``source_file`` and ``reject_reason`` (null for a good
-    row); see :func:`accepted` and :func:`rejected`.
+    ``by_name``, which reads the headers first.  The result has the table's columns,
+    ``trading_year`` where the table is split by year, ``source_file`` and
+    ``reject_reason`` (null for a good row); see :func:`accepted` and :func:`rejected`.
     """
     t = table_of(table)
-    # more cells than columns must show, so one cell is read past the last column
-    slots = ", ".join(f"c{i} string" for i in range(len(t.names) + 1))
-    lines = (spark.read.option("pathGlobFilter", glob).text(path)
-             .select("value", F.col("_metadata.file_path").alias(SOURCE))
-             .where(F.trim("value") != ""))
-    parsed = lines.select(SOURCE, F.from_csv("value", slots).alias("_c"))
-    cells = F.array(*[F.col(f"_c.c{i}") for i in range(len(t.names) + 1)])
-    head = is_header([F.col(f"_c.c{i}") for i in range(len(t.names) + 1)], t.names)
-    rows = parsed.where(~head)
-    if by_name:
-        headers = (parsed.where(head).groupBy(SOURCE)
-                   .agg(F.min(F.transform(cells, header_name)).alias("_h")))
-        # one header per file at most, so the number of files bounds this side
-        if len(lines.inputFiles()) <= BROADCAST_ROWS:
-            headers = F.broadcast(headers)
-        rows = rows.join(headers, SOURCE, "left")
-        raw = {n: F.when(F.col("_h").isNull(), F.col(f"_c.c{i}"))
-               .otherwise(F.get(cells, F.array_position("_h", n) - 1))
-               for i, n in enumerate(t.names)}
-    else:
-        raw = {n: F.col(f"_c.c{i}") for i, n in enumerate(t.names)}
-    surplus = F.when(F.col(f"_c.c{len(t.names)}").isNotNull(), F.lit("too many cells"))
-    return typed_rows(rows, raw, t, [surplus], [SOURCE])
+    if not by_name:
+        return _read(spark, path, t, glob, t.names)
+    lines = _lines(spark, path, glob)
+    # one header line per file, next to the list of files the driver holds anyway
+    heads = (lines.where(is_header("value", t.names)).groupBy(SOURCE)
+             .agg(F.min(F.transform(_cells("value"), header_name)).alias("h")).collect())
+    order_of = {h[SOURCE]: tuple(h["h"]) for h in heads}
+    files_by_order: dict[tuple, list[str]] = {}
+    for file in lines.inputFiles():
+        files_by_order.setdefault(order_of.get(file, tuple(t.names)), []).append(file)
+    parts = [_read(spark, files, t, glob, list(order)) for order, files in files_by_order.items()]
+    result = parts[0] if parts else _read(spark, path, t, glob, t.names)
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _lines(spark: SparkSession, path, glob: str) -> DataFrame:
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias(SOURCE)) \
+        .where(F.trim("value") != "")
+
+
+def _read(spark: SparkSession, path, table: Table, glob: str, order: list[str]) -> DataFrame:
+    known = [n for n in order if n in table.columns]
+    kinds = {n: raw_type(table.columns[n]).simpleString() for n in known}
+    schema = ", ".join([f"`{n}` {kinds.get(n, 'string')}" for n in order] + [f"{CORRUPT} string"])
+    lines = _lines(spark, path, glob).where(~is_header("value", table.names))
+    parsed = lines.select(SOURCE, F.from_csv("value", schema, {
+        "columnNameOfCorruptRecord": CORRUPT, "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true"}).alias("_c"))
+    absent = [F.lit(None).cast(raw_type(table.columns[n])).alias(n)
+              for n in table.names if n not in known]
+    return typed_rows(parsed.select(SOURCE, *[f"_c.{n}" for n in known], *absent, f"_c.{CORRUPT}"),
+                      table)
+
+
+def _cells(line: Column | str) -> Column:
+    return F.split(F.translate(line, '"', ""), ",")
 
 
 def header_name(cell: Column) -> Column:
@@ -62,53 +78,49 @@ def header_name(cell: Column) -> Column:
     return F.replace(F.lower(F.trim(cell)), F.lit(" "), F.lit("_"))
 
 
-def is_header(cells: list[Column], names: list[str]) -> Column:
-    """Whether a line names the columns: each filled cell is an expected name.
+def is_header(line: Column | str, names: list[str]) -> Column:
+    """Whether a line names the columns: each of its cells is an expected name.
 
-    The first two cells are asked first, so data lines are told cheaply.
+    The first cell is asked first, so data lines are told cheaply.
     """
-    first = header_name(cells[0]).isin(names)
-    if len(names) > 1:
-        first = first & header_name(cells[1]).isin(names)
-    rest = F.forall(F.array(*cells), lambda c: c.isNull() | header_name(c).isin(names))
-    return F.coalesce(first & rest, F.lit(False))
+    text = F.col(line) if isinstance(line, str) else line
+    first = header_name(F.translate(F.substring_index(text, ",", 1), '"', "")).isin(names)
+    return first & F.forall(_cells(text), lambda c: header_name(c).isin(names))
 
 
-def typed_rows(df: DataFrame, raw: dict[str, Column], table: Table, checks: list[Column],
-               keep: list[str]) -> DataFrame:
-    """Text cells as the table's types, with the first reason to reject a row.
+def raw_type(kind: str) -> T.DataType:
+    """How a cell is read first: numbers at once, all else as text."""
+    return {"int": T.IntegerType(), "double": T.DoubleType()}.get(kind, T.StringType())
 
-    A cell that cannot be read, a text longer than its column and an empty key
+
+def typed_rows(df: DataFrame, table: Table) -> DataFrame:
+    """Rows read by :func:`raw_type` as the table's types, with the first reason to
+    reject a row.
+
+    A line that cannot be read, a text longer than its column and an empty key
     column reject the row; nothing stops the job.
     """
-    cells = df.select(*keep, *[F.nullif(F.trim(c), F.lit("")).alias(f"_{n}")
-                               for n, c in raw.items()],
-                      F.coalesce(*checks, F.lit(None).cast("string")).alias("_check"))
-    typed = cells.select("*", *[_typed(F.col(f"_{n}"), table.columns[n]).alias(n)
-                                for n in raw])
-    reasons = [F.col("_check")]
-    for n in raw:
-        reasons.append(F.when(F.col(f"_{n}").isNotNull() & F.col(n).isNull(),
-                              F.lit(f"cannot read {n}")))
-        if table.max_length(n):
-            reasons.append(F.when(F.length(n) > table.max_length(n), F.lit(f"{n} too long")))
-        if n in table.key:
-            reasons.append(F.when(F.col(n).isNull(), F.lit(f"no {n}")))
-    rows = typed.withColumn(REASON, F.coalesce(*reasons))
-    year = [F.year(table.date_col).alias("trading_year")] if table.by_year else []
-    return rows.select(*table.names, *year, *keep, REASON)
-
-
-def _typed(cell: Column, kind: str) -> Column:
-    if kind == "date":
-        return parse_date(cell)
-    if kind == "timestamp":
-        return parse_timestamp(cell)
-    if kind == "time":
-        return F.nullif(F.regexp_extract(cell, r"^(\d{1,2}:\d{2})(?::\d{2})?$", 1), F.lit(""))
-    if kind in ("int", "double"):
-        return cell.try_cast(kind)
-    return cell
+    dated = [n for n, kind in table.columns.items() if kind in _PARSERS]
+    typed = df.withColumns({f"_{n}": _PARSERS[table.columns[n]](F.col(n)) for n in dated})
+    reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("cannot read the line"))]
+    reasons += [F.when(F.col(n).isNotNull() & F.col(f"_{n}").isNull(), F.lit(f"cannot read {n}"))
+                for n in dated]
+    reasons += [F.when(F.length(n) > table.max_length(n), F.lit(f"{n} too long"))
+                for n in table.names if table.max_length(n)]
+    reasons += [F.when(F.col(n).isNull(), F.lit(f"no {n}")) for n in table.key]
+    checked = typed.withColumn(REASON, F.coalesce(*reasons))
+    rows = checked.select(*[F.col(f"_{n}").alias(n) if n in dated else F.col(n)
+                            for n in table.names], SOURCE, REASON)
+    if not table.by_year:
+        return rows
+    return rows.select(*table.names, F.year(table.date_col).alias("trading_year"), SOURCE, REASON)
+
+
+def _clock(cell: Column) -> Column:
+    return F.nullif(F.regexp_extract(cell, r"^(\d{1,2}:\d{2})(?::\d{2})?$", 1), F.lit(""))
+
+
+_PARSERS = {"date": parse_date, "timestamp": parse_timestamp, "time": _clock}
 
 
 def accepted(rows: DataFrame) -> DataFrame:

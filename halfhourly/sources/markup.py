@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from halfhourly.functions.text import (TABLE, TABLE_CELL, TABLE_ROW, anchors, href_of,
                                        html_text, visible_html)
 from halfhourly.schemas import Table
-from halfhourly.sources.csvfiles import SOURCE, table_of, typed_rows
+from halfhourly.sources.csvfiles import CORRUPT, SOURCE, raw_type, table_of, typed_rows
 
 
 def read_xml(spark: SparkSession, path: str, table: Table | str,
@@ -17,10 +17,12 @@ def read_xml(spark: SparkSession, path: str, table: Table | str,
     Element names are those of the table in upper case, as published.
     """
     t = table_of(table)
-    schema = T.StructType([T.StructField(n.upper(), T.StringType()) for n in t.names])
-    rows = (spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
-            .select("*", F.col("_metadata.file_path").alias(SOURCE)))
-    return typed_rows(rows, {n: F.col(n.upper()) for n in t.names}, t, [], [SOURCE])
+    schema = T.StructType([T.StructField(n.upper(), raw_type(k)) for n, k in t.columns.items()]
+                          + [T.StructField(CORRUPT, T.StringType())])
+    rows = (spark.read.format("xml").option("rowTag", row_tag)
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).load(path))
+    return typed_rows(rows.select(*[F.col(n.upper()).alias(n) for n in t.names], CORRUPT,
+                                  F.col("_metadata.file_path").alias(SOURCE)), t)
 
 
 def read_pages(spark: SparkSession, path: str, glob: str = "*.htm*") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from halfhourly.operators.ordered import newest
 from halfhourly.schemas import TABLES, Table
@@ -80,14 +80,34 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
     if mode not in ("skip_rows", "reject_file"):
         raise ValueError(f"load mode {mode!r}: use skip_rows or reject_file")
     dated = with_year(batch, t)
-    complete = dated.dropna(subset=list(t.key))
-    new = new_rows(spark, complete, path, t, mode, order)
-    counted = Observation("load")
-    observed = new.observe(counted, F.count(F.lit(1)).alias("n"))
-    size = dated.count()
-    write_rows(observed.select(*_stored(t).names), path, t)
-    loaded = counted.get["n"]
-    return Load(loaded, size - loaded)
+    per_year = _rows_by_year(dated, t)
+    years = [y for y in per_year if y is not None]
+    before = _stored_rows(spark, path, t, years)
+    new = new_rows(spark, dated.dropna(subset=list(t.key)), path, t, mode, order, years)
+    write_rows(new.select(*_stored(t).names), path, t)
+    loaded = _stored_rows(spark, path, t, years) - before
+    return Load(loaded, sum(per_year.values()) - loaded)
+
+
+def _rows_by_year(batch: DataFrame, table: Table) -> dict:
+    """Year -> rows of a batch: a handful of values."""
+    year = F.col(YEAR) if table.by_year else F.lit(0)
+    return {r["y"]: r["n"] for r in
+            batch.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _stored_rows(spark: SparkSession, path: str, table: Table, years: list) -> int:
+    """Stored rows of some years, which Parquet answers from its footers."""
+    stored = read_table(spark, path, table)
+    return (stored.where(F.col(YEAR).isin(years)) if table.by_year else stored).count()
+
+
+def conform(df: DataFrame, table: Table | str) -> DataFrame:
+    """The columns of a table in its order and types; those missing are null."""
+    t = table_of(table)
+    have = {c.lower(): c for c in df.columns}
+    return df.select(*[(F.col(have[f.name]) if f.name in have else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in t.struct])
 
 
 def with_year(batch: DataFrame, table: Table) -> DataFrame:
@@ -97,14 +117,18 @@ def with_year(batch: DataFrame, table: Table) -> DataFrame:
 
 
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | str,
-             mode: str = "skip_rows", order: list[str] | None = None) -> DataFrame:
-    """The rows of a batch that :func:`append_new_rows` would add."""
+             mode: str = "skip_rows", order: list[str] | None = None,
+             years: list[int] | None = None) -> DataFrame:
+    """The rows of a batch that :func:`append_new_rows` would add.
+
+    Only the years of the batch are read from the stored table.
+    """
     t = table_of(table)
     keys = list(t.key)
     stored = read_table(spark, path, t)
     if t.by_year:
-        # a handful of values; they keep the anti join to the years of the batch
-        years = [r[0] for r in batch.select(YEAR).distinct().collect()]
+        if years is None:
+            years = [y for y in _rows_by_year(batch, t) if y is not None]
         stored = stored.where(F.col(YEAR).isin(years))
     held = stored.select(*keys)
     if mode == "skip_rows":
