@@ -29,8 +29,7 @@ def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> Da
     bands = F.array(*[F.struct(F.lit(int(p[2:])).alias("Trading_Period"),
                                F.col(p).cast("double").alias("Average_Output"))
                       for p in periods])
-    filled = F.filter(bands, lambda b: b.Average_Output.isNotNull())
-    return (summed.select(*ids, F.inline(filled))
+    return (summed.select(*ids, F.inline(bands)).where(F.col("Average_Output").isNotNull())
             .withColumn("Average_Output", F.col("Average_Output") * F.lit(factor)))
 
 
@@ -61,8 +60,8 @@ def offer_bands(df: DataFrame, offer_type: str) -> DataFrame:
     used = {c for c in present if re.match(r"^band\d+_", c)}
     ids = [c for c in df.columns if c not in used]
     stacked = F.array(*[F.struct(*_band_fields(b, present)) for b in bands])
-    offered = F.filter(stacked, lambda b: b.power.isNotNull() & b.price.isNotNull())
-    return df.select(*ids, F.inline(offered))
+    return (df.select(*ids, F.inline(stacked))
+            .where(F.col("power").isNotNull() & F.col("price").isNotNull()))
 
 
 def _bands(offer_type: str) -> list[dict[str, str]]:

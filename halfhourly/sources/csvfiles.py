@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from halfhourly.functions.dates import file_year, parse_date, parse_timestamp
@@ -35,13 +37,13 @@ def read_csv(spark: SparkSession, path: str | list[str], table: Table | str,
     if not by_name:
         return _read(spark, path, t, glob, t.names)
     lines = _lines(spark, path, glob)
-    # one header line per file, next to the list of files the driver holds anyway
-    heads = (lines.where(is_header("value", t.names)).groupBy(SOURCE)
-             .agg(F.min(F.transform(_cells("value"), header_name)).alias("h")).collect())
-    order_of = {h[SOURCE]: tuple(h["h"]) for h in heads}
+    # one header at most per file, next to the list of files the driver holds anyway
+    names = F.when(is_header("value", t.names), F.transform(_cells("value"), header_name))
+    heads = lines.groupBy(SOURCE).agg(F.min(names).alias("h")).collect()
     files_by_order: dict[tuple, list[str]] = {}
-    for file in lines.inputFiles():
-        files_by_order.setdefault(order_of.get(file, tuple(t.names)), []).append(file)
+    for head in heads:
+        order = tuple(head["h"] or t.names)
+        files_by_order.setdefault(order, []).append(unquote(head[SOURCE]))
     parts = [_read(spark, files, t, glob, list(order)) for order, files in files_by_order.items()]
     result = parts[0] if parts else _read(spark, path, t, glob, t.names)
     for part in parts[1:]:

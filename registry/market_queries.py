@@ -23,7 +23,7 @@ from halfhourly.operators.reshape import offer_bands
 from halfhourly.schemas import TABLES
 from halfhourly.sources.tables import run_sql
 from registry import views as V
-from registry.views import query, sql
+from registry.views import quantile_sql, query, sql
 
 warnings.filterwarnings("ignore", message="node metadata may be incomplete")
 
@@ -348,21 +348,14 @@ def _(spark, sf):
 
 # --- analysis ------------------------------------------------------------------
 
-def _quantile_sql(source, keys, col, probabilities, *views):
-    parts = [f"SELECT {keys}, CAST({p} AS DOUBLE) AS probability, "
-             f"quantile_cont({col}, CAST({p} AS DOUBLE)) AS value FROM {source} GROUP BY ALL"
-             for p in probabilities]
-    return sql(" UNION ALL ".join(parts), *views)
-
-
-@query("price_distribution", _quantile_sql(
+@query("price_distribution", quantile_sql(
     "v_price", "trading_period", "price", [0.05, 0.25, 0.5, 0.75, 0.95], "v_price"))
 def _(spark, sf):
     return price_distribution(V.price(spark, sf), ["trading_period"])
 
 
-@query("demand_distribution", _quantile_sql(
-    "(SELECT * FROM v_demand JOIN v_meta ON node = meta_node) r", "load_area, trading_period",
+@query("demand_distribution", quantile_sql(
+    "(SELECT * FROM v_demand JOIN v_meta ON node = meta_node)", "load_area, trading_period",
     "demand", [0.1, 0.5, 0.9], "v_demand", "v_meta"))
 def _(spark, sf):
     rich = merge_meta(V.demand(spark, sf), V.meta(spark, sf), "demand")

@@ -17,7 +17,7 @@ from halfhourly.plans.hydro import (lake_matrix, shift_to_day_before, storage_by
                                     year_of_series)
 from halfhourly.schemas import FUTURES_PRODUCTS, TABLES
 from registry import views as V
-from registry.views import query, sql
+from registry.views import quantile_sql, query, sql
 
 _LAKES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
@@ -81,10 +81,9 @@ def _(spark, sf):
                                                   F.lit(".csv")))
 
 
-@query("storage_by_day_of_year", sql(" UNION ALL ".join(
-    f"""SELECT lake, CAST(dayofyear(trading_date) AS INT) AS day_of_year,
-       CAST({p} AS DOUBLE) AS probability, quantile_cont(lake_levels, CAST({p} AS DOUBLE)) AS value
-FROM v_storage GROUP BY 1, 2""" for p in (0.1, 0.5, 0.9)), "v_storage"))
+@query("storage_by_day_of_year", quantile_sql(
+    "(SELECT lake, CAST(dayofyear(trading_date) AS INT) AS day_of_year, lake_levels "
+    "FROM v_storage)", "lake, day_of_year", "lake_levels", [0.1, 0.5, 0.9], "v_storage"))
 def _(spark, sf):
     return storage_by_day_of_year(V.storage(spark, sf))
 

@@ -226,3 +226,18 @@ def sql(body: str, *views: str) -> str:
     parts = [f"{name} AS ({VIEWS[name]})" for name in views]
     lead = f"WITH {', '.join(parts)}\n" if parts else ""
     return lead + body.strip()
+
+
+def quantile_sql(source: str, keys: str, col: str, probabilities: list[float], *views: str) -> str:
+    """Quantiles with linear interpolation, by the rank of each row."""
+    steps = ", ".join(f"(CAST({p} AS DOUBLE))" for p in probabilities)
+    return sql(f"""
+SELECT {keys}, probability, lo + (hi - lo) * part AS value FROM (
+  SELECT {keys}, probability, MAX(CASE WHEN i = floor(spot) THEN v END) AS lo,
+         MAX(CASE WHEN i = ceil(spot) THEN v END) AS hi, MAX(spot - floor(spot)) AS part
+  FROM (SELECT *, probability * (n - 1) AS spot FROM (
+          SELECT {keys}, {col} AS v,
+                 row_number() OVER (PARTITION BY {keys} ORDER BY {col}) - 1 AS i,
+                 COUNT(*) OVER (PARTITION BY {keys}) AS n
+          FROM {source} q WHERE {col} IS NOT NULL) r, (VALUES {steps}) p(probability)) s
+  GROUP BY {keys}, probability) e""", *views)
