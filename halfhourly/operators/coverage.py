@@ -75,10 +75,9 @@ def link_days(links: DataFrame, pattern: str, ext: str, rename: str | None = Non
         F.max(F.struct(*order, "href")).alias("_link")).select("trading_date", "_link.href")
 
 
-def seed_days(links: DataFrame, seed: Seed, match_type: str = "href",
-              order: list[str] | None = None) -> DataFrame:
+def seed_days(links: DataFrame, seed: Seed, order: list[str] | None = None) -> DataFrame:
     """:func:`link_days` of one published source."""
-    return link_days(matching_links(links, seed.pattern, match_type), seed.pattern,
+    return link_days(matching_links(links, seed.pattern, seed.match_type), seed.pattern,
                      seed.extension + seed.compression, seed.rename, seed.date_type, order)
 
 

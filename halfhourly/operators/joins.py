@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A broadcast side is held whole by every executor, so its rows are counted first.
+# A broadcast side is held whole by every executor, so it is measured first.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast when its rows and their text stay within bounds.
 
-    The count stops one row past the limit.  A larger side is left to a shuffle
-    join, whose skewed partitions adaptive execution splits.
+    Rows and bytes are summed in one distributed pass over ``df``, the smaller
+    side.  A larger one is left to a shuffle join, whose skewed partitions
+    adaptive execution splits.
     """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    rows, size = df.agg(F.count(F.lit(1)),
+                        F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 def merge_meta(df: DataFrame, metadata: DataFrame, col: str = "demand", how: str = "left",

@@ -75,6 +75,17 @@ def append_new_quotes(held: DataFrame, quotes: DataFrame) -> DataFrame:
     return held.unionByName(missing_rows(fresh, held, ["product", "quote_date"]))
 
 
+def refresh_quotes(held: DataFrame, pages: DataFrame) -> DataFrame:
+    """The series after reading the weekday pages (``name``, ``html``) of later days.
+
+    A page's date is in its name, so pages of days already held are not parsed.
+    """
+    last = held.agg(F.max("quote_date")).first()[0]
+    day = summary_page_date("name")
+    later = pages.where(is_weekday(day) if last is None else is_weekday(day) & (day > F.lit(last)))
+    return append_new_quotes(held, quotes_of_pages(later.select("name", "html")))
+
+
 def last_day_held(quotes: DataFrame, products: DataFrame,
                   default: Column | dt.date | None = None) -> DataFrame:
     """Last quote day per product, the day before its start while it has none."""

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from halfhourly.functions.text import strip_unit
 from halfhourly.functions.dates import clock_text, day
+from halfhourly.functions.text import strip_unit
 from halfhourly.operators.joins import missing_rows, value_day_grid
 from halfhourly.schemas import WEATHER_LOCATIONS
 from halfhourly.sources.csvfiles import header_name
@@ -29,6 +29,13 @@ def missing_location_days(wanted: DataFrame, held: DataFrame) -> DataFrame:
     return missing_rows(wanted, held, ["location", "trading_date"])
 
 
+def page_file_name(location: Column | str, date: Column | str) -> Column:
+    """The name a location day is stored under."""
+    place = F.col(location) if isinstance(location, str) else location
+    return F.concat_ws("_", F.replace(place, F.lit("-"), F.lit("_")),
+                       F.concat(F.date_format(date, "yyyyMMdd"), F.lit(".csv")))
+
+
 def weather_of_pages(pages: DataFrame, table_no: int = WEATHER_TABLE) -> DataFrame:
     """Hourly rows of weather pages (``location``, ``trading_date``, ``html``).
 

@@ -223,6 +223,7 @@ class Seed:
     compression: str = ""
     rename: str | None = None
     table: str | None = None
+    match_type: str = "href"
 
 
 SEEDS: dict[str, Seed] = {s.name: s for s in (

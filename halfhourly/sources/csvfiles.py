@@ -141,6 +141,18 @@ def check_file_year(rows: DataFrame) -> DataFrame:
         F.col(REASON), F.when(differs, F.lit("year differs from file name"))))
 
 
+def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The node metadata: one row per ``Node`` and whatever other columns it has, as text.
+
+    ``columns`` names them where the file has no header.
+    """
+    reader = spark.read.option("header", columns is None)
+    if columns is not None:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    df = reader.csv(path)
+    return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A folder of CSV files, each with a header."""
     df.write.mode(mode).option("header", True).csv(path)

@@ -12,13 +12,17 @@ HEAD_LINES = 5
 
 
 def read_lakes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """All lake files below a path as rows.
+    """All lake files below a path as rows; see :func:`lake_rows`."""
+    return lake_rows(spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+                     .select("value", F.col("_metadata.file_path").alias("source_file")))
+
+
+def lake_rows(files: DataFrame) -> DataFrame:
+    """Lake files (``value``, ``source_file``) as daily rows.
 
     Columns ``trading_date, lake, measure, unit, value, source_file``; ``measure``
     is the word of the file (stored, inflow, cusum).
     """
-    files = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-             .select("value", F.col("_metadata.file_path").alias("source_file")))
     lines = F.split("value", r"\r?\n")
     fields = F.split(F.get(lines, F.lit(HEAD_LINES - 1)), ",")
     measure = last_word(F.trim(F.try_element_at(fields, F.lit(-2))))

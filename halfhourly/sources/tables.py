@@ -52,10 +52,12 @@ def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "appe
     """
     t = table_of(table)
     order = [t.date_col, *[k for k in t.key if k != t.date_col]]
-    writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+    ranged = rows.repartitionByRange(*order)
     if t.by_year:
-        writer = writer.partitionBy(YEAR)
-    writer.parquet(path)
+        # the year in front is the order the partitioned write asks for
+        ranged.sortWithinPartitions(YEAR, *order).write.mode(mode).partitionBy(YEAR).parquet(path)
+    else:
+        ranged.sortWithinPartitions(*order).write.mode(mode).parquet(path)
 
 
 @dataclass(frozen=True)

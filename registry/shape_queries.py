@@ -15,10 +15,65 @@ from halfhourly.plans.futures import (append_new_quotes, last_day_held, product_
                                       weekdays_to_fetch)
 from halfhourly.plans.hydro import (lake_matrix, shift_to_day_before, storage_by_day_of_year,
                                     year_of_series)
+from halfhourly.plans.market import query_offer
 from halfhourly.schemas import FUTURES_PRODUCTS, TABLES
 from registry import views as V
 from registry.views import quantile_sql, query, sql
 
+# --- reserve offers ------------------------------------------------------------
+
+_RESERVE_IDS = """'C' || CAST(l_suppkey % 25 AS VARCHAR) AS company,
+       'S' || CAST(l_suppkey AS VARCHAR) AS {node}, CAST(l_shipdate AS DATE) AS trading_date,
+       CAST((l_orderkey * 7 + l_linenumber) % 48 AS INT) + 1 AS trading_period"""
+
+
+def _reserve(spark, sf, node, **bands):
+    """Lines as reserve offers, one column per given band."""
+    return V.read(spark, sf, "lineitem").select(
+        F.concat(F.lit("C"), (F.col("l_suppkey") % 25).cast("string")).alias("company"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias(node),
+        F.col("l_shipdate").cast("date").alias("trading_date"),
+        (((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 48).cast("int") + 1)
+        .alias("trading_period"),
+        *[F.expr(e).alias(c) for c, e in bands.items()])
+
+
+def _reserve_sql(node, *bands):
+    parts = [f"SELECT {_RESERVE_IDS.format(node=node)}, {band} AS band, '{product}' AS product, "
+             f"'{speed}' AS reserve_class, {power} AS power, {price} AS price{extra} FROM lineitem "
+             f"WHERE {where}" for band, product, speed, power, price, extra, where in bands]
+    return " UNION ALL ".join(parts)
+
+
+@query("reserve_offer_long", _reserve_sql(
+    "grid_point",
+    (1, "PLSR", "6s", "l_quantity", "l_extendedprice", ", l_discount AS percent", "TRUE"),
+    (1, "TWDSR", "60s", "l_quantity * 2", "l_extendedprice", ", CAST(NULL AS DOUBLE) AS percent", "TRUE"),
+    (3, "PLSR", "60s", "l_quantity", "l_tax", ", l_discount AS percent", "l_linenumber > 3")))
+def _(spark, sf):
+    offers = _reserve(
+        spark, sf, "grid_point",
+        band1_plsr_6s_price="l_extendedprice", band1_plsr_6s_max="l_quantity",
+        band1_plsr_6s_percent="l_discount",
+        band1_twdsr_60s_price="l_extendedprice", band1_twdsr_60s_max="l_quantity * 2",
+        band3_plsr_60s_price="l_tax", band3_plsr_60s_percent="l_discount",
+        band3_plsr_60s_max="CASE WHEN l_linenumber > 3 THEN l_quantity END")
+    return query_offer(offers, "PLSR", begin_date="1990-01-01", end_date="2010-12-31")
+
+
+@query("il_offer_long", _reserve_sql(
+    "grid_exit_point",
+    (1, "IL", "6s", "l_quantity", "l_extendedprice", "", "TRUE"),
+    (2, "IL", "60s", "l_quantity", "l_tax", "", "l_linenumber > 3")))
+def _(spark, sf):
+    offers = _reserve(spark, sf, "grid_exit_point", band1_6s_price="l_extendedprice",
+                      band1_6s_max="l_quantity", band2_60s_max="l_quantity",
+                      band2_60s_price="CASE WHEN l_linenumber > 3 THEN l_tax END")
+    return query_offer(offers, "IL", begin_date="1990-01-01", end_date="2010-12-31")
+
+
+# --- lakes ---------------------------------------------------------------------
+
 _LAKES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
 

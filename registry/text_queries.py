@@ -8,7 +8,10 @@ from halfhourly.functions import dates as D, text as X
 from halfhourly.operators.coverage import link_days, manifest, matching_links, named_days
 from halfhourly.operators.joins import missing_rows, value_day_grid
 from halfhourly.operators.predicates import larger_than_bytes
-from halfhourly.sources.markup import page_links
+from halfhourly.plans.futures import quotes_of_pages
+from halfhourly.plans.weather import weather_of_pages
+from halfhourly.sources.lakes import lake_rows
+from halfhourly.sources.markup import page_links, page_table_rows
 from registry import views as V
 from registry.views import query
 
@@ -243,3 +246,91 @@ def _(spark, sf):
     first, last = events.agg(F.min("trading_date"), F.max("trading_date")).first()
     wanted = value_day_grid(events.select("location").distinct(), F.lit(first), F.lit(last))
     return missing_rows(wanted, events, ["location", "trading_date"])
+
+
+# --- stored files and pages, one made from each given row ----------------------
+
+def _text(*parts):
+    """Texts and columns put together; a column is named in braces."""
+    return F.concat(*[F.col(p[1:-1]).cast("string") if p.startswith("{") else F.lit(p)
+                      for p in parts])
+
+
+@query("lake_files", """
+SELECT CAST(o_orderdate AS DATE) + CAST(i AS INT) AS trading_date, 'L' || o_custkey AS lake,
+       CASE o_orderkey % 2 WHEN 0 THEN 'stored' ELSE 'inflow' END AS measure,
+       CASE o_orderkey % 2 WHEN 0 THEN 'GWh' ELSE 'GWh/d' END AS unit,
+       o_totalprice + CAST(i AS DOUBLE) AS value, 'f' || o_orderkey AS source_file
+FROM orders, (VALUES (0), (1)) d(i)""")
+def _(spark, sf):
+    orders = V.read(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", (F.col("o_totalprice") + 1).alias("second"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("d0"),
+        F.date_format(F.date_add("o_orderdate", 1), "d/M/yyyy").alias("d1"),
+        F.when(F.col("o_orderkey") % 2 == 0, "stored").otherwise("inflow").alias("word"))
+    text = _text("L", "{o_custkey}", " record\r\n2\r\n3\r\n4\r\ndate,average,2014 ", "{word}", ",\r\n",
+                 "{d0}", ",0.5,", "{o_totalprice}", ",\r\n", "{d1}", ",0.5,", "{second}", ",\r\n")
+    return lake_rows(orders.select(text.alias("value"), _text("f", "{o_orderkey}").alias("source_file")))
+
+
+@query("futures_pages", """
+SELECT CAST(o_orderdate AS DATE) AS quote_date, product, expiry, sett, volume, op_int
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) + 5479 AS o_orderdate, p.product,
+             CAST(date_trunc(p.part, CAST(o_orderdate AS DATE) + 5479) AS DATE) AS expiry,
+             p.sign * o_totalprice AS sett,
+             CASE WHEN p.product = 'EA' THEN CAST(o_orderkey AS DOUBLE) END AS volume,
+             CAST(o_custkey AS DOUBLE) AS op_int
+      FROM orders, (VALUES ('EA', 'quarter', -1.0), ('ED', 'month', 1.0)) p(product, part, sign)) q""")
+def _(spark, sf):
+    orders = V.read(spark, sf, "orders").withColumn("day", F.date_add("o_orderdate", 5479))
+    orders = orders.select(
+        "o_orderkey", "o_custkey", F.date_format("day", "yyMMdd").alias("code"),
+        F.date_format("day", "MMM yyyy").alias("long"), F.date_format("day", "MMM yy").alias("short"),
+        F.format_number("o_totalprice", 2).alias("sett"))
+    line = ("<tr><td>", "{long}", "</td><td>", "{o_custkey}", "</td><td>", "{o_orderkey}", "</td><td>-",
+            "{sett}", "</td></tr>")
+    html = _text("<html><table><tr><td>menu</td></tr></table><table><tr><th>Expiry</th><th>Op Int</th>"
+                 "<th>Volume</th><th>Sett</th></tr><tr><td>EA quarterly</td></tr>", *line, *line,
+                 "<tr><td></td></tr><tr><td>ED monthly</td></tr><tr><td>", "{short}", "</td><td>",
+                 "{o_custkey}", "</td><td>-</td><td>", "{sett}", "</td></tr></table><table></table>",
+                 " " * 5000, "</html>")
+    # the folder keeps the pages of one day apart, the name gives the day
+    name = _text("/pages/", "{o_orderkey}", "/EODWebMarketSummary", "{code}", "ZFT.htm")
+    return quotes_of_pages(orders.select(name.alias("name"), html.alias("html")))
+
+
+_WEATHER_HEAD = "".join(f"<td>{c}</td>" for c in (
+    "Local Time", "Temperature", "Dewpoint", "Humidity", "Barometer", "Visibility", "Wind Direction",
+    "Wind Speed", "Gust Speed", "Precipitation", "Events", "Conditions"))
+
+
+@query("weather_pages", """
+SELECT 'P' || event_id AS location, CAST(ts AS DATE) AS trading_date,
+       strftime(ts, '%H:%M') AS local_time, value AS temperature, -value AS dewpoint,
+       CAST(event_id % 100 AS DOUBLE) AS humidity, 1013.0 AS barometer, CAST(NULL AS DOUBLE) AS visibility,
+       value AS wind_speed, CAST(NULL AS DOUBLE) AS gust_speed, 'NNW' AS wind_direction,
+       '' AS precipitation, 'Rain & wind' AS events, event_type AS conditions
+FROM events""".replace("1013.0", "CAST(1013 AS DOUBLE)"))
+def _(spark, sf):
+    events = V.read(spark, sf, "events").select(
+        "event_id", "ts", "value", "event_type", (F.col("event_id") % 100).alias("wet"),
+        F.date_format("ts", "h:mm a").alias("clock"))
+    html = _text("<table><tr><td>menu</td></tr></table>" * 14 + f"<table><tr>{_WEATHER_HEAD}</tr><tr><td>",
+                 "{clock}", "</td><td>", "{value}", "°C</td><td>-", "{value}", "°C</td><td>", "{wet}",
+                 "%</td><td>1013hPa</td><td></td><td>NNW</td><td>", "{value}",
+                 "km/h</td><td>Calm</td><td></td><td>Rain &amp; wind</td><td>", "{event_type}",
+                 "</td></tr></table>")
+    return weather_of_pages(events.select(_text("P", "{event_id}").alias("location"),
+                                          F.col("ts").cast("date").alias("trading_date"),
+                                          html.alias("html")))
+
+
+@query("page_table_rows", """
+SELECT o_orderkey, CAST(i AS INT) AS row_no,
+       CASE i WHEN 0 THEN 'key|price' ELSE o_orderkey || '|' || o_orderpriority END AS cells
+FROM orders, (VALUES (0), (1)) r(i)""")
+def _(spark, sf):
+    html = _text("<div><table></table><TABLE class='x'><tr><th>key</th><th>price</th></tr>\n<tr><td>",
+                 "{o_orderkey}", "</td><td><b>", "{o_orderpriority}", "</b></td></tr></TABLE></div>")
+    orders = V.read(spark, sf, "orders").select("o_orderkey", html.alias("html"))
+    return page_table_rows(orders, 1).withColumn("cells", F.array_join("cells", "|"))

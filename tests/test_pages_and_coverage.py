@@ -156,3 +156,23 @@ def test_columns(spark):
                                   "trading_date date, lake string, lake_levels double")
     assert sorted(tuple(r) for r in lakes_to_columns(lakes, ["Taupo", "Hawea"]).collect()) == [
         (d(2014, 1, 1), 1.0, 2.0), (d(2014, 1, 2), 3.0, None)]
+
+
+def test_refresh_reads_later_weekdays_only(spark):
+    held = spark.createDataFrame([("EA", d(2014, 1, 8), d(2014, 1, 1), 80.5, 1.0, 1.0)],
+                                 "product string, quote_date date, expiry date, sett double, "
+                                 "volume double, op_int double")
+    pages = spark.createDataFrame(
+        [(f"/htm/EODWebMarketSummary1401{day}ZFT.htm", FUTURES_PAGE) for day in ("07", "08", "09", "11")],
+        "name string, html string")
+    # the 7th and 8th are held, the 11th is a Saturday
+    series = X.refresh_quotes(held, pages)
+    assert values(series.select("quote_date").distinct(), "quote_date") == [
+        (d(2014, 1, 8),), (d(2014, 1, 9),)]
+    assert series.count() == 5
+    assert X.refresh_quotes(held.limit(0), pages).select("quote_date").distinct().count() == 3
+
+
+def test_weather_file_name(spark):
+    name = spark.range(1).select(W.page_file_name(F.lit("Dunedin-Otago"), F.lit(d(2014, 5, 24)))).first()[0]
+    assert name == "Dunedin_Otago_20140524.csv"

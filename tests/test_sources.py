@@ -8,6 +8,7 @@ from halfhourly.schemas import SEEDS, TABLES
 from halfhourly.sources import csvfiles as C
 from halfhourly.sources.lakes import lake_table, read_lakes, series_files
 from halfhourly.sources.markup import page_links, page_table_rows, read_pages, read_xml
+from halfhourly.sources.seeds import known_seeds, read_seeds
 from halfhourly.sources.tables import (append_new_rows, bytes_per_year, conform, create_tables,
                                        insert_from_csv, read_table, run_sql)
 from halfhourly.operators.aggregates import rows_per_year
@@ -245,3 +246,22 @@ def test_conform_and_write_csv(spark, tmp_path):
     assert df.columns == TABLES["nodal_prices"].names and df.first()["price"] == 3.0
     C.write_csv(df, str(tmp_path / "out"))
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).columns == df.columns
+
+
+def test_metadata(spark, tmp_path):
+    path = write(tmp_path / "meta.csv", "Node,Load Area,Island_Name\r\nOTA2201,Auckland,North\r\n")
+    meta = C.read_metadata(spark, path)
+    assert meta.columns == ["node", "load_area", "island_name"] and meta.count() == 1
+    bare = C.read_metadata(spark, write(tmp_path / "bare.csv", "OTA2201,Auckland\n"), ["node", "area"])
+    assert bare.first()["area"] == "Auckland"
+
+
+def test_seeds(spark, tmp_path):
+    path = write(tmp_path / "config.json", """{"folder": "/data",
+      "EMI_Final_Prices": {"pattern": "Final_prices", "date_type": "Monthly", "match_type": "href",
+                           "rename": "Final_pricing", "extension": ".csv"},
+      "offer_database": {"schemas": {"energy_offers": {"split_by_year": true}}}}""")
+    seeds = read_seeds(spark, path)
+    assert values(seeds, "name", "pattern", "rename", "cextension") == [
+        ("EMI_Final_Prices", "Final_prices", "Final_pricing", None)]
+    assert known_seeds(spark).count() == 19
