@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # HTML elements whose content is no page text, then one link or
 # table part each.  The patterns hold for both Java and RE2 matching.
-HIDDEN_HTML = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
+HIDDEN_HTML = r"(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>"
 ANCHOR = r"(?is)<a\s[^>]*>.*?</a>"
 HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 TABLE = r"(?is)<table\b.*?</table>"
@@ -68,10 +68,10 @@ def strip_unit(col: Column | str, letters: int = 2) -> Column:
 
 
 def unescape_html(col: Column | str) -> Column:
-    text = _c(col)
+    text = plain = _c(col)
     for entity, sign in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(sign))
-    return text
+    return F.when(plain.contains("&"), text).otherwise(plain)
 
 
 def visible_html(col: Column | str) -> Column:
@@ -81,7 +81,17 @@ def visible_html(col: Column | str) -> Column:
 
 def html_text(col: Column | str) -> Column:
     """The text of an HTML fragment: tags removed, entities resolved."""
-    return unescape_html(F.regexp_replace(_c(col), TAG, ""))
+    text = F.regexp_replace(_c(col), TAG, "")
+    return unescape_html(text)
+
+
+def spread(array: Column, *names: str) -> tuple[Column, Column]:
+    """An array as numbered rows, and the filter that drops the row of an empty one.
+
+    The inner form of the generator makes Spark test the array before it is spread,
+    which works an expression such as a parsed page out twice.
+    """
+    return F.posexplode_outer(array).alias(*names), F.col(names[0]).isNotNull()
 
 
 def anchors(html: Column | str) -> Column:

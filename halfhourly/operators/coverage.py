@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from halfhourly.functions.dates import days_of_file, is_weekday, link_text_date, day
-from halfhourly.functions.text import base_name, decode_link
+from halfhourly.functions.text import base_name, decode_link, spread
 from halfhourly.operators.joins import missing_rows
 from halfhourly.schemas import Seed
 
@@ -36,8 +36,9 @@ def named_days(names: DataFrame, pattern: str, ext: str, rename: str | None = No
                date_type: str = "Daily", name_col: str = "name",
                date_col: str = "trading_date") -> DataFrame:
     """A row per day a file name or link stands for, next to the given columns."""
-    return names.withColumn(date_col, F.explode(
-        days_of_file(name_col, pattern, ext, rename, date_type)))
+    numbered, filled = spread(days_of_file(name_col, pattern, ext, rename, date_type),
+                              "_day_no", date_col)
+    return names.select("*", numbered).where(filled).drop("_day_no")
 
 
 def days_held(spark: SparkSession, folder: str, seed: Seed) -> DataFrame:

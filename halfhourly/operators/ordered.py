@@ -1,45 +1,80 @@
 """Ordered operators: shifts, carried values, running sums, quantiles, newest rows.
 
-A window over a whole group would put a hot group into one task.  Here each group
-is cut into chunks along its order; a chunk is worked on by itself, and only one
-small row per chunk (its first value, its last value or its total) goes through
-the window over the group.
+A window puts a whole group into one task.  The largest group is therefore counted
+first.  While every group is of ordinary size a plain window does; otherwise
+groups are cut into chunks along their order: a chunk is worked on by itself, and
+only one small row per chunk (its first value, its last value or its total) goes
+through the window over the group.  Both ways give the same rows.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from halfhourly.operators.joins import broadcast_if_small
+from halfhourly.session import checkpointed
+
 _CHUNK = "_chunk"
 
+# Rows of one group that a single task may sort.
+GROUP_ROWS = 2_000_000
+
+
+def has_hot_group(df: DataFrame, keys: list[str], max_rows: int | None = GROUP_ROWS) -> bool:
+    """Whether some group has more than ``max_rows`` rows (one counting pass).
+
+    ``None`` says that groups are bounded by their nature, such as the rows of one
+    stored page, and saves the pass.
+    """
+    if max_rows is None:
+        return False
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return (sizes.agg(F.max("n")).first()[0] or 0) > max_rows
 
-def next_value(df: DataFrame, keys: list[str], date_col: str, col: str) -> DataFrame:
+
+def next_value(df: DataFrame, keys: list[str], date_col: str, col: str,
+               max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Each row takes the value of the next row in date order; the last row of a
     group drops out, a null value inside it stays.
 
-    One row per group and date is expected; chunks are the months of the dates.
+    One row per group and date is expected; chunks are the years of the dates, so
+    a daily series has at most 366 rows in each.
     """
-    month = F.trunc(F.col(date_col), "month")
-    rows = df.withColumn(_CHUNK, month)
+    if not has_hot_group(df, keys, max_group_rows):
+        ahead = F.lead(F.struct(col)).over(Window.partitionBy(*keys).orderBy(date_col))
+        return _replaced(df.withColumn("_next", ahead), col, df.columns)
+    chunk = F.year(F.col(date_col))
+    rows = df.withColumn(_CHUNK, chunk)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(date_col)
     rows = rows.select("*", F.lead(F.struct(col)).over(inside).alias("_inside"))
-    firsts = (df.groupBy(*keys, month.alias(_CHUNK))
+    firsts = (df.groupBy(*keys, chunk.alias(_CHUNK))
               .agg(F.min_by(F.struct(col), F.col(date_col)).alias("_first")))
     following = firsts.select(
         *keys, _CHUNK, F.lead("_first").over(Window.partitionBy(*keys).orderBy(_CHUNK))
         .alias("_after"))
     joined = rows.join(following, [*keys, _CHUNK], "left")
     taken = F.coalesce(F.col("_inside"), F.col("_after"))
-    return (joined.withColumn("_next", taken).where(F.col("_next").isNotNull())
-            .withColumn(col, F.col(f"_next.{col}")).select(*df.columns))
+    return _replaced(joined.withColumn("_next", taken), col, df.columns)
+
+
+def _replaced(rows: DataFrame, col: str, columns: list[str]) -> DataFrame:
+    """``col`` taken from the struct ``_next``; rows without one drop out."""
+    return (rows.where(F.col("_next").isNotNull())
+            .withColumn(col, F.col(f"_next.{col}")).select(*columns))
 
 
 def carry_down(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str,
-               chunk_rows: int = 4096) -> DataFrame:
+               chunk_rows: int = 100_000, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """The last non-null ``col`` at or before each row, along a row number.
 
     ``order_col`` is a number, unique within the group; chunks are stretches of it.
     """
+    if not has_hot_group(df, keys, max_group_rows):
+        return df.withColumn(alias, F.last_value(F.col(col), True).over(
+            Window.partitionBy(*keys).orderBy(order_col)))
     chunk = F.floor(F.col(order_col) / chunk_rows)
     rows = df.withColumn(_CHUNK, chunk)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
@@ -66,84 +101,120 @@ def value_bounds(df: DataFrame, col: str, chunks: int) -> list[float]:
 
 
 def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str,
-                  chunks: int = 64, bounds: list[float] | None = None) -> DataFrame:
+                  chunks: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Running sum of ``col`` along ascending ``order_col``, equal positions merged.
 
     Returns one row per group and position: keys, position, its own sum, the
-    running sum.  Rows without a group key or position belong nowhere and drop
-    out.  Give ``bounds`` (see :func:`value_bounds`) to save the pass that finds them.
+    running sum.  Rows without a group key or position belong nowhere and drop out.
     """
-    return _running(df, keys, order_col, col, alias, chunks, bounds).drop("_all")
-
-
-def _running(df, keys, order_col, col, alias, chunks, bounds) -> DataFrame:
-    """:func:`running_total` with the group's total in ``_all``."""
     present = df
     for k in [*keys, order_col]:
         present = present.where(F.col(k).isNotNull())
-    if bounds is None:
-        bounds = value_bounds(present, order_col, chunks)
+    if not has_hot_group(present, keys, max_group_rows):
+        # one shuffle by group serves both the merging and the window
+        steps = (present.repartition(*keys).groupBy(*keys, order_col).agg(F.sum(col).alias(col)))
+        upto = (Window.partitionBy(*keys).orderBy(order_col)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return steps.withColumn(alias, F.sum(col).over(upto))
+    bounds = value_bounds(present, order_col, chunks)
     steps = (present.groupBy(*keys, order_col).agg(F.sum(col).alias(col))
              .withColumn(_CHUNK, _chunk_of(F.col(order_col), bounds)))
     inside = (Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = steps.withColumn("_inside", F.sum(col).over(inside))
     # from the same merged steps, so their shuffle is written once and read twice
-    group = Window.partitionBy(*keys)
-    before = group.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = (steps.groupBy(*keys, _CHUNK).agg(F.sum(col).alias("_total"))
-              .select(*keys, _CHUNK, F.sum("_total").over(before).alias("_before"),
-                      F.sum("_total").over(group).alias("_all")))
+              .select(*keys, _CHUNK, F.sum("_total").over(before).alias("_before")))
     return (rows.join(totals, [*keys, _CHUNK])
             .select(*keys, order_col, col,
-                    F.coalesce(F.col("_before") + F.col("_inside"), F.col("_inside")).alias(alias),
-                    "_all"))
+                    F.coalesce(F.col("_before") + F.col("_inside"), F.col("_inside"))
+                    .alias(alias)))
 
 
 def _chunk_of(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie at or below a value."""
-    if not bounds:
-        return F.lit(0)
+    """How many bounds lie at or below a value, found by halving."""
     number = value.cast("double")
-    chunk = F.when(number < F.lit(bounds[0]), F.lit(0))
-    for i, b in enumerate(bounds[1:], start=1):
-        chunk = chunk.when(number < F.lit(b), F.lit(i))
-    return chunk.otherwise(F.lit(len(bounds)))
+
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(number < F.lit(bounds[middle]), pick(low, middle)).otherwise(
+            pick(middle + 1, high))
+
+    return pick(0, len(bounds))
 
 
 def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[float],
-              chunks: int = 64, bounds: list[float] | None = None) -> DataFrame:
+              chunks: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation, per group.
 
-    Equal values are counted first and the counts summed along the value, so no
-    task holds a whole group.  Returns keys, ``probability``, ``value``.
+    With a hot group, rows are counted per group and chunk of the value first,
+    which tells the chunk each quantile lies in; only the rows of those chunks are
+    then counted by value and put in order.  Returns keys, ``probability``,
+    ``value``; rows without a group key or value drop out.
     """
-    counted = df.select(*keys, F.col(col).cast("double").alias("_value"),
-                        F.lit(1).cast("bigint").alias("_n"))
-    # a value covers the ranks from the rows below it up to its own last row
-    ranks = (_running(counted, keys, "_value", "_n", "_upto", chunks, bounds)
-             .withColumn("_below", F.col("_upto") - F.col("_n")))
-    below, upto = F.col("_below"), F.col("_upto")
-
-    def place(p: Column) -> Column:
-        at = p * (F.col("_all") - 1)
-        return F.struct(p.alias("probability"), at.alias("at"),
-                        F.floor(at).alias("low"), F.ceil(at).alias("high"))
-
-    places = F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), place)
-    touched = F.filter(places, lambda w: (w.high >= below) & (w.low < upto))
-    ends = ranks.select(*keys, "_value", "_upto", "_below", F.explode(touched).alias("_w"))
-    at_low = (F.col("_w.low") >= F.col("_below")) & (F.col("_w.low") < F.col("_upto"))
-    at_high = (F.col("_w.high") >= F.col("_below")) & (F.col("_w.high") < F.col("_upto"))
-    found = ends.groupBy(*keys, F.col("_w.probability").alias("probability")).agg(
+    rows = df.select(*keys, F.col(col).cast("double").alias("_value"))
+    for c in [*keys, "_value"]:
+        rows = rows.where(F.col(c).isNotNull())
+
+    def rank(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("_size") - 1)
+
+    def touched() -> Column:
+        """Whether the ranks from ``_below`` up to before ``_upto`` hold an end of a quantile."""
+        return functools.reduce(operator.or_, [
+            (F.ceil(rank(p)) >= F.col("_below")) & (F.floor(rank(p)) < F.col("_upto"))
+            for p in probabilities])
+
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    if not has_hot_group(rows, keys, max_group_rows):
+        steps = (rows.repartition(*keys) if keys else rows).groupBy(*keys, "_value").agg(
+            F.count(F.lit(1)).alias("_n"))
+        group = Window.partitionBy(*keys)
+        ranked = (steps.withColumn("_upto", F.sum("_n").over(
+            group.orderBy("_value").rowsBetween(*so_far)))
+            .withColumn("_size", F.sum("_n").over(group))
+            .withColumn("_below", F.col("_upto") - F.col("_n")).where(touched()))
+    else:
+        chunked = rows.withColumn(_CHUNK, _chunk_of(F.col("_value"), value_bounds(
+            rows, "_value", chunks)))
+        spots = _chunk_places(chunked, keys).where(touched()).select(
+            *keys, _CHUNK, "_size", F.col("_below").alias("_start"))
+        # some rows per group; kept, as they are measured and then joined
+        near = chunked.join(broadcast_if_small(checkpointed(spots)), [*keys, _CHUNK])
+        steps = (near.groupBy(*keys, _CHUNK, "_size", "_start", "_value")
+                 .agg(F.count(F.lit(1)).alias("_n")))
+        inside = Window.partitionBy(*keys, _CHUNK).orderBy("_value").rowsBetween(*so_far)
+        ranked = (steps.withColumn("_upto", F.col("_start") + F.sum("_n").over(inside))
+                  .withColumn("_below", F.col("_upto") - F.col("_n")).where(touched()))
+    ends = ranked.select(*keys, "_value", "_below", "_upto", F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("probability"), rank(p).alias("at")) for p in probabilities]))
+        .alias("_w"))
+    low, high = F.floor("_w.at"), F.ceil("_w.at")
+    at_low = (low >= F.col("_below")) & (low < F.col("_upto"))
+    at_high = (high >= F.col("_below")) & (high < F.col("_upto"))
+    found = ends.where(at_low | at_high).groupBy(
+        *keys, F.col("_w.probability").alias("probability")).agg(
         F.max(F.when(at_low, F.col("_value"))).alias("_a"),
         F.max(F.when(at_high, F.col("_value"))).alias("_b"),
-        F.max(F.col("_w.at") - F.col("_w.low")).alias("_part"))
+        F.max(F.col("_w.at") - low).alias("_part"))
     return found.select(*keys, "probability",
                         (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part"))
                         .alias("value"))
 
 
+def _chunk_places(chunked: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group and chunk: the group's size and the ranks the chunk covers."""
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    return (counts.withColumn("_size", F.sum("_n").over(group))
+            .withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+            .withColumn("_upto", F.col("_below") + F.col("_n")))
+
+
 def newest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one that is last by ``order``, then by all other columns.
 

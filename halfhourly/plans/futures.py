@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from halfhourly.functions.dates import expiry_label, is_weekday, summary_page_date
-from halfhourly.functions.text import clean_number
+from halfhourly.functions.text import clean_number, spread
 from halfhourly.operators.joins import missing_rows
 from halfhourly.operators.ordered import carry_down
 from halfhourly.operators.predicates import larger_than_bytes
 from halfhourly.schemas import FUTURES_FIELDS, FUTURES_PRODUCTS
-from halfhourly.sources.markup import page_table_rows
+from halfhourly.sources.markup import page_table
 
 QUOTE_TABLE = 1          # the middle one of three tables
 FULL_PAGE_BYTES = 5000   # smaller pages hold no quotes
@@ -47,15 +47,19 @@ def quotes_of_pages(pages: DataFrame) -> DataFrame:
     A row with a single cell heads the rows below it; its first two letters are
     the product.  Pages too small to hold quotes are passed over.
     """
-    full = pages.where(larger_than_bytes("html", FULL_PAGE_BYTES)).withColumn(
-        "quote_date", summary_page_date("name"))
-    rows = page_table_rows(full, QUOTE_TABLE).withColumn("first", F.get("cells", F.lit(0)))
-    heads = (rows.where(F.col("first") == HEADING)
-             .groupBy("name").agg(F.min_by("cells", "row_no").alias("headings")))
+    # each page is parsed once: its headings are taken before its rows are spread
+    tables = (pages.where(larger_than_bytes("html", FULL_PAGE_BYTES))
+              .select("name", summary_page_date("name").alias("quote_date"),
+                      page_table("html", QUOTE_TABLE).alias("_table")))
+    headings = F.get(F.filter("_table", lambda r: F.get(r, F.lit(0)) == HEADING), F.lit(0))
+    numbered, filled = spread(F.col("_table"), "row_no", "cells")
+    rows = tables.select("name", "quote_date", headings.alias("headings"), numbered).where(filled)
+    rows = rows.withColumn("first", F.get("cells", F.lit(0)))
     body = rows.where(~F.col("first").isin("", HEADING, GRAPH_LINK))
     coded = body.withColumn("code", F.when(F.size("cells") < 2, F.left("first", F.lit(2))))
-    filled = carry_down(coded, ["name"], "row_no", "code", "product")
-    data = filled.where((F.size("cells") > 1) & F.col("product").isNotNull()).join(heads, "name")
+    # the rows of a page come out of one stored value, which bounds them
+    carried = carry_down(coded, ["name"], "row_no", "code", "product", max_group_rows=None)
+    data = carried.where((F.size("cells") > 1) & F.col("product").isNotNull())
     cell = {f: F.get("cells", F.array_position("headings", f) - 1) for f in FUTURES_FIELDS}
     return (data.select("quote_date", "product",
                         parse_expiry("first", product_info("product", 0)).alias("expiry"),

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from halfhourly.functions.dates import clock_text, day
-from halfhourly.functions.text import strip_unit
+from halfhourly.functions.text import spread, strip_unit
 from halfhourly.operators.joins import missing_rows, value_day_grid
 from halfhourly.schemas import WEATHER_LOCATIONS
 from halfhourly.sources.csvfiles import header_name
-from halfhourly.sources.markup import page_table_rows
+from halfhourly.sources.markup import page_table
 
 WEATHER_TABLE = 14       # the fifteenth table of a page
 # column -> letters of the unit behind its numbers
@@ -43,10 +43,10 @@ def weather_of_pages(pages: DataFrame, table_no: int = WEATHER_TABLE) -> DataFra
     rows.
     """
     keys = ["location", "trading_date"]
-    rows = page_table_rows(pages.select(*keys, "html"), table_no)
-    heads = rows.where(F.col("row_no") == 0).select(
-        *keys, F.transform("cells", header_name).alias("headings"))
-    data = rows.where(F.col("row_no") > 0).join(heads, keys)
+    tables = pages.select(*keys, page_table("html", table_no).alias("_table"))
+    headings = F.transform(F.get("_table", F.lit(0)), header_name)
+    numbered, _ = spread(F.col("_table"), "row_no", "cells")
+    data = tables.select(*keys, headings.alias("headings"), numbered).where(F.col("row_no") > 0)
 
     def cell(name: str):
         return F.get("cells", F.array_position("headings", name) - 1)

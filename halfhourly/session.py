@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "halfhourly", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,3 +49,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
     return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read from there, its lineage cut."""
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from halfhourly.functions.dates import parse_date
-from halfhourly.functions.text import first_word, last_word
+from halfhourly.functions.text import first_word, last_word, spread
 from halfhourly.schemas import LAKE_MEASURES
 
 HEAD_LINES = 5
@@ -26,9 +26,9 @@ def lake_rows(files: DataFrame) -> DataFrame:
     lines = F.split("value", r"\r?\n")
     fields = F.split(F.get(lines, F.lit(HEAD_LINES - 1)), ",")
     measure = last_word(F.trim(F.try_element_at(fields, F.lit(-2))))
+    numbered, _ = spread(lines, "line_no", "line")
     rows = files.select("source_file", first_word(F.get(lines, F.lit(0))).alias("lake"),
-                        measure.alias("measure"),
-                        F.posexplode(lines).alias("line_no", "line"))
+                        measure.alias("measure"), numbered)
     cells = F.split("line", ",")
     return (rows.where((F.col("line_no") >= HEAD_LINES) & (F.trim("line") != ""))
             .select(parse_date(F.get(cells, F.lit(0))).alias("trading_date"), "lake", "measure",

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from halfhourly.functions.text import (TABLE, TABLE_CELL, TABLE_ROW, anchors, href_of,
-                                       html_text, visible_html)
+                                       html_text, spread, visible_html)
 from halfhourly.schemas import Table
 from halfhourly.sources.csvfiles import CORRUPT, SOURCE, raw_type, table_of, typed_rows
 
@@ -34,19 +34,24 @@ def read_pages(spark: SparkSession, path: str, glob: str = "*.htm*") -> DataFram
 def page_links(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Every link of a page: the page's other columns, ``link_no``, ``href``, ``text``."""
     others = [c for c in pages.columns if c != html_col]
-    found = pages.select(*others, F.posexplode(anchors(html_col)).alias("link_no", "_a"))
+    numbered, filled = spread(anchors(html_col), "link_no", "_a")
+    found = pages.select(*others, numbered).where(filled)
     return (found.select(*others, "link_no", href_of("_a").alias("href"),
                          html_text("_a").alias("text"))
             .where(F.col("href") != ""))
 
 
-def page_table_rows(pages: DataFrame, table_no: int, html_col: str = "html") -> DataFrame:
-    """The rows of the n-th table of a page (from 0): ``row_no`` and text ``cells``."""
-    others = [c for c in pages.columns if c != html_col]
+def page_table(html_col: str, table_no: int) -> Column:
+    """The n-th table of a page (from 0) as an array of rows of cell texts."""
     table = F.get(F.regexp_extract_all(visible_html(html_col), F.lit(TABLE), F.lit(0)),
                   F.lit(table_no))
     rows = F.regexp_extract_all(table, F.lit(TABLE_ROW), F.lit(0))
-    found = pages.select(*others, F.posexplode(rows).alias("row_no", "_r"))
-    cells = F.transform(F.regexp_extract_all("_r", F.lit(TABLE_CELL), F.lit(0)),
-                        lambda c: F.trim(html_text(c)))
-    return found.select(*others, "row_no", cells.alias("cells"))
+    return F.transform(rows, lambda r: F.transform(
+        F.regexp_extract_all(r, F.lit(TABLE_CELL), F.lit(0)), lambda c: F.trim(html_text(c))))
+
+
+def page_table_rows(pages: DataFrame, table_no: int, html_col: str = "html") -> DataFrame:
+    """The rows of the n-th table of a page (from 0): ``row_no`` and text ``cells``."""
+    others = [c for c in pages.columns if c != html_col]
+    numbered, filled = spread(page_table(html_col, table_no), "row_no", "cells")
+    return pages.select(*others, numbered).where(filled)

@@ -247,4 +247,4 @@ def _(spark, sf):
     turns = V.read(spark, sf, "conversations")
     headed = turns.select("conv_id", "turn", "role", F.when(
         F.col("role") == "user", F.substring(first_word("text"), 1, 2)).alias("head"))
-    return carry_down(headed, ["conv_id"], "turn", "head", "heading", chunk_rows=4).drop("head")
+    return carry_down(headed, ["conv_id"], "turn", "head", "heading").drop("head")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from halfhourly.functions import dates as D, text as X
@@ -160,7 +162,7 @@ def _(spark, sf):
 _SQL_LINKS = r"""
 WITH anchors AS (
   SELECT page_id, url, regexp_extract_all(regexp_replace(html,
-           '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g'),
+           '(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>', '', 'g'),
            '(?is)<a\s[^>]*>.*?</a>') AS list FROM pages),
 one AS (
   SELECT page_id, url, CAST(unnest(generate_series(1, len(list))) - 1 AS INT) AS link_no,
@@ -274,29 +276,29 @@ def _(spark, sf):
 
 
 @query("futures_pages", """
-SELECT CAST(o_orderdate AS DATE) AS quote_date, product, expiry, sett, volume, op_int
-FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) + 5479 AS o_orderdate, p.product,
-             CAST(date_trunc(p.part, CAST(o_orderdate AS DATE) + 5479) AS DATE) AS expiry,
-             p.sign * o_totalprice AS sett,
-             CASE WHEN p.product = 'EA' THEN CAST(o_orderkey AS DOUBLE) END AS volume,
-             CAST(o_custkey AS DOUBLE) AS op_int
-      FROM orders, (VALUES ('EA', 'quarter', -1.0), ('ED', 'month', 1.0)) p(product, part, sign)) q""")
+SELECT DISTINCT quote_date, product, CAST(date_trunc(part, quote_date) AS DATE) AS expiry,
+       CASE product WHEN 'EA' THEN -abs(c_acctbal) ELSE abs(c_acctbal) END AS sett,
+       CASE product WHEN 'EA' THEN CAST(c_custkey AS DOUBLE) END AS volume,
+       CAST(c_nationkey AS DOUBLE) AS op_int
+FROM (SELECT *, DATE '2010-01-01' + CAST(c_custkey % 3000 AS INT) AS quote_date FROM customer) c,
+     (VALUES ('EA', 'quarter'), ('ED', 'month')) p(product, part)""")
 def _(spark, sf):
-    orders = V.read(spark, sf, "orders").withColumn("day", F.date_add("o_orderdate", 5479))
-    orders = orders.select(
-        "o_orderkey", "o_custkey", F.date_format("day", "yyMMdd").alias("code"),
+    pages = V.read(spark, sf, "customer").withColumn(
+        "day", F.date_add(F.lit(dt.date(2010, 1, 1)), (F.col("c_custkey") % 3000).cast("int")))
+    pages = pages.select(
+        "c_custkey", "c_nationkey", F.date_format("day", "yyMMdd").alias("code"),
         F.date_format("day", "MMM yyyy").alias("long"), F.date_format("day", "MMM yy").alias("short"),
-        F.format_number("o_totalprice", 2).alias("sett"))
-    line = ("<tr><td>", "{long}", "</td><td>", "{o_custkey}", "</td><td>", "{o_orderkey}", "</td><td>-",
-            "{sett}", "</td></tr>")
+        F.format_number(F.abs("c_acctbal"), 2).alias("sett"))
+    line = ("<tr><td>", "{long}", "</td><td>", "{c_nationkey}", "</td><td>", "{c_custkey}",
+            "</td><td>-", "{sett}", "</td></tr>")
     html = _text("<html><table><tr><td>menu</td></tr></table><table><tr><th>Expiry</th><th>Op Int</th>"
                  "<th>Volume</th><th>Sett</th></tr><tr><td>EA quarterly</td></tr>", *line, *line,
                  "<tr><td></td></tr><tr><td>ED monthly</td></tr><tr><td>", "{short}", "</td><td>",
-                 "{o_custkey}", "</td><td>-</td><td>", "{sett}", "</td></tr></table><table></table>",
+                 "{c_nationkey}", "</td><td>-</td><td>", "{sett}", "</td></tr></table><table></table>",
                  " " * 5000, "</html>")
     # the folder keeps the pages of one day apart, the name gives the day
-    name = _text("/pages/", "{o_orderkey}", "/EODWebMarketSummary", "{code}", "ZFT.htm")
-    return quotes_of_pages(orders.select(name.alias("name"), html.alias("html")))
+    name = _text("/pages/", "{c_custkey}", "/EODWebMarketSummary", "{code}", "ZFT.htm")
+    return quotes_of_pages(pages.select(name.alias("name"), html.alias("html")))
 
 
 _WEATHER_HEAD = "".join(f"<td>{c}</td>" for c in (
@@ -305,24 +307,27 @@ _WEATHER_HEAD = "".join(f"<td>{c}</td>" for c in (
 
 
 @query("weather_pages", """
-SELECT 'P' || event_id AS location, CAST(ts AS DATE) AS trading_date,
-       strftime(ts, '%H:%M') AS local_time, value AS temperature, -value AS dewpoint,
-       CAST(event_id % 100 AS DOUBLE) AS humidity, 1013.0 AS barometer, CAST(NULL AS DOUBLE) AS visibility,
-       value AS wind_speed, CAST(NULL AS DOUBLE) AS gust_speed, 'NNW' AS wind_direction,
-       '' AS precipitation, 'Rain & wind' AS events, event_type AS conditions
-FROM events""".replace("1013.0", "CAST(1013 AS DOUBLE)"))
+SELECT 'P' || c_custkey AS location, CAST(ts AS DATE) AS trading_date,
+       strftime(ts, '%H:%M') AS local_time, c_acctbal AS temperature, CAST(NULL AS DOUBLE) AS dewpoint,
+       CAST(c_custkey % 100 AS DOUBLE) AS humidity, CAST(1013 AS DOUBLE) AS barometer,
+       CAST(NULL AS DOUBLE) AS visibility, c_acctbal AS wind_speed, CAST(NULL AS DOUBLE) AS gust_speed,
+       'NNW' AS wind_direction, '' AS precipitation, 'Rain & wind' AS events,
+       c_mktsegment AS conditions
+FROM (SELECT *, TIMESTAMP '2014-01-01' + to_minutes(CAST(c_custkey * 31 AS BIGINT)) AS ts
+      FROM customer) c""")
 def _(spark, sf):
-    events = V.read(spark, sf, "events").select(
-        "event_id", "ts", "value", "event_type", (F.col("event_id") % 100).alias("wet"),
-        F.date_format("ts", "h:mm a").alias("clock"))
+    at = F.timestamp_add("MINUTE", (F.col("c_custkey") * 31).cast("int"),
+                         F.lit(dt.datetime(2014, 1, 1)).cast("timestamp_ntz"))
+    pages = V.read(spark, sf, "customer").select(
+        "c_custkey", "c_acctbal", "c_mktsegment", (F.col("c_custkey") % 100).alias("wet"),
+        at.cast("date").alias("day"), F.date_format(at, "h:mm a").alias("clock"))
     html = _text("<table><tr><td>menu</td></tr></table>" * 14 + f"<table><tr>{_WEATHER_HEAD}</tr><tr><td>",
-                 "{clock}", "</td><td>", "{value}", "°C</td><td>-", "{value}", "°C</td><td>", "{wet}",
-                 "%</td><td>1013hPa</td><td></td><td>NNW</td><td>", "{value}",
-                 "km/h</td><td>Calm</td><td></td><td>Rain &amp; wind</td><td>", "{event_type}",
+                 "{clock}", "</td><td>", "{c_acctbal}", "°C</td><td></td><td>", "{wet}",
+                 "%</td><td>1013hPa</td><td></td><td>NNW</td><td>", "{c_acctbal}",
+                 "km/h</td><td>Calm</td><td></td><td>Rain &amp; wind</td><td>", "{c_mktsegment}",
                  "</td></tr></table>")
-    return weather_of_pages(events.select(_text("P", "{event_id}").alias("location"),
-                                          F.col("ts").cast("date").alias("trading_date"),
-                                          html.alias("html")))
+    return weather_of_pages(pages.select(_text("P", "{c_custkey}").alias("location"),
+                                         F.col("day").alias("trading_date"), html.alias("html")))
 
 
 @query("page_table_rows", """

@@ -23,13 +23,13 @@ def values():
     return pd.DataFrame(rows, columns=["k", "v", "n"])
 
 
-@pytest.mark.parametrize("chunks", [1, 2, 16])
-def test_quantiles(spark, values, chunks):
+@pytest.mark.parametrize("chunks,hot", [(1, 0), (2, 0), (16, 0), (16, 10**6)])
+def test_quantiles(spark, values, chunks, hot):
     df = spark.createDataFrame(values.astype({"n": "int"}).values.tolist(), "k string, v double, n int")
     df = df.where("NOT isnan(v) OR v IS NULL")
     p = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = {(r["k"], r["probability"]): r["value"]
-           for r in quantiles(df, ["k"], "v", p, chunks=chunks).collect()}
+           for r in quantiles(df, ["k"], "v", p, chunks, hot).collect()}
     clean = values.dropna()
     want = {(k, q): float(np.quantile(g["v"], q)) for k, g in clean.groupby("k") for q in p}
     assert got.keys() == want.keys()
@@ -39,14 +39,19 @@ def test_quantiles(spark, values, chunks):
 def test_quantiles_of_nothing_and_of_everything(spark):
     df = spark.createDataFrame([("a", None)], "k string, v double")
     assert quantiles(df, ["k"], "v", [0.5]).count() == 0
+    numbers = spark.range(101)
+    for hot in (0, 10**6):
+        whole = quantiles(numbers, [], "id", [0.25, 0.5], 8, hot).collect()
+        assert sorted(tuple(r) for r in whole) == [(0.25, 25.0), (0.5, 50.0)]
 
 
-@pytest.mark.parametrize("chunks", [1, 16])
-def test_running_total(spark, values, chunks):
+@pytest.mark.parametrize("chunks,hot", [(1, 0), (16, 0), (16, 10**6)])
+def test_running_total(spark, values, chunks, hot):
     df = spark.createDataFrame([(k, v, int(n)) for k, v, n in values.dropna().values],
                                "k string, v double, n long")
     got = {(r["k"], r["v"]): (r["n"], r["upto"])
-           for r in running_total(df, ["k"], "v", "n", "upto", chunks=chunks).collect()}
+           for r in running_total(df, ["k"], "v", "n", "upto", chunks=chunks,
+                                      max_group_rows=hot).collect()}
     merged = values.dropna().groupby(["k", "v"])["n"].sum().reset_index().sort_values(["k", "v"])
     merged["upto"] = merged.groupby("k")["n"].cumsum()
     want = {(r.k, r.v): (r.n, r.upto) for r in merged.itertuples()}
@@ -62,28 +67,29 @@ def test_offer_curve(spark, rows):
                                         (day, 2, 1.0, 4.0, 4.0)]
 
 
-def test_next_value(spark):
+@pytest.mark.parametrize("hot", [0, 10**6])
+def test_next_value(spark, hot):
     start = dt.date(2014, 1, 28)
     table = [("a", start + dt.timedelta(days=i), None if i == 4 else float(i)) for i in range(70)]
     table += [("b", dt.date(2013, 12, 31), 1.0), ("b", dt.date(2014, 3, 1), 2.0),
               ("c", start, 9.0)]
     df = spark.createDataFrame(table, "lake string, trading_date date, lake_levels double")
     got = {(r["lake"], r["trading_date"]): r["lake_levels"]
-           for r in shift_to_day_before(df).collect()}
+           for r in next_value(df, ["lake"], "trading_date", "lake_levels", hot).collect()}
     want = {("a", start + dt.timedelta(days=i)): None if i == 3 else float(i + 1)
             for i in range(69)}
     want[("b", dt.date(2013, 12, 31))] = 2.0
     assert got == want
-    assert next_value(df, ["lake"], "trading_date", "lake_levels").columns == df.columns
+    assert shift_to_day_before(df).columns == df.columns and shift_to_day_before(df).count() == 70
 
 
-@pytest.mark.parametrize("chunk_rows", [2, 7, 4096])
-def test_carry_down(spark, chunk_rows):
+@pytest.mark.parametrize("chunk_rows,hot", [(2, 0), (7, 0), (4096, 0), (7, 10**6)])
+def test_carry_down(spark, chunk_rows, hot):
     heads = {0: None, 3: "EA", 4: None, 11: "EB", 30: "EC"}
     table = [("p", i, heads.get(i)) for i in range(40)] + [("q", 5, None), ("q", 6, "EE")]
     df = spark.createDataFrame(table, "page string, row_no int, code string")
     got = {(r["page"], r["row_no"]): r["product"]
-           for r in carry_down(df, ["page"], "row_no", "code", "product", chunk_rows).collect()}
+           for r in carry_down(df, ["page"], "row_no", "code", "product", chunk_rows, hot).collect()}
     last, want = None, {("q", 5): None, ("q", 6): "EE"}
     for i in range(40):
         last = heads.get(i) or last
