@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from halfhourly.functions.text import base_name, squeeze_blanks
+from halfhourly.functions.text import _c, base_name, squeeze_blanks
 from halfhourly.schemas import NORMAL_PERIODS, PERIOD_MINUTES
 
 # Accepted shapes of a date text and how each is read, once its
@@ -94,6 +94,19 @@ def trading_id(date: Column | str, period: Column | str) -> Column:
             + _c(period)).cast("bigint")
 
 
+def utc_instant(stamp: Column | str) -> Column:
+    """A zone-less timestamp as an instant, whatever the session zone.
+
+    Event times of streams have to be instants.
+    """
+    return F.timestamp_seconds(F.timestamp_diff("SECOND", _epoch(), _c(stamp)))
+
+
+def utc_stamp(instant: Column | str) -> Column:
+    """The reverse of :func:`utc_instant`."""
+    return F.timestamp_add("SECOND", F.unix_seconds(_c(instant)), _epoch())
+
+
 def period_of(stamp: Column | str) -> Column:
     """Trading period (1..48) a timestamp falls into."""
     ts = _c(stamp)
@@ -217,5 +230,5 @@ def _digits(text: Column, regex: str) -> Column:
     return F.nullif(F.regexp_extract(text, regex, 1), F.lit(""))
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def _epoch() -> Column:
+    return F.lit(dt.date(1970, 1, 1)).cast("timestamp_ntz")

@@ -58,3 +58,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder and read from there."""
+    folder = work_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from halfhourly.functions.dates import trading_timestamp
+from halfhourly.functions.dates import trading_timestamp, utc_instant, utc_stamp
 from halfhourly.schemas import Table
 from halfhourly.sources.csvfiles import table_of
 from halfhourly.sources.tables import new_rows, with_year, write_rows
 
 
 def stream_csv(spark: SparkSession, folder: str, table: Table | str, header: bool = True,
-               glob: str = "*.csv*", date_format: str = "dd/MM/yyyy") -> DataFrame:
-    """New CSV files of a folder as a stream of rows of a table."""
+               glob: str = "*.csv*", date_format: str = "dd/MM/yyyy",
+               max_files: int = 10_000) -> DataFrame:
+    """New CSV files of a folder as a stream of rows of a table.
+
+    A batch takes ``max_files`` at most, so a first load of many files goes in parts.
+    """
     t = table_of(table)
-    return (spark.readStream.schema(t.struct).option("header", header)
+    return (spark.readStream.schema(t.struct).option("maxFilesPerTrigger", max_files).option("header", header)
             .option("dateFormat", date_format).option("pathGlobFilter", glob).csv(folder))
 
 
@@ -44,7 +48,7 @@ def distinct_within(stream: DataFrame, keys: list[str], stamp: Column | str,
     later than that counts as new.
     """
     at = F.col(stamp) if isinstance(stamp, str) else stamp
-    return (stream.withColumn("_at", at.cast("timestamp")).withWatermark("_at", lateness)
+    return (stream.withColumn("_at", utc_instant(at)).withWatermark("_at", lateness)
             .dropDuplicatesWithinWatermark(keys).drop("_at"))
 
 
@@ -54,11 +58,11 @@ def half_hour_demand(stream: DataFrame, keys: list[str], lateness: str,
 
     A half hour is final, and its state dropped, ``lateness`` after its end.
     """
-    at = trading_timestamp("trading_date", "trading_period").cast("timestamp")
+    at = utc_instant(trading_timestamp("trading_date", "trading_period"))
     return (stream.withColumn("_at", at).withWatermark("_at", lateness)
             .groupBy(F.window("_at", "30 minutes"), *keys)
             .agg(F.sum(value).alias(value))
-            .select(F.col("window.start").cast("timestamp_ntz").alias("half_hour"), *keys, value))
+            .select(utc_stamp("window.start").alias("half_hour"), *keys, value))
 
 
 def write_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -317,7 +317,7 @@ FROM (SELECT *, TIMESTAMP '2014-01-01' + to_minutes(CAST(c_custkey * 31 AS BIGIN
       FROM customer) c""")
 def _(spark, sf):
     at = F.timestamp_add("MINUTE", (F.col("c_custkey") * 31).cast("int"),
-                         F.lit(dt.datetime(2014, 1, 1)).cast("timestamp_ntz"))
+                         F.lit(dt.date(2014, 1, 1)).cast("timestamp_ntz"))
     pages = V.read(spark, sf, "customer").select(
         "c_custkey", "c_acctbal", "c_mktsegment", (F.col("c_custkey") % 100).alias("wet"),
         at.cast("date").alias("day"), F.date_format(at, "h:mm a").alias("clock"))

@@ -135,10 +135,10 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     """The wind table: a tenth of the users stands for each station column."""
     columns = [c for c in TABLES["scada_wind_data"].names if c != "stamp"]
     value, place = F.col("value").cast("decimal(18,2)"), F.col("user_id") % 10
-    return (read(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").alias("stamp"))
+    hour = F.timestamp_add("HOUR", F.hour("ts"), F.col("ts").cast("date").cast("timestamp_ntz"))
+    return (read(spark, sf, "events").groupBy(hour.alias("stamp"))
             .agg(*[F.sum(F.when(place == i, value)).cast("double").alias(c)
-                   for i, c in enumerate(columns)])
-            .withColumn("stamp", F.col("stamp").cast("timestamp_ntz")))
+                   for i, c in enumerate(columns)]))
 
 
 def storage(spark: SparkSession, sf: str) -> DataFrame:

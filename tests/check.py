@@ -66,7 +66,10 @@ def main() -> int:
     import __spark_entry__ as driver
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    spark = get_spark("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    zone = os.environ.get("CHECK_ZONE", "UTC")
+    spark = get_spark("check", "local[8]", **{"spark.sql.shuffle.partitions": "8",
+                                              "spark.sql.session.timeZone": zone,
+                                              "spark.sql.ansi.enabled": os.environ.get("CHECK_ANSI", "true")})
     spark.sparkContext.setLogLevel("ERROR")
     sqls, bad = driver.oracle_sql(), 0
     for name, run in driver.queries().items():
