@@ -25,11 +25,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
 def merge_meta(df: DataFrame, metadata: DataFrame, col: str = "demand", how: str = "left",
                node_col: str = "node", meta_node_col: str = "meta_node",
                max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Node metadata joined to market rows; rows without a value in ``col`` drop out.
+    """Node metadata joined to market rows.
 
-    ``left`` keeps nodes the metadata lacks, ``inner`` does not.  A metadata
-    table keyed by ``node`` itself has that column renamed, as it would be
-    ambiguous next to the market's own.
+    ``left`` keeps nodes the metadata lacks but no row without a value in ``col``;
+    ``inner`` keeps the known nodes.  Metadata columns named like a market column
+    get ``meta_`` in front, so that no name is ambiguous.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"metadata join {how!r}: use left or inner")
@@ -38,8 +38,10 @@ def merge_meta(df: DataFrame, metadata: DataFrame, col: str = "demand", how: str
         if "node" not in own:
             raise ValueError(f"the metadata has neither {meta_node_col!r} nor 'node'")
         metadata = metadata.withColumnRenamed(own["node"], meta_node_col)
+    metadata = metadata.withColumnsRenamed(
+        {c: f"meta_{c}" for c in metadata.columns if c in df.columns})
     side = broadcast_if_small(metadata, max_broadcast_rows)
-    kept = df.where(F.col(col).isNotNull())
+    kept = df.where(F.col(col).isNotNull()) if how == "left" else df
     return kept.join(side, kept[node_col] == side[meta_node_col], how)
 
 

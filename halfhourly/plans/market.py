@@ -19,7 +19,8 @@ from halfhourly.operators.predicates import (check_optional_range, check_require
                                              value_filter)
 from halfhourly.operators.reshape import offer_bands
 from halfhourly.schemas import OFFER_TYPES
-from halfhourly.sources.tables import read_table
+from halfhourly.sources.tables import (Load, bytes_per_year, create_tables, insert_from_csv,
+                                       read_table)
 
 # A demand bound of zero asks for consuming nodes, so it leaves zero itself out.
 LEAST_DEMAND = 0.0001
@@ -116,6 +117,26 @@ class Market:
             raise ValueError(f"no table {name!r} given and no folder to read it from")
         return read_table(self.spark, f"{self.root}/{name}", name)
 
+    def _place(self, name: str) -> str:
+        if self.root is None:
+            raise ValueError("a market without a folder stores nothing")
+        return f"{self.root}/{name}"
+
+    def create_all_tables(self, database: str = "default") -> None:
+        create_tables(self.spark, database=database, location=self._place("")[:-1])
+
+    def insert_from_csv(self, table: str, csvfile: str | list[str], mode: str = "skip_rows") -> Load:
+        """Loads one CSV file; known rows are skipped, or reject it (``reject_file``)."""
+        return insert_from_csv(self.spark, csvfile, self._place(table), table, mode)
+
+    def insert_many_csv(self, table: str, folder: str, mode: str = "skip_rows") -> Load:
+        """Loads every CSV file of a folder, all in one job."""
+        return insert_from_csv(self.spark, folder, self._place(table), table, mode, "*.csv")
+
+    def get_all_table_sizes(self, table: str) -> DataFrame:
+        """Stored bytes of each year of a table."""
+        return bytes_per_year(self.table(table))
+
     def query_nodal_price(self, nodes=None, meta_how: str = "inner", **options) -> DataFrame:
         return query_nodal_price(self.table("nodal_prices"), nodes=nodes, meta_how=meta_how,
                                  metadata=self.metadata, **options)

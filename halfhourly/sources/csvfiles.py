@@ -52,17 +52,26 @@ def read_csv(spark: SparkSession, path: str | list[str], table: Table | str,
 
 
 def _lines(spark: SparkSession, path, glob: str) -> DataFrame:
-    lines = spark.read.option("pathGlobFilter", glob).text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias(SOURCE)) \
-        .where(F.trim("value") != "")
+    return file_lines(spark.read.option("pathGlobFilter", glob).text(path))
 
 
 def _read(spark: SparkSession, path, table: Table, glob: str, order: list[str]) -> DataFrame:
+    return csv_rows(_lines(spark, path, glob), table, order)
+
+
+def file_lines(text: DataFrame) -> DataFrame:
+    """The filled lines of text files, read or streamed, with the file each is from."""
+    return (text.select("value", F.col("_metadata.file_path").alias(SOURCE))
+            .where(F.trim("value") != ""))
+
+
+def csv_rows(lines: DataFrame, table: Table, order: list[str]) -> DataFrame:
+    """Lines as typed rows, their cells in the given order of columns."""
     known = [n for n in order if n in table.columns]
     kinds = {n: raw_type(table.columns[n]).simpleString() for n in known}
     schema = ", ".join([f"`{n}` {kinds.get(n, 'string')}" for n in order] + [f"{CORRUPT} string"])
-    lines = _lines(spark, path, glob).where(~is_header("value", table.names))
-    parsed = lines.select(SOURCE, F.from_csv("value", schema, {
+    data = lines.where(~is_header("value", table.names))
+    parsed = data.select(SOURCE, F.from_csv("value", schema, {
         "columnNameOfCorruptRecord": CORRUPT, "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true"}).alias("_c"))
     absent = [F.lit(None).cast(raw_type(table.columns[n])).alias(n)

@@ -7,20 +7,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from halfhourly.functions.dates import trading_timestamp, utc_instant, utc_stamp
 from halfhourly.schemas import Table
-from halfhourly.sources.csvfiles import table_of
+from halfhourly.sources.csvfiles import csv_rows, file_lines, table_of
 from halfhourly.sources.tables import new_rows, with_year, write_rows
 
 
-def stream_csv(spark: SparkSession, folder: str, table: Table | str, header: bool = True,
-               glob: str = "*.csv*", date_format: str = "dd/MM/yyyy",
+def stream_csv(spark: SparkSession, folder: str, table: Table | str, glob: str = "*.csv*",
                max_files: int = 10_000) -> DataFrame:
-    """New CSV files of a folder as a stream of rows of a table.
+    """New CSV files of a folder as a stream of typed rows, as ``read_csv`` reads them.
 
     A batch takes ``max_files`` at most, so a first load of many files goes in parts.
     """
     t = table_of(table)
-    return (spark.readStream.schema(t.struct).option("maxFilesPerTrigger", max_files).option("header", header)
-            .option("dateFormat", date_format).option("pathGlobFilter", glob).csv(folder))
+    text = (spark.readStream.option("maxFilesPerTrigger", max_files)
+            .option("pathGlobFilter", glob).text(folder))
+    return csv_rows(file_lines(text), t, t.names)
 
 
 def load_new(stream: DataFrame, store: str, table: Table | str, checkpoint: str) -> StreamingQuery:

@@ -58,6 +58,13 @@ def test_meta_join_keeps_unknown_nodes_and_drops_empty_rows(demand, meta, rows):
     assert left.count() == 5 and left.columns[-3:] == ["meta_node", "load_area", "island"]
     assert left.where("meta_node IS NULL").select("node").first()[0] == "XXX0001"
     assert merge_meta(demand, meta, "demand", "inner").count() == 4
+    # an inner join keeps empty rows of known nodes
+    empty = demand.withColumn("demand", F.lit(None).cast("double"))
+    assert merge_meta(empty, meta, "demand", "inner").count() == 4
+    assert merge_meta(empty, meta, "demand").count() == 0
+    # a name both sides have stays unambiguous
+    both = merge_meta(demand.withColumn("island", F.lit("NI")), meta, "demand")
+    assert {r["island"] for r in both.collect()} == {"NI"} and "meta_island" in both.columns
     with pytest.raises(ValueError):
         merge_meta(demand, meta.drop("Node"), "demand")
     with pytest.raises(ValueError):

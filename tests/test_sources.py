@@ -4,6 +4,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from halfhourly.plans.market import Market
 from halfhourly.schemas import SEEDS, TABLES
 from halfhourly.sources import csvfiles as C
 from halfhourly.sources.lakes import lake_table, read_lakes, series_files
@@ -241,6 +242,20 @@ def test_catalog_tables(spark, tmp_path):
     spark.sql("DROP DATABASE market CASCADE")
 
 
+def test_market_over_a_folder(spark, tmp_path):
+    market = Market(spark, str(tmp_path / "store"))
+    write(tmp_path / "in" / "a.csv", PRICE_HEAD + "\n24/05/2014,1,OTA2201,50.5\n24/05/2014,1,HLY2201,9\n")
+    assert market.insert_many_csv("nodal_prices", str(tmp_path / "in")).loaded == 2
+    assert market.insert_from_csv("nodal_prices", str(tmp_path / "in" / "a.csv")).loaded == 0
+    assert market.query_nodal_price(dates="24/05/2014", nodes="Major").count() == 1
+    assert market.query_nodal_demand(dates="24/05/2014").count() == 0
+    assert market.get_all_table_sizes("nodal_prices").first()["trading_year"] == 2014
+    with pytest.raises(ValueError):
+        Market(spark).insert_many_csv("nodal_prices", str(tmp_path / "in"))
+    with pytest.raises(ValueError):
+        Market(spark).table("nodal_prices")
+
+
 def test_conform_and_write_csv(spark, tmp_path):
     df = conform(spark.createDataFrame([("OTA2201", "3")], "NODE string, price string"), "nodal_prices")
     assert df.columns == TABLES["nodal_prices"].names and df.first()["price"] == 3.0

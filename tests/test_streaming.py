@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from halfhourly.sources.csvfiles import accepted
 from halfhourly.sources.tables import read_table
 from halfhourly.streaming import loads as L
 
@@ -13,18 +14,18 @@ def test_files_are_loaded_once(spark, tmp_path):
     (folder / "a.csv").write_text(head + "24/05/2014,1,OTA2201,50\n24/05/2014,1,OTA2201,50\n")
 
     def run():
-        stream = L.stream_csv(spark, str(folder), "nodal_prices")
+        stream = accepted(L.stream_csv(spark, str(folder), "nodal_prices"))
         L.load_new(stream, store, "nodal_prices", str(tmp_path / "check")).awaitTermination()
         return sorted((r["trading_date"].day, r["price"])
                       for r in read_table(spark, store, "nodal_prices").collect())
 
     assert run() == [(24, 50.0)]
-    # a repeated key with another price, and a day that comes late
-    (folder / "b.csv").write_text(head + "24/05/2014,1,OTA2201,99\n23/05/2013,1,OTA2201,7\n")
+    # no header, a repeated key with another price, a day that comes late, a bad row
+    (folder / "b.csv").write_text("bad,1,OTA2201,1\n24/05/2014,1,OTA2201,99\n23/05/2013,1,OTA2201,7\n")
     assert run() == [(23, 7.0), (24, 50.0)]
     assert run() == [(23, 7.0), (24, 50.0)]
     # a lost checkpoint reads all files again and still adds nothing
-    stream = L.stream_csv(spark, str(folder), "nodal_prices")
+    stream = accepted(L.stream_csv(spark, str(folder), "nodal_prices", max_files=1))
     L.load_new(stream, store, "nodal_prices", str(tmp_path / "other")).awaitTermination()
     assert read_table(spark, store, "nodal_prices").count() == 2
 
