@@ -10,6 +10,7 @@ through the window over the group.  Both ways give the same rows.
 from __future__ import annotations
 
 import functools
+import math
 import operator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -23,16 +24,17 @@ _CHUNK = "_chunk"
 GROUP_ROWS = 2_000_000
 
 
-def has_hot_group(df: DataFrame, keys: list[str], max_rows: int | None = GROUP_ROWS) -> bool:
-    """Whether some group has more than ``max_rows`` rows (one counting pass).
+def hot_factor(df: DataFrame, keys: list[str], max_rows: int | None = GROUP_ROWS) -> int:
+    """How many times over the largest group exceeds ``max_rows``; 0 when none does.
 
-    ``None`` says that groups are bounded by their nature, such as the rows of one
-    stored page, and saves the pass.
+    One counting pass.  ``None`` says that groups are bounded by their nature, such
+    as the rows of one stored page, and saves the pass.
     """
     if max_rows is None:
-        return False
+        return 0
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) > max_rows
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    return 0 if largest <= max_rows else math.ceil(largest / max(max_rows, 1))
 
 
 def next_value(df: DataFrame, keys: list[str], date_col: str, col: str,
@@ -43,7 +45,7 @@ def next_value(df: DataFrame, keys: list[str], date_col: str, col: str,
     One row per group and date is expected; chunks are the years of the dates, so
     a daily series has at most 366 rows in each.
     """
-    if not has_hot_group(df, keys, max_group_rows):
+    if not hot_factor(df, keys, max_group_rows):
         ahead = F.lead(F.struct(col)).over(Window.partitionBy(*keys).orderBy(date_col))
         return _replaced(df.withColumn("_next", ahead), col, df.columns)
     chunk = F.year(F.col(date_col))
@@ -72,7 +74,7 @@ def carry_down(df: DataFrame, keys: list[str], order_col: str, col: str, alias:
 
     ``order_col`` is a number, unique within the group; chunks are stretches of it.
     """
-    if not has_hot_group(df, keys, max_group_rows):
+    if not hot_factor(df, keys, max_group_rows):
         return df.withColumn(alias, F.last_value(F.col(col), True).over(
             Window.partitionBy(*keys).orderBy(order_col)))
     chunk = F.floor(F.col(order_col) / chunk_rows)
@@ -90,18 +92,44 @@ def carry_down(df: DataFrame, keys: list[str], order_col: str, col: str, alias:
             .drop(_CHUNK, "_inside", "_before"))
 
 
-def value_bounds(df: DataFrame, col: str, chunks: int) -> list[float]:
-    """Up to ``chunks - 1`` approximate quantiles of a column, in order.
+def value_edges(df: DataFrame, col: str, stretches: int) -> list[float]:
+    """Approximate quantiles of a column from its minimum to its maximum, in order.
 
     They only balance the chunks, so results do not depend on their accuracy.
     """
-    steps = [i / chunks for i in range(1, chunks)]
+    steps = [i / stretches for i in range(stretches + 1)]
     found = df.agg(F.percentile_approx(F.col(col).cast("double"), steps, 1000)).first()[0]
-    return sorted(set(found or []))
+    return sorted(set(found or [0.0]))
+
+
+def chunk_of(value: Column, edges: list[float], parts: int) -> Column:
+    """Chunk number of a value, ascending with it.
+
+    The stretch between two edges is found by halving and cut into ``parts`` of
+    equal width, so the number of chunks grows with the data, not the expression.
+    """
+    if len(edges) < 2:
+        return F.lit(0).cast("bigint")
+    # NaN sorts behind all numbers
+    number = F.nanvl(value.cast("double"), F.lit(float("inf")))
+
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        return F.when(number < F.lit(edges[middle]), pick(low, middle - 1)).otherwise(
+            pick(middle, high))
+
+    stretch = pick(0, len(edges) - 2)
+    start, width = (F.array(*[F.lit(x) for x in xs]) for xs in (
+        edges[:-1], [b - a for a, b in zip(edges, edges[1:])]))
+    part = F.floor((number - F.get(start, stretch)) / F.get(width, stretch) * F.lit(float(parts)))
+    inside = F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1))
+    return (stretch * parts + inside).cast("bigint")
 
 
 def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str,
-                  chunks: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
+                  stretches: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Running sum of ``col`` along ascending ``order_col``, equal positions merged.
 
     Returns one row per group and position: keys, position, its own sum, the
@@ -110,15 +138,19 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alia
     present = df
     for k in [*keys, order_col]:
         present = present.where(F.col(k).isNotNull())
-    if not has_hot_group(present, keys, max_group_rows):
+    factor = hot_factor(present, keys, max_group_rows)
+    if not factor:
         # one shuffle by group serves both the merging and the window
         steps = (present.repartition(*keys).groupBy(*keys, order_col).agg(F.sum(col).alias(col)))
         upto = (Window.partitionBy(*keys).orderBy(order_col)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return steps.withColumn(alias, F.sum(col).over(upto))
-    bounds = value_bounds(present, order_col, chunks)
-    steps = (present.groupBy(*keys, order_col).agg(F.sum(col).alias(col))
-             .withColumn(_CHUNK, _chunk_of(F.col(order_col), bounds)))
+    chunk = chunk_of(F.col(order_col), value_edges(present, order_col, stretches),
+                     math.ceil(factor / stretches) * 2)
+    # the chunk follows from the position, so it changes no group; as a key it is
+    # worked out in the map stage rather than in the output of the aggregate
+    steps = (present.withColumn(_CHUNK, chunk).groupBy(*keys, _CHUNK, order_col)
+             .agg(F.sum(col).alias(col)))
     inside = (Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = steps.withColumn("_inside", F.sum(col).over(inside))
@@ -132,22 +164,8 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alia
                     .alias(alias)))
 
 
-def _chunk_of(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie at or below a value, found by halving."""
-    number = value.cast("double")
-
-    def pick(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(number < F.lit(bounds[middle]), pick(low, middle)).otherwise(
-            pick(middle + 1, high))
-
-    return pick(0, len(bounds))
-
-
 def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[float],
-              chunks: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
+              stretches: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation, per group.
 
     With a hot group, rows are counted per group and chunk of the value first,
@@ -169,7 +187,8 @@ def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[floa
             for p in probabilities])
 
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if not has_hot_group(rows, keys, max_group_rows):
+    factor = hot_factor(rows, keys, max_group_rows)
+    if not factor:
         steps = (rows.repartition(*keys) if keys else rows).groupBy(*keys, "_value").agg(
             F.count(F.lit(1)).alias("_n"))
         group = Window.partitionBy(*keys)
@@ -178,8 +197,9 @@ def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[floa
             .withColumn("_size", F.sum("_n").over(group))
             .withColumn("_below", F.col("_upto") - F.col("_n")).where(touched()))
     else:
-        chunked = rows.withColumn(_CHUNK, _chunk_of(F.col("_value"), value_bounds(
-            rows, "_value", chunks)))
+        chunked = rows.withColumn(_CHUNK, chunk_of(
+            F.col("_value"), value_edges(rows, "_value", stretches),
+            math.ceil(factor / stretches) * 2))
         spots = _chunk_places(chunked, keys).where(touched()).select(
             *keys, _CHUNK, "_size", F.col("_below").alias("_start"))
         # some rows per group; kept, as they are measured and then joined

@@ -6,8 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from halfhourly.operators.ordered import (carry_down, newest, next_value, quantiles,
-                                          running_total)
+from halfhourly.operators.ordered import (carry_down, chunk_of, newest, next_value, quantiles,
+                                          running_total, value_edges)
 from halfhourly.plans.analysis import demand_distribution, histogram, offer_curve
 from halfhourly.plans.hydro import shift_to_day_before, storage_by_day_of_year, year_of_series
 
@@ -50,7 +50,7 @@ def test_running_total(spark, values, chunks, hot):
     df = spark.createDataFrame([(k, v, int(n)) for k, v, n in values.dropna().values],
                                "k string, v double, n long")
     got = {(r["k"], r["v"]): (r["n"], r["upto"])
-           for r in running_total(df, ["k"], "v", "n", "upto", chunks=chunks,
+           for r in running_total(df, ["k"], "v", "n", "upto", chunks,
                                       max_group_rows=hot).collect()}
     merged = values.dropna().groupby(["k", "v"])["n"].sum().reset_index().sort_values(["k", "v"])
     merged["upto"] = merged.groupby("k")["n"].cumsum()
@@ -121,3 +121,18 @@ def test_hydro(spark, rows):
         "lake string, trading_date date, lake_levels double")
     assert rows(storage_by_day_of_year(df, probabilities=[0.5])) == [("Taupo", 5, 0.5, 2012.0)]
     assert rows(year_of_series(df, 2012)) == [("Taupo", dt.date(2012, 1, 5), 2012.0)]
+
+
+@pytest.mark.parametrize("stretches,parts", [(1, 1), (4, 1), (8, 50)])
+def test_chunks_ascend_with_the_value(spark, stretches, parts):
+    rng = random.Random(3)
+    numbers = [rng.gauss(0, 100) for _ in range(500)] + [1.0] * 300 + [
+        float("inf"), float("-inf"), float("nan"), 1e300, -1e300, 0.0, -0.0]
+    df = spark.createDataFrame([(v,) for v in numbers], "v double")
+    edges = value_edges(df.where("abs(v) < 1000"), "v", stretches)
+    chunks = [r["c"] for r in df.orderBy("v").select("v", chunk_of(df["v"], edges, parts).alias("c"))
+              .collect()]
+    assert chunks == sorted(chunks) and chunks[0] == 0
+    assert len(set(chunks)) <= stretches * parts
+    one = spark.createDataFrame([(5.0,)], "v double")
+    assert one.select(chunk_of(one["v"], value_edges(one, "v", 8), 3)).first()[0] == 0
