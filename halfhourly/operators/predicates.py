@@ -6,6 +6,8 @@ their own type, so they reach the scan as pushed filters.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -148,10 +150,13 @@ def _in_days(df: DataFrame, col: str, begin, end) -> Column:
 def _on_days(df: DataFrame, col: str, days: list) -> Column:
     if not _is_timestamp(df, col):
         return F.col(col) == F.lit(days[0]) if len(days) == 1 else F.col(col).isin(days)
-    wanted = _in_days(df, col, days[0], days[0])
-    for d in days[1:]:
-        wanted = wanted | _in_days(df, col, d, d)
-    return wanted
+    runs: list[list] = []
+    for d in days:
+        if runs and (d - runs[-1][1]).days == 1:
+            runs[-1][1] = d
+        else:
+            runs.append([d, d])
+    return functools.reduce(operator.or_, [_in_days(df, col, b, e) for b, e in runs])
 
 
 def period_filter(df: DataFrame, periods=None, begin_period=None, end_period=None,

@@ -13,6 +13,7 @@ from halfhourly.schemas import TABLES, Table
 REASON = "reject_reason"
 SOURCE = "source_file"
 CORRUPT = "_corrupt"
+CSV_GLOB = "*.{csv,csv.gz}"
 
 
 def table_of(table: Table | str) -> Table:
@@ -24,7 +25,7 @@ def table_of(table: Table | str) -> Table:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], table: Table | str,
-             glob: str = "*.csv*", by_name: bool = False) -> DataFrame:
+             glob: str = CSV_GLOB, by_name: bool = False) -> DataFrame:
     """All CSV files below a path as typed rows, in one scan.
 
     Files may or may not have a header line; each is told by its own lines.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from halfhourly.operators.ordered import newest
 from halfhourly.schemas import TABLES, Table
 from halfhourly.session import staged
-from halfhourly.sources.csvfiles import SOURCE, accepted, read_csv, table_of
+from halfhourly.sources.csvfiles import CSV_GLOB, SOURCE, accepted, read_csv, table_of
 
 YEAR = "trading_year"
 
@@ -149,7 +149,7 @@ def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | st
 
 
 def insert_from_csv(spark: SparkSession, path: str | list[str], store: str, table: Table | str,
-                    mode: str = "skip_rows", glob: str = "*.csv*") -> Load:
+                    mode: str = "skip_rows", glob: str = CSV_GLOB) -> Load:
     """Loads one CSV file, or every CSV file of a folder, into a stored table.
 
     The text is parsed once, into a Parquet table in the shared folder that the

@@ -7,11 +7,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from halfhourly.functions.dates import trading_timestamp, utc_instant, utc_stamp
 from halfhourly.schemas import Table
-from halfhourly.sources.csvfiles import csv_rows, file_lines, table_of
+from halfhourly.sources.csvfiles import CSV_GLOB, csv_rows, file_lines, table_of
 from halfhourly.sources.tables import new_rows, with_year, write_rows
 
 
-def stream_csv(spark: SparkSession, folder: str, table: Table | str, glob: str = "*.csv*",
+def stream_csv(spark: SparkSession, folder: str, table: Table | str, glob: str = CSV_GLOB,
                max_files: int = 10_000) -> DataFrame:
     """New CSV files of a folder as a stream of typed rows, as ``read_csv`` reads them.
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from halfhourly.operators import predicates as P
@@ -92,6 +93,15 @@ def test_a_range_is_the_union_of_its_slices(demand, rows):
                               range_break="Month")) == whole
 
 
+@settings(max_examples=15, deadline=None, derandomize=True)
+@given(begin=st.dates(dt.date(2011, 12, 1), dt.date(2015, 1, 31)), length=st.integers(0, 900))
+def test_any_range_holds_the_days_between(demand, begin, length):
+    end = begin + dt.timedelta(days=length)
+    first, last = max(begin, dt.date(2012, 1, 1)), min(end, dt.date(2014, 12, 31))
+    assert P.date_filter(demand, begin_date=begin, end_date=end.strftime("%d/%m/%Y")).count() == \
+        max((last - first).days + 1, 0)
+
+
 def test_dates_in_any_form(demand):
     wanted = ["14-05-2013", 20120331, dt.date(2014, 7, 8), dt.datetime(2014, 7, 8, 3)]
     assert P.date_filter(demand, wanted).count() == 3
@@ -121,6 +131,7 @@ def test_timestamps_are_filtered_as_stored(spark, tmp_path):
     assert P.date_filter(stamps, begin_date="2014-05-24", end_date="2014-05-25",
                          date_col="stamp").count() == 96
     assert P.date_filter(stamps, ["2014-05-24", "2014-05-26"], date_col="stamp").count() == 48
+    assert P.date_filter(stamps, ["2014-05-25", "2014-05-24"], date_col="stamp").count() == 96
 
 
 def test_periods_and_sets(demand):
