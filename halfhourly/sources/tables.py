@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from halfhourly.operators.ordered import newest
 from halfhourly.schemas import TABLES, Table
@@ -83,25 +83,42 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
     if mode not in ("skip_rows", "reject_file"):
         raise ValueError(f"load mode {mode!r}: use skip_rows or reject_file")
     dated = with_year(batch, t)
-    per_year = _rows_by_year(dated, t)
-    years = [y for y in per_year if y is not None]
-    before = _stored_rows(spark, path, t, years)
-    new = new_rows(spark, dated.dropna(subset=list(t.key)), path, t, mode, order, years)
+    spans = batch_spans(dated, t)
+    before = _stored_rows(spark, path, t, spans)
+    new = new_rows(spark, dated.dropna(subset=list(t.key)), path, t, mode, order, spans)
     write_rows(new.select(*_stored(t).names), path, t)
-    loaded = _stored_rows(spark, path, t, years) - before
-    return Load(loaded, sum(per_year.values()) - loaded)
+    loaded = _stored_rows(spark, path, t, spans) - before
+    return Load(loaded, sum(s["n"] for s in spans) - loaded)
 
 
-def _rows_by_year(batch: DataFrame, table: Table) -> dict:
-    """Year -> rows of a batch: a handful of values."""
-    year = F.col(YEAR) if table.by_year else F.lit(0)
-    return {r["y"]: r["n"] for r in
-            batch.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+def batch_spans(batch: DataFrame, table: Table) -> list[Row]:
+    """Rows, first and last date of a batch for each of its years: a handful of values."""
+    day = F.col(table.date_col)
+    year = F.year(day).alias("year")
+    return batch.groupBy(year).agg(F.count(F.lit(1)).alias("n"), F.min(day).alias("first"),
+                                   F.max(day).alias("last")).collect()
 
 
-def _stored_rows(spark: SparkSession, path: str, table: Table, years: list) -> int:
-    """Stored rows of some years, which Parquet answers from its footers."""
+def _near(stored: DataFrame, table: Table, spans: list[Row]) -> DataFrame:
+    """Stored rows between the dates of a batch, year by year.
+
+    Every unique key holds the date, so no other row can have a key of the batch;
+    the year predicate prunes folders, the dates skip row groups of sorted files.
+    """
+    kind = table.struct[table.date_col].dataType
+    found = F.lit(False)
+    for s in spans:
+        if s["year"] is not None:
+            between = F.col(table.date_col).between(F.lit(str(s["first"])).cast(kind),
+                                                    F.lit(str(s["last"])).cast(kind))
+            found = found | ((F.col(YEAR) == s["year"]) & between if table.by_year else between)
+    return stored.where(found)
+
+
+def _stored_rows(spark: SparkSession, path: str, table: Table, spans: list[Row]) -> int:
+    """Stored rows of the years of a batch, which Parquet answers from its footers."""
     stored = read_table(spark, path, table)
+    years = [s["year"] for s in spans if s["year"] is not None]
     return (stored.where(F.col(YEAR).isin(years)) if table.by_year else stored).count()
 
 
@@ -121,19 +138,15 @@ def with_year(batch: DataFrame, table: Table) -> DataFrame:
 
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | str,
              mode: str = "skip_rows", order: list[str] | None = None,
-             years: list[int] | None = None) -> DataFrame:
+             spans: list[Row] | None = None) -> DataFrame:
     """The rows of a batch that :func:`append_new_rows` would add.
 
-    Only the years of the batch are read from the stored table.
+    Only the dates of the batch are read from the stored table.
     """
     t = table_of(table)
     keys = list(t.key)
-    stored = read_table(spark, path, t)
-    if t.by_year:
-        if years is None:
-            years = [y for y in _rows_by_year(batch, t) if y is not None]
-        stored = stored.where(F.col(YEAR).isin(years))
-    held = stored.select(*keys)
+    held = _near(read_table(spark, path, t), t,
+                 batch_spans(batch, t) if spans is None else spans).select(*keys)
     if mode == "skip_rows":
         columns = [c for c in batch.columns if c in _stored(t).names]
         order = order or [c for c in ("last_amended_date", "created_date") if c in columns]

@@ -72,12 +72,11 @@ def price(spark: SparkSession, sf: str, **dates) -> DataFrame:
 
 
 def meta(spark: SparkSession, sf: str) -> DataFrame:
-    # nation and region are fixed tables of 25 and 5 rows
     places = (read(spark, sf, "nation")
-              .join(F.broadcast(read(spark, sf, "region")), F.expr("n_regionkey = r_regionkey"))
+              .join(read(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
               .select("n_nationkey", "n_name", "r_name"))
     suppliers = read(spark, sf, "supplier").where("s_suppkey % 10 <> 0")
-    return (suppliers.join(F.broadcast(places), F.expr("s_nationkey = n_nationkey"))
+    return (suppliers.join(places, F.expr("s_nationkey = n_nationkey"))
             .select(_node("S", "s_suppkey").alias("meta_node"), F.col("n_name").alias("load_area"),
                     F.col("r_name").alias("island_name")))
 

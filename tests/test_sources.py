@@ -11,7 +11,8 @@ from halfhourly.sources.lakes import lake_table, read_lakes, series_files
 from halfhourly.sources.markup import page_links, page_table_rows, read_pages, read_xml
 from halfhourly.sources.seeds import known_seeds, read_seeds
 from halfhourly.sources.tables import (append_new_rows, bytes_per_year, conform, create_tables,
-                                       insert_from_csv, read_table, run_sql)
+                                       insert_from_csv, new_rows, read_table, run_sql,
+                                       with_year)
 from halfhourly.operators.aggregates import rows_per_year
 
 PRICE_HEAD = "Trading_Date,Trading_Period,Node,Price"
@@ -201,6 +202,22 @@ def test_append_skips_known_rows(spark, tmp_path):
     assert all(r["bytes"] > 0 for r in bytes_per_year(table).collect())
 
 
+def test_only_the_dates_of_a_batch_are_read(spark, tmp_path):
+    store = str(tmp_path / "nodal_prices")
+    append_new_rows(spark, prices(spark, (13, 1, "A", 1, "f"), (14, 1, "A", 1, "f"),
+                                  (15, 1, "A", 1, "f")), store, "nodal_prices")
+    batch = with_year(prices(spark, (14, 1, "A", 2, "g"), (14, 2, "A", 2, "g")), TABLES["nodal_prices"])
+    new = new_rows(spark, batch, store, "nodal_prices")
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "trading_year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(trading_date,2014-01-01)" in plan
+    assert values(new, "trading_period") == [(2,)]
+    # the same for a table whose date column is a timestamp
+    wind = conform(spark.sql("SELECT timestamp_ntz'2014-05-24 16:30:00' AS stamp"), "scada_wind_data")
+    for loaded in (1, 0):
+        assert append_new_rows(spark, wind, str(tmp_path / "wind"), "scada_wind_data").loaded == loaded
+
+
 def test_append_rejects_whole_files(spark, tmp_path):
     store = str(tmp_path / "nodal_prices")
     append_new_rows(spark, prices(spark, (14, 1, "A", 1, "f")), store, "nodal_prices")
