@@ -98,10 +98,13 @@ def check_optional_range(specific=None, begin=None, end=None) -> None:
         raise ValueError("pass either specific values or a range, not both")
 
 
+def settled(values):
+    """One value as it is, several as a list, so that an iterator can be read twice."""
+    return values if values is None or is_scalar(values) else list(values)
+
+
 def _given(values) -> bool:
-    if values is None:
-        return False
-    return is_scalar(values) or len(list(values)) > 0
+    return values is not None and (is_scalar(values) or len(list(values)) > 0)
 
 
 # --- Date filter ---------------------------------------------------------------
@@ -121,6 +124,7 @@ def date_filter(df: DataFrame, dates=None, begin_date=None, end_date=None,
     """
     if range_break not in ("Year", "Month"):
         raise ValueError(f"range break {range_break!r}: use Year or Month")
+    dates = settled(dates)
     check_required_range(dates, begin_date, end_date)
     if _given(dates):
         days = sorted({day(d) for d in ([dates] if is_scalar(dates) else dates)})
@@ -162,6 +166,7 @@ def _on_days(df: DataFrame, col: str, days: list) -> Column:
 def period_filter(df: DataFrame, periods=None, begin_period=None, end_period=None,
                   col: str = "trading_period") -> DataFrame:
     """Rows of given trading periods or of an inclusive range of them."""
+    periods = settled(periods)
     check_optional_range(periods, begin_period, end_period)
     if _given(periods):
         return df.where(selected(col, periods))
@@ -181,6 +186,7 @@ def value_filter(df: DataFrame, col: str, minimum=None, maximum=None) -> DataFra
 def choose(df: DataFrame, **values) -> DataFrame:
     """Rows whose columns have the given value or one of the given values."""
     for col, wanted in values.items():
+        wanted = settled(wanted)
         if _given(wanted):
             df = df.where(selected(col, wanted))
     return df
@@ -189,6 +195,7 @@ def choose(df: DataFrame, **values) -> DataFrame:
 def leave_out(df: DataFrame, **values) -> DataFrame:
     """Rows whose columns have none of the given values."""
     for col, unwanted in values.items():
+        unwanted = settled(unwanted)
         if _given(unwanted):
             df = df.where(excluded(col, unwanted))
     return df

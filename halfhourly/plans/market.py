@@ -16,7 +16,7 @@ from halfhourly.operators.aggregates import group_by_meta
 from halfhourly.operators.joins import merge_meta
 from halfhourly.operators.predicates import (check_optional_range, check_required_range, choose,
                                              date_filter, leave_out, named_nodes, period_filter,
-                                             value_filter)
+                                             settled, value_filter)
 from halfhourly.operators.reshape import offer_bands
 from halfhourly.schemas import OFFER_TYPES
 from halfhourly.sources.tables import (Load, bytes_per_year, create_tables, insert_from_csv,
@@ -28,6 +28,7 @@ LEAST_DEMAND = 0.0001
 
 def _market_rows(table, dates, begin_date, end_date, periods, begin_period, end_period,
                  range_break) -> DataFrame:
+    dates, periods = settled(dates), settled(periods)
     check_required_range(dates, begin_date, end_date)
     check_optional_range(periods, begin_period, end_period)
     dated = date_filter(table, dates, begin_date, end_date, range_break=range_break)

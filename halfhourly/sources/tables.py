@@ -17,7 +17,10 @@ YEAR = "trading_year"
 
 def create_tables(spark: SparkSession, names: list[str] | None = None, database: str = "default",
                   location: str | None = None) -> None:
-    """Parquet tables in the catalog, partitioned by year where they are split."""
+    """Parquet tables in the catalog, partitioned by year where they are split.
+
+    Years written to a table's location show after ``MSCK REPAIR TABLE``.
+    """
     for name in names or list(TABLES):
         t = table_of(name)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _stored(t))
@@ -82,6 +85,8 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
     t = table_of(table)
     if mode not in ("skip_rows", "reject_file"):
         raise ValueError(f"load mode {mode!r}: use skip_rows or reject_file")
+    if mode == "reject_file" and SOURCE not in batch.columns:
+        raise ValueError(f"to reject files the batch needs {SOURCE!r}")
     dated = with_year(batch, t)
     spans = batch_spans(dated, t)
     before = _stored_rows(spark, path, t, spans)

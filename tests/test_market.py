@@ -51,6 +51,9 @@ def test_demand_bounds(demand):
     assert query_nodal_demand(demand, dates=DAY, maximum_demand=0).count() == 2
     assert query_nodal_demand(demand, dates=DAY, excl_nodes="Wind").count() == 5
     assert query_nodal_demand(demand, dates=DAY, periods=2).count() == 2
+    # iterators and ranges count as lists
+    assert query_nodal_demand(demand, dates=iter([DAY]), periods=range(1, 3),
+                              nodes=(n for n in ("OTA2201", "BEN2201"))).count() == 3
 
 
 def test_meta_join_keeps_unknown_nodes_and_drops_empty_rows(demand, meta, rows):

@@ -229,6 +229,8 @@ def test_append_rejects_whole_files(spark, tmp_path):
     assert values(read_table(spark, store, "nodal_prices"), "trading_period") == [(1,), (5,)]
     with pytest.raises(ValueError):
         append_new_rows(spark, batch, store, "nodal_prices", mode="replace")
+    with pytest.raises(ValueError):
+        append_new_rows(spark, batch.drop("source_file"), store, "nodal_prices", mode="reject_file")
 
 
 def test_loading_a_folder_twice_is_loading_it_once(spark, tmp_path):
