@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A broadcast side is held whole by every executor, so it is measured first.
 BROADCAST_ROWS = 200_000
@@ -17,9 +17,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
     side.  A larger one is left to a shuffle join, whose skewed partitions
     adaptive execution splits.
     """
-    rows, size = df.agg(F.count(F.lit(1)),
-                        F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
-    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
+    measures = [F.sum(_bytes(f)) for f in df.schema.fields]
+    rows, *sizes = df.agg(F.count(F.lit(1)), *measures).first()
+    return F.broadcast(df) if rows <= max_rows and sum(s or 0 for s in sizes) <= max_bytes else df
+
+
+def _bytes(field: T.StructField) -> Column:
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.octet_length(col)
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(col)))
+    return F.lit(8)
 
 
 def merge_meta(df: DataFrame, metadata: DataFrame, col: str = "demand", how: str = "left",

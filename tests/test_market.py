@@ -80,6 +80,10 @@ def test_broadcast_only_below_the_limit(demand, meta):
     hinted = broadcast_if_small(meta, 4)._jdf.queryExecution().analyzed().toString()
     plain = broadcast_if_small(meta, 3)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted and "broadcast" not in plain
+    wide = broadcast_if_small(meta, max_bytes=20)._jdf.queryExecution().analyzed().toString()
+    nested = meta.select("Node", F.array("island").alias("a"), F.lit(None).cast("int").alias("n"))
+    assert "broadcast" not in wide
+    assert "broadcast" in broadcast_if_small(nested)._jdf.queryExecution().analyzed().toString()
     same = merge_meta(demand, meta, "demand", max_broadcast_rows=1)
     assert same.count() == 5
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from halfhourly.sources.markup import page_links, page_table_rows, read_pages, r
 from halfhourly.sources.seeds import known_seeds, read_seeds
 from halfhourly.sources.tables import (append_new_rows, bytes_per_year, conform, create_tables,
                                        insert_from_csv, new_rows, read_table, run_sql,
-                                       with_year)
+                                       with_year, write_rows)
 from halfhourly.operators.aggregates import rows_per_year
 
 PRICE_HEAD = "Trading_Date,Trading_Period,Node,Price"
@@ -218,6 +219,24 @@ def test_only_the_dates_of_a_batch_are_read(spark, tmp_path):
         assert append_new_rows(spark, wind, str(tmp_path / "wind"), "scada_wind_data").loaded == loaded
 
 
+def test_stored_files_are_sorted_by_date(spark, tmp_path):
+    days = spark.range(3000).select(
+        F.date_add(F.lit(dt.date(2013, 6, 1)), F.pmod(F.hash("id"), F.lit(700))).alias("trading_date"),
+        (F.col("id") % 48).cast("int").alias("trading_period"),
+        F.concat(F.lit("N"), F.col("id").cast("string")).alias("node"),
+        F.lit(1.0).alias("price"))
+    write_rows(with_year(days, TABLES["nodal_prices"]), str(tmp_path / "p"), "nodal_prices")
+    files = list((tmp_path / "p").glob("trading_year=*/*.parquet"))
+    spans = []
+    for f in files:
+        dates = pq.read_table(f, columns=["trading_date"]).column(0).to_pylist()
+        assert dates == sorted(dates)
+        spans.append((dates[0], dates[-1]))
+    # and their date bounds overlap in single days at most
+    spans.sort()
+    assert len(files) >= 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_append_rejects_whole_files(spark, tmp_path):
     store = str(tmp_path / "nodal_prices")
     append_new_rows(spark, prices(spark, (14, 1, "A", 1, "f")), store, "nodal_prices")
