@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import simhash
+from halfhourly.llm import quality, simhash
 from halfhourly.llm.common import table
 
 QUERIES: dict = {}
@@ -23,6 +23,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_quality_rules", quality.ORACLE)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the line-first verdict for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judged_texts(docs, with_text=False)
+    return judged.select("doc_id", *[F.col("judged")[c].alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "lost_chars", "kept")])
+
+
 @query("op9_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's fingerprint and the smallest doc_id it reaches by links of two bits."""
