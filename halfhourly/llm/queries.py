@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import quality, simhash
+from halfhourly.llm import decontamination, quality, simhash
 from halfhourly.llm.common import table
 
 QUERIES: dict = {}
@@ -33,6 +33,13 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lost_chars", "kept")])
 
 
+@query("op8_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that its tiles cover."""
+    return decontamination.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 @query("op9_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's fingerprint and the smallest doc_id it reaches by links of two bits."""
