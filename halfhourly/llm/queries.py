@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, quality, simhash
+from halfhourly.llm import decontamination, packing, quality, simhash
 from halfhourly.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -23,6 +25,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the registered queries; the operator takes any path."""
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op2_packing")
+def sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path(), ["doc_id"])
+
+
 @query("op3_quality_rules", quality.ORACLE)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the line-first verdict for every document."""
