@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, packing, quality, simhash
+from halfhourly.llm import decontamination, packing, quality, secrets, simhash
 from halfhourly.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +31,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query("op1_secret_scans")
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and findings of the randomness battery in every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.found_secrets(docs, ["doc_id"], secrets.fit(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"),
+                        "spans", "n_random")
+
+
 @query("op2_packing")
 def sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 2048 tokens."""
