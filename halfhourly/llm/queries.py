@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, packing, quality, secrets, simhash
+from halfhourly.llm import decontamination, packing, quality, secrets, simhash, urls
 from halfhourly.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,6 +56,15 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lost_chars", "kept")])
 
 
+@query("op4_url_filters", urls.ORACLE)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict"))
+        for h, p, v in urls.RULES])))
+    return urls.judged_urls(table(spark, sf_dir, "pages"), rules, ["page_id"])
+
+
 @query("op8_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item that its tiles cover."""
