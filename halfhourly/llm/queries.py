@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, packing, quality, secrets, simhash, urls
+from halfhourly.llm import decontamination, packing, quality, secrets, sharding, simhash, urls
 from halfhourly.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,6 +65,13 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_urls(table(spark, sf_dir, "pages"), rules, ["page_id"])
 
 
+@query("op7_sharding")
+def balanced_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of equal numbers of rows; equal texts are drawn together."""
+    return (sharding.sharded_by_text(table(spark, sf_dir, "documents"), ["doc_id"], n_shards=16)
+            .withColumn("grown_shard", F.lit(None).cast("int")))
+
+
 @query("op8_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item that its tiles cover."""
