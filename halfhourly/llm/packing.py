@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from halfhourly.llm.common import arrow_texts, texts_of
 
-WINDOW, END_ID, MAX_OPEN, CACHED_WORDS = 2048, 1, 4096, 400_000
-_ID_BYTES = 4
+WINDOW, END_ID, MAX_OPEN, CACHED_WORDS = 2048, 1, 4096, 800_000
+_ID_BYTES, _CHARS_AT_ONCE = 4, 500_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Texts of these characters alone are split by ``_PIECES``, which agrees there with the
@@ -59,19 +59,36 @@ class Encoder:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def encode(self, text: str) -> bytes:
-        if _OTHER.search(text):
-            return self._bytes([text])[0]
-        pieces = _PIECES.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(set(pieces).difference(self.known))
-        self.known.update(zip(new, self._bytes(new)))
-        return b"".join(map(self.known.__getitem__, pieces))
+    def _learn(self, pieces: list[str]) -> None:
+        """Encodes pieces as lines of one text: a line end is a piece of its own before a word or mark."""
+        lines = [p for p in pieces if not p.isspace()]
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(["", *lines, ""])], add_special_tokens=False)[0].ids,
+                       dtype="<u4")
+        ends = np.flatnonzero(ids == ids[0]).tolist()
+        if len(ends) != len(lines) + 1:
+            lines, ends = [], []
+        data = ids.tobytes()
+        self.known.update((p, data[(a + 1) * _ID_BYTES:b * _ID_BYTES]) for p, a, b in zip(lines, ends, ends[1:]))
+        others = [p for p in pieces if p not in self.known]
+        self.known.update(zip(others, self._bytes(others)))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text; new pieces of texts of about ``_CHARS_AT_ONCE`` are learnt together."""
+        at = 0
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and size < _CHARS_AT_ONCE:
+                text = texts[at]
+                split.append(text if _OTHER.search(text) else _PIECES.findall(text))
+                size += len(text)
+                at += 1
+            if len(self.known) > CACHED_WORDS:
+                self.known.clear()
+            new = set().union(*(s for s in split if isinstance(s, list))).difference(self.known)
+            if new:
+                self._learn(list(new))
+            for s in split:
+                yield b"".join(map(self.known.__getitem__, s)) if isinstance(s, list) else self._bytes([s])[0]
 
 
 @lru_cache(maxsize=2)
@@ -212,8 +229,8 @@ def packed(docs: DataFrame, tokenizer_path: str, keep: list[str], text_col: str
         for batch in batches:
             kinds = [c.type for c in batch.columns[:n]]
             kept = list(zip(*[c.to_pylist() for c in batch.columns[:n]])) if n else [()] * batch.num_rows
-            for doc, text in zip(kept, texts_of(batch, n)):
-                packer.add(doc, encode(text.decode()) + end)
+            for doc, ids in zip(kept, encode([t.decode() for t in texts_of(batch, n)])):
+                packer.add(doc, ids + end)
             if done := packer.take():
                 yield rows(done, number, kinds)
                 number += len(done)

@@ -24,9 +24,9 @@ def test_encoder_equals_the_tokenizer():
     parts = ["the", "don't", " we'LL", "\n\n", "  x", "\t", "été", "123", "١٢", "²", "a\x1cb", " ", "—", "…!",
              "<|endoftext|>", "日本", "𝒳", " ", " ", "$#%", "Ⅷ", "ß", "'s", "é", "a\x85b", "﻿", "\x0b \x0c"]
     encode = packing.encoder(FILE).encode
-    for _ in range(400):
-        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
-        assert encode(text) + b"\1\0\0\0" == ids_of(text).tobytes(), repr(text)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(400)]
+    for text, ids in zip(texts, encode(texts), strict=True):
+        assert ids + b"\1\0\0\0" == ids_of(text).tobytes(), repr(text)
 
 
 def squares(levels, window):
