@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, packing, quality, secrets, sharding, simhash, urls
+from halfhourly.llm import decontamination, packing, quality, secrets, sharding, simhash, toxicity, urls
 from halfhourly.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,3 +86,10 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(docs, shingle=3, max_bits=2).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id", "n_links")
+
+
+@query("op10_toxicity")
+def toxic_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely each document is toxic, by a model of the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
