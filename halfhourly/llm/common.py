@@ -35,12 +35,13 @@ def texts_of(batch: pa.RecordBatch, col: int) -> list[bytes]:
     return [v or b"" for v in column.cast(kind).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, col: int, max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, col: int, max_bytes: int = 2_000_000,
+           max_rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
     """The batch cut into runs of rows whose texts hold about ``max_bytes``; a longer text is alone."""
     sizes = np.array([len(v) for v in texts_of(batch, col)], dtype=np.int64)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if i > start and held + size > max_bytes:
+        if i > start and (held + size > max_bytes or i - start == max_rows):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
