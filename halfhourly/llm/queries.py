@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, language, packing, quality, secrets, sharding, simhash, toxicity, urls
+from halfhourly.llm import decontamination, language, licenses, packing, quality, secrets, sharding, simhash, toxicity, urls
 from halfhourly.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,6 +65,12 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_urls(table(spark, sf_dir, "pages"), rules, ["page_id"])
 
 
+@query("op5_license_scans")
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence statement in the documents, with its place and differences in wording."""
+    return licenses.found_licenses(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query("op6_language_id")
 def language_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, by a model of those that are not held out."""
