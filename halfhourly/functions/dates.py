@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from halfhourly.functions.text import _c, base_name, squeeze_blanks
+from halfhourly.functions.text import _c, base_name, decode_link, squeeze_blanks
 from halfhourly.schemas import NORMAL_PERIODS, PERIOD_MINUTES
 
 # Accepted shapes of a date text and how each is read, once its
@@ -132,25 +132,18 @@ def file_year(name: Column | str) -> Column:
             .when((length == 8) & F.try_to_date(run, "yyyyMMdd").isNotNull(), year))
 
 
-def date_text_of_file(name: Column | str, pattern: str, ext: str,
-                      rename: str | None = None) -> Column:
-    """What is left of a file name or link without its pattern, extension and ``_``.
+def file_date_digits(name: Column | str, pattern: str, ext: str,
+                     rename: str | None = None) -> Column:
+    """The 4, 6 or 8 digits next to the source's name, present or former, in a file name or link.
 
-    Null for an interim price file (``_I`` in a ``.gdx`` name).
+    Null for a name of another form.  A price case (``.gdx``) may say after its date that it
+    is final and which revision it is; an interim one has no such form.
     """
-    original = base_name(F.replace(_c(name), F.lit("%2F"), F.lit("/")))
-    # Markers in .gdx names (final, interim, revision a and b)
-    gdx_marks = ("x_F", "_F", "a", "b")
-    left = original
-    if ext == ".gdx":
-        left = _without(left, gdx_marks)
-        left = F.replace(left, F.lit("x.gdx"), F.lit(".gdx"))
-    if rename:
-        left = F.replace(left, F.lit(rename), F.lit(pattern))
-    left = _without(left, (pattern, ext, ext.lower(), ext.upper(), "_", ".csv"))
-    if ext == ".gdx":
-        return F.when(~original.contains("_I"), left)
-    return left
+    source = "|".join(re.escape(n) for n in (pattern, rename) if n)
+    status = "x?(?:_?F)?[ab]?" if ext == ".gdx" else ""
+    form = (rf"^_*(?:{source})?_*([0-9]{{8}}|[0-9]{{6}}|[0-9]{{4}})_*(?:{source})?{status}_*"
+            rf"(?:\.csv)?(?i:{re.escape(ext)})?$")
+    return _digits(base_name(decode_link(name)), form)
 
 
 def days_of_file(name: Column | str, pattern: str, ext: str, rename: str | None = None,
@@ -160,17 +153,16 @@ def days_of_file(name: Column | str, pattern: str, ext: str, rename: str | None
     ``Daily`` takes day files (one day) and month files (each day of the month),
     ``Monthly`` and ``Yearly`` give the first day.
     """
-    left = date_text_of_file(name, pattern, ext, rename)
+    digits = file_date_digits(name, pattern, ext, rename)
     if date_type == "Daily":
-        month = F.try_to_date(left, "yyyyMM")
-        single = F.try_to_date(left, "yyyyMMdd")
-        days = (F.when(left.rlike(r"^\d{6}$") & month.isNotNull(),
-                       F.sequence(month, F.last_day(month)))
-                .when(left.rlike(r"^\d{8}$") & single.isNotNull(), F.array(single)))
+        month = F.when(F.length(digits) == 6, F.try_to_date(digits, "yyyyMM"))
+        single = F.when(F.length(digits) == 8, F.try_to_date(digits, "yyyyMMdd"))
+        days = (F.when(month.isNotNull(), F.sequence(month, F.last_day(month)))
+                .when(single.isNotNull(), F.array(single)))
     elif date_type in ("Monthly", "Yearly"):
-        shape, fmt = (r"^\d{6}$", "yyyyMM") if date_type == "Monthly" else (r"^\d{4}$", "yyyy")
-        first = F.try_to_date(left, fmt)
-        days = F.when(left.rlike(shape) & first.isNotNull(), F.array(first))
+        fmt = "yyyyMM" if date_type == "Monthly" else "yyyy"
+        first = F.when(F.length(digits) == len(fmt), F.try_to_date(digits, fmt))
+        days = F.when(first.isNotNull(), F.array(first))
     else:
         raise ValueError(f"date type {date_type!r}: use Daily, Monthly or Yearly")
     return F.coalesce(days, F.array().cast("array<date>"))
@@ -219,13 +211,6 @@ def is_weekday(col: Column | str) -> Column:
     return F.weekday(_c(col)) < 5
 
 
-def _without(col: Column, parts) -> Column:
-    for part in parts:
-        if part:
-            col = F.replace(col, F.lit(part), F.lit(""))
-    return col
-
-
 def _digits(text: Column, regex: str) -> Column:
     return F.nullif(F.regexp_extract(text, regex, 1), F.lit(""))
 

@@ -7,15 +7,15 @@ from collections.abc import Callable, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from halfhourly.operators.ordered import quantiles
+from halfhourly.operators.ordered import exact_sum, quantiles
 
-# aggregate name -> column aggregate; "median" is worked out apart, see below
+# aggregate name -> column aggregate; sums, means and "median" are worked out apart, see below
 AGGREGATES: dict[str, Callable[[Column], Column]] = {
-    "sum": F.sum, "mean": F.avg, "avg": F.avg, "min": F.min, "max": F.max,
+    "min": F.min, "max": F.max,
     "count": F.count, "std": F.stddev_samp, "var": F.var_samp,
     "prod": F.product, "nunique": F.count_distinct, "size": lambda c: F.count(F.lit(1)),
 }
-MEDIAN = "median"
+SUMS, MEANS, MEDIAN = ("sum",), ("mean", "avg"), "median"
 
 
 def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
@@ -35,15 +35,23 @@ def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
     if not isinstance(meta_agg, Mapping) and _is_columns(meta_agg):
         return kept.groupBy(*keys).agg(*([meta_agg] if isinstance(meta_agg, Column) else meta_agg))
     plan = _plan(df, keys, meta_agg)
-    plain = [make(F.col(c)).alias(alias) for c, make, alias in plan if make is not MEDIAN]
+    plain = [_made(df, c, make).alias(alias) for c, make, alias in plan if make != MEDIAN]
     result = kept.groupBy(*keys).agg(*plain) if plain else None
     for c, make, alias in plan:
-        if make is MEDIAN:
+        if make == MEDIAN:
             middle = quantiles(kept, keys, c, [0.5]).select(*keys, F.col("value").alias(alias))
             result = middle if result is None else result.join(middle, keys, "left")
     return result.select(*keys, *[alias for _, _, alias in plan])
 
 
+def _made(df: DataFrame, col: str, make) -> Column:
+    """An aggregate of a column; sums and means of floating numbers are exact."""
+    if make in SUMS or make in MEANS:
+        total = exact_sum(col, df.schema[col].dataType)
+        return total if make in SUMS else total.cast("double") / F.count(col)
+    return make(F.col(col))
+
+
 def _all_present(keys: list[str]) -> Column:
     present = F.lit(True)
     for k in keys:
@@ -78,10 +86,10 @@ def _label(name) -> str:
 
 
 def _lookup(name):
-    if callable(name) or name == MEDIAN:
+    if callable(name) or name in (*SUMS, *MEANS, MEDIAN):
         return name
     if name not in AGGREGATES:
-        raise ValueError(f"aggregate {name!r}: use one of {sorted(AGGREGATES)}, {MEDIAN} "
+        raise ValueError(f"aggregate {name!r}: use one of {sorted([*AGGREGATES, *SUMS, *MEANS, MEDIAN])} "
                          "or a function from column to aggregate column")
     return AGGREGATES[name]
 

@@ -1,215 +1,146 @@
 """Ordered operators: shifts, carried values, running sums, quantiles, newest rows.
 
-A window puts a whole group into one task.  The largest group is therefore counted
-first.  While every group is of ordinary size a plain window does; otherwise
-groups are cut into chunks along their order: a chunk is worked on by itself, and
-only one small row per chunk (its first value, its last value or its total) goes
-through the window over the group.  Both ways give the same rows.
+There is one plan, whatever the sizes of the groups. Rows, reduced first where that is
+possible, are cut into ranges along (group, order) and written once to the shared
+folder; a group of any size spans as many ranges as it needs. A window works inside
+each group and range, and one row per group and range, its first value, its last
+value or its total, is carried across. Null keys are a group like any other where rows
+are kept as they are. Sums are exact, so no result depends on how rows are cut.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 import operator
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from halfhourly.operators.joins import broadcast_if_small
-from halfhourly.session import checkpointed
+from halfhourly.session import staged
 
-_CHUNK = "_chunk"
+_PART = "_part"
+_EXACT = "decimal(28,10)"
 
-# Rows of one group that a single task may sort.
-GROUP_ROWS = 2_000_000
 
+def exact_sum(col: Column | str, kind: T.DataType) -> Column:
+    """Sum of a column of the given type; floating numbers are added up as decimals.
 
-def hot_factor(df: DataFrame, keys: list[str], max_rows: int | None = GROUP_ROWS) -> int:
-    """How many times over the largest group exceeds ``max_rows``; 0 when none does.
-
-    One counting pass.  ``None`` says that groups are bounded by their nature, such
-    as the rows of one stored page, and saves the pass.
+    They are taken with ten decimal places and may have eighteen before the point.
     """
-    if max_rows is None:
-        return 0
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    return 0 if largest <= max_rows else math.ceil(largest / max(max_rows, 1))
+    c = F.col(col) if isinstance(col, str) else col
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.sum(c.cast(_EXACT)).cast("double")
+    return F.sum(c)
 
 
-def next_value(df: DataFrame, keys: list[str], date_col: str, col: str,
-               max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
-    """Each row takes the value of the next row in date order; the last row of a
-    group drops out, a null value inside it stays.
+def _cut(df: DataFrame, keys: list[str], order: list[str], label: str) -> DataFrame:
+    """``df`` written in ranges of (keys, order), with the number of each row's range."""
+    ranged = df.repartitionByRange(*keys, *order).withColumn(_PART, F.spark_partition_id())
+    return staged(ranged, label)
 
-    One row per group and date is expected; chunks are the years of the dates, so
-    a daily series has at most 366 rows in each.
-    """
-    if not hot_factor(df, keys, max_group_rows):
-        ahead = F.lead(F.struct(col)).over(Window.partitionBy(*keys).orderBy(date_col))
-        return _replaced(df.withColumn("_next", ahead), col, df.columns)
-    chunk = F.year(F.col(date_col))
-    rows = df.withColumn(_CHUNK, chunk)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(date_col)
-    rows = rows.select("*", F.lead(F.struct(col)).over(inside).alias("_inside"))
-    firsts = (df.groupBy(*keys, chunk.alias(_CHUNK))
-              .agg(F.min_by(F.struct(col), F.col(date_col)).alias("_first")))
-    following = firsts.select(
-        *keys, _CHUNK, F.lead("_first").over(Window.partitionBy(*keys).orderBy(_CHUNK))
-        .alias("_after"))
-    joined = rows.join(following, [*keys, _CHUNK], "left")
-    taken = F.coalesce(F.col("_inside"), F.col("_after"))
-    return _replaced(joined.withColumn("_next", taken), col, df.columns)
-
-
-def _replaced(rows: DataFrame, col: str, columns: list[str]) -> DataFrame:
-    """``col`` taken from the struct ``_next``; rows without one drop out."""
-    return (rows.where(F.col("_next").isNotNull())
-            .withColumn(col, F.col(f"_next.{col}")).select(*columns))
-
-
-def carry_down(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str,
-               chunk_rows: int = 100_000, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
-    """The last non-null ``col`` at or before each row, along a row number.
-
-    ``order_col`` is a number, unique within the group; chunks are stretches of it.
-    """
-    if not hot_factor(df, keys, max_group_rows):
-        return df.withColumn(alias, F.last_value(F.col(col), True).over(
-            Window.partitionBy(*keys).orderBy(order_col)))
-    chunk = F.floor(F.col(order_col) / chunk_rows)
-    rows = df.withColumn(_CHUNK, chunk)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
-    rows = rows.withColumn("_inside", F.last_value(F.col(col), True).over(inside))
-    lasts = (df.groupBy(*keys, chunk.alias(_CHUNK))
-             .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col(order_col)))
-                  .alias("_last")))
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(*keys, _CHUNK, F.last_value(F.col("_last"), True).over(before)
-                           .alias("_before"))
-    return (rows.join(carried, [*keys, _CHUNK], "left")
-            .withColumn(alias, F.coalesce("_inside", "_before"))
-            .drop(_CHUNK, "_inside", "_before"))
-
-
-def value_edges(df: DataFrame, col: str, stretches: int) -> list[float]:
-    """Approximate quantiles of a column from its minimum to its maximum, in order.
-
-    They only balance the chunks, so results do not depend on their accuracy.
-    """
-    steps = [i / stretches for i in range(stretches + 1)]
-    found = df.agg(F.percentile_approx(F.col(col).cast("double"), steps, 1000)).first()[0]
-    return sorted(set(found or [0.0]))
+
+def _inside(keys: list[str], order_col: str):
+    return Window.partitionBy(_PART, *keys).orderBy(order_col)
+
+
+def _across(keys: list[str]):
+    """Over the rows that carry something from range to range of one group."""
+    return Window.partitionBy(*keys).orderBy(_PART)
+
+
+def _carried(rows: DataFrame, carried: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``rows`` with the ``value`` carried to their group and range, null keys included."""
+    names = [_PART, *keys]
+    side = carried.select(*[F.col(c).alias(f"_to_{c}") for c in names], value)
+    same = functools.reduce(operator.and_, [rows[c].eqNullSafe(side[f"_to_{c}"]) for c in names])
+    return rows.join(side, same, "left").drop(*[f"_to_{c}" for c in names])
 
 
-def chunk_of(value: Column, edges: list[float], parts: int) -> Column:
-    """Chunk number of a value, ascending with it.
+def next_value(df: DataFrame, keys: list[str], date_col: str, col: str) -> DataFrame:
+    """Each row takes the value of the next row in date order; the last row of a
+    group drops out, a null value inside it stays.
 
-    The stretch between two edges is found by halving and cut into ``parts`` of
-    equal width, so the number of chunks grows with the data, not the expression.
+    One row per group and date is expected.
     """
-    if len(edges) < 2:
-        return F.lit(0).cast("bigint")
-    # NaN sorts behind all numbers
-    number = F.nanvl(value.cast("double"), F.lit(float("inf")))
-
-    def pick(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high + 1) // 2
-        return F.when(number < F.lit(edges[middle]), pick(low, middle - 1)).otherwise(
-            pick(middle, high))
-
-    stretch = pick(0, len(edges) - 2)
-    start, width = (F.array(*[F.lit(x) for x in xs]) for xs in (
-        edges[:-1], [b - a for a, b in zip(edges, edges[1:])]))
-    part = F.floor((number - F.get(start, stretch)) / F.get(width, stretch) * F.lit(float(parts)))
-    inside = F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1))
-    return (stretch * parts + inside).cast("bigint")
-
-
-def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str,
-                  stretches: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
+    rows = _cut(df, keys, [date_col], "shift")
+    inside = _inside(keys, date_col)
+    rows = rows.withColumn("_first", F.row_number().over(inside) == 1).withColumn(
+        "_next", F.lead(F.struct(col)).over(inside))
+    after = (rows.where("_first").select(_PART, *keys, F.struct(col).alias("_head"))
+             .withColumn("_after", F.lead("_head").over(_across(keys))))
+    joined = _carried(rows, after, keys, "_after")
+    taken = joined.withColumn("_next", F.coalesce("_next", "_after")).where(F.col("_next").isNotNull())
+    return taken.withColumn(col, F.col(f"_next.{col}")).select(*df.columns)
+
+
+def carry_down(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str) -> DataFrame:
+    """The last non-null ``col`` at or before each row along ``order_col``, unique within the group."""
+    rows = _cut(df, keys, [order_col], "carry").withColumn(
+        "_here", F.last_value(F.col(col), True).over(_inside(keys, order_col)))
+    before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    lasts = rows.groupBy(_PART, *keys).agg(
+        F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col(order_col))).alias("_last"))
+    carried = lasts.withColumn("_before", F.last_value(F.col("_last"), True).over(before))
+    return (_carried(rows, carried, keys, "_before")
+            .withColumn(alias, F.coalesce("_here", "_before")).select(*df.columns, alias))
+
+
+def _present(df: DataFrame, columns: list[str]) -> DataFrame:
+    for c in columns:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
+def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alias: str) -> DataFrame:
     """Running sum of ``col`` along ascending ``order_col``, equal positions merged.
 
     Returns one row per group and position: keys, position, its own sum, the
     running sum.  Rows without a group key or position belong nowhere and drop out.
     """
-    present = df
-    for k in [*keys, order_col]:
-        present = present.where(F.col(k).isNotNull())
-    factor = hot_factor(present, keys, max_group_rows)
-    if not factor:
-        # one shuffle by group serves both the merging and the window
-        steps = (present.repartition(*keys).groupBy(*keys, order_col).agg(F.sum(col).alias(col)))
-        upto = (Window.partitionBy(*keys).orderBy(order_col)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return steps.withColumn(alias, F.sum(col).over(upto))
-    chunk = chunk_of(F.col(order_col), value_edges(present, order_col, stretches),
-                     math.ceil(factor / stretches) * 2)
-    # the chunk follows from the position, so it changes no group; as a key it is
-    # worked out in the map stage rather than in the output of the aggregate
-    steps = (present.withColumn(_CHUNK, chunk).groupBy(*keys, _CHUNK, order_col)
-             .agg(F.sum(col).alias(col)))
-    inside = (Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = steps.withColumn("_inside", F.sum(col).over(inside))
-    # from the same merged steps, so their shuffle is written once and read twice
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (steps.groupBy(*keys, _CHUNK).agg(F.sum(col).alias("_total"))
-              .select(*keys, _CHUNK, F.sum("_total").over(before).alias("_before")))
-    return (rows.join(totals, [*keys, _CHUNK])
-            .select(*keys, order_col, col,
-                    F.coalesce(F.col("_before") + F.col("_inside"), F.col("_inside"))
-                    .alias(alias)))
-
-
-def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[float],
-              stretches: int = 64, max_group_rows: int | None = GROUP_ROWS) -> DataFrame:
+    floating = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
+    own = F.col(col).cast(_EXACT) if floating else F.col(col)
+    steps = _present(df, [*keys, order_col]).groupBy(*keys, order_col).agg(F.sum(own).alias("_own"))
+    kind = steps.schema["_own"].dataType
+    rows = _cut(steps, keys, [order_col], "running").withColumn(
+        "_here", F.sum("_own").over(_inside(keys, order_col).rowsBetween(Window.unboundedPreceding, 0)))
+    before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(_PART, *keys).agg(F.sum("_own").cast(kind).alias("_total"))
+    carried = totals.withColumn("_before", F.sum("_total").over(before))
+    joined = _carried(rows, carried, keys, "_before")
+    upto = F.coalesce(F.col("_before") + F.col("_here"), F.col("_here"), F.col("_before"))
+
+    def result(value: Column) -> Column:
+        return value.cast("double") if floating else value
+
+    return joined.select(*keys, order_col, result(F.col("_own")).alias(col), result(upto).alias(alias))
+
+
+def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation, per group.
 
-    With a hot group, rows are counted per group and chunk of the value first,
-    which tells the chunk each quantile lies in; only the rows of those chunks are
-    then counted by value and put in order.  Returns keys, ``probability``,
-    ``value``; rows without a group key or value drop out.
+    Rows are counted by value before they are shuffled; the counts say which values
+    hold a quantile. Returns keys, ``probability``, ``value``; rows without a group
+    key or value drop out.
     """
-    rows = df.select(*keys, F.col(col).cast("double").alias("_value"))
-    for c in [*keys, "_value"]:
-        rows = rows.where(F.col(c).isNotNull())
+    rows = _present(df.select(*keys, F.col(col).cast("double").alias("_value")), [*keys, "_value"])
+    steps = _cut(rows.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n")), keys, ["_value"], "quantiles")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    counts = (steps.groupBy(_PART, *keys).agg(F.sum("_n").alias("_rows"))
+              .withColumn("_place", F.struct(
+                  F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("start"),
+                  F.sum("_rows").over(Window.partitionBy(*keys)).alias("size"))))
+    here = steps.withColumn("_here", F.sum("_n").over(_inside(keys, "_value").rowsBetween(*so_far)))
+    ranked = _carried(here, counts, keys, "_place").select(
+        *keys, "_value", F.col("_place.size").alias("_size"),
+        (F.col("_place.start") + F.col("_here")).alias("_upto"),
+        (F.col("_place.start") + F.col("_here") - F.col("_n")).alias("_below"))
 
     def rank(p: float) -> Column:
         return F.lit(float(p)) * (F.col("_size") - 1)
 
-    def touched() -> Column:
-        """Whether the ranks from ``_below`` up to before ``_upto`` hold an end of a quantile."""
-        return functools.reduce(operator.or_, [
-            (F.ceil(rank(p)) >= F.col("_below")) & (F.floor(rank(p)) < F.col("_upto"))
-            for p in probabilities])
-
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    factor = hot_factor(rows, keys, max_group_rows)
-    if not factor:
-        steps = (rows.repartition(*keys) if keys else rows).groupBy(*keys, "_value").agg(
-            F.count(F.lit(1)).alias("_n"))
-        group = Window.partitionBy(*keys)
-        ranked = (steps.withColumn("_upto", F.sum("_n").over(
-            group.orderBy("_value").rowsBetween(*so_far)))
-            .withColumn("_size", F.sum("_n").over(group))
-            .withColumn("_below", F.col("_upto") - F.col("_n")).where(touched()))
-    else:
-        chunked = rows.withColumn(_CHUNK, chunk_of(
-            F.col("_value"), value_edges(rows, "_value", stretches),
-            math.ceil(factor / stretches) * 2))
-        spots = _chunk_places(chunked, keys).where(touched()).select(
-            *keys, _CHUNK, "_size", F.col("_below").alias("_start"))
-        # some rows per group; kept, as they are measured and then joined
-        near = chunked.join(broadcast_if_small(checkpointed(spots)), [*keys, _CHUNK])
-        steps = (near.groupBy(*keys, _CHUNK, "_size", "_start", "_value")
-                 .agg(F.count(F.lit(1)).alias("_n")))
-        inside = Window.partitionBy(*keys, _CHUNK).orderBy("_value").rowsBetween(*so_far)
-        ranked = (steps.withColumn("_upto", F.col("_start") + F.sum("_n").over(inside))
-                  .withColumn("_below", F.col("_upto") - F.col("_n")).where(touched()))
-    ends = ranked.select(*keys, "_value", "_below", "_upto", F.explode(F.array(*[
+    touched = functools.reduce(operator.or_, [
+        (F.ceil(rank(p)) >= F.col("_below")) & (F.floor(rank(p)) < F.col("_upto")) for p in probabilities])
+    ends = ranked.where(touched).select(*keys, "_value", "_below", "_upto", F.explode(F.array(*[
         F.struct(F.lit(float(p)).alias("probability"), rank(p).alias("at")) for p in probabilities]))
         .alias("_w"))
     low, high = F.floor("_w.at"), F.ceil("_w.at")
@@ -219,22 +150,12 @@ def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[floa
         *keys, F.col("_w.probability").alias("probability")).agg(
         F.max(F.when(at_low, F.col("_value"))).alias("_a"),
         F.max(F.when(at_high, F.col("_value"))).alias("_b"),
-        F.max(F.col("_w.at") - low).alias("_part"))
+        F.max(F.col("_w.at") - low).alias("_part_of"))
     return found.select(*keys, "probability",
-                        (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part"))
+                        (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part_of"))
                         .alias("value"))
 
 
-def _chunk_places(chunked: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group and chunk: the group's size and the ranks the chunk covers."""
-    group = Window.partitionBy(*keys)
-    before = group.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.withColumn("_size", F.sum("_n").over(group))
-            .withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-            .withColumn("_upto", F.col("_below") + F.col("_n")))
-
-
 def newest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one that is last by ``order``, then by all other columns.
 

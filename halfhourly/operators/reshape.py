@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from halfhourly.operators.ordered import exact_sum
 from halfhourly.schemas import HALF_HOUR_NAMES, MW_PER_HALF_HOUR_KWH, TABLES
 
 _PERIOD_COLUMN = re.compile(r"^TP\d+$", re.IGNORECASE)
@@ -25,7 +26,8 @@ def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> Da
     labelled = named.withColumn("Unit_Measure", F.lit("MW"))
     ids = ids if "Unit_Measure" in ids else [*ids, "Unit_Measure"]
     complete = labelled.dropna(subset=ids)
-    summed = complete.groupBy(*ids).agg(*[F.sum(p).alias(p) for p in periods])
+    summed = complete.groupBy(*ids).agg(
+        *[exact_sum(p, complete.schema[p].dataType).alias(p) for p in periods])
     bands = F.array(*[F.struct(F.lit(int(p[2:])).alias("Trading_Period"),
                                F.col(p).cast("double").alias("Average_Output"))
                       for p in periods])

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from halfhourly.functions.dates import expiry_label, is_weekday, summary_page_date
 from halfhourly.functions.text import clean_number, spread
 from halfhourly.operators.joins import missing_rows
-from halfhourly.operators.ordered import carry_down
 from halfhourly.operators.predicates import larger_than_bytes
 from halfhourly.schemas import FUTURES_FIELDS, FUTURES_PRODUCTS
 from halfhourly.sources.markup import page_table
 
-QUOTE_TABLE = 1          # the middle one of three tables
-FULL_PAGE_BYTES = 5000   # smaller pages hold no quotes
+QUOTE_TABLE = 1          # quotes are in the second table of a page
+FULL_PAGE_BYTES = 5000   # a page of this size or less is a notice without quotes
+# What the first cell of a heading row and of a link row says
 HEADING = "Expiry"
 GRAPH_LINK = "Click here to view settlement price and volume graph"
 # expiry as published -> how it is read
@@ -40,15 +40,15 @@ def parse_expiry(text: Column | str, frequency: Column | str) -> Column:
     return expiry_label(date, frequency)
 
 
-def quotes_of_pages(pages: DataFrame) -> DataFrame:
+def quotes_of_pages(pages: DataFrame, min_page_bytes: int = FULL_PAGE_BYTES) -> DataFrame:
     """Quotes in daily summary pages (``name``, ``html``), one row per page, product
     and expiry, repeated rows once.
 
     A row with a single cell heads the rows below it; its first two letters are
-    the product.  Pages too small to hold quotes are passed over.
+    the product.  Only pages of more than ``min_page_bytes`` are read.
     """
     # each page is parsed once: its headings are taken before its rows are spread
-    tables = (pages.where(larger_than_bytes("html", FULL_PAGE_BYTES))
+    tables = (pages.where(larger_than_bytes("html", min_page_bytes))
               .select("name", summary_page_date("name").alias("quote_date"),
                       page_table("html", QUOTE_TABLE).alias("_table")))
     headings = F.get(F.filter("_table", lambda r: F.get(r, F.lit(0)) == HEADING), F.lit(0))
@@ -58,7 +58,8 @@ def quotes_of_pages(pages: DataFrame) -> DataFrame:
     body = rows.where(~F.col("first").isin("", HEADING, GRAPH_LINK))
     coded = body.withColumn("code", F.when(F.size("cells") < 2, F.left("first", F.lit(2))))
     # the rows of a page come out of one stored value, which bounds them
-    carried = carry_down(coded, ["name"], "row_no", "code", "product", max_group_rows=None)
+    above = Window.partitionBy("name").orderBy("row_no")
+    carried = coded.withColumn("product", F.last_value(F.col("code"), True).over(above))
     data = carried.where((F.size("cells") > 1) & F.col("product").isNotNull())
     cell = {f: F.get("cells", F.array_position("headings", f) - 1) for f in FUTURES_FIELDS}
     return (data.select("quote_date", "product",
@@ -79,15 +80,25 @@ def append_new_quotes(held: DataFrame, quotes: DataFrame) -> DataFrame:
     return held.unionByName(missing_rows(fresh, held, ["product", "quote_date"]))
 
 
-def refresh_quotes(held: DataFrame, pages: DataFrame) -> DataFrame:
-    """The series after reading the weekday pages (``name``, ``html``) of later days.
+def refresh_quotes(held: DataFrame, pages: DataFrame, min_page_bytes: int = FULL_PAGE_BYTES) -> DataFrame:
+    """The series after reading the weekday pages (``name``, ``html``) of days that some product lacks.
 
-    A page's date is in its name, so pages of days already held are not parsed.
+    Each product goes on after its own last day, so one that lags behind is caught up.
+    Pages up to the earliest of the last days are told by their names and not parsed.
     """
-    last = held.agg(F.max("quote_date")).first()[0]
+    ends = held.groupBy("product").agg(F.max("quote_date").alias("last_day"))
+    starts = held.sparkSession.createDataFrame([(p, i[2]) for p, i in FUTURES_PRODUCTS.items()],
+                                               "product string, last_day date")
+    # a product that is not held yet goes on after the day before its start
+    known = ends.unionByName(missing_rows(starts, ends, "product"))
+    earliest = known.agg(F.min("last_day")).first()[0]
     day = summary_page_date("name")
-    later = pages.where(is_weekday(day) if last is None else is_weekday(day) & (day > F.lit(last)))
-    return append_new_quotes(held, quotes_of_pages(later.select("name", "html")))
+    later = pages.where(is_weekday(day) & (day > F.lit(earliest)))
+    quotes = quotes_of_pages(later.select("name", "html"), min_page_bytes)
+    limits = known.select("product", F.col("last_day").alias("_last"))
+    fresh = quotes.join(limits, "product", "left").where(
+        F.col("_last").isNull() | (F.col("quote_date") > F.col("_last"))).drop("_last")
+    return append_new_quotes(held, fresh)
 
 
 def last_day_held(quotes: DataFrame, products: DataFrame,

@@ -6,8 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from halfhourly.operators.ordered import (carry_down, chunk_of, newest, next_value, quantiles,
-                                          running_total, value_edges)
+from halfhourly.operators.aggregates import group_by_meta
+from halfhourly.operators.ordered import carry_down, newest, next_value, quantiles, running_total
 from halfhourly.plans.analysis import demand_distribution, histogram, offer_curve
 from halfhourly.plans.hydro import shift_to_day_before, storage_by_day_of_year, year_of_series
 
@@ -23,13 +23,24 @@ def values():
     return pd.DataFrame(rows, columns=["k", "v", "n"])
 
 
-@pytest.mark.parametrize("chunks,hot", [(1, 0), (2, 0), (16, 0), (16, 10**6)])
-def test_quantiles(spark, values, chunks, hot):
+@pytest.fixture(params=[1, 50])
+def cut(spark, request):
+    """The same results are wanted from 1 and from 50 partitions."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], str(request.param))
+    spark.conf.set(names[1], "false")
+    yield request.param
+    for n, value in zip(names, before):
+        spark.conf.set(n, value)
+
+
+def test_quantiles(spark, values, cut):
     df = spark.createDataFrame(values.astype({"n": "int"}).values.tolist(), "k string, v double, n int")
     df = df.where("NOT isnan(v) OR v IS NULL")
     p = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = {(r["k"], r["probability"]): r["value"]
-           for r in quantiles(df, ["k"], "v", p, chunks, hot).collect()}
+           for r in quantiles(df, ["k"], "v", p).collect()}
     clean = values.dropna()
     want = {(k, q): float(np.quantile(g["v"], q)) for k, g in clean.groupby("k") for q in p}
     assert got.keys() == want.keys()
@@ -40,18 +51,15 @@ def test_quantiles_of_nothing_and_of_everything(spark):
     df = spark.createDataFrame([("a", None)], "k string, v double")
     assert quantiles(df, ["k"], "v", [0.5]).count() == 0
     numbers = spark.range(101)
-    for hot in (0, 10**6):
-        whole = quantiles(numbers, [], "id", [0.25, 0.5], 8, hot).collect()
-        assert sorted(tuple(r) for r in whole) == [(0.25, 25.0), (0.5, 50.0)]
+    whole = quantiles(numbers, [], "id", [0.25, 0.5]).collect()
+    assert sorted(tuple(r) for r in whole) == [(0.25, 25.0), (0.5, 50.0)]
 
 
-@pytest.mark.parametrize("chunks,hot", [(1, 0), (16, 0), (16, 10**6)])
-def test_running_total(spark, values, chunks, hot):
+def test_running_total(spark, values, cut):
     df = spark.createDataFrame([(k, v, int(n)) for k, v, n in values.dropna().values],
                                "k string, v double, n long")
     got = {(r["k"], r["v"]): (r["n"], r["upto"])
-           for r in running_total(df, ["k"], "v", "n", "upto", chunks,
-                                      max_group_rows=hot).collect()}
+           for r in running_total(df, ["k"], "v", "n", "upto").collect()}
     merged = values.dropna().groupby(["k", "v"])["n"].sum().reset_index().sort_values(["k", "v"])
     merged["upto"] = merged.groupby("k")["n"].cumsum()
     want = {(r.k, r.v): (r.n, r.upto) for r in merged.itertuples()}
@@ -67,15 +75,33 @@ def test_offer_curve(spark, rows):
                                         (day, 2, 1.0, 4.0, 4.0)]
 
 
-@pytest.mark.parametrize("hot", [0, 10**6])
-def test_next_value(spark, hot):
+def test_equal_bits_however_rows_are_cut(spark):
+    """One key with most rows, values that are no whole numbers, a null key."""
+    rng = random.Random(11)
+    table = [("hot" if i % 10 else None, i, rng.uniform(0, 1e5), None if i % 7 else f"h{i}")
+             for i in range(5000)]
+    results = []
+    for n in (1, 50):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        df = spark.createDataFrame(table, "k string, i long, v double, h string").repartition(n + 2)
+        results.append([sorted(map(tuple, out.collect()), key=repr) for out in (
+            running_total(df, ["k"], "i", "v", "upto"), quantiles(df, ["k"], "v", [0.1, 0.5]),
+            next_value(df, ["k"], "i", "v"), carry_down(df, ["k"], "i", "h", "above"),
+            group_by_meta(df, "k", {"v": ["sum", "mean", "median"]}))])
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1]
+    assert [len(r) for r in results[0]] == [4500, 2, 4998, 5000, 1]
+    assert sum(r[-1] is not None for r in results[0][3]) == 4994  # six rows come before the first head
+
+
+def test_next_value(spark, cut):
     start = dt.date(2014, 1, 28)
     table = [("a", start + dt.timedelta(days=i), None if i == 4 else float(i)) for i in range(70)]
     table += [("b", dt.date(2013, 12, 31), 1.0), ("b", dt.date(2014, 3, 1), 2.0),
               ("c", start, 9.0)]
     df = spark.createDataFrame(table, "lake string, trading_date date, lake_levels double")
     got = {(r["lake"], r["trading_date"]): r["lake_levels"]
-           for r in next_value(df, ["lake"], "trading_date", "lake_levels", hot).collect()}
+           for r in next_value(df, ["lake"], "trading_date", "lake_levels").collect()}
     want = {("a", start + dt.timedelta(days=i)): None if i == 3 else float(i + 1)
             for i in range(69)}
     want[("b", dt.date(2013, 12, 31))] = 2.0
@@ -83,13 +109,12 @@ def test_next_value(spark, hot):
     assert shift_to_day_before(df).columns == df.columns and shift_to_day_before(df).count() == 70
 
 
-@pytest.mark.parametrize("chunk_rows,hot", [(2, 0), (7, 0), (4096, 0), (7, 10**6)])
-def test_carry_down(spark, chunk_rows, hot):
+def test_carry_down(spark, cut):
     heads = {0: None, 3: "EA", 4: None, 11: "EB", 30: "EC"}
     table = [("p", i, heads.get(i)) for i in range(40)] + [("q", 5, None), ("q", 6, "EE")]
     df = spark.createDataFrame(table, "page string, row_no int, code string")
     got = {(r["page"], r["row_no"]): r["product"]
-           for r in carry_down(df, ["page"], "row_no", "code", "product", chunk_rows, hot).collect()}
+           for r in carry_down(df, ["page"], "row_no", "code", "product").collect()}
     last, want = None, {("q", 5): None, ("q", 6): "EE"}
     for i in range(40):
         last = heads.get(i) or last
@@ -121,18 +146,3 @@ def test_hydro(spark, rows):
         "lake string, trading_date date, lake_levels double")
     assert rows(storage_by_day_of_year(df, probabilities=[0.5])) == [("Taupo", 5, 0.5, 2012.0)]
     assert rows(year_of_series(df, 2012)) == [("Taupo", dt.date(2012, 1, 5), 2012.0)]
-
-
-@pytest.mark.parametrize("stretches,parts", [(1, 1), (4, 1), (8, 50)])
-def test_chunks_ascend_with_the_value(spark, stretches, parts):
-    rng = random.Random(3)
-    numbers = [rng.gauss(0, 100) for _ in range(500)] + [1.0] * 300 + [
-        float("inf"), float("-inf"), float("nan"), 1e300, -1e300, 0.0, -0.0]
-    df = spark.createDataFrame([(v,) for v in numbers], "v double")
-    edges = value_edges(df.where("abs(v) < 1000"), "v", stretches)
-    chunks = [r["c"] for r in df.orderBy("v").select("v", chunk_of(df["v"], edges, parts).alias("c"))
-              .collect()]
-    assert chunks == sorted(chunks) and chunks[0] == 0
-    assert len(set(chunks)) <= stretches * parts
-    one = spark.createDataFrame([(5.0,)], "v double")
-    assert one.select(chunk_of(one["v"], value_edges(one, "v", 8), 3)).first()[0] == 0

