@@ -147,12 +147,16 @@ def clean(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_c
 
     ``length_col``, if ``docs`` has it, follows the new text.
     """
-    mark = fresh(docs, "judged")
-    judged = judged_texts(docs, text_col, mark, **rules).where(F.col(mark)["kept"])
-    new = {text_col: F.col(mark)["text"]}
+    mark, kept = fresh(docs, "judged"), fresh(docs, "kept_text")
+    judged = judged_texts(docs, text_col, mark, **rules)
+    # a row for each kept text: a condition of its own would judge the text a second time
+    rows = judged.select(*[F.col(f"`{c}`") for c in docs.columns],
+                         F.explode(F.filter(F.array(mark), lambda j: j["kept"])).alias(mark)) \
+        .withColumn(kept, F.col(mark)["text"])
+    new = {text_col: F.col(kept)}
     if length_col in docs.columns:
-        new[length_col] = F.length(F.col(mark)["text"]).cast(docs.schema[length_col].dataType)
-    return judged.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+        new[length_col] = F.length(kept).cast(docs.schema[length_col].dataType)
+    return rows.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 #: DuckDB SQL of the registered query, with the default rules.
