@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from halfhourly.functions.dates import file_year, parse_date, parse_timestamp
@@ -26,38 +24,17 @@ def table_of(table: Table | str) -> Table:
 
 def read_csv(spark: SparkSession, path: str | list[str], table: Table | str,
              glob: str = CSV_GLOB, by_name: bool = False) -> DataFrame:
-    """All CSV files below a path as typed rows, in one scan.
+    """All CSV files below a path as typed rows.
 
     Files may or may not have a header line; each is told by its own lines.
     Columns are taken in table order, or by the names in a file's own header with
-    ``by_name``, which reads the headers first.  The result has the table's columns,
-    ``trading_year`` where the table is split by year, ``source_file`` and
+    ``by_name``; columns the table does not have are passed over then.  The result has the
+    table's columns, ``trading_year`` where the table is split by year, ``source_file`` and
     ``reject_reason`` (null for a good row); see :func:`accepted` and :func:`rejected`.
     """
     t = table_of(table)
-    if not by_name:
-        return _read(spark, path, t, glob, t.names)
-    lines = _lines(spark, path, glob)
-    # one header at most per file, next to the list of files the driver holds anyway
-    names = F.when(is_header("value", t.names), F.transform(_cells("value"), header_name))
-    heads = lines.groupBy(SOURCE).agg(F.min(names).alias("h")).collect()
-    files_by_order: dict[tuple, list[str]] = {}
-    for head in heads:
-        order = tuple(head["h"] or t.names)
-        files_by_order.setdefault(order, []).append(unquote(head[SOURCE]))
-    parts = [_read(spark, files, t, glob, list(order)) for order, files in files_by_order.items()]
-    result = parts[0] if parts else _read(spark, path, t, glob, t.names)
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def _lines(spark: SparkSession, path, glob: str) -> DataFrame:
-    return file_lines(spark.read.option("pathGlobFilter", glob).text(path))
-
-
-def _read(spark: SparkSession, path, table: Table, glob: str, order: list[str]) -> DataFrame:
-    return csv_rows(_lines(spark, path, glob), table, order)
+    lines = file_lines(spark.read.option("pathGlobFilter", glob).text(path))
+    return named_rows(lines, t) if by_name else csv_rows(lines, t, t.names)
 
 
 def file_lines(text: DataFrame) -> DataFrame:
@@ -68,21 +45,47 @@ def file_lines(text: DataFrame) -> DataFrame:
 
 def csv_rows(lines: DataFrame, table: Table, order: list[str]) -> DataFrame:
     """Lines as typed rows, their cells in the given order of columns."""
-    known = [n for n in order if n in table.columns]
-    kinds = {n: raw_type(table.columns[n]).simpleString() for n in known}
-    schema = ", ".join([f"`{n}` {kinds.get(n, 'string')}" for n in order] + [f"{CORRUPT} string"])
-    data = lines.where(~is_header("value", table.names))
+    kinds = {n: raw_type(table.columns[n]).simpleString() for n in order}
+    schema = ", ".join([f"`{n}` {kinds[n]}" for n in order] + [f"{CORRUPT} string"])
+    data = lines.where(~is_header("value", table))
     parsed = data.select(SOURCE, F.from_csv("value", schema, {
         "columnNameOfCorruptRecord": CORRUPT, "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true"}).alias("_c"))
-    absent = [F.lit(None).cast(raw_type(table.columns[n])).alias(n)
-              for n in table.names if n not in known]
-    return typed_rows(parsed.select(SOURCE, *[f"_c.{n}" for n in known], *absent, f"_c.{CORRUPT}"),
-                      table)
+    return typed_rows(parsed.select(SOURCE, *[f"_c.{n}" for n in order], f"_c.{CORRUPT}"), table)
+
+
+def named_rows(lines: DataFrame, table: Table) -> DataFrame:
+    """Lines as typed rows, their cells by the header of their file, or in table order without one.
+
+    The headers, one row per file, are joined to the lines; nothing is gathered.
+    """
+    names = F.transform(csv_cells("value"), header_name)
+    heads = (lines.where(is_header("value", table)).groupBy(SOURCE).agg(F.min(names).alias("_names")))
+    in_order = F.array(*[F.lit(n) for n in table.names])
+    rows = (lines.where(~is_header("value", table)).join(heads, SOURCE, "left")
+            .select(SOURCE, csv_cells("value").alias("_cells"), F.coalesce("_names", in_order).alias("_names")))
+    found = {n: F.nullif(F.get("_cells", F.array_position("_names", F.lit(n)) - 1), F.lit(""))
+             for n in table.names}
+    typed = {n: found[n].try_cast(raw_type(table.columns[n])) for n in table.names}
+    unread = F.size("_cells") != F.size("_names")
+    for n in table.names:
+        if not isinstance(raw_type(table.columns[n]), T.StringType):
+            unread = unread | (found[n].isNotNull() & typed[n].isNull())
+    return typed_rows(rows.select(SOURCE, *[c.alias(n) for n, c in typed.items()],
+                                  F.when(unread, F.lit("")).alias(CORRUPT)), table)
+
+
+def csv_cells(line: Column | str) -> Column:
+    """The cells of a line; a quoted one may hold commas, and quotes doubled or behind a backslash."""
+    text = F.col(line) if isinstance(line, str) else line
+    raw = F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(r',(\s*"(?:[^"\\]++|\\.|"")*+"\s*|[^,]*)'), F.lit(1))
 
+    def plain(cell: Column) -> Column:
+        bare = F.trim(cell)
+        quoted = F.regexp_replace(F.substring(bare, F.lit(2), F.length(bare) - 2), r'(?:"|\\)(["\\])', "$1")
+        return F.when(bare.startswith('"') & bare.endswith('"') & (F.length(bare) > 1), quoted).otherwise(bare)
 
-def _cells(line: Column | str) -> Column:
-    return F.split(F.translate(line, '"', ""), ",")
+    return F.transform(raw, plain)
 
 
 def header_name(cell: Column) -> Column:
@@ -90,14 +93,19 @@ def header_name(cell: Column) -> Column:
     return F.replace(F.lower(F.trim(cell)), F.lit(" "), F.lit("_"))
 
 
-def is_header(line: Column | str, names: list[str]) -> Column:
-    """Whether a line names the columns: each of its cells is an expected name.
+def is_header(line: Column | str, table: Table) -> Column:
+    """Whether a line names the columns: its cells hold the names of all key columns, next to
+    names that may be unknown, or are known names and nothing else.
 
-    The first cell is asked first, so data lines are told cheaply.
+    A name is looked for in the whole line, or its first cell, first, so data lines are told cheaply.
     """
     text = F.col(line) if isinstance(line, str) else line
-    first = header_name(F.translate(F.substring_index(text, ",", 1), '"', "")).isin(names)
-    return first & F.forall(_cells(text), lambda c: header_name(c).isin(names))
+    cells = F.transform(csv_cells(text), header_name)
+    keyed = F.replace(F.lower(text), F.lit(" "), F.lit("_")).contains(table.key[0])
+    has_keys = F.forall(F.array(*[F.lit(k) for k in table.key]), lambda k: F.array_contains(cells, k))
+    known = header_name(F.translate(F.substring_index(text, ",", 1), '"', "")).isin(table.names)
+    return F.when(keyed & has_keys, F.lit(True)).when(
+        known, F.forall(cells, lambda c: c.isin(table.names))).otherwise(F.lit(False))
 
 
 def raw_type(kind: str) -> T.DataType:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from halfhourly.operators.ordered import newest
 from halfhourly.schemas import TABLES, Table
 from halfhourly.session import staged
-from halfhourly.sources.csvfiles import CSV_GLOB, SOURCE, accepted, read_csv, table_of
+from halfhourly.sources.csvfiles import CSV_GLOB, REASON, SOURCE, check_file_year, read_csv, table_of
 
 YEAR = "trading_year"
 
@@ -23,7 +23,7 @@ def create_tables(spark: SparkSession, names: list[str] | None = None, database:
     """
     for name in names or list(TABLES):
         t = table_of(name)
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _stored(t))
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored_schema(t))
         split = f" PARTITIONED BY ({YEAR})" if t.by_year else ""
         place = f" LOCATION '{location}/{name}'" if location else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) "
@@ -32,7 +32,10 @@ def create_tables(spark: SparkSession, names: list[str] | None = None, database:
 
 def read_table(spark: SparkSession, path: str, table: Table | str) -> DataFrame:
     """A stored table; no rows while nothing has been loaded."""
-    schema = _stored(table_of(table))
+    return _read_or_none(spark, path, stored_schema(table_of(table)))
+
+
+def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -41,41 +44,75 @@ def read_table(spark: SparkSession, path: str, table: Table | str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _stored(table: Table) -> T.StructType:
+def stored_schema(table: Table) -> T.StructType:
     fields = list(table.struct.fields)
     if table.by_year:
         fields.append(T.StructField(YEAR, T.IntegerType()))
     return T.StructType(fields)
 
 
-def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "append") -> None:
-    """Rows into a stored table, each file holding a stretch of dates.
+def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "append") -> int:
+    """Rows into a stored table, each file holding a stretch of dates; returns how many.
 
     The range is cut along the whole key, so a day that holds much of the data is
     spread over tasks; the order gives each file narrow date bounds to skip by.
+    ``replace_years`` as mode writes the years of the rows anew.
     """
     t = table_of(table)
     order = [t.date_col, *[k for k in t.key if k != t.date_col]]
-    ranged = rows.repartitionByRange(*order)
-    if t.by_year:
-        # the year in front is the order the partitioned write asks for
-        ranged.sortWithinPartitions(YEAR, *order).write.mode(mode).partitionBy(YEAR).parquet(path)
+    written = Observation()
+    ranged = rows.repartitionByRange(*order).observe(written, F.count(F.lit(1)).alias("n"))
+    # the year in front is the order the partitioned write asks for
+    writer = ranged.sortWithinPartitions(*([YEAR] if t.by_year else []), *order).write
+    if mode == "replace_years":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
-        ranged.sortWithinPartitions(*order).write.mode(mode).parquet(path)
+        writer = writer.mode(mode)
+    (writer.partitionBy(YEAR) if t.by_year else writer).parquet(path)
+    return written.get["n"]
 
 
 @dataclass(frozen=True)
 class Load:
-    """What a load did: rows written, and rows of the batch that were not."""
+    """What a load did: rows written, good rows that were not, and rows rejected."""
 
     loaded: int
     not_loaded: int
+    rejected: int = 0
+
+
+def rejects_path(path: str) -> str:
+    """Where the rejected rows of a stored table are kept: a table beside it."""
+    return path.rstrip("/") + "_rejected"
+
+
+def set_aside(rows: DataFrame, path: str, table: Table) -> None:
+    """Adds rejected rows, as text with their file and reason, to the table beside the store."""
+    source = F.col(SOURCE) if SOURCE in rows.columns else F.lit(None)
+    rows.select(*[F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string").alias(c)
+                  for c in table.names], source.cast("string").alias(SOURCE), REASON) \
+        .write.mode("append").parquet(rejects_path(path))
+
+
+def read_rejects(spark: SparkSession, path: str, table: Table | str) -> DataFrame:
+    """The rejected rows of a stored table with ``source_file`` and ``reject_reason``; none at first."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*table_of(table).names, SOURCE, REASON)])
+    return _read_or_none(spark, rejects_path(path), schema)
+
+
+def checked_batch(batch: DataFrame, table: Table) -> DataFrame:
+    """The batch with its year and a reason where a row cannot be stored."""
+    reason = F.col(REASON) if REASON in batch.columns else F.lit(None).cast("string")
+    keys = [F.when(F.col(k).isNull(), F.lit(f"no {k}")) for k in table.key]
+    return with_year(batch, table).withColumn(REASON, F.coalesce(reason, *keys))
 
 
 def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | str,
                     mode: str = "skip_rows", order: list[str] | None = None) -> Load:
     """Appends the rows whose unique key is not stored yet.
 
+    The batch is worked out once, into the shared folder. Rows with a
+    ``reject_reason``, or without a key column, go to the table of rejects beside the store.
     ``skip_rows`` takes every new key, of repeated keys in the batch the row last
     by ``order`` (default: the amendment date where the table has one).
     ``reject_file`` takes whole files: a file is left out when one of its keys is
@@ -87,24 +124,29 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
         raise ValueError(f"load mode {mode!r}: use skip_rows or reject_file")
     if mode == "reject_file" and SOURCE not in batch.columns:
         raise ValueError(f"to reject files the batch needs {SOURCE!r}")
-    dated = with_year(batch, t)
-    spans = batch_spans(dated, t)
-    before = _stored_rows(spark, path, t, spans)
-    new = new_rows(spark, dated.dropna(subset=list(t.key)), path, t, mode, order, spans)
-    write_rows(new.select(*_stored(t).names), path, t)
-    loaded = _stored_rows(spark, path, t, spans) - before
-    return Load(loaded, sum(s["n"] for s in spans) - loaded)
+    rows = staged(checked_batch(batch, t), "batch")
+    good, bad = rows.where(F.col(REASON).isNull()), rows.where(F.col(REASON).isNotNull())
+    spans = batch_spans(rows, t)
+    total, rejected = sum(s["n"] for s in spans), sum(s["rejected"] for s in spans)
+    if rejected:
+        set_aside(bad, path, t)
+    if total == rejected:
+        return Load(0, 0, rejected)
+    new = new_rows(spark, good.drop(REASON), path, t, mode, order, spans)
+    loaded = write_rows(new.select(*stored_schema(t).names), path, t)
+    return Load(loaded, total - rejected - loaded, rejected)
 
 
 def batch_spans(batch: DataFrame, table: Table) -> list[Row]:
-    """Rows, first and last date of a batch for each of its years: a handful of values."""
+    """Rows, rejected rows, first and last date of a batch for each of its years: a handful of values."""
     day = F.col(table.date_col)
-    year = F.year(day).alias("year")
-    return batch.groupBy(year).agg(F.count(F.lit(1)).alias("n"), F.min(day).alias("first"),
-                                   F.max(day).alias("last")).collect()
+    bad = F.col(REASON).isNotNull() if REASON in batch.columns else F.lit(False)
+    return batch.groupBy(F.year(day).alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("rejected"),
+        F.min(F.when(~bad, day)).alias("first"), F.max(F.when(~bad, day)).alias("last")).collect()
 
 
-def _near(stored: DataFrame, table: Table, spans: list[Row]) -> DataFrame:
+def rows_near(stored: DataFrame, table: Table, spans: list[Row]) -> DataFrame:
     """Stored rows between the dates of a batch, year by year.
 
     Every unique key holds the date, so no other row can have a key of the batch;
@@ -113,26 +155,30 @@ def _near(stored: DataFrame, table: Table, spans: list[Row]) -> DataFrame:
     kind = table.struct[table.date_col].dataType
     found = F.lit(False)
     for s in spans:
-        if s["year"] is not None:
+        if s["first"] is not None:
             between = F.col(table.date_col).between(F.lit(str(s["first"])).cast(kind),
                                                     F.lit(str(s["last"])).cast(kind))
             found = found | ((F.col(YEAR) == s["year"]) & between if table.by_year else between)
     return stored.where(found)
 
 
-def _stored_rows(spark: SparkSession, path: str, table: Table, spans: list[Row]) -> int:
-    """Stored rows of the years of a batch, which Parquet answers from its footers."""
-    stored = read_table(spark, path, table)
-    years = [s["year"] for s in spans if s["year"] is not None]
-    return (stored.where(F.col(YEAR).isin(years)) if table.by_year else stored).count()
-
+def conform(df: DataFrame, table: Table | str, reasons: bool = False) -> DataFrame:
+    """The columns of a table in its order and types; those missing are null.
 
-def conform(df: DataFrame, table: Table | str) -> DataFrame:
-    """The columns of a table in its order and types; those missing are null."""
+    A cell that cannot be read in its column's type is null; with ``reasons`` its row
+    has a ``reject_reason``, which every load honours.
+    """
     t = table_of(table)
     have = {c.lower(): c for c in df.columns}
-    return df.select(*[(F.col(have[f.name]) if f.name in have else F.lit(None))
-                       .cast(f.dataType).alias(f.name) for f in t.struct])
+    cells = {f.name: F.col(have[f.name]).try_cast(f.dataType) if f.name in have
+             else F.lit(None).cast(f.dataType) for f in t.struct}
+    columns = [c.alias(n) for n, c in cells.items()]
+    if reasons:
+        old = [F.col(REASON)] if REASON in df.columns else []
+        unread = [F.when(F.col(have[n]).isNotNull() & c.isNull(), F.lit(f"cannot read {n}"))
+                  for n, c in cells.items() if n in have]
+        columns.append(F.coalesce(*old, *unread, F.lit(None).cast("string")).alias(REASON))
+    return df.select(*columns)
 
 
 def with_year(batch: DataFrame, table: Table) -> DataFrame:
@@ -150,10 +196,11 @@ def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | st
     """
     t = table_of(table)
     keys = list(t.key)
-    held = _near(read_table(spark, path, t), t,
+    batch = batch.dropna(subset=keys)
+    held = rows_near(read_table(spark, path, t), t,
                  batch_spans(batch, t) if spans is None else spans).select(*keys)
     if mode == "skip_rows":
-        columns = [c for c in batch.columns if c in _stored(t).names]
+        columns = [c for c in batch.columns if c in stored_schema(t).names]
         order = order or [c for c in ("last_amended_date", "created_date") if c in columns]
         single = newest(batch.select(*columns), keys, order)
         return single.join(held, keys, "left_anti")
@@ -167,21 +214,25 @@ def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | st
 
 
 def insert_from_csv(spark: SparkSession, path: str | list[str], store: str, table: Table | str,
-                    mode: str = "skip_rows", glob: str = CSV_GLOB) -> Load:
+                    mode: str = "skip_rows", glob: str = CSV_GLOB, by_name: bool = True,
+                    check_year: bool = True) -> Load:
     """Loads one CSV file, or every CSV file of a folder, into a stored table.
 
-    The text is parsed once, into a Parquet table in the shared folder that the
-    further steps read by column.
+    Columns go by a file's own header where it has one. Where the table is split by year
+    and a file's name holds a year, rows of other years are rejected; ``check_year=False`` takes them.
     """
-    rows = staged(accepted(read_csv(spark, path, table, glob)), "staged-csv")
+    rows = read_csv(spark, path, table, glob, by_name)
+    if check_year and table_of(table).by_year:
+        rows = check_file_year(rows)
     return append_new_rows(spark, rows, store, table, mode)
 
 
 def bytes_per_year(df: DataFrame) -> DataFrame:
-    """Stored size of each year, from the sizes of the files read."""
-    files = df.select(YEAR, F.col("_metadata.file_path").alias("f"),
+    """Stored size of each year, from the sizes of the files read; one row for a table that is not split."""
+    keys = [YEAR] if YEAR in df.columns else []
+    files = df.select(*keys, F.col("_metadata.file_path").alias("f"),
                       F.col("_metadata.file_size").alias("size")).distinct()
-    return files.groupBy(YEAR).agg(F.sum("size").alias("bytes"))
+    return files.groupBy(*keys).agg(F.sum("size").alias("bytes"))
 
 
 def run_sql(spark: SparkSession, text: str, n: int | None = None) -> DataFrame:

@@ -13,8 +13,8 @@ from halfhourly.session import work_folder
 from halfhourly.sources.csvfiles import accepted, read_csv, write_csv
 from halfhourly.sources.markup import read_xml
 from halfhourly.sources.tables import (append_new_rows, bytes_per_year, conform, insert_from_csv,
-                                       read_table, write_rows, with_year)
-from halfhourly.streaming.loads import (half_hour_demand, latest_updates, load_new, write_updates)
+                                       read_rejects, read_table, write_rows, with_year)
+from halfhourly.streaming.loads import add_half_hours, half_hour_totals, load_new
 from registry import views as V
 from registry.views import query, sql
 
@@ -32,12 +32,13 @@ def _(spark, sf):
 
 
 def _mixed_files(spark, sf, label):
-    """Prices in two folders: files with a header in another order, and files without."""
+    """Prices in two folders: files with a header in another order and a further column, and files without."""
     folder = work_folder(spark, label)
     prices = V.price(spark, sf)
     named = prices.where("trading_period <= 24").select(
         F.col("node").alias("Node"), F.col("Price").alias("PRICE"),
-        F.col("trading_date").alias("Trading Date"), F.col("trading_period").alias("Trading_Period"))
+        F.col("trading_date").alias("Trading Date"), F.col("trading_period").alias("Trading_Period"),
+        F.lit('as "published", final').alias("Remark"))
     write_csv(named, f"{folder}/named")
     prices.where("trading_period > 24").write.option("header", False).csv(f"{folder}/bare")
     return folder
@@ -117,13 +118,53 @@ def _(spark, sf):
                                  "price", "trading_period")
 
 
+def _name_files(spark, folder, form):
+    """Renames the part files of a folder, as published files carry their year in the name."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [f.getPath() for f in files.listStatus(place) if f.getPath().getName().startswith("part-")]
+    for n, part in enumerate(parts):
+        files.rename(part, jvm.org.apache.hadoop.fs.Path(place, form.format(n)))
+
+
+@query("load_rejects", """
+SELECT reason AS reject_reason, COUNT(*) AS n_rows FROM (
+  SELECT CASE CAST(l_orderkey % 10 AS INT)
+           WHEN 1 THEN 'cannot read trading_date' WHEN 2 THEN 'cannot read the line'
+           WHEN 3 THEN 'node too long' WHEN 4 THEN 'no node' WHEN 5 THEN 'year differs from file name'
+           ELSE 'loaded' END AS reason FROM lineitem) x GROUP BY 1""")
+def _(spark, sf):
+    """Lines as a price file with bad rows of five sorts; what the load says of them, by reason."""
+    folder = work_folder(spark, "load-rejects")
+    kind, day = F.col("l_orderkey") % 10, F.col("l_shipdate")
+    bad_day, year = F.lit("31/02/1995"), F.lit("1995")
+    date = (F.when(kind == 1, bad_day)
+            .otherwise(F.concat(F.date_format(day, "dd/MM/"), F.when(kind == 5, F.lit("1996")).otherwise(year))))
+    # 1995 has no 29th of February
+    date = F.when((kind != 1) & (F.date_format(day, "ddMM") == "2902"),
+                  F.when(kind == 5, F.lit("01/03/1996")).otherwise(F.lit("01/03/1995"))).otherwise(date)
+    node = (F.when(kind == 3, F.lit("TOOLONGNODE")).when(kind == 4, F.lit(""))
+            .otherwise(F.concat(F.lit("N"), F.col("l_linenumber").cast("string"))))
+    line = F.concat_ws(",", date, F.when(kind == 2, F.lit("x")).otherwise(F.col("l_orderkey").cast("string")), node,
+                       F.col("l_extendedprice").cast("string"))
+    V.read(spark, sf, "lineitem").select(line.alias("value")).write.text(f"{folder}/text")
+    _name_files(spark, f"{folder}/text", "prices1995-{}.csv")
+    load = insert_from_csv(spark, f"{folder}/text", f"{folder}/nodal_prices", "nodal_prices")
+    rejects = read_rejects(spark, f"{folder}/nodal_prices", "nodal_prices")
+    loaded = spark.range(1).select(F.lit("loaded").alias("reject_reason"),
+                                   F.lit(load.loaded + load.not_loaded).cast("long").alias("n_rows"))
+    return (rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+            .unionByName(loaded).where("n_rows > 0"))
+
+
 # --- streams -------------------------------------------------------------------
 
-def _demand_stream(spark, sf):
-    """The lines of the given table as a stream of demand rows."""
+def _demand_stream(spark, sf, max_files=1):
+    """The lines of the given table, one file a batch, as a stream of demand rows."""
     schema = V.read(spark, sf, "lineitem").schema
-    lines = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-             .parquet(sf))
+    lines = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+             .parquet(f"{sf}/lineitem.parque[t]"))  # a pattern takes a file as well as a folder of files
     return lines.select(
         F.col("l_shipdate").cast("date").alias("trading_date"),
         (((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 48).cast("int") + 1)
@@ -155,6 +196,5 @@ FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1, 2""", "v_demand", "v_m
 def _(spark, sf):
     folder = work_folder(spark, "stream-demand")
     rich = merge_meta(_demand_stream(spark, sf), V.meta(spark, sf), "demand", "inner")
-    stream = half_hour_demand(rich, ["load_area"], "1 day")
-    write_updates(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return latest_updates(spark, f"{folder}/out", ["half_hour", "load_area"])
+    add_half_hours(rich, f"{folder}/out", ["load_area"], f"{folder}/checkpoint").awaitTermination()
+    return half_hour_totals(spark, f"{folder}/out", ["load_area"])

@@ -12,7 +12,7 @@ from halfhourly.sources.lakes import lake_table, read_lakes, series_files
 from halfhourly.sources.markup import page_links, page_table_rows, read_pages, read_xml
 from halfhourly.sources.seeds import known_seeds, read_seeds
 from halfhourly.sources.tables import (append_new_rows, bytes_per_year, conform, create_tables,
-                                       insert_from_csv, new_rows, read_table, run_sql,
+                                       insert_from_csv, new_rows, read_rejects, read_table, run_sql,
                                        with_year, write_rows)
 from halfhourly.operators.aggregates import rows_per_year
 
@@ -38,14 +38,16 @@ def test_schemas():
 
 
 def test_headers_are_told_by_their_names(spark):
-    names = TABLES["energy_offers"].names
+    table = TABLES["energy_offers"]
 
     def told(line):
         return spark.createDataFrame([(line,)], "v string").select(
-            C.is_header("v", names)).first()[0]
+            C.is_header("v", table)).first()[0]
 
     assert told("COMPANY,Grid Injection Point,STATION")
     assert told('"company","station"')
+    assert told("Remark," + ",".join(table.key).upper() + ",Other")
+    assert not told("Remark," + ",".join(table.key[1:]))
     assert not told("MRPL,HLY2201,HLY,1")
     assert not told("company,HLY2201,HLY,1")
 
@@ -96,6 +98,39 @@ def test_columns_by_their_own_header(spark, tmp_path):
         (24, 3, "OTA2201", 9.0), (25, 4, "BEN2201", 8.0), (26, 5, "HAY2201", None)]
 
 
+def test_headers_as_published(spark, tmp_path):
+    """Unknown columns, quoted cells with commas, a line that is too short, another order."""
+    write(tmp_path / "a.csv", 'Node,Trading_date,Trading_period,Price,Extra\n'
+                              'OTA2201,24/05/2014,1,"1","a, ""b"""\nOTA2201,24/05/2014,x,1,\nOTA2201,24/05/2014\n')
+    write(tmp_path / "b.csv", "trading date,Node,TRADING_PERIOD\n25/05/2014,BEN2201,2\n")
+    rows = C.read_csv(spark, str(tmp_path), "nodal_prices", by_name=True)
+    assert values(C.accepted(rows), "trading_date", "trading_period", "node", "price") == [
+        (dt.date(2014, 5, 24), 1, "OTA2201", 1.0), (dt.date(2014, 5, 25), 2, "BEN2201", None)]
+    assert [r["reject_reason"] for r in C.rejected(rows).collect()] == ["cannot read the line"] * 2
+    assert [r[0] for r in spark.createDataFrame([('a,"b ""c"", d",,"",e',), ('"x \\"y\\", z",1',)], "v string")
+            .select(C.csv_cells("v")).collect()] == [["a", 'b "c", d', "", "", "e"], ['x "y", z', "1"]]
+    # the positional reader passes the headers over as well
+    assert C.rejected(C.read_csv(spark, str(tmp_path / "b.csv"), "nodal_prices")).count() == 1
+
+
+def test_unread_cells_have_a_reason(spark, tmp_path):
+    text = spark.createDataFrame([("Napier-HawkesBay", dt.date(2014, 5, 24), "13:00", "N/A"),
+                                  ("Napier-HawkesBay", dt.date(2014, 5, 24), "14:00", "1.5")],
+                                 "location string, trading_date date, local_time string, precipitation string")
+    rows = conform(text, "temperature_data", reasons=True)
+    load = append_new_rows(spark, rows, str(tmp_path / "t"), "temperature_data")
+    assert (load.loaded, load.rejected) == (1, 1)
+    assert read_rejects(spark, str(tmp_path / "t"), "temperature_data").first()["reject_reason"] == \
+        "cannot read precipitation"
+
+
+def test_size_of_a_table_without_years(spark, tmp_path):
+    store = str(tmp_path / "lake_levels")
+    insert_from_csv(spark, write(tmp_path / "l.csv", "01/02/2014,350.5,Taupo,GWh\n"), store, "lake_levels")
+    sizes = bytes_per_year(read_table(spark, store, "lake_levels")).collect()
+    assert len(sizes) == 1 and sizes[0]["bytes"] == sum(f.stat().st_size for f in (tmp_path / "lake_levels").glob("*.parquet"))
+
+
 def test_timestamps_and_times(spark, tmp_path):
     write(tmp_path / "r.csv", "24/05/2014 16:30,24/05/2014 17:00:00,34,NI,North Island,1.5,2\n")
     row = C.accepted(C.read_csv(spark, str(tmp_path / "r.csv"), "reserve_prices")).first()
@@ -196,7 +231,8 @@ def test_append_skips_known_rows(spark, tmp_path):
     assert (first.loaded, first.not_loaded) == (2, 1)
     second = append_new_rows(spark, prices(spark, (14, 1, "A", 9, "g"), (15, 1, "A", 4, "g"),
                                            (15, 1, None, 4, "g")), store, "nodal_prices")
-    assert (second.loaded, second.not_loaded) == (1, 2)
+    assert (second.loaded, second.not_loaded, second.rejected) == (1, 1, 1)
+    assert values(read_rejects(spark, store, "nodal_prices"), "source_file", "reject_reason") == [("g", "no node")]
     table = read_table(spark, store, "nodal_prices")
     assert values(table, "trading_year", "price") == [(2013, 1.0), (2014, 3.0), (2015, 4.0)]
     assert values(rows_per_year(table), "trading_year", "n_rows") == [(2013, 1), (2014, 1), (2015, 1)]
@@ -256,7 +292,8 @@ def test_loading_a_folder_twice_is_loading_it_once(spark, tmp_path):
     write(tmp_path / "in" / "a2014.csv", PRICE_HEAD + "\n24/05/2014,1,OTA2201,50.5\n")
     write(tmp_path / "in" / "b2014.csv", "25/05/2014,1,OTA2201,51\n25/05/2014,bad,OTA2201,51\n")
     store = str(tmp_path / "nodal_prices")
-    assert insert_from_csv(spark, str(tmp_path / "in"), store, "nodal_prices").loaded == 2
+    first = insert_from_csv(spark, str(tmp_path / "in"), store, "nodal_prices")
+    assert (first.loaded, first.not_loaded, first.rejected) == (2, 0, 1)
     assert insert_from_csv(spark, str(tmp_path / "in"), store, "nodal_prices").loaded == 0
     assert read_table(spark, store, "nodal_prices").count() == 2
     # one file, and a table that is not split by year

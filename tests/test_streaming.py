@@ -1,9 +1,10 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from halfhourly.sources.csvfiles import accepted
-from halfhourly.sources.tables import read_table
+from halfhourly.sources.tables import read_rejects, read_table
 from halfhourly.streaming import loads as L
 
 
@@ -22,14 +23,37 @@ def test_files_are_loaded_once(spark, tmp_path):
     assert run() == [(24, 50.0)]
     # no header, a repeated key with another price, a day that comes late, a bad row
     (folder / "b.csv").write_text("bad,1,OTA2201,1\n24/05/2014,1,OTA2201,99\n23/05/2013,1,OTA2201,7\n")
-    assert run() == [(23, 7.0), (24, 50.0)]
-    assert run() == [(23, 7.0), (24, 50.0)]
+    assert run() == [(23, 7.0), (24, 99.0)]
+    assert run() == [(23, 7.0), (24, 99.0)]
     # a lost checkpoint reads all files again and still adds nothing
     stream = accepted(L.stream_csv(spark, str(folder), "nodal_prices", max_files=1))
     L.load_new(stream, store, "nodal_prices", str(tmp_path / "other")).awaitTermination()
     assert read_table(spark, store, "nodal_prices").count() == 2
 
 
+@pytest.mark.parametrize("max_files", [1, 100])
+def test_the_batch_cut_changes_nothing(spark, tmp_path, max_files):
+    folder, store = tmp_path / "in", str(tmp_path / "nodal_prices")
+    folder.mkdir()
+    for n, price in enumerate((10, 99, 50)):
+        (folder / f"{n}.csv").write_text(f"24/05/2014,1,OTA2201,{price}\n24/05/201{n},2,OTA2201,1\n"
+                                         f"24/05/2014,3,TOOLONGNODE,{price}\n24/05/2014,x,OTA2201,1\n")
+    stream = L.stream_csv(spark, str(folder), "nodal_prices", max_files=max_files)
+    L.load_new(stream, store, "nodal_prices", str(tmp_path / "check")).awaitTermination()
+    got = sorted((r["trading_year"], r["trading_period"], r["price"])
+                 for r in read_table(spark, store, "nodal_prices").collect())
+    assert got == [(2010, 2, 1.0), (2011, 2, 1.0), (2012, 2, 1.0), (2014, 1, 99.0)]
+    reasons = sorted(r["reject_reason"] for r in read_rejects(spark, store, "nodal_prices").collect())
+    assert reasons == ["cannot read the line"] * 3 + ["node too long"] * 3
+    # the same for a table that is not split by year
+    lakes = str(tmp_path / "lake_levels")
+    for n, level in enumerate((10, 99, 50)):
+        (folder / f"{n}.csv").write_text(f"01/02/2014,{level},Taupo,GWh\n0{n + 1}/03/2014,1,Taupo,GWh\n")
+    stream = L.stream_csv(spark, str(folder), "lake_levels", max_files=max_files)
+    L.load_new(stream, lakes, "lake_levels", str(tmp_path / "lakes")).awaitTermination()
+    assert sorted(r["lake_levels"] for r in read_table(spark, lakes, "lake_levels").collect()) == [1.0, 1.0, 1.0, 99.0]
+
+
 def demand_stream(spark, folder):
     return spark.readStream.schema("trading_date date, trading_period int, area string, "
                                    "demand double").json(str(folder))
@@ -38,15 +62,17 @@ def demand_stream(spark, folder):
 def test_half_hour_demand(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    line = '{{"trading_date": "2014-05-24", "trading_period": {}, "area": "{}", "demand": {}}}\n'
-    for n, rows in enumerate(([(1, "N", 5), (1, "N", 2), (2, "S", 1)], [(1, "N", 3)])):
-        (folder / f"{n}.json").write_text("".join(line.format(*r) for r in rows))
-        stream = L.half_hour_demand(demand_stream(spark, folder), ["area"], "1 day")
-        L.write_updates(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    got = L.latest_updates(spark, str(tmp_path / "out"), ["half_hour", "area"])
+    line = '{{"trading_date": "{}", "trading_period": {}, "area": "{}", "demand": {}}}\n'
+    # the third file is a year late and counts all the same
+    for n, (day, rows) in enumerate((("2014-05-24", [(1, "N", 5), (1, "N", 0.1), (2, "S", 1)]),
+                                     ("2015-05-24", [(1, "N", 3)]), ("2014-05-24", [(1, "N", 0.2)]))):
+        (folder / f"{n}.json").write_text("".join(line.format(day, *r) for r in rows))
+        L.add_half_hours(demand_stream(spark, folder), str(tmp_path / "out"), ["area"],
+                         str(tmp_path / "check")).awaitTermination()
+    got = L.half_hour_totals(spark, str(tmp_path / "out"), ["area"])
     day = dt.datetime(2014, 5, 24)
     assert sorted((r["half_hour"], r["area"], r["demand"]) for r in got.collect()) == [
-        (day, "N", 10.0), (day + dt.timedelta(minutes=30), "S", 1.0)]
+        (day, "N", 5.3), (day + dt.timedelta(minutes=30), "S", 1.0), (day.replace(year=2015), "N", 3.0)]
 
 
 def test_distinct_within(spark, tmp_path):
