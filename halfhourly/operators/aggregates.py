@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,17 +16,28 @@ AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "count": F.count, "std": F.stddev_samp, "var": F.var_samp,
     "prod": F.product, "nunique": F.count_distinct, "size": lambda c: F.count(F.lit(1)),
 }
-SUMS, MEANS, MEDIAN = ("sum",), ("mean", "avg"), "median"
+SUMS, MEANS, ENDS, MEDIAN = ("sum",), ("mean", "avg"), ("first", "last"), "median"
+
+# pandas, numpy and Python functions that are one of the named aggregates
+KNOWN = {pd.Series.sum: "sum", np.sum: "sum", sum: "sum", pd.Series.mean: "mean", np.mean: "mean",
+         pd.Series.min: "min", np.min: "min", min: "min", pd.Series.max: "max", np.max: "max", max: "max",
+         pd.Series.median: "median", np.median: "median", pd.Series.count: "count", len: "size",
+         pd.Series.std: "std", pd.Series.var: "var", pd.Series.nunique: "nunique", pd.Series.prod: "prod",
+         np.prod: "prod"}
 
 
 def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
     """Group by any columns and aggregate the others.
 
     ``meta_agg`` is an aggregate name, a list of names, a mapping from column to
-    name(s), a list of aggregate columns, or a function that takes a column and
-    returns an aggregate column.  Names and functions apply to every numeric
-    column outside the group.  One name keeps the column's name; several give
+    name(s), a list of aggregate columns, or a function.  Names and functions apply to every
+    numeric column outside the group.  One name keeps the column's name; several give
     ``column_name``.  Null group keys drop out.
+
+    A function may take a column and return an aggregate column, or take a pandas series and
+    return a number. Of the latter, those in ``KNOWN`` are aggregated in parts like their names;
+    any other needs a whole group in one task, see :func:`aggregate_series`.
+    ``first`` and ``last`` go by date and period, then by all other columns.
     """
     keys = [meta_group] if isinstance(meta_group, str) else list(meta_group)
     absent = [k for k in keys if k not in df.columns]
@@ -35,21 +47,39 @@ def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
     if not isinstance(meta_agg, Mapping) and _is_columns(meta_agg):
         return kept.groupBy(*keys).agg(*([meta_agg] if isinstance(meta_agg, Column) else meta_agg))
     plan = _plan(df, keys, meta_agg)
-    plain = [_made(df, c, make).alias(alias) for c, make, alias in plan if make != MEDIAN]
-    result = kept.groupBy(*keys).agg(*plain) if plain else None
+    plain, apart = [], []
     for c, make, alias in plan:
-        if make == MEDIAN:
-            middle = quantiles(kept, keys, c, [0.5]).select(*keys, F.col("value").alias(alias))
-            result = middle if result is None else result.join(middle, keys, "left")
+        column = None if make == MEDIAN else _made(df, c, make)
+        if column is not None:
+            plain.append(column.alias(alias))
+        elif make == MEDIAN:
+            apart.append(quantiles(kept, keys, c, [0.5]).select(*keys, F.col("value").alias(alias)))
+        else:
+            apart.append(aggregate_series(kept, keys, c, make, alias))
+    results = ([kept.groupBy(*keys).agg(*plain)] if plain else [kept.select(*keys).distinct()]) + apart
+    result = results[0]
+    for other in results[1:]:
+        result = result.join(other, keys, "left")
     return result.select(*keys, *[alias for _, _, alias in plan])
 
 
-def _made(df: DataFrame, col: str, make) -> Column:
-    """An aggregate of a column; sums and means of floating numbers are exact."""
+def _made(df: DataFrame, col: str, make) -> Column | None:
+    """An aggregate of a column, None for a function of pandas series; sums and means of
+    floating numbers are exact."""
     if make in SUMS or make in MEANS:
         total = exact_sum(col, df.schema[col].dataType)
         return total if make in SUMS else total.cast("double") / F.count(col)
-    return make(F.col(col))
+    if make in ENDS:
+        dated = [c for c in ("trading_date", "trading_period") if c in df.columns]
+        place = F.struct(*dated, *[c for c in df.columns if c not in dated])
+        return (F.min_by if make == "first" else F.max_by)(col, F.when(F.col(col).isNotNull(), place))
+    if make in AGGREGATES:
+        return AGGREGATES[make](F.col(col))
+    try:
+        made = make(F.col(col))
+    except Exception:  # noqa: BLE001 - it is no function of a column
+        return None
+    return made if isinstance(made, Column) else None
 
 
 def _all_present(keys: list[str]) -> Column:
@@ -82,31 +112,27 @@ def _names(agg) -> tuple[list, bool]:
 
 
 def _label(name) -> str:
-    return name if isinstance(name, str) else name.__name__
+    return KNOWN.get(name, name) if isinstance(KNOWN.get(name, name), str) else name.__name__
 
 
 def _lookup(name):
-    if callable(name) or name in (*SUMS, *MEANS, MEDIAN):
-        return name
-    if name not in AGGREGATES:
-        raise ValueError(f"aggregate {name!r}: use one of {sorted([*AGGREGATES, *SUMS, *MEANS, MEDIAN])} "
-                         "or a function from column to aggregate column")
-    return AGGREGATES[name]
+    """The aggregate's name, or the function itself where it is none of the known ones."""
+    if callable(name):
+        return KNOWN.get(name, name)
+    names = sorted([*AGGREGATES, *SUMS, *MEANS, *ENDS, MEDIAN])
+    if name not in names:
+        raise ValueError(f"aggregate {name!r}: use one of {names} or a function")
+    return name
 
 
-def aggregate_series(df: DataFrame, keys: list[str], col: str, function, alias: str,
-                     max_group_rows: int = 1_000_000) -> DataFrame:
+def aggregate_series(df: DataFrame, keys: list[str], col: str, function, alias: str) -> DataFrame:
     """Any pandas function from a series to a number, per group.
 
-    The function sees a whole group at once, so the largest group is counted
-    first; a group that does not fit one task is refused rather than cut.
-    Write the aggregate as columns (see :func:`group_by_meta`) for such data.
+    The function sees the non-null values of a whole group at once, in one task, which must
+    have the memory for the largest group. Name an aggregate, or write one as columns (see
+    :func:`group_by_meta`), where groups grow without bound.
     """
     kept = df.where(_all_present(keys) & F.col(col).isNotNull())
-    largest = (kept.groupBy(*keys).count().agg(F.max("count")).first()[0]) or 0
-    if largest > max_group_rows:
-        raise ValueError(f"a group has {largest} rows, more than {max_group_rows} for one task; "
-                         "pass a function from column to aggregate column instead")
 
     def call(values: pd.Series) -> float:
         return float(function(values))

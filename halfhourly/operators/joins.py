@@ -2,43 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
-# A broadcast side is held whole by every executor, so it is measured first.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast when its rows and their text stay within bounds.
-
-    Rows and bytes are summed in one distributed pass over ``df``, the smaller
-    side.  A larger one is left to a shuffle join, whose skewed partitions
-    adaptive execution splits.
-    """
-    measures = [F.sum(_bytes(f)) for f in df.schema.fields]
-    rows, *sizes = df.agg(F.count(F.lit(1)), *measures).first()
-    return F.broadcast(df) if rows <= max_rows and sum(s or 0 for s in sizes) <= max_bytes else df
-
-
-def _bytes(field: T.StructField) -> Column:
-    col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.octet_length(col)
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.octet_length(F.to_json(F.struct(col)))
-    return F.lit(8)
+from pyspark.sql import Column, DataFrame, functions as F
 
+from halfhourly.session import staged
 
 def merge_meta(df: DataFrame, metadata: DataFrame, col: str = "demand", how: str = "left",
-               node_col: str = "node", meta_node_col: str = "meta_node",
-               max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+               node_col: str = "node", meta_node_col: str = "meta_node") -> DataFrame:
     """Node metadata joined to market rows.
 
     ``left`` keeps nodes the metadata lacks but no row without a value in ``col``;
     ``inner`` keeps the known nodes.  Metadata columns named like a market column
     get ``meta_`` in front, so that no name is ambiguous.
+
+    The metadata is worked out once, into the shared folder. Its stored size tells Spark
+    whether it may be broadcast; otherwise the join shuffles and skewed partitions are split.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"metadata join {how!r}: use left or inner")
@@ -49,7 +26,7 @@ def merge_meta(df: DataFrame, metadata: DataFrame, col: str = "demand", how: str
         metadata = metadata.withColumnRenamed(own["node"], meta_node_col)
     metadata = metadata.withColumnsRenamed(
         {c: f"meta_{c}" for c in metadata.columns if c in df.columns})
-    side = broadcast_if_small(metadata, max_broadcast_rows)
+    side = staged(metadata, "metadata")
     kept = df.where(F.col(col).isNotNull()) if how == "left" else df
     return kept.join(side, kept[node_col] == side[meta_node_col], how)
 
@@ -60,6 +37,17 @@ def value_day_grid(values: DataFrame, begin: Column, end: Column,
     return values.withColumn(day_col, F.explode(F.sequence(begin, end)))
 
 
+def missing_days(held: DataFrame, keys: list[str], begin: Column, end: Column,
+                 day_col: str = "trading_date") -> DataFrame:
+    """For each held key, the days of a range that it has no row for.
+
+    A key's days, no more than the range has, are taken from the range within one row;
+    no grid of keys and days is made.
+    """
+    days = held.groupBy(*keys).agg(F.collect_set(day_col).alias("_days"))
+    return days.select(*keys, F.explode(F.array_except(F.sequence(begin, end), "_days")).alias(day_col))
+
+
 def missing_rows(wanted: DataFrame, held: DataFrame, on: list[str] | str) -> DataFrame:
     """Rows of ``wanted`` whose key is not in ``held``, each key's rows kept.
 

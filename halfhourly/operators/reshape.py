@@ -12,7 +12,6 @@ from halfhourly.schemas import HALF_HOUR_NAMES, MW_PER_HALF_HOUR_KWH, TABLES
 _PERIOD_COLUMN = re.compile(r"^TP\d+$", re.IGNORECASE)
 
 
-
 def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> DataFrame:
     """Wide half-hour energy (TP1..TP50, kWh) as average MW, one row per period.
 
@@ -109,6 +108,14 @@ def lakes_to_columns(df: DataFrame, lakes: list[str], value: str = "lake_levels"
     return rows_to_columns(df, ["trading_date"], "lake", value, lakes)
 
 
-def quotes_to_columns(df: DataFrame, field: str, expiries: list) -> DataFrame:
-    """One field of the futures quotes, product and quote date by expiry."""
-    return rows_to_columns(df, ["product", "quote_date"], "expiry", field, expiries)
+def expiries_of(quotes: DataFrame) -> list:
+    """The expiries of a series in order: a few for each year, as they become columns."""
+    return [r[0] for r in quotes.select("expiry").where(F.col("expiry").isNotNull()).distinct()
+            .orderBy("expiry").collect()]
+
+
+def quotes_to_columns(df: DataFrame, fields: list[str], expiries: list) -> DataFrame:
+    """Fields of the futures quotes by product and quote date, a column ``expiry_field`` for each."""
+    return df.groupBy("product", "quote_date").agg(
+        *[F.max(F.when(F.col("expiry") == F.lit(e), F.col(f))).alias(f"{e}_{f}")
+          for e in expiries for f in fields])

@@ -8,7 +8,6 @@ join.
 
 from __future__ import annotations
 
-import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +37,6 @@ def _market_rows(table, dates, begin_date, end_date, periods, begin_period, end_
 def _with_meta(df, metadata, col, meta_how) -> DataFrame:
     if metadata is None:
         raise ValueError("apply_meta needs the metadata table")
-    warnings.warn("node metadata may be incomplete", stacklevel=3)
     return merge_meta(df, metadata, col, meta_how)
 
 

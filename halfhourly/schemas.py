@@ -57,7 +57,8 @@ HALF_HOUR_NAMES = {"POC": "Grid_Point", "NWK_CODE": "Distribution_Network",
                    "UNIT_MEASURE": "Unit_Measure", "FLOW_DIRECTION": "Flow_Direction",
                    "STATUS": "Status", "TRADING_DATE": "Trading_Date"}
 
-# --- Tables --------------------------------------------------------------------
+# --- Tables: fixed values, as published ------------------------------------------
+# Names, order, types, lengths and unique keys of the columns.
 
 
 @dataclass(frozen=True)
@@ -94,11 +95,6 @@ def _spark_type(kind: str) -> T.DataType:
             "timestamp": T.TimestampNTZType()}[kind]
 
 
-def _columns(text: str) -> dict[str, str]:
-    """``"a:int b:double"`` -> ``{"a": "int", "b": "double"}``."""
-    return dict(item.split(":") for item in text.split())
-
-
 def _doubles(names) -> dict[str, str]:
     return {n: "double" for n in names}
 
@@ -117,100 +113,112 @@ _GENERATOR_BANDS = _doubles(
 _LOAD_BANDS = _doubles(f"band{b}_{speed}_{field}" for b in range(1, 4)
                        for speed in ("6s", "60s") for field in ("price", "max"))
 
-_GRID = _columns("poc:text(7) nwk_code:text(4) generation_type:text(2) trader:text(4) "
-                 "unit_measure:text(3) flow_direction:text(1) status:text(1) "
-                 "trading_date:date") | _PERIODS
+_GRID = {"poc": "text(7)", "nwk_code": "text(4)", "generation_type": "text(2)",
+           "trader": "text(4)", "unit_measure": "text(3)", "flow_direction": "text(1)",
+           "status": "text(1)", "trading_date": "date"} | _PERIODS
 _GRID_KEY = ("poc", "nwk_code", "generation_type", "trader", "trading_date")
 
 
 def _lake(name: str, value: str, unit: int) -> Table:
-    return Table(name, _columns(f"trading_date:date {value}:double lake:text(12) unit:text({unit})"),
+    return Table(name, {"trading_date": "date", value: "double", "lake": "text(12)", "unit": f"text({unit})"},
                  ("trading_date", "lake"), by_year=False)
 
 
 TABLES: dict[str, Table] = {t.name: t for t in (
     Table("nodal_prices",
-          _columns("trading_date:date trading_period:int node:text(7) price:double"),
+          {"trading_date": "date", "trading_period": "int", "node": "text(7)",
+           "price": "double"},
           ("trading_date", "trading_period", "node")),
     Table("nodal_demand",
-          _columns("trading_date:date trading_period:int time:time island:text(2) "
-                   "node:text(7) demand:double"),
+          {"trading_date": "date", "trading_period": "int", "time": "time",
+           "island": "text(2)", "node": "text(7)", "demand": "double"},
           ("trading_date", "trading_period", "node")),
     Table("rich_demand_group",
-          _columns("trading_date:date trading_period:int time:time island:text(2) "
-                   "load_area:text(255) island_name:text(255) demand:double"),
+          {"trading_date": "date", "trading_period": "int", "time": "time",
+           "island": "text(2)", "load_area": "text(255)", "island_name": "text(255)",
+           "demand": "double"},
           ("trading_date", "trading_period", "load_area")),
     Table("energy_offers",
-          _columns("company:text(4) grid_injection_point:text(7) station:text(3) unit:int "
-                   "trading_date:date trading_period:int max_output:double "
-                   "max_ramp_up_rate:double max_ramp_down_rate:double")
-          | _ENERGY_BANDS | _columns("created_date:date last_amended_date:date"),
+          {"company": "text(4)", "grid_injection_point": "text(7)", "station": "text(3)",
+           "unit": "int", "trading_date": "date", "trading_period": "int",
+           "max_output": "double", "max_ramp_up_rate": "double",
+           "max_ramp_down_rate": "double"}
+          | _ENERGY_BANDS | {"created_date": "date", "last_amended_date": "date"},
           ("company", "grid_injection_point", "station", "unit",
            "trading_date", "trading_period")),
     Table("generatorreserves_offers",
-          _columns("company:text(4) grid_point:text(7) trading_date:date trading_period:int "
-                   "station:text(3) unit:int")
-          | _GENERATOR_BANDS | _columns("created_date:date last_amended_date:date"),
+          {"company": "text(4)", "grid_point": "text(7)", "trading_date": "date",
+           "trading_period": "int", "station": "text(3)", "unit": "int"}
+          | _GENERATOR_BANDS | {"created_date": "date", "last_amended_date": "date"},
           ("company", "grid_point", "trading_date", "trading_period", "station", "unit")),
     Table("ilreserves_offers",
-          _columns("company:text(4) grid_exit_point:text(7) trading_date:date "
-                   "trading_period:int int_load_6s:text(1) int_load_60s:text(1)")
-          | _LOAD_BANDS | _columns("created_date:date last_amended_date:date"),
+          {"company": "text(4)", "grid_exit_point": "text(7)", "trading_date": "date",
+           "trading_period": "int", "int_load_6s": "text(1)", "int_load_60s": "text(1)"}
+          | _LOAD_BANDS | {"created_date": "date", "last_amended_date": "date"},
           ("company", "grid_exit_point", "trading_date", "trading_period")),
     Table("grid_imports", _GRID, _GRID_KEY),
     Table("grid_exports", _GRID, _GRID_KEY),
     Table("hvdc_flows", _GRID,
           ("poc", "generation_type", "flow_direction", "trader", "trading_date")),
     Table("embedded_generation",
-          _columns("poc:text(7) nwk_code:text(4) participant_code:text(4) loss_code:text(7) "
-                   "flow_direction:text(1) trading_date:date") | _PERIODS,
+          {"poc": "text(7)", "nwk_code": "text(4)", "participant_code": "text(4)",
+           "loss_code": "text(7)", "flow_direction": "text(1)", "trading_date": "date"} | _PERIODS,
           ("poc", "nwk_code", "participant_code", "flow_direction", "trading_date")),
     Table("unit_level_generation",
-          _columns("poc:text(7) unit_code:text(4) participant_code:text(4) gen_measure:text(3) "
-                   "flow_direction:text(1) gen_type:text(1) trading_date:date") | _PERIODS,
+          {"poc": "text(7)", "unit_code": "text(4)", "participant_code": "text(4)",
+           "gen_measure": "text(3)", "flow_direction": "text(1)", "gen_type": "text(1)",
+           "trading_date": "date"} | _PERIODS,
           ("poc", "unit_code", "participant_code", "gen_type", "trading_date")),
     Table("frequency_keeping_final_offers",
-          _columns("submission_date:timestamp pnode_name:text(13) trader_name:text(4) "
-                   "trading_period_start_date:date mw:double price:double min_mw:double "
-                   "max_mw:double src_offer_block_id:int trading_period:int"),
+          {"submission_date": "timestamp", "pnode_name": "text(13)",
+           "trader_name": "text(4)", "trading_period_start_date": "date", "mw": "double",
+           "price": "double", "min_mw": "double", "max_mw": "double",
+           "src_offer_block_id": "int", "trading_period": "int"},
           ("pnode_name", "trader_name", "trading_period_start_date", "trading_period"),
           date_col="trading_period_start_date"),
     Table("frequency_keeping_final_dispatch",
-          _columns("offer_submission_date:timestamp trading_period_start_date:date "
-                   "offer_price:double frequency_band_mw:double island_name:text(2) "
-                   "pnode_name:text(13) trader_name:text(4) trading_period:int"),
+          {"offer_submission_date": "timestamp", "trading_period_start_date": "date",
+           "offer_price": "double", "frequency_band_mw": "double",
+           "island_name": "text(2)", "pnode_name": "text(13)", "trader_name": "text(4)",
+           "trading_period": "int"},
           ("trader_name", "pnode_name", "trading_period_start_date", "trading_period"),
           date_col="trading_period_start_date"),
     Table("scada_wind_data",
-          _columns("stamp:timestamp bpe_statn_generation_twf_mw:double "
-                   "ltn_statn_generation_twf_mw:double twc_statn_generation_twc_mw:double "
-                   "twh_statn_generation_tuk_mw:double trh_statn_generation_trh_mw:double "
-                   "hwb_statn_generation_mah_mw:double wdv_statn_generation_tap_mw:double "
-                   "wwd_statn_generate_wwd_a_mw:double wwd_statn_generate_wwd_b_mw:double "
-                   "nma_statn_generation_whl_mw:double"),
+          {"stamp": "timestamp", "bpe_statn_generation_twf_mw": "double",
+           "ltn_statn_generation_twf_mw": "double",
+           "twc_statn_generation_twc_mw": "double",
+           "twh_statn_generation_tuk_mw": "double",
+           "trh_statn_generation_trh_mw": "double",
+           "hwb_statn_generation_mah_mw": "double",
+           "wdv_statn_generation_tap_mw": "double",
+           "wwd_statn_generate_wwd_a_mw": "double",
+           "wwd_statn_generate_wwd_b_mw": "double",
+           "nma_statn_generation_whl_mw": "double"},
           ("stamp",), date_col="stamp"),
     Table("temperature_data",
-          _columns("local_time:time temperature:int dewpoint:int humidity:int barometer:int "
-                   "visibility:int wind_direction:text(15) wind_speed:double "
-                   "gust_speed:double precipitation:double events:text(255) "
-                   "conditions:text(255) trading_date:date location:text(255)"),
+          {"local_time": "time", "temperature": "int", "dewpoint": "int",
+           "humidity": "int", "barometer": "int", "visibility": "int",
+           "wind_direction": "text(15)", "wind_speed": "double", "gust_speed": "double",
+           "precipitation": "double", "events": "text(255)", "conditions": "text(255)",
+           "trading_date": "date", "location": "text(255)"},
           ("trading_date", "local_time", "location")),
     _lake("lake_levels", "lake_levels", 3),
     _lake("lake_inflows", "inflows", 5),
     _lake("lake_cusum", "cusum", 3),
     Table("reserve_prices",
-          _columns("period_start:timestamp period_end:timestamp trading_period:int "
-                   "region_id:text(2) region:text(255) fir_price:double sir_price:double"),
+          {"period_start": "timestamp", "period_end": "timestamp",
+           "trading_period": "int", "region_id": "text(2)", "region": "text(255)",
+           "fir_price": "double", "sir_price": "double"},
           ("period_start", "trading_period", "region"), by_year=False,
           date_col="period_start"),
     # published under the name of the table above, with other columns
     Table("reserve_prices_final",
-          _columns("trading_date:date trading_period:int region:text(255) fir_price:double "
-                   "sir_price:double"),
+          {"trading_date": "date", "trading_period": "int", "region": "text(255)",
+           "fir_price": "double", "sir_price": "double"},
           ("trading_date", "trading_period", "region"), by_year=False),
 )}
 
-# --- Published sources ---------------------------------------------------------
+# --- Published sources: fixed values ---------------------------------------------
 # What a published file is called and which table it feeds.
 
 

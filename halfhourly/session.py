@@ -8,16 +8,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(app: str = "halfhourly", master: str | None = None, **conf: str) -> SparkSession:
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int, partition_bytes: int = PARTITION_BYTES, least: int = 200) -> int:
+    """Shuffle partitions for an input of a size: as many as keep each near ``partition_bytes``."""
+    return max(least, -(-input_bytes // partition_bytes))
+
+
+def get_spark(app: str = "halfhourly", master: str | None = None, input_bytes: int = 0,
+              **conf: str) -> SparkSession:
     """A session with the settings the library is written for.
 
-    Adaptive execution picks partition counts and splits skewed joins at run
-    time; timestamps carry no zone, so the session zone is pinned.
+    Adaptive execution merges small partitions and splits skewed joins at run time, but
+    makes no more partitions than a shuffle starts with, so their number follows
+    ``input_bytes``; timestamps carry no zone, so the session zone is pinned.
     """
     builder = (SparkSession.builder.appName(app)
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.shuffle.partitions", str(partitions_for(input_bytes)))
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false"))
     if master:

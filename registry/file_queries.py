@@ -99,6 +99,19 @@ def _(spark, sf):
         "trading_year", "n_rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
+@query("unsplit_size", sql("SELECT COUNT(*) AS n_rows, TRUE AS size_agrees FROM v_storage", "v_storage"))
+def _(spark, sf):
+    """A table that is not split by year: its size is that of the files the rows were written to."""
+    store = work_folder(spark, "unsplit") + "/lake_levels"
+    lakes = conform(V.storage(spark, sf).withColumn("unit", F.lit("GWh")), "lake_levels")
+    append_new_rows(spark, lakes, store, "lake_levels")
+    table = read_table(spark, store, "lake_levels")
+    listed = spark.read.format("binaryFile").load(store).agg(F.sum("length").alias("listed"))
+    bytes_held = bytes_per_year(table).first()["bytes"]
+    counted = table.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.withColumn("size_agrees", F.lit(bytes_held == listed.first()["listed"] and bytes_held > 0))
+
+
 @query("xml_roundtrip", """
 SELECT CAST(o_orderdate AS TIMESTAMP) AS submission_date, 'P' || o_custkey AS pnode_name,
        CAST(o_orderdate AS DATE) AS trading_period_start_date, o_totalprice AS price,

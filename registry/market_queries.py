@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-import warnings
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from halfhourly.functions.dates import (join_days, trading_id, trading_timestamp,
+from halfhourly.functions.dates import (join_days, period_of, trading_id, trading_timestamp,
                                         trading_timestamp_of_id)
 from halfhourly.operators import predicates as P
 from halfhourly.operators.aggregates import (days_by_year, demand_by_area, distinct_values,
@@ -20,16 +20,17 @@ from halfhourly.plans.market import (Market, query_nodal_demand, query_nodal_pri
                                      stack)
 from halfhourly.operators.ordered import newest
 from halfhourly.operators.reshape import offer_bands
-from halfhourly.schemas import TABLES
+from halfhourly.schemas import CORE_NODES, TABLES, WIND_NODES
+from halfhourly.session import work_folder
+from halfhourly.sources.csvfiles import read_metadata, write_csv
 from halfhourly.sources.tables import run_sql
 from registry import views as V
 from registry.views import quantile_sql, query, sql
 
-warnings.filterwarnings("ignore", message="node metadata may be incomplete")
-
 BEGIN, END = "1996-12-20", "1998-02-10"
 _IN_RANGE = "trading_date BETWEEN DATE '1996-12-20' AND DATE '1998-02-10'"
 _DAYS = ["14-05-1997", "1996-03-31", dt.date(1999, 7, 8), 20000110]
+_ALWAYS = {"begin_date": "1900-01-01", "end_date": "2099-12-31"}
 _THREE = ["S1", "S2", "S3"]
 _OFF = ["S4", "S5", "S6"]
 _DEMAND = "SELECT trading_date, trading_period, node, demand FROM v_demand WHERE "
@@ -198,16 +199,54 @@ def _(spark, sf):
                                     minimum_price=2, maximum_price=60, apply_meta=True)
 
 
+_POINTS = [f"S{i}" for i in range(2, 60)]
+_POINTS_SQL = ", ".join(f"'{p}'" for p in _POINTS)
+
+
+def _node_of(number):
+    """A node name of the fixed sets, or another one, for a number."""
+    names = F.array(*[F.lit(n) for n in (*CORE_NODES, *WIND_NODES, "XXX0001")])
+    return F.get(names, F.pmod(number, F.lit(15)).cast("int"))
+
+
+_NODES_SQL = "[" + ", ".join(f"'{n}'" for n in (*CORE_NODES, *WIND_NODES, "XXX0001")) + "]"
+
+
+@query("price_core_set", f"""
+SELECT CAST(ts AS DATE) AS trading_date,
+       CAST(hour(ts) * 2 + CASE WHEN minute(ts) >= 30 THEN 1 ELSE 0 END AS INT) + 1 AS trading_period,
+       list_extract({_NODES_SQL}, CAST(user_id % 15 AS INT) + 1) AS node, value AS price
+FROM events WHERE user_id % 15 < 8""")
+def _(spark, sf):
+    prices = V.read(spark, sf, "events").select(
+        F.col("ts").cast("date").alias("trading_date"), period_of("ts").alias("trading_period"),
+        _node_of(F.col("user_id")).alias("node"), F.col("value").alias("price"))
+    return query_nodal_price(prices, **_ALWAYS, nodes="Core")
+
+
+@query("demand_without_wind", f"""
+SELECT CAST(l_shipdate AS DATE) AS trading_date,
+       CAST((l_orderkey * 7 + l_linenumber) % 48 AS INT) + 1 AS trading_period,
+       list_extract({_NODES_SQL}, CAST(l_suppkey % 15 AS INT) + 1) AS node, l_quantity AS demand
+FROM lineitem WHERE l_suppkey % 15 NOT BETWEEN 8 AND 13""")
+def _(spark, sf):
+    lines = V.read(spark, sf, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("trading_date"),
+        (((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 48).cast("int") + 1).alias("trading_period"),
+        _node_of(F.col("l_suppkey")).alias("node"), F.col("l_quantity").alias("demand"))
+    return query_nodal_demand(lines, **_ALWAYS, excl_nodes="Wind")
+
+
 @query("offer_by_type", sql(f"""
 SELECT * FROM v_offer WHERE {_IN_RANGE} AND trading_period IN (17, 18, 33)
-  AND company IN ('C1', 'C2', 'C3', 'C4') AND station <> 'zzz'
-  AND grid_injection_point NOT IN ('S0')""", "v_offer"))
+  AND company IN ('C1', 'C2', 'C3', 'C4') AND station IN ('STA', 'ECO', 'PRO')
+  AND grid_injection_point IN ({_POINTS_SQL})""", "v_offer"))
 def _(spark, sf):
     market = Market(spark, tables={"energy_offers": V.offer(spark, sf, begin_date=BEGIN,
                                                             end_date=END)})
     return market.query_offer("energy_offers", begin_date=BEGIN, end_date=END,
                               periods=[17, 18, 33], companies=["C1", "C2", "C3", "C4"],
-                              as_offerframe=False)
+                              stations=["STA", "ECO", "PRO"], grid_points=_POINTS, as_offerframe=False)
 
 
 _LONG = """
@@ -247,7 +286,11 @@ SELECT trading_date, trading_period, node, demand, meta_node, load_area, island_
 FROM v_demand LEFT JOIN v_meta ON node = meta_node WHERE demand IS NOT NULL""",
     "v_demand", "v_meta"))
 def _(spark, sf):
-    return merge_meta(V.demand(spark, sf), V.meta(spark, sf), "demand")
+    # the metadata goes through a file, as it is published
+    folder = work_folder(spark, "metadata")
+    write_csv(V.meta(spark, sf).withColumnsRenamed({"meta_node": "Node", "load_area": "Load Area",
+                                                    "island_name": "Island_Name"}), folder)
+    return merge_meta(V.demand(spark, sf), read_metadata(spark, folder), "demand")
 
 
 @query("demand_multi_agg", sql("""
@@ -270,6 +313,36 @@ def _(spark, sf):
     return group_by_meta(rich, "load_area", lambda c: F.max(c) - F.min(c))
 
 
+@query("demand_pandas_agg", sql("""
+SELECT load_area, CAST(SUM(trading_period) AS BIGINT) AS trading_period_sum, SUM(demand) AS demand_sum,
+       quantile_cont(trading_period, 0.9) AS trading_period_upper, quantile_cont(demand, 0.9) AS demand_upper
+FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1""", "v_demand", "v_meta"))
+def _(spark, sf):
+    """A known pandas aggregate, taken in parts, and one that needs its group in one task."""
+    def upper(values):
+        return values.quantile(0.9)
+
+    return query_nodal_demand(V.demand(spark, sf), **_ALWAYS, apply_meta=True,
+                              meta_how="inner", metadata=V.meta(spark, sf),
+                              meta_group="load_area", meta_agg=[pd.Series.sum, upper])
+
+
+@query("exact_area_sums", sql("""
+SELECT CAST(l_shipdate AS DATE) AS trading_date,
+       CAST((l_orderkey * 7 + l_linenumber) % 48 AS INT) + 1 AS trading_period, island_name, load_area,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS demand
+FROM lineitem JOIN v_meta ON concat('S', CAST(l_suppkey AS VARCHAR)) = meta_node
+GROUP BY 1, 2, 3, 4""", "v_meta"))
+def _(spark, sf):
+    """Values that are no whole numbers, added up in whatever order."""
+    lines = V.read(spark, sf, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("trading_date"),
+        (((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 48).cast("int") + 1).alias("trading_period"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("node"),
+        F.col("l_extendedprice").alias("demand"))
+    return demand_by_area(merge_meta(lines, V.meta(spark, sf), "demand"))
+
+
 @query("rich_demand_group", sql("""
 SELECT trading_date, trading_period, island_name, load_area, SUM(demand) AS demand
 FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1, 2, 3, 4""", "v_demand", "v_meta"))

@@ -10,13 +10,14 @@ from halfhourly.functions.dates import expiry_label
 from halfhourly.functions.text import first_word
 from halfhourly.operators.aggregates import span
 from halfhourly.operators.ordered import carry_down
-from halfhourly.operators.reshape import half_hour_to_long, quotes_to_columns, wind_to_long
+from halfhourly.operators.reshape import expiries_of, half_hour_to_long, quotes_to_columns, wind_to_long
 from halfhourly.plans.futures import (append_new_quotes, last_day_held, product_info,
                                       weekdays_to_fetch)
 from halfhourly.plans.hydro import (lake_matrix, shift_to_day_before, storage_by_day_of_year,
                                     year_of_series)
 from halfhourly.plans.market import query_offer
 from halfhourly.schemas import FUTURES_PRODUCTS, TABLES
+from halfhourly.session import staged
 from registry import views as V
 from registry.views import quantile_sql, query, sql
 
@@ -77,6 +78,21 @@ def _(spark, sf):
 _LAKES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
 
+@query("exact_half_hours", """
+SELECT 'S' || l_suppkey AS "Grid_Point", CAST(l_shipdate AS DATE) AS "Trading_Date", 'MW' AS "Unit_Measure",
+       CAST(l_linenumber AS INT) AS "Trading_Period",
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) * 0.002 AS "Average_Output"
+FROM lineitem GROUP BY 1, 2, 4""")
+def _(spark, sf):
+    """Several wide rows per id, whose values are no whole numbers."""
+    at = F.col("l_linenumber")
+    wide = V.read(spark, sf, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("poc"),
+        F.col("l_shipdate").cast("date").alias("trading_date"),
+        *[F.when(at == k, F.col("l_extendedprice")).alias(f"TP{k}") for k in range(1, 51)])
+    return half_hour_to_long(wide)
+
+
 @query("unpivot_halfhour", sql("""
 SELECT poc AS "Grid_Point", nwk_code AS "Distribution_Network", trading_date AS "Trading_Date",
        'MW' AS "Unit_Measure", trading_period AS "Trading_Period",
@@ -184,14 +200,13 @@ def _(spark, sf):
                           "expiry", "sett", "volume")
 
 
-_EXPIRIES = [dt.date(y, m, 1) for y in (1996, 1997, 1998) for m in (1, 4, 7, 10)]
-
-
-@query("futures_wide", sql("SELECT product, quote_date, " + ", ".join(
-    f"MAX(CASE WHEN expiry = DATE '{e}' THEN sett END) AS \"{e}\"" for e in _EXPIRIES)
-    + " FROM v_quote GROUP BY 1, 2", "v_quote"))
+@query("futures_wide", sql("""
+SELECT * FROM (PIVOT v_quote ON expiry USING MAX(sett) AS sett, MAX(volume) AS volume, MAX(op_int) AS op_int
+               GROUP BY product, quote_date)""", "v_quote"))
 def _(spark, sf):
-    return quotes_to_columns(V.quote(spark, sf), "sett", _EXPIRIES)
+    """All expiries of the lines and all three fields."""
+    quotes = staged(V.quote(spark, sf), "quotes")
+    return quotes_to_columns(quotes, ["sett", "volume", "op_int"], expiries_of(quotes))
 
 
 _HELD_UNTIL = dt.date(1998, 6, 30)

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from halfhourly.functions import dates as D, text as X
 from halfhourly.operators.coverage import link_days, manifest, matching_links, named_days
-from halfhourly.operators.joins import missing_rows, value_day_grid
+from halfhourly.operators.joins import missing_days
 from halfhourly.operators.predicates import larger_than_bytes
-from halfhourly.plans.futures import quotes_of_pages
+from halfhourly.plans.futures import quotes_of_pages, refresh_quotes
 from halfhourly.plans.weather import weather_of_pages
+from halfhourly.session import staged
 from halfhourly.sources.lakes import lake_rows
 from halfhourly.sources.markup import page_links, page_table_rows
 from registry import views as V
@@ -246,8 +247,7 @@ def _(spark, sf):
         F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("location"),
         F.col("ts").cast("date").alias("trading_date"))
     first, last = events.agg(F.min("trading_date"), F.max("trading_date")).first()
-    wanted = value_day_grid(events.select("location").distinct(), F.lit(first), F.lit(last))
-    return missing_rows(wanted, events, ["location", "trading_date"])
+    return missing_days(events, ["location"], F.lit(first), F.lit(last))
 
 
 # --- stored files and pages, one made from each given row ----------------------
@@ -275,14 +275,17 @@ def _(spark, sf):
     return lake_rows(orders.select(text.alias("value"), _text("f", "{o_orderkey}").alias("source_file")))
 
 
-@query("futures_pages", """
+_SQL_PAGES = """
 SELECT DISTINCT quote_date, product, CAST(date_trunc(part, quote_date) AS DATE) AS expiry,
        CASE product WHEN 'EA' THEN -abs(c_acctbal) ELSE abs(c_acctbal) END AS sett,
        CASE product WHEN 'EA' THEN CAST(c_custkey AS DOUBLE) END AS volume,
        CAST(c_nationkey AS DOUBLE) AS op_int
 FROM (SELECT *, DATE '2010-01-01' + CAST(c_custkey % 3000 AS INT) AS quote_date FROM customer) c,
-     (VALUES ('EA', 'quarter'), ('ED', 'month')) p(product, part)""")
-def _(spark, sf):
+     (VALUES ('EA', 'quarter'), ('ED', 'month')) p(product, part)"""
+
+
+def _summary_pages(spark, sf):
+    """A daily page for each customer, with rows of two products."""
     pages = V.read(spark, sf, "customer").withColumn(
         "day", F.date_add(F.lit(dt.date(2010, 1, 1)), (F.col("c_custkey") % 3000).cast("int")))
     pages = pages.select(
@@ -298,7 +301,32 @@ def _(spark, sf):
                  " " * 5000, "</html>")
     # the folder keeps the pages of one day apart, the name gives the day
     name = _text("/pages/", "{c_custkey}", "/EODWebMarketSummary", "{code}", "ZFT.htm")
-    return quotes_of_pages(pages.select(name.alias("name"), html.alias("html")))
+    return pages.select(name.alias("name"), html.alias("html"))
+
+
+@query("futures_pages", _SQL_PAGES)
+def _(spark, sf):
+    return quotes_of_pages(_summary_pages(spark, sf))
+
+
+# EA is held up to one day and ED lags behind; held quotes are told by their price
+_HELD_SQL = "(product = 'EA' AND quote_date <= DATE '2014-06-30') OR (product = 'ED' AND quote_date <= DATE '2014-01-31')"
+
+
+@query("futures_refresh", f"""
+WITH q AS ({_SQL_PAGES}), held AS (SELECT * FROM q WHERE {_HELD_SQL}),
+ends AS (SELECT p.product, coalesce(MAX(h.quote_date), MIN(p.start)) AS last_day
+         FROM (VALUES ('EA', DATE '2009-07-13'), ('ED', DATE '2013-12-08')) p(product, start)
+         LEFT JOIN held h ON h.product = p.product GROUP BY 1)
+SELECT quote_date, product, expiry, sett + 1 AS sett, volume, op_int FROM held
+UNION ALL
+SELECT q.* FROM q JOIN ends ON q.product = ends.product
+WHERE isodow(quote_date) <= 5 AND quote_date > last_day
+  AND quote_date > CASE q.product WHEN 'ED' THEN DATE '2013-12-08' ELSE DATE '2009-07-13' END""")
+def _(spark, sf):
+    pages = _summary_pages(spark, sf)
+    held = staged(quotes_of_pages(pages).where(_HELD_SQL).withColumn("sett", F.col("sett") + 1), "held")
+    return refresh_quotes(held, pages)
 
 
 _WEATHER_HEAD = "".join(f"<td>{c}</td>" for c in (

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from halfhourly.operators.aggregates import aggregate_series, group_by_meta
-from halfhourly.operators.joins import broadcast_if_small, merge_meta, missing_rows
+from halfhourly.operators.joins import merge_meta, missing_days, missing_rows
 from halfhourly.plans.market import (Market, query_nodal_demand, query_nodal_price, query_offer,
                                      stack)
 
@@ -74,18 +74,20 @@ def test_meta_join_keeps_unknown_nodes_and_drops_empty_rows(demand, meta, rows):
         merge_meta(demand, meta, "demand", "outer")
 
 
-def test_broadcast_only_below_the_limit(demand, meta):
-    assert "Broadcast" in plan(merge_meta(demand, meta, "demand", max_broadcast_rows=4))
-    assert "ResolvedHint" not in plan(broadcast_if_small(meta, 3))
-    hinted = broadcast_if_small(meta, 4)._jdf.queryExecution().analyzed().toString()
-    plain = broadcast_if_small(meta, 3)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
-    wide = broadcast_if_small(meta, max_bytes=20)._jdf.queryExecution().analyzed().toString()
-    nested = meta.select("Node", F.array("island").alias("a"), F.lit(None).cast("int").alias("n"))
-    assert "broadcast" not in wide
-    assert "broadcast" in broadcast_if_small(nested)._jdf.queryExecution().analyzed().toString()
-    same = merge_meta(demand, meta, "demand", max_broadcast_rows=1)
-    assert same.count() == 5
+def test_broadcast_goes_by_the_stored_size(spark, demand, meta):
+    assert "BroadcastHashJoin" in plan(merge_meta(demand, meta, "demand"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    same = merge_meta(demand, meta, "demand")
+    assert "BroadcastHashJoin" not in plan(same) and same.count() == 5
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_missing_days(spark, rows):
+    held = spark.createDataFrame([("a", dt.date(2014, 1, 1)), ("a", dt.date(2014, 1, 3)), ("a", dt.date(2014, 1, 3)),
+                                  ("b", dt.date(2013, 1, 1)), ("c", None)], "place string, trading_date date")
+    got = rows(missing_days(held, ["place"], F.lit(dt.date(2014, 1, 1)), F.lit(dt.date(2014, 1, 3))))
+    assert got == sorted([("a", dt.date(2014, 1, 2)), *[(p, dt.date(2014, 1, d)) for p in "bc" for d in (1, 2, 3)]], key=repr)
 
 
 def test_grouped_demand(demand, meta, rows):
@@ -118,13 +120,20 @@ def test_grouping_errors(demand, meta):
         group_by_meta(demand, "node", "mode of the day")
 
 
-def test_aggregate_series(demand, rows):
+def test_functions_of_series(spark, demand, rows):
     spread = aggregate_series(demand, ["node"], "demand", lambda s: s.max() - s.min(), "spread")
     assert ("OTA2201", 5.0) in rows(spread)
-    assert rows(aggregate_series(demand, ["node"], "demand", pd.Series.sum, "total"))[0] == \
-        ("BEN2201", 7.0)
-    with pytest.raises(ValueError):
-        aggregate_series(demand, ["node"], "demand", pd.Series.sum, "t", max_group_rows=1)
+
+    def upper(values):
+        return values.quantile(0.5)
+
+    both = group_by_meta(demand, "node", {"demand": [pd.Series.sum, upper, "first", "last"]})
+    assert both.columns == ["node", "demand_sum", "demand_upper", "demand_first", "demand_last"]
+    assert {r["node"]: tuple(r)[1:] for r in both.collect()} == {
+        "OTA2201": (5.0, 2.5, 5.0, 0.0), "TWC2201": (-3.0,) * 4, "BEN2201": (7.0,) * 4, "XXX0001": (2.0,) * 4}
+    # a function of a column, next to one of a series
+    mixed = group_by_meta(demand, "node", {"demand": [F.max, upper]})
+    assert rows(mixed)[0] == ("BEN2201", 7.0, 7.0)
 
 
 def test_offers(spark, rows):

@@ -117,9 +117,9 @@ def test_growing_series(spark):
     days = X.weekdays_to_fetch(last, F.lit(d(2014, 1, 14)))
     assert values(days.where("product = 'EA'"), "quote_date") == [
         (d(2014, 1, 10),), (d(2014, 1, 13),), (d(2014, 1, 14),)]
-    wide = quotes_to_columns(series, "sett", [d(2014, 1, 1), d(2014, 4, 1)])
-    assert wide.columns == ["product", "quote_date", "2014-01-01", "2014-04-01"]
-    assert wide.where("`2014-01-01` IS NULL").count() == 1
+    wide = quotes_to_columns(series, ["sett"], [d(2014, 1, 1), d(2014, 4, 1)])
+    assert wide.columns == ["product", "quote_date", "2014-01-01_sett", "2014-04-01_sett"]
+    assert wide.where("`2014-01-01_sett` IS NULL").count() == 1
 
 
 def weather_page(*rows_):
