@@ -125,43 +125,43 @@ class Scanner:
             if packed >= size:
                 break
             name, wanted, _ = self.templates[k]
-            while found := self._aligned(words, wanted):
-                first, last, similarity, missing, extra = found
+            for first, last, similarity, missing, extra in list(self._aligned(words, wanted)):
                 out.append(Finding(spots[first][0], spots[last][1], name, size, packed, similarity,
                                    " ".join(missing), " ".join(extra)))
                 words[first:last + 1] = [None] * (last + 1 - first)
         return sorted(out)
 
-    def _aligned(self, words: list[str | None], wanted: list[str]) -> tuple | None:
-        """The best place of a template: first and last word, share of its words found, differences."""
+    def _aligned(self, words: list[str | None], wanted: list[str]) -> Iterator[tuple]:
+        """The places of a template, from left to right: first and last word, share of its words
+        found, differences."""
         lowered = [w.lower() if w is not None else None for w in words]
         target = [w.lower() for w in wanted]
-        need, inside = self.min_similarity * len(target), set(target)
-        # only stretches with enough words of the template, near to each other, are aligned
+        need, inside, width = self.min_similarity * len(target), set(target), 2 * len(target)
         hits = [i for i, w in enumerate(lowered) if w in inside]
-        width = 2 * len(target)
-        best, tried = None, -1
+        end, upto, wall = -1, 0, 0
         for n, i in enumerate(hits):
-            if i <= tried:
+            if i <= end:
                 continue
-            stop = next((j for j in range(i, min(i + width, len(words))) if words[j] is None), min(i + width, len(words)))
-            near = sum(1 for j in hits[n:n + width] if j < stop)
-            if near < need:
+            while upto < len(hits) and hits[upto] < i + width:
+                upto += 1
+            if upto - n < need:  # too few words of the template are near
                 continue
-            match = [m for m in SequenceMatcher(None, lowered[i:stop], target, autojunk=False).get_matching_blocks() if m.size]
+            wall = max(wall, i)
+            while wall < min(i + width, len(words)) and words[wall] is not None:
+                wall += 1
+            match = [m for m in SequenceMatcher(None, lowered[i:wall], target, autojunk=False).get_matching_blocks()
+                     if m.size]
             same = sum(m.size for m in match)
-            if match and same >= need and (best is None or same > best[2] * len(target)):
-                first, last = i + match[0].a, i + match[-1].a + match[-1].size - 1
-                held = {m.b + x for m in match for x in range(m.size)}
-                missing = [w for k, w in enumerate(wanted) if k not in held]
-                used = {i + m.a + x for m in match for x in range(m.size)}
-                extra = [words[j] for j in range(first, last + 1) if j not in used]
-                if not any(_tells(w) for w in missing):
-                    best = (first, last, same / len(target), missing, extra)
-                    tried = last
-                    if same == len(target):
-                        break
-        return best
+            if same < need:
+                continue
+            held = {m.b + x for m in match for x in range(m.size)}
+            missing = [w for k, w in enumerate(wanted) if k not in held]
+            if any(_tells(w) for w in missing):
+                continue
+            first, last = i + match[0].a, i + match[-1].a + match[-1].size - 1
+            used = {i + m.a + x for m in match for x in range(m.size)}
+            end = last
+            yield first, last, same / len(target), missing, [words[j] for j in range(first, last + 1) if j not in used]
 
 
 def found_licenses(docs: DataFrame, keep: list[str], text_col: str = "text",

@@ -42,6 +42,12 @@ def test_long_texts_of_cues():
     assert [(f.license, text[f.start:f.end]) for f in SCAN.find(text)] == [("GPL-2.0", BY_NAME["GPL-2.0"])]
 
 
+def test_many_statements_in_one_text():
+    text = "\n".join([BY_NAME["MIT"], BY_NAME["GPL-3.0"]] * 3000)
+    found = SCAN.find(text)
+    assert len(found) == 6000 and {f.similarity for f in found} == {1.0}
+
+
 def test_table(spark):
     rng = random.Random(3)
     prose = lambda: "\n".join(" ".join(rng.choice(["the", "rivér", "ran"]) for _ in range(9)) + "." for _ in range(4))
