@@ -1,7 +1,7 @@
 """Language of words in mixed texts by a linear-chain conditional random field.
 
 Each word has features: its first and last one to three letters, its letter pairs and
-triples, and how the lexicon sees it, the learnt counts of texts of each language
+triples (hashed to slots), and how the lexicon sees it, the learnt counts of texts of each language
 that use the word. The field's labels are the languages; transitions between neighbouring words are
 learnt with the rest. Forward-backward gives every word its distribution, whatever the
 length of the text; the text's language is the one with the largest sum over words, its
@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -33,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from halfhourly.llm.common import arrow_texts, slices, texts_of
+from halfhourly.session import staged
 
 FOLDS, HELD_OUT = 4, 2
 MAX_TEXTS, PIECE, STRUNG = 4_000, 24, 8
 MAX_WORDS = 50_000
-BLOCK, _BLOCKS_AT_ONCE, _BITS, _CACHED = 32, 4096, 16, 400_000
+BLOCK, _BLOCKS_AT_ONCE, _BITS, _CACHED = 32, 4096, 16, 600_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -45,15 +47,31 @@ def held_out(id_col: str, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def _slot(feature: str) -> int:
-    return zlib.crc32(feature.encode()) & (1 << _BITS) - 1
+def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashed slots of the words' letter pairs, triples, and first and last four, and how many each word has.
 
+    Words are framed, so the pairs, triples and fours at their ends are affixes of one to three letters.
+    """
+    codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    codes = np.concatenate([codes, np.zeros(2, dtype=np.uint64)])
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+
+    def slots(at: np.ndarray, width: int) -> np.ndarray:
+        h = np.full(len(at), width, dtype=np.uint64)
+        for k in range(width):
+            h = (h ^ codes[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h >> np.uint64(64 - _BITS)).astype(np.int64)
 
-def features(word: str) -> list[int]:
-    """Hashed slots of a word's affixes, letter pairs and triples."""
-    out = [_slot(f"p{word[:k]}") for k in (1, 2, 3)] + [_slot(f"s{word[-k:]}") for k in (1, 2, 3)]
-    framed = f"^{word}$"
-    return out + [_slot(framed[i:i + k]) for k in (2, 3) for i in range(len(framed) - k + 1)]
+    def inside(width: int) -> tuple[np.ndarray, np.ndarray]:
+        held = sizes - width + 1
+        at = np.arange(held.sum()) + np.repeat(starts - np.cumsum(held) + held, held)
+        return slots(at, width), held
+
+    fours = np.stack([starts, np.maximum(ends - 4, starts)], axis=1).ravel()
+    return [inside(2), inside(3), (slots(fours, 4), np.full(len(words), 2))]
 
 
 class Model(NamedTuple):
@@ -73,13 +91,6 @@ class Tagger:
         self.place: dict[str, int] = {}
         self.scores = np.zeros((1024, len(model.languages)))
 
-    def emission(self, word: str) -> np.ndarray:
-        slots = features(word)
-        score = self.model.weights[slots].sum(axis=0)
-        if word in self.model.lexicon:
-            score = score + self.model.lexical * np.array(self.model.lexicon[word])
-        return score
-
     def _learn(self, words: set[str]) -> None:
         if len(self.place) > _CACHED:
             self.place.clear()
@@ -88,21 +99,24 @@ class Tagger:
             return
         at = len(self.place)
         if at + len(new) > len(self.scores):
-            self.scores = np.resize(self.scores, (2 * (at + len(new)), self.scores.shape[1]))
-        slots = [features(w) for w in new]
-        sizes = np.array([len(s) for s in slots])
-        flat = self.model.weights[np.concatenate(slots).astype(np.int64)]
-        found = np.add.reduceat(flat, np.cumsum(sizes) - sizes, axis=0)
-        for k, word in enumerate(new):
+            grown = np.zeros((2 * (at + len(new)), self.scores.shape[1]))
+            grown[:at] = self.scores[:at]
+            self.scores = grown
+        self.scores[at:at + len(new)] = self.word_scores(new)
+        self.place.update(zip(new, range(at, at + len(new))))
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        found = sum(np.add.reduceat(self.model.weights[slots], np.cumsum(sizes) - sizes, axis=0)
+                    for slots, sizes in features(words))
+        for k, word in enumerate(words):
             if word in self.model.lexicon:
                 found[k] += self.model.lexical * np.array(self.model.lexicon[word])
-        self.scores[at:at + len(new)] = found
-        self.place.update(zip(new, range(at, at + len(new))))
+        return found
 
     def emissions(self, texts: list[list[str]]) -> np.ndarray:
         """Scores of all words of the texts, one after another."""
         self._learn(set().union(*texts))
-        return self.scores[np.fromiter((self.place[w] for t in texts for w in t), dtype=np.int64,
+        return self.scores[np.fromiter(map(self.place.__getitem__, chain.from_iterable(texts)), dtype=np.int64,
                                        count=sum(map(len, texts)))]
 
     def marginals(self, texts: list[list[str]]) -> np.ndarray:
@@ -207,7 +221,17 @@ def _lexicon(train: DataFrame, totals: dict[str, int], max_words: int) -> dict[s
     languages = sorted(totals)
     by_word = counts.groupBy("word").agg(*[F.sum(F.when(F.col("lang") == c, F.col("n")).otherwise(0)).alias(f"n{i}")
                                            for i, c in enumerate(languages)], F.sum("n").alias("n"))
-    top = by_word.where("n > 1").orderBy(F.desc("n"), "word").limit(max_words).collect()
+    # the least count that at most max_words words reach, by steps of an eighth of a doubling
+    by_word = staged(by_word.where("n > 1"), "words")
+    step = F.floor(F.log2("n") * 8)
+    steps = by_word.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect()
+    least, held = 1 << 30, 0
+    for r in steps:
+        held += r.words
+        if held > max_words:
+            break
+        least = r.step
+    top = by_word.where(step >= least).orderBy("word").collect()
     out = {}
     for r in top:
         share = np.array([(r[f"n{i}"] + 0.5) / (totals[c] + 1) for i, c in enumerate(languages)])
@@ -242,9 +266,7 @@ def _fitted(model: Model, sequences: list[tuple[list[str], np.ndarray]], rounds:
     known = {w: i for i, w in enumerate(sorted(set().union(*texts)))}
     words = list(known)
     word = np.fromiter((known[w] for t in texts for w in t), dtype=np.int64, count=n)
-    slots = [features(w) for w in words]
-    width = np.array([len(s) for s in slots])
-    flat, begin = np.concatenate(slots).astype(np.int64), np.cumsum(width) - width
+    groups = features(words)
     lexical = np.array([model.lexicon.get(w, (0.0,) * k) for w in words])
     starts = np.cumsum(sizes) - sizes
     follows = np.ones(n, dtype=bool)
@@ -256,12 +278,14 @@ def _fitted(model: Model, sequences: list[tuple[list[str], np.ndarray]], rounds:
     w, lex, t, s = model.weights.copy(), model.lexical, model.transitions.copy(), model.start.copy()
     flow = [(np.zeros_like(v), np.zeros_like(v)) for v in (w, np.zeros(1), t, s)]
     for step in range(1, rounds + 1):
-        own = np.add.reduceat(w[flat], begin, axis=0) + lex * lexical
+        own = sum(np.add.reduceat(w[slots], np.cumsum(sized) - sized, axis=0) for slots, sized in groups)
+        own = own + lex * lexical
         p, steps = forward_backward(own[word], sizes, t, s, pairs=True)
         by_word = np.zeros((len(words), k))
         np.add.at(by_word, word, target - p)
         grad_w = np.zeros_like(w)
-        np.add.at(grad_w, flat, np.repeat(by_word, width, axis=0))
+        for slots, sized in groups:
+            np.add.at(grad_w, slots, np.repeat(by_word, sized, axis=0))
         grads = [grad_w, np.array([(by_word * lexical).sum()]), seen - steps,
                  (target - p)[starts].sum(axis=0)]
         values = [w, np.array([lex]), t, s]
