@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +42,16 @@ _OTHER = re.compile(r"[^\t\n\r -~¡§«°»¿À-ÖØ-öø-ɏ–—‘-„…€]
 _PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 
 
+class _Table(dict):
+    """How a byte-level vocabulary writes each character."""
+
+    def __missing__(self, code: int) -> str:
+        from tokenizers.pre_tokenizers import ByteLevel
+        written = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(code))
+        self[code] = "".join(part for part, _ in written)
+        return self[code]
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers, by a byte-level BPE of ``tokenizers``.
 
@@ -54,23 +65,18 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.table = _Table()
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encodes pieces as lines of one text: a line end is a piece of its own before a word or mark."""
-        lines = [p for p in pieces if not p.isspace()]
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(["", *lines, ""])], add_special_tokens=False)[0].ids,
-                       dtype="<u4")
-        ends = np.flatnonzero(ids == ids[0]).tolist()
-        if len(ends) != len(lines) + 1:
-            lines, ends = [], []
-        data = ids.tobytes()
-        self.known.update((p, data[(a + 1) * _ID_BYTES:b * _ID_BYTES]) for p, a, b in zip(lines, ends, ends[1:]))
-        others = [p for p in pieces if p not in self.known]
-        self.known.update(zip(others, self._bytes(others)))
+        """Runs the merges over single pieces, which need no further splitting."""
+        tokenize, table, known = self.tokenizer.model.tokenize, self.table, self.known
+        for piece in pieces:
+            ids = [token.id for token in tokenize(piece.translate(table))]
+            known[piece] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text; new pieces of texts of about ``_CHARS_AT_ONCE`` are learnt together."""
