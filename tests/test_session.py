@@ -33,3 +33,9 @@ def test_a_cluster_without_one_is_refused():
 def test_local_sessions_get_a_folder(spark):
     folder = S.checkpoint_dir(spark)
     assert folder and S.checkpoint_dir(spark) == folder
+
+
+def test_partitions_follow_the_input():
+    from halfhourly.session import partitions_for
+    assert partitions_for(0) == 200 and partitions_for(10**12) == -(-10**12 // (128 * 1024 * 1024))
+    assert partitions_for(1000, partition_bytes=10, least=1) == 100
