@@ -44,8 +44,8 @@ FUTURES_PRODUCTS = {"BB": ("Q", "BB_90D", _FIRST), "TY": ("Q", "TY_3YR", _FIRST)
                     "EC": ("Q", "EC_OTA", _SECOND), "ED": ("M", "ED_OTA", _SECOND),
                     "EE": ("Q", "EE_BEN", _FIRST), "EF": ("A", "EF_BEN", _FIRST),
                     "EG": ("Q", "EG_BEN", _SECOND), "EH": ("M", "EH_BEN", _SECOND)}
-# field heading in a futures page -> suffix of its flat file
-FUTURES_FIELDS = {"Op Int": "_OPT", "Volume": "_VOL", "Sett": "_SET"}
+# field headings in a futures page
+FUTURES_FIELDS = ("Op Int", "Volume", "Sett")
 
 WEATHER_LOCATIONS = ("Newmarket-Auckland", "Christchurch-Canterbury",
                      "Kelburn-Wellington", "Napier-HawkesBay",

@@ -57,9 +57,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_FOLDERS: list[str] = []
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
-    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(folder)
+    return folder
+
+
+def drop_work_folders(spark: SparkSession) -> int:
+    """Deletes the folders that this process made for intermediate tables; returns how many it found.
+
+    Results that were not written elsewhere can no longer be read then.
+    """
+    found = 0
+    while _FOLDERS:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found += bool(files.delete(place, True))
+    return found
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

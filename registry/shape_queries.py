@@ -233,6 +233,7 @@ GROUP BY 1""".replace("coalesce(MAX(q.quote_date), DATE '2009-07-13')",
                       "coalesce(MAX(q.quote_date), CASE p.product WHEN 'ED' "
                       "THEN DATE '2013-12-08' ELSE DATE '2009-07-13' END)"))
 def _(spark, sf):
+    # lines marked N are no quotes here, so that some products have none and take their start day
     held = _lines(spark, sf).where(F.col("l_returnflag") != "N").select(
         _code().alias("product"), F.col("o_orderdate").cast("date").alias("quote_date"))
     products = V.read(spark, sf, "lineitem").select(_code().alias("product"))

@@ -75,6 +75,7 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
     places = (read(spark, sf, "nation")
               .join(read(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
               .select("n_nationkey", "n_name", "r_name"))
+    # every tenth node is left unknown, so that left and inner joins differ
     suppliers = read(spark, sf, "supplier").where("s_suppkey % 10 <> 0")
     return (suppliers.join(places, F.expr("s_nationkey = n_nationkey"))
             .select(_node("S", "s_suppkey").alias("meta_node"), F.col("n_name").alias("load_area"),
@@ -82,6 +83,7 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def price_meta(spark: SparkSession, sf: str) -> DataFrame:
+    # every tenth node is left unknown, as above
     users = read(spark, sf, "events").where("user_id % 10 <> 0").select("user_id").distinct()
     return users.select(_node("N", "user_id").alias("node"),
                         F.concat(F.lit("A"), (F.col("user_id") % 7).cast("string"))

@@ -35,6 +35,14 @@ def test_local_sessions_get_a_folder(spark):
     assert folder and S.checkpoint_dir(spark) == folder
 
 
+def test_work_folders_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(S, "_FOLDERS", [])
+    table = S.staged(spark.range(5), "dropped")
+    assert table.count() == 5
+    S.work_folder(spark, "never-written")
+    assert S.drop_work_folders(spark) == 1 and S.drop_work_folders(spark) == 0
+
+
 def test_partitions_follow_the_input():
     from halfhourly.session import partitions_for
     assert partitions_for(0) == 200 and partitions_for(10**12) == -(-10**12 // (128 * 1024 * 1024))
