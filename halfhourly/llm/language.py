@@ -8,7 +8,7 @@ length of the text; the text's language is the one with the largest sum over wor
 score that language's share.
 
 The lexicon counts every training text. The weights are fitted on at most ``max_texts`` texts,
-those with the smallest hashes, ``PIECE`` words of each from its middle on; pieces are strung
+those with the smallest hashes of text and id, ``PIECE`` words of each from its middle on; pieces are strung
 together to mixed sequences, so that switches are seen. What a worker knows of a word is kept,
 so features are worked out once a word.
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -207,12 +208,11 @@ def _lexicon(train: DataFrame, totals: dict[str, int], max_words: int) -> dict[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # words are summed up in a task before they are dealt out
-        counts: dict[tuple[str, str], int] = {}
+        counts: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch, 1)):
-                for word in set(_words(text)):
-                    counts[lang, word] = counts.get((lang, word), 0) + 1
-            if len(counts) > _CACHED:
+                counts.setdefault(lang, Counter()).update(set(_words(text)))
+            if sum(map(len, counts.values())) > _CACHED:
                 yield _counted(counts)
                 counts = {}
         yield _counted(counts)
@@ -240,10 +240,11 @@ def _lexicon(train: DataFrame, totals: dict[str, int], max_words: int) -> dict[s
     return out
 
 
-def _counted(counts: dict[tuple[str, str], int]) -> pa.RecordBatch:
+def _counted(counts: dict[str, Counter]) -> pa.RecordBatch:
+    langs = [lang for lang, words in counts.items() for _ in range(len(words))]
     return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
-         pa.array(list(counts.values()), pa.int64())], names=["lang", "word", "n"])
+        [pa.array(langs, pa.string()), pa.array(list(chain.from_iterable(counts.values())), pa.string()),
+         pa.array([n for words in counts.values() for n in words.values()], pa.int64())], names=["lang", "word", "n"])
 
 
 def _sequences(pieces: list[tuple[int, list[str]]], seed: int = 1) -> list[tuple[list[str], np.ndarray]]:
@@ -304,7 +305,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         max_texts: int = MAX_TEXTS, max_words: int = MAX_WORDS) -> Model:
     """The model of the rows that are not held out."""
     train = docs.where(~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull()) \
-        .select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
+        .select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                F.xxhash64(f"`{text_col}`", f"`{id_col}`").alias("h"))
     totals = {r.lang: r.n for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(totals)
     k = len(languages)
@@ -312,9 +314,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if k < 2:
         return empty
     middle = F.substring(F.col("text"), (F.length("text") / 3).cast("int") + 1, F.lit(20 * PIECE))
-    chosen = Window.partitionBy("lang").orderBy("h", "piece")  # cut down to the limit before the shuffle
-    rows = (train.select("lang", middle.alias("piece"), F.xxhash64("text").alias("h"))
-            .withColumn("rank", F.row_number().over(chosen)).where(F.col("rank") <= max(1, max_texts // k))
+    limit = max(1, max_texts // k)
+    # of a language's texts about twice the limit by their hashes, of these the smallest
+    share = F.create_map(*[F.lit(x) for c, n in totals.items() for x in (c, min(1.0, 2 * limit / n))])
+    drawn = F.pmod("h", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * F.lit(1 << 30)
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h", "piece")
+    rows = (train.select("lang", middle.alias("piece"), "h").where(drawn)
+            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
             .orderBy("lang", "rank").collect())
     pieces = [(languages.index(r.lang), words) for r in rows
               if (words := _WORD.findall(r.piece.lower())[1:-1][:PIECE])]
