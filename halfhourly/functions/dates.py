@@ -153,19 +153,21 @@ def days_of_file(name: Column | str, pattern: str, ext: str, rename: str | None
     ``Daily`` takes day files (one day) and month files (each day of the month),
     ``Monthly`` and ``Yearly`` give the first day.
     """
-    digits = file_date_digits(name, pattern, ext, rename)
-    if date_type == "Daily":
-        month = F.when(F.length(digits) == 6, F.try_to_date(digits, "yyyyMM"))
-        single = F.when(F.length(digits) == 8, F.try_to_date(digits, "yyyyMMdd"))
-        days = (F.when(month.isNotNull(), F.sequence(month, F.last_day(month)))
-                .when(single.isNotNull(), F.array(single)))
-    elif date_type in ("Monthly", "Yearly"):
-        fmt = "yyyyMM" if date_type == "Monthly" else "yyyy"
-        first = F.when(F.length(digits) == len(fmt), F.try_to_date(digits, fmt))
-        days = F.when(first.isNotNull(), F.array(first))
-    else:
+    if date_type not in ("Daily", "Monthly", "Yearly"):
         raise ValueError(f"date type {date_type!r}: use Daily, Monthly or Yearly")
-    return F.coalesce(days, F.array().cast("array<date>"))
+
+    def days(digits: Column) -> Column:
+        if date_type == "Daily":
+            month = F.try_to_date(digits, "yyyyMM")
+            found = (F.when(F.length(digits) == 6, F.sequence(month, F.last_day(month)))
+                     .when(F.length(digits) == 8, F.array(F.try_to_date(digits, "yyyyMMdd"))))
+        else:
+            fmt = "yyyyMM" if date_type == "Monthly" else "yyyy"
+            found = F.when(F.length(digits) == len(fmt), F.array(F.try_to_date(digits, fmt)))
+        return F.coalesce(F.array_compact(found), F.array().cast("array<date>"))
+
+    # the digits are worked out once, however often they are used
+    return F.get(F.transform(F.array(file_date_digits(name, pattern, ext, rename)), days), F.lit(0))
 
 
 def link_text_date(text: Column | str) -> Column:

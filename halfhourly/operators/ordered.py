@@ -33,7 +33,11 @@ def exact_sum(col: Column | str, kind: T.DataType) -> Column:
 
 
 def _cut(df: DataFrame, keys: list[str], order: list[str], label: str) -> DataFrame:
-    """``df`` written in ranges of (keys, order), with the number of each row's range."""
+    """``df`` written in ranges of (keys, order), with the number of each row's range.
+
+    Cutting takes a look at the rows first; what lies before the last shuffle of ``df`` is
+    not worked out again for that.
+    """
     ranged = df.repartitionByRange(*keys, *order).withColumn(_PART, F.spark_partition_id())
     return staged(ranged, label)
 

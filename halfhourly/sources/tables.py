@@ -132,8 +132,10 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
         set_aside(bad, path, t)
     if total == rejected:
         return Load(0, 0, rejected)
-    new = new_rows(spark, good.drop(REASON), path, t, mode, order, spans)
-    loaded = write_rows(new.select(*stored_schema(t).names), path, t)
+    # written once before it is cut into ranges, which takes a look at the rows first
+    new = staged(new_rows(spark, good.drop(REASON), path, t, mode, order, spans)
+                 .select(*stored_schema(t).names), "new")
+    loaded = write_rows(new, path, t)
     return Load(loaded, total - rejected - loaded, rejected)
 
 
