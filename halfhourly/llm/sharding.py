@@ -45,12 +45,17 @@ def _quotas(wishes: dict[tuple[int, int], int], held: dict[int, int], capacity:
     return shares
 
 
+def _shared(links: DataFrame) -> DataFrame:
+    """The links of two rows and more, with their number of rows ``n``."""
+    return staged(links.groupBy("link").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+
+
 def propagated(rows: DataFrame, links: DataFrame, n_shards: int, rounds: int = ROUNDS,
                slack: float = SLACK) -> DataFrame:
     """(row, shard) for ``rows`` (row) linked by ``links`` (row, link), sizes held within ``slack``."""
     start = F.pmod(F.xxhash64("row"), F.lit(n_shards)).cast("int")
-    sizes = links.groupBy("link").agg(F.count(F.lit(1)).alias("n"))
-    links = staged(links.join(sizes.where("n > 1"), "link").select("row", "link"), "links")
+    # what joins the links is written first: a join of two plain shuffles is one Spark can split
+    links = staged(links.join(_shared(links), "link").select("row", "link"), "links")
     labels = rows.select("row", start.alias("shard"))
     capacity = (1 + slack) * rows.count() / n_shards
     linked = staged(links.select("row").distinct().select("row", start.alias("shard")), "labels")
@@ -60,8 +65,8 @@ def propagated(rows: DataFrame, links: DataFrame, n_shards: int, rounds: int = R
         counts = placed.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
         order = F.pmod(F.xxhash64("link") + F.col("shard"), F.lit(n_shards))
         # of a link's shards, one entry each, the two with most rows
-        votes = counts.groupBy("link").agg(F.slice(F.sort_array(F.collect_list(
-            F.struct(F.col("n"), order.alias("order"), F.col("shard").alias("to"))), asc=False), 1, 2).alias("votes"))
+        votes = staged(counts.groupBy("link").agg(F.slice(F.sort_array(F.collect_list(
+            F.struct(F.col("n"), order.alias("order"), F.col("shard").alias("to"))), asc=False), 1, 2).alias("votes")), "votes")
         asked = (placed.join(votes, "link").select("row", "shard", F.explode("votes").alias("vote"))
                  .groupBy("row", "shard", F.col("vote.to").alias("to"))
                  .agg(F.sum(F.col("vote.n") - (F.col("vote.to") == F.col("shard")).cast("int")).alias("weight"))
@@ -123,8 +128,7 @@ def sharded_by_text(docs: DataFrame, keep: list[str], text_col: str = "text", n_
                               F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("link"),
                               F.monotonically_increasing_id().alias("row")), "rows")
     shards = propagated(rows, rows.select("row", "link"), n_shards, rounds, slack)
-    sizes = rows.groupBy("link").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    known = rows.select("row", "link").join(sizes, "link")
+    known = rows.select("row", "link").join(_shared(rows), "link")
     placed = shards.join(known, "row", "left").select("row", "shard", "link", "n")
     done = evened(placed, n_shards)
     return rows.join(done, "row").select(
