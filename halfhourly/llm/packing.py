@@ -57,13 +57,16 @@ class Encoder:
 
     Merges never cross the pieces that the tokenizer first splits a text into, so the
     ids of a piece are worked out once and kept, for at most ``CACHED_WORDS`` pieces.
+    A text that holds an added token is left to the tokenizer as a whole. With ``special``
+    a special token in a text is its own id, as the tokenizer's file has it, else plain letters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.table = _Table()
 
@@ -71,6 +74,9 @@ class Encoder:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _whole(self, text: str) -> bool:
+        return _OTHER.search(text) is not None or any(t in text for t in self.added)
+
     def _learn(self, pieces: list[str]) -> None:
         """Runs the merges over single pieces, which need no further splitting."""
         tokenize, table, known = self.tokenizer.model.tokenize, self.table, self.known
@@ -85,7 +91,7 @@ class Encoder:
             split, size = [], 0
             while at < len(texts) and size < _CHARS_AT_ONCE:
                 text = texts[at]
-                split.append(text if _OTHER.search(text) else _PIECES.findall(text))
+                split.append(text if self._whole(text) else _PIECES.findall(text))
                 size += len(text)
                 at += 1
             if len(self.known) > CACHED_WORDS:
@@ -98,8 +104,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, special: bool = False) -> Encoder:
+    return Encoder(path, special)
 
 
 class Packer:
@@ -230,7 +236,7 @@ def packed(docs: DataFrame, tokenizer_path: str, keep: list[str], text_col: str
                                           names=[*[f"k{i}" for i in range(n)], *_RESULT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = encoder(tokenizer_path).encode, Packer(window, max_open)
+        encode, packer = encoder(tokenizer_path, special=True).encode, Packer(window, max_open)
         number, kinds = TaskContext.get().partitionId() << 33, None
         for batch in batches:
             kinds = [c.type for c in batch.columns[:n]]

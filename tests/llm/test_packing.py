@@ -100,3 +100,15 @@ def test_packed_table(spark):
         assert [o for o, _ in parts] == np.cumsum([0] + [n for _, n in parts])[:-1].tolist()
         assert total == 2048 or total & (total - 1) == 0
     assert packing.packed(docs.limit(0), FILE, ["doc_id"]).count() == 0
+
+
+def test_special_tokens_are_their_own_ids(spark):
+    plain = Tokenizer.from_file(FILE)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "été<|endoftext|><|endoftext|>日本", "<|endoftext|", "word " * 3000 + "<|endoftext|>x"]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids + [1], dtype="<u4") for t in texts]
+    assert want[0].tolist() == [64, 220, 50256, 275, 1]
+    got = packing.packed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), FILE, ["doc_id"]).collect()
+    for r in got:
+        part = want[r.doc_id][r.start:r.start + r.length]
+        assert r.doc_tokens == len(want[r.doc_id]) and r.ids_crc32 == zlib.crc32(part.tobytes())
+    assert {d: sum(r.length for r in got if r.doc_id == d) for d in range(5)} == {d: len(w) for d, w in enumerate(want)}
