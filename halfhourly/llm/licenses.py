@@ -1,9 +1,12 @@
 """License statements by conditional compression, confirmed by their wording.
 
 Sentences and lines that hold a cue word of licences, with at most one other sentence
-between them, make a candidate block. The block is compressed alone and with each
-template as raw dictionary of Zstandard; templates are ranked by how many bytes they
-save. In that order a template is confirmed when an exact alignment of words finds
+between them, make a candidate block. A block is read in windows of words that overlap by
+twice the longest template; a statement belongs to the window it starts in before the overlap.
+The window is compressed alone and with each template as raw dictionary of Zstandard, with
+equal parameters; templates are ranked by how many bytes they save, less the letters of
+their words that the window lacks. Compression only ranks: every template with enough words
+in the window is tried. In that order a template is confirmed when an exact alignment of words finds
 at least ``min_similarity`` of its words in the block, in order and not claimed by a better one, and
 no word with a digit or of capitals only, which tell versions and variants apart, is
 missing. What is missing and what is extra in the aligned stretch is returned with the finding.
@@ -17,6 +20,7 @@ ids are passed on; no templates or no rows give no rows. Offsets are code points
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from typing import NamedTuple
@@ -28,6 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 from halfhourly.llm.common import arrow_texts, texts_of
 
 MIN_SIMILARITY, LEVEL = 0.8, 9
+#: Words of a window before its overlap, and the size that the parameters of compression are for.
+_STEP, _WINDOW_BYTES = 512, 8192
 
 #: Usual wordings of well-known licences.
 TEMPLATES = (
@@ -99,69 +105,110 @@ def _tells(word: str) -> bool:
     return any(c.isdigit() for c in word) or (len(word) > 1 and word == word.upper() and word.lower() != word)
 
 
+class _Template(NamedTuple):
+    name: str
+    words: list[str]
+    lowered: list[str]
+    counts: Counter
+    need: float
+    packer: zstandard.ZstdCompressor
+
+
 class Scanner:
     """The templates with their compressors."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...], min_similarity: float = MIN_SIMILARITY):
-        self.min_similarity = min_similarity
-        self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        self.templates = []
+        equal = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=_WINDOW_BYTES, write_content_size=False)
+        self.alone = zstandard.ZstdCompressor(compression_params=equal)
+        self.templates: list[_Template] = []
         for name, text in templates:
             known = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.templates.append((name, [_bare(w) for w in text.split()],
-                                   zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False)))
+            words = [_bare(w) for w in text.split()]
+            lowered = [w.lower() for w in words]
+            self.templates.append(_Template(name, words, lowered, Counter(lowered), min_similarity * len(words),
+                                            zstandard.ZstdCompressor(compression_params=equal, dict_data=known)))
+        self.overlap = 2 * max((len(t.words) for t in self.templates), default=0)
 
     def find(self, text: str) -> list[Finding]:
         return [f for a, b in blocks(text) for f in self._of_block(text, a, b)]
 
     def _of_block(self, text: str, start: int, end: int) -> list[Finding]:
-        data = text[start:end].encode("utf-8", "surrogatepass")
-        size = len(self.alone.compress(data))
-        ranked = sorted(((len(c.compress(data)), k) for k, (_, _, c) in enumerate(self.templates)))
         spots = [(m.start(), m.end()) for m in _WORD.finditer(text, start, end)]
-        words: list[str | None] = [_bare(text[a:b]) for a, b in spots]
-        out = []
-        for packed, k in ranked:
-            if packed >= size:
-                break
-            name, wanted, _ = self.templates[k]
-            for first, last, similarity, missing, extra in list(self._aligned(words, wanted)):
-                out.append(Finding(spots[first][0], spots[last][1], name, size, packed, similarity,
-                                   " ".join(missing), " ".join(extra)))
-                words[first:last + 1] = [None] * (last + 1 - first)
+        words = [_bare(text[a:b]) for a, b in spots]
+        lowered: list[str | None] = [w.lower() for w in words]
+        out: list[Finding] = []
+        for first in range(0, max(len(words) - self.overlap, 1), _STEP):
+            stop = first + _STEP + self.overlap
+            limit = first + _STEP if stop < len(words) else len(words)
+            stop = min(stop, len(words))
+            ranked = self._ranked(text[spots[first][0]:spots[stop - 1][1]], lowered[first:stop]) if stop else []
+            for size, packed, template in ranked:
+                for a, b, similarity, missing, extra in list(self._aligned(words, lowered, template, first, limit, stop)):
+                    out.append(Finding(spots[a][0], spots[b][1], template.name, size, packed, similarity,
+                                       " ".join(missing), " ".join(extra)))
+                    lowered[a:b + 1] = [None] * (b + 1 - a)
         return sorted(out)
 
-    def _aligned(self, words: list[str | None], wanted: list[str]) -> Iterator[tuple]:
-        """The places of a template, from left to right: first and last word, share of its words
-        found, differences."""
-        lowered = [w.lower() if w is not None else None for w in words]
-        target = [w.lower() for w in wanted]
-        need, inside, width = self.min_similarity * len(target), set(target), 2 * len(target)
-        hits = [i for i, w in enumerate(lowered) if w in inside]
-        end, upto, wall = -1, 0, 0
-        for n, i in enumerate(hits):
-            if i <= end:
-                continue
+    def _ranked(self, stretch: str, lowered: list[str | None]) -> list[tuple[int, int, _Template]]:
+        """The templates with enough words in a window, best first, with the sizes alone and with them."""
+        held, found = Counter(lowered), []
+        for k, t in enumerate(self.templates):
+            lacking = [(w, n - held[w]) for w, n in t.counts.items() if held[w] < n]
+            if len(t.words) - sum(n for _, n in lacking) >= t.need:
+                found.append((k, sum(n * len(w) for w, n in lacking)))
+        if not found:
+            return []
+        data = stretch.encode("utf-8", "surrogatepass")
+        size = len(self.alone.compress(data))
+        packed = {k: len(self.templates[k].packer.compress(data)) for k, _ in found}
+        return [(size, packed[k], self.templates[k]) for k, lost in sorted(found, key=lambda f: (packed[f[0]] + f[1], f[0]))]
+
+    def _aligned(self, words: list[str], lowered: list[str | None], template: _Template,
+                 begin: int, limit: int, stop: int) -> Iterator[tuple]:
+        """The places of a template that start before ``limit``, from left to right: first and last
+        word, share of its words found, differences. Claimed words are None."""
+        _, wanted, target, counts, need, _ = template
+        width = 2 * len(target)
+
+        def match(i: int) -> list:
+            wall = i
+            while wall < min(i + width, stop) and lowered[wall] is not None:
+                wall += 1
+            found = SequenceMatcher(None, lowered[i:wall], target, autojunk=False).get_matching_blocks()
+            return [(i + m.a, m.b, m.size) for m in found if m.size]
+
+        hits = [i for i in range(begin, stop) if lowered[i] in counts]
+        near: Counter = Counter()
+        common, end, upto = 0, -1, 0
+        for i in hits:
+            if i >= limit:
+                break
             while upto < len(hits) and hits[upto] < i + width:
+                near[lowered[hits[upto]]] += 1
+                common += near[lowered[hits[upto]]] <= counts[lowered[hits[upto]]]
                 upto += 1
-            if upto - n < need:  # too few words of the template are near
+            enough = common >= need
+            common -= near[lowered[i]] <= counts[lowered[i]]
+            near[lowered[i]] -= 1
+            if i <= end or not enough:  # too few words of the template are near
                 continue
-            wall = max(wall, i)
-            while wall < min(i + width, len(words)) and words[wall] is not None:
-                wall += 1
-            match = [m for m in SequenceMatcher(None, lowered[i:wall], target, autojunk=False).get_matching_blocks()
-                     if m.size]
-            same = sum(m.size for m in match)
+            found = match(i)
+            same = sum(size for *_, size in found)
             if same < need:
                 continue
-            held = {m.b + x for m in match for x in range(m.size)}
+            if found[0][0] > i:  # from its own start, as the stretch from i may end too early
+                if found[0][0] >= limit:
+                    continue
+                again = match(found[0][0])
+                if (same_again := sum(size for *_, size in again)) >= same:
+                    found, same = again, same_again
+            held = {b + x for _, b, size in found for x in range(size)}
             missing = [w for k, w in enumerate(wanted) if k not in held]
             if any(_tells(w) for w in missing):
                 continue
-            first, last = i + match[0].a, i + match[-1].a + match[-1].size - 1
-            used = {i + m.a + x for m in match for x in range(m.size)}
-            end = last
-            yield first, last, same / len(target), missing, [words[j] for j in range(first, last + 1) if j not in used]
+            first, end = found[0][0], found[-1][0] + found[-1][2] - 1
+            used = {a + x for a, _, size in found for x in range(size)}
+            yield first, end, same / len(target), missing, [words[j] for j in range(first, end + 1) if j not in used]
 
 
 def found_licenses(docs: DataFrame, keep: list[str], text_col: str = "text",

@@ -65,3 +65,26 @@ def test_table(spark):
     assert sorted([(r.doc_id, r.license, r.start) for r in got], key=repr) == sorted(want, key=repr)
     assert licenses.found_licenses(docs, ["doc_id"], templates=()).count() == 0
     assert licenses.found_licenses(docs.limit(0), ["doc_id"]).count() == 0
+
+
+@pytest.mark.parametrize("size", [20_000, 100_000, 5_000_000])
+def test_statements_in_long_blocks_that_do_not_repeat(size):
+    rng = random.Random(size)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(2000)]
+    prose, total = [], 0
+    while total < size:
+        prose.append(" ".join(vocabulary[int(2000 * rng.random() ** 3)] for _ in range(9)) + " the software.")
+        total += len(prose[-1]) + 1
+    names = ["CC-BY-4.0", "MIT", "GPL-3.0", "Apache-2.0-text", "MIT-text"]
+    for k, name in enumerate(names[1:], 1):
+        prose.insert(len(prose) * k // len(names), BY_NAME[name])
+    text = " ".join([*prose, BY_NAME[names[0]]])
+    found = SCAN.find(text)
+    assert [(f.license, text[f.start:f.end]) for f in found] == [(n, BY_NAME[n]) for n in [*names[1:], names[0]]]
+
+
+def test_a_statement_is_whole_wherever_its_block_is_cut():
+    for before in range(480, 620):
+        text = "the software " * (before // 2) + "x " * (before % 2) + BY_NAME["MIT-text"] + " the software" * 600
+        (f,) = SCAN.find(text)
+        assert (f.license, text[f.start:f.end], f.similarity) == ("MIT-text", BY_NAME["MIT-text"], 1), before
