@@ -88,3 +88,47 @@ def test_a_statement_is_whole_wherever_its_block_is_cut():
         text = "the software " * (before // 2) + "x " * (before % 2) + BY_NAME["MIT-text"] + " the software" * 600
         (f,) = SCAN.find(text)
         assert (f.license, text[f.start:f.end], f.similarity) == ("MIT-text", BY_NAME["MIT-text"], 1), before
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL_FILE = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+"""
+
+
+@pytest.mark.parametrize("text, name", [
+    (MIT_FILE, "MIT-full"), (GPL_FILE, "GPL-3.0-header"), (GPL_FILE.replace("General", "Affero General"), "AGPL-3.0-header"),
+    (GPL_FILE.replace("General", "Lesser General"), "LGPL-3.0-header"), (GPL_FILE.replace("version 3", "version 2"), "GPL-2.0-header"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */\nint main;", "SPDX:GPL-2.0-or-later"),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0\n", "SPDX:MIT OR Apache-2.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n", "GPL-3.0-title"),
+    ("See below. This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0-text")])
+def test_usual_forms(text, name):
+    (f,) = SCAN.find("Intro.\n" + text)
+    assert f.license == name and f.missing == ""
