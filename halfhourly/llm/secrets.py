@@ -5,7 +5,11 @@ long runs of hex. They always stay.
 
 The battery looks at every run of at least ``MIN_LENGTH`` characters of ``[A-Za-z0-9+/_=-]``.
 The encoding of a run is the smallest of hex, base32, base36, base62 and base64 (both
-alphabets) that holds its characters. Under "drawn at random from that alphabet" three tests
+alphabets) that holds its characters. A run with separators (``= / _ -``) may hold a secret glued
+to its name or path, so its longest stretches of either base64 alphabet, padding last, and the
+stretches between separators are tested too, and all of them count in the total of the
+false-discovery control. Of findings that overlap the longest is reported, but without names
+and path parts of plain words around a finding. Under "drawn at random from that alphabet" three tests
 are made: chi-squared over classes of the alphabet and over eight equal ranges of its symbols,
 a runs test about the alphabet's middle, and lag-one serial correlation. Fisher's method
 combines them to a score that is small for random runs.
@@ -28,6 +32,7 @@ passed on; no rows give no rows. Offsets are code points, ends are exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from math import erfc
 
@@ -144,22 +149,69 @@ def _stratum(length: int) -> int:
     return max(k for k, size in enumerate(STRATA) if size <= length)
 
 
+_SEPARATOR = re.compile(r"[=/_-]")
+#: Stretches of a run with separators, by alphabet; the last has what stands between separators.
+_STRETCHES = tuple(re.compile(r"[A-Za-z0-9%s]{%d,}={0,2}" % (more, MIN_LENGTH - 2)) for more in ("+/", "_-", "+"))
+
+
+def _parts(text: str) -> Iterator[tuple[int, int]]:
+    """Each run, followed by those of its stretches that differ from it."""
+    for m in _RUN.finditer(text):
+        yield m.span()
+        if _SEPARATOR.search(text, *m.span()):
+            stretches = {s.span() for form in _STRETCHES for s in form.finditer(text, *m.span())
+                         if s.end() - s.start() >= MIN_LENGTH}
+            yield from sorted(stretches - {m.span()})
+
+
 def _runs(text: str) -> list[tuple[int, int, int, int, float]]:
-    """(start, end, stratum, encoding, ...) of each run, with its score step and smallest p-value.
+    """(start, end, stratum, encoding, ...) of each run and stretch, with its score step and smallest p-value.
 
     A run that is longer than its stratum's window is tested whole.
     """
     out = []
-    for m in _RUN.finditer(text):
-        codes = np.frombuffer(m.group().encode(), dtype=np.uint8)[None, :]
+    for start, end in _parts(text):
+        codes = np.frombuffer(text[start:end].encode(), dtype=np.uint8)[None, :]
         e = encodings(codes)
         if e[0] >= 0:
             score, least = battery(codes, e)
             step = int(min(score[0] / _SCORE_STEP, _SCORES))
-            out.append((m.start(), m.end(), _stratum(m.end() - m.start()), int(e[0]), step, float(least[0])))
+            out.append((start, end, _stratum(end - start), int(e[0]), step, float(least[0])))
     return out
 
 
+#: Plain words with separators, as names and paths have them, before a finding and, backwards, after it.
+_NAME = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]+)?[=/_-])+")
+_NAME_BACK = re.compile(r"(?:(?:[a-z]+[A-Z]?|[A-Z]+)?[=/_-])+")
+_NAME_LETTERS = 6
+
+
+def _chosen(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest of overlapping spans, without those that only add plain words to another.
+
+    Few letters are no name, unless the padding sign ``=`` stands among them.
+    """
+    spans = sorted(spans)
+    left = []
+    for start, end in spans:
+        inner = text[start:end]
+        before = start + (m.end() if (m := _NAME.match(inner)) else 0)
+        after = end - (m.end() if (m := _NAME_BACK.match(inner[::-1])) else 0)
+        named = False
+        for c, d in spans[bisect_left(spans, (start, 0)):bisect_left(spans, (before + 1, 0))]:
+            if (c, d) != (start, end) and after <= d <= end:
+                name = text[start:c] + text[d:end]
+                named |= sum(map(str.isalpha, name)) >= _NAME_LETTERS or "=" in text[start:c]
+        if not named:
+            left.append((start, end))
+    kept: list[tuple[int, int]] = []
+    for span in sorted(left, key=lambda s: (s[0] - s[1], s)):
+        at = bisect_left(kept, span)
+        if (at == 0 or kept[at - 1][1] <= span[0]) and (at == len(kept) or span[1] <= kept[at][0]):
+            kept.insert(at, span)
+    return kept
+
+
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[ord(c) for c in _DIGIT + _UPPER + _LOWER]] = True
 
@@ -247,8 +299,8 @@ def _in_order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 def all_spans(text: str, cells: frozenset) -> list[tuple[str, int, int]]:
     """Base spans and findings of the battery, in order."""
-    return _in_order(base_spans(text) + [("random", a, b) for a, b, k, e, step, least in _runs(text)
-                                         if least >= REJECT and (k, e, step) in cells])
+    found = [(a, b) for a, b, k, e, step, least in _runs(text) if least >= REJECT and (k, e, step) in cells]
+    return _in_order(base_spans(text) + [("random", a, b) for a, b in _chosen(text, found)])
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:

@@ -110,3 +110,46 @@ def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     cells = secrets.fit(empty)
     assert cells == frozenset() and secrets.found_secrets(empty, ["doc_id"], cells).count() == 0
+
+
+B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def test_secrets_glued_to_names_and_paths(spark):
+    rng = random.Random(11)
+    rows, keys = [], {}
+    for i in range(240):
+        text = prose(rng, 120)
+        if i % 4 == 0:
+            key = "".join(rng.choice(B64) for _ in range(40))
+            key = key[:9] + "+" + key[10:18] + "/" + key[19:]
+            name = ("AWS_SECRET_ACCESS_KEY=", "/reset_password/", "see-my_files/of=")[i // 4 % 3]
+            text += " " + name
+            keys[i] = (len(text), len(text) + len(key), key)
+            text += key + " end"
+        if i % 4 == 1:
+            text += " /usr/share/common_files/the-second_folder/with_long_names OPTION_OF_THE_SERVER=/var/lib/other_place"
+        rows.append((i, text, len(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    cells = secrets.fit(docs)
+    hits = exact = 0
+    for r in secrets.found_secrets(docs, ["doc_id"], cells).collect():
+        found = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")]
+        if r.doc_id in keys:
+            start, end, key = keys[r.doc_id]
+            hits += any(a <= start and end <= b for a, b in found)
+            exact += found == [(start, end)]
+            assert len(found) < 2
+        else:
+            assert not found
+    assert hits >= 54 and exact >= 36, (hits, exact)
+    hidden = {r.doc_id: r.text for r in secrets.without_secrets(docs, cells).collect()}
+    assert sum(key not in hidden[i] for i, (_, _, key) in keys.items()) >= 54
+
+
+def test_stretches_of_runs():
+    text = "x AWS_KEY=" + "a1B+/" * 6 + "== /one_two/" + "Zz9" * 8
+    spans = [text[a:b] for a, b in secrets._parts(text)]
+    assert spans == ["AWS_KEY=" + "a1B+/" * 6 + "==", "a1B+/" * 6 + "==", "/one_two/" + "Zz9" * 8, "two/" + "Zz9" * 8, "Zz9" * 8]
+    assert secrets._chosen(text, [(2, 42), (10, 42)]) == [(10, 42)] and secrets._chosen("aB3/x" * 9, [(0, 45), (4, 45)]) == [(0, 45)]
+    assert len(list(secrets._parts("a/" * 100_000))) == 1 and len(list(secrets._parts(("ab" * 12 + "/") * 9_000))) == 9_001
