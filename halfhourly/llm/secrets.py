@@ -15,7 +15,8 @@ a runs test about the alphabet's middle, and lag-one serial correlation. Fisher'
 combines them to a score that is small for random runs.
 
 What would ordinary text score? Windows of the corpus's own letters and digits, of the
-lengths of the strata, go through the same tests; all texts take part. In each stratum of
+lengths of the strata, go through the same tests: each stratum has windows side by side over
+all letters and digits of every text that reaches its length, the last one at the text's end. In each stratum of
 length and encoding the share of such windows that look as random is the p-value of a run,
 and Benjamini-Hochberg over all runs of the corpus, ``FALSE_SHARE`` at most, says which
 are findings. A short run is thus held against short windows, which often pass the
@@ -58,6 +59,7 @@ STRATA = (20, 24, 32, 40, 64)
 _STRIDE = sum(STRATA)
 #: Scores are counted in steps of half a unit, 0 to 100.
 _SCORE_STEP, _SCORES = 0.5, 200
+_WINDOWS_AT_ONCE = 4096
 
 _DIGIT, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Alphabets with their classes, smallest first.
@@ -216,24 +218,51 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[ord(c) for c in _DIGIT + _UPPER + _LOWER]] = True
 
 
+def _letters(text: str) -> np.ndarray:
+    """The letters and digits of a text without its runs."""
+    codes = np.frombuffer(_RUN.sub("", text).encode(), dtype=np.uint8)
+    return codes[_LETTER[codes]]
+
+
 def _ordinary(texts: list[str]) -> np.ndarray:
     """Blocks of ``_STRIDE`` letters and digits of the texts without their runs, one block per row.
 
     Each text is cut by itself, so the blocks do not depend on how texts are batched.
     """
-    parts = []
-    for t in texts:
-        codes = np.frombuffer(_RUN.sub("", t).encode(), dtype=np.uint8)
-        codes = codes[_LETTER[codes]]
-        parts.append(codes[:len(codes) // _STRIDE * _STRIDE])
+    parts = [codes[:len(codes) // _STRIDE * _STRIDE] for codes in map(_letters, texts)]
     return np.concatenate(parts).reshape(-1, _STRIDE) if parts else np.zeros((0, _STRIDE), dtype=np.uint8)
 
 
+def _windows(letters: list[np.ndarray], size: int) -> np.ndarray:
+    """Windows of ``size`` side by side over the letters of each text, the last one at its end."""
+    parts = [np.zeros(0, dtype=np.uint8)]
+    for codes in letters:
+        if len(codes) >= size:
+            parts.append(codes[:len(codes) // size * size])
+            if len(codes) % size:
+                parts.append(codes[-size:])
+    return np.concatenate(parts).reshape(-1, size)
+
+
+def _sampled(texts: list[str]) -> list[np.ndarray]:
+    """The windows of each stratum that are its own part of every block."""
+    blocks, ends = _ordinary(texts), np.cumsum(STRATA)
+    return [blocks[:, end - size:end] for size, end in zip(STRATA, ends.tolist())]
+
+
+def _all_windows(texts: list[str]) -> Iterator[np.ndarray]:
+    letters = [_letters(t) for t in texts]
+    return (_windows(letters, size) for size in STRATA)
+
+
 _COUNTS = "ordinary boolean, stratum int, encoding int, step int, passes boolean, n bigint"
 
 
-def score_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """How many runs, and how many windows of ordinary text, have each stratum, encoding and score."""
+def score_counts(docs: DataFrame, text_col: str = "text", whole: bool = False) -> DataFrame:
+    """How many runs, and how many windows of ordinary text, have each stratum, encoding and score.
+
+    With ``whole``, windows cover all letters in every stratum; else each stratum has its part of every block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, int] = {}
@@ -244,17 +273,15 @@ def score_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     key = (False, k, e, step, least >= REJECT)
                     counts[key] = counts.get(key, 0) + 1
             for a in range(0, len(texts), 256):
-                blocks, at = _ordinary(texts[a:a + 256]), 0
-                for k, size in enumerate(STRATA):
-                    codes = blocks[:, at:at + size]
-                    at += size
-                    e = encodings(codes)
-                    score = battery(codes, e)[0] if len(codes) else np.zeros(0)
-                    steps = np.minimum(score / _SCORE_STEP, _SCORES).astype(np.int64)
-                    cells, n = np.unique(np.stack([e, steps], axis=1), axis=0, return_counts=True)
-                    for (own, step), c in zip(cells.tolist(), n.tolist()):
-                        key = (True, k, own, step, True)
-                        counts[key] = counts.get(key, 0) + c
+                for k, windows in enumerate((_all_windows if whole else _sampled)(texts[a:a + 256])):
+                    for at in range(0, len(windows), _WINDOWS_AT_ONCE):
+                        codes = windows[at:at + _WINDOWS_AT_ONCE]
+                        e = encodings(codes)
+                        steps = np.minimum(battery(codes, e)[0] / _SCORE_STEP, _SCORES).astype(np.int64)
+                        cells, n = np.unique(e * (_SCORES + 1) + steps, return_counts=True)
+                        for cell, c in zip(cells.tolist(), n.tolist()):
+                            key = (True, k, *divmod(cell, _SCORES + 1), True)
+                            counts[key] = counts.get(key, 0) + c
         yield pa.RecordBatch.from_pylist(
             [dict(zip(("ordinary", "stratum", "encoding", "step", "passes", "n"), (*key, n)))
              for key, n in counts.items()],
@@ -284,7 +311,7 @@ def accepted_cells(counts: pd.DataFrame, false_share: float = FALSE_SHARE) -> fr
 
 def fit(docs: DataFrame, text_col: str = "text", false_share: float = FALSE_SHARE) -> frozenset:
     """The accepted cells of a corpus. What is collected has at most strata x encodings x scores x 4 rows."""
-    return accepted_cells(score_counts(docs, text_col).toPandas(), false_share)
+    return accepted_cells(score_counts(docs, text_col, whole=True).toPandas(), false_share)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:

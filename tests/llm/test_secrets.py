@@ -153,3 +153,33 @@ def test_stretches_of_runs():
     assert spans == ["AWS_KEY=" + "a1B+/" * 6 + "==", "a1B+/" * 6 + "==", "/one_two/" + "Zz9" * 8, "two/" + "Zz9" * 8, "Zz9" * 8]
     assert secrets._chosen(text, [(2, 42), (10, 42)]) == [(10, 42)] and secrets._chosen("aB3/x" * 9, [(0, 45), (4, 45)]) == [(0, 45)]
     assert len(list(secrets._parts("a/" * 100_000))) == 1 and len(list(secrets._parts(("ab" * 12 + "/") * 9_000))) == 9_001
+
+
+def test_windows_cover_all_letters():
+    rng = random.Random(2)
+    texts = [prose(rng, n) for n in (1, 4, 9, 40, 300)] + ["", "ab cd" * 4, "one two three four five six"]
+    for size in secrets.STRATA:
+        want = []
+        for t in texts:
+            s = re.sub("[^A-Za-z0-9]", "", secrets._RUN.sub("", t))
+            want += [s[a:a + size] for a in range(0, len(s) - size + 1, size)]
+            want += [s[-size:]] if len(s) > size and len(s) % size else []
+        got = secrets._windows([secrets._letters(t) for t in texts], size)
+        assert [bytes(w).decode() for w in got] == want
+
+
+def test_random_strings_in_a_table_of_short_texts(spark):
+    rng = random.Random(5)
+    rows, planted = [], {}
+    for i in range(3000):
+        text = prose(rng, rng.randrange(4, 14))[:170]
+        if i % 100 == 3:
+            key = "".join(rng.choice(B64[:62]) for _ in range(36))
+            planted[i] = f"random:{len(text) + 1}:{len(text) + 37}"
+            text += " " + key
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(len(re.sub("[^A-Za-z0-9]", "", secrets._RUN.sub("", t))) < 180 for _, t in rows)
+    cells = secrets.fit(docs)
+    found = {r.doc_id: r.spans for r in secrets.found_secrets(docs, ["doc_id"], cells).collect() if r.spans}
+    assert set(found.items()) <= set(planted.items()) and len(found) >= 28
