@@ -35,6 +35,14 @@ def texts_of(batch: pa.RecordBatch, col: int) -> list[bytes]:
     return [v or b"" for v in column.cast(kind).to_pylist()]
 
 
+def decoded(text: bytes) -> str:
+    """A stored text as a string: bytes that are no UTF-8 become the replacement character U+FFFD.
+
+    Parquet does not forbid such bytes in a string column; no operator fails on them.
+    """
+    return text.decode("utf-8", "replace")
+
+
 def slices(batch: pa.RecordBatch, col: int, max_bytes: int = 2_000_000,
            max_rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
     """The batch cut into runs of rows whose texts hold about ``max_bytes``; a longer text is alone."""

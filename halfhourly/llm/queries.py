@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, language, licenses, packing, quality, secrets, sharding, simhash, toxicity, urls
+from halfhourly.llm import decontamination, language, licenses, packing, quality, secrets, sharding, simhash, tokencounts, toxicity, urls
 from halfhourly.llm.common import table
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,10 +25,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     """The vocabulary file of the registered queries; the operator takes any path."""
     import public_tokenizers
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query("op1_secret_scans")
@@ -106,3 +106,9 @@ def toxic_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How likely each document is toxic, by a model of the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op12_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 4096 tokens."""
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECES), ["doc_id"])
