@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, language, licenses, packing, quality, secrets, sharding, simhash, tokencounts, toxicity, urls
+from halfhourly.llm import decontamination, language, licenses, packing, quality, repair, secrets, sharding, simhash, tokencounts, toxicity, urls
 from halfhourly.llm.common import table
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -31,6 +31,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB's expression for the CRC-32 of an ASCII string, bit by bit."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 " \
+           "THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step}), 4294967295)"
+
+
 @query("op1_secret_scans")
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans and findings of the randomness battery in every document."""
@@ -112,3 +120,79 @@ def toxic_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it has more than 4096 tokens."""
     return tokencounts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECES), ["doc_id"])
+
+
+_REPAIR_SQL = f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32_sql("concat_ws(':', coalesce(conv_id::VARCHAR, ' '), coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM raw WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place FROM hurt),
+judged AS (
+  SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN min(place) OVER (PARTITION BY conv_id, role, text) < place THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) AS n,
+         count(*) FILTER (place > 1 AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+moves(state, edit, initial, next) AS (VALUES
+  (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (3, 'K', 'u', 2), (2, 'K', 'a', 3),
+  (0, 'R', '', 2), (1, 'R', '', 2), (3, 'R', '', 2), (2, 'R', '', 3),
+  (0, 'D', '', 0), (1, 'D', '', 1), (2, 'D', '', 2), (3, 'D', '', 3)),
+inserts(state, edits, next, lines) AS (VALUES
+  (0, '', 0, []::VARCHAR[]), (1, '', 1, []), (2, '', 2, []), (3, '', 3, []),
+  (0, 'I', 2, ['user:']), (1, 'I', 2, ['user:']), (3, 'I', 2, ['user:']), (2, 'I', 3, ['assistant:']),
+  (0, 'II', 3, ['user:', 'assistant:']), (1, 'II', 3, ['user:', 'assistant:']),
+  (3, 'II', 3, ['user:', 'assistant:']), (2, 'II', 2, ['assistant:', 'user:'])),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS place, i.next AS state,
+         {{'cost': 5 * length(i.edits), 'audit': i.edits, 'lines': i.lines}} AS best
+  FROM counts, inserts i WHERE i.state = 0
+  UNION ALL
+  SELECT w.conv_id, w.place + 1, i.next, min({{
+      'cost': w.best.cost + CASE m.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+              + CASE WHEN m.edit <> 'D' AND j.fault = 'truncated' THEN 5 ELSE 0 END + 5 * length(i.edits),
+      'audit': w.best.audit || m.edit || i.edits,
+      'lines': w.best.lines || CASE m.edit WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [j.role || ':' || j.text]
+               ELSE [CASE m.next WHEN 2 THEN 'user:' ELSE 'assistant:' END || j.text] END || i.lines}})
+  FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1
+  JOIN moves m ON m.state = w.state AND (m.edit = 'D' OR j.fault IN ('', 'truncated')
+       AND (m.edit = 'R' OR m.initial = j.initial))
+  JOIN inserts i ON i.state = m.next
+  GROUP BY w.conv_id, w.place, i.next),
+ends AS (
+  SELECT w.conv_id, min(w.best) AS best FROM walk w
+  JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.place WHERE w.state IN (0, 3) GROUP BY w.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(e.best.cost, 0)::BIGINT AS cost, coalesce(e.best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op11_conversation_repair", _REPAIR_SQL)
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation, after damage by a fixed rule."""
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.repaired_conversations(repair.damaged(turns))
+    every = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c)
+              for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (every.alias("o").join(found.alias("f"), F.col("o.conv_id").eqNullSafe(F.col("f.conv_id")), "left")
+            .select("o.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
