@@ -80,14 +80,14 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str, label
     before, here = fresh(df, "rows_before"), fresh(df, "rows_here")
     counts = rows.groupBy(part, *group).agg(F.count(F.lit(1)).alias(here))
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(part, *group,
-                           F.coalesce(F.sum(here).over(earlier), F.lit(0)).alias(before))
+    counts = staged(counts.select(part, *group, F.coalesce(F.sum(here).over(earlier), F.lit(0)).alias(before)),
+                    f"{label}-counts")      # written, so that its size tells how to join
     keys = [part, *group]
     left, right = rows.alias("l"), counts.alias("r")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
     within = Window.partitionBy(*[F.col(f"l.{k}") for k in keys]).orderBy(*[F.col(f"l.{c}") for c in order])
-    return left.join(F.broadcast(right) if n <= 4096 else right, same).select(
+    return left.join(right, same).select(
         *[F.col(f"l.{c}") for c in df.columns],
         (F.col(before) + F.row_number().over(within) - 1).cast("long").alias(name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halfhourly.llm import decontamination, language, licenses, packing, quality, repair, secrets, sharding, simhash, tokencounts, toxicity, urls
+from halfhourly.llm import decontamination, language, licenses, packing, prefixtrie, quality, repair, secrets, sharding, simhash, tokencounts, toxicity, urls
 from halfhourly.llm.common import table
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -196,3 +196,54 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (every.alias("o").join(found.alias("f"), F.col("o.conv_id").eqNullSafe(F.col("f.conv_id")), "left")
             .select("o.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
                     F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
+_TRIE_SQL = f"""
+WITH placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+known AS (
+  SELECT conv_id, place, dense_rank() OVER (ORDER BY role, text) AS id,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM placed),
+sizes AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, count(*) AS n, {crc32_sql("conv_id::VARCHAR")} % 4 AS h
+  FROM known GROUP BY conv_id),
+rebuilt AS (
+  SELECT s.conv_id, 0 AS source, k.place, k.id FROM sizes s JOIN known k ON k.conv_id = s.base AND k.place < s.h
+  UNION ALL
+  SELECT s.conv_id, 1, k.place, k.id FROM sizes s JOIN known k ON k.conv_id = s.conv_id AND k.place >= s.h),
+sequences AS (
+  SELECT s.conv_id, coalesce(list(r.id ORDER BY r.source, r.place) FILTER (r.id IS NOT NULL), []) AS seq
+  FROM sizes s LEFT JOIN rebuilt r ON r.conv_id = s.conv_id GROUP BY s.conv_id),
+steps AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM sequences),
+nodes AS (
+  SELECT seq[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = depth), '') AS ids
+  FROM steps GROUP BY 1, 2),
+children AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+words AS (SELECT id, any_value(words) AS words FROM known GROUP BY id),
+own AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children, (n.n_convs - 1) * coalesce(w.words, 0) AS saved
+  FROM nodes n LEFT JOIN children c ON c.prefix = n.prefix LEFT JOIN words w ON w.id = n.prefix[n.depth]),
+above AS (SELECT prefix, n_children, saved, unnest(range(0, depth + 1)) AS d FROM own),
+sums AS (
+  SELECT prefix[1:d] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM above GROUP BY 1)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, sha256(o.ids) AS ends_sha256
+FROM own o JOIN sums s ON s.prefix = o.prefix
+LEFT JOIN nodes p ON p.depth = o.depth - 1 AND p.prefix = o.prefix[1:o.depth - 1]
+"""
+
+
+@query("op13_prefix_trie", _TRIE_SQL)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the conversations, which are first given shared beginnings by a fixed rule."""
+    placed = prefixtrie.placed_turns(table(spark, sf_dir, "conversations"))
+    nodes = prefixtrie.prefix_nodes(*prefixtrie.shared_starts(placed))
+    return nodes.select(F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"),
+                        "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
+                        F.col("ends").alias("ends_sha256"))
