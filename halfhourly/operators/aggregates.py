@@ -8,7 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from halfhourly.operators.ordered import exact_sum, quantiles
+from halfhourly.operators.exact import exact_sums, is_floating, present
+from halfhourly.operators.ordered import quantiles
+from halfhourly.session import staged
 
 # aggregate name -> column aggregate; sums, means and "median" are worked out apart, see below
 AGGREGATES: dict[str, Callable[[Column], Column]] = {
@@ -37,7 +39,8 @@ def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
     A function may take a column and return an aggregate column, or take a pandas series and
     return a number. Of the latter, those in ``KNOWN`` are aggregated in parts like their names;
     any other needs a whole group in one task, see :func:`aggregate_series`.
-    ``first`` and ``last`` go by date and period, then by all other columns.
+    ``first`` and ``last`` go by date and period, then by all other columns. NaN counts as missing, like null;
+    sums and means of floating numbers are exact, see :mod:`halfhourly.operators.exact`.
     """
     keys = [meta_group] if isinstance(meta_group, str) else list(meta_group)
     absent = [k for k in keys if k not in df.columns]
@@ -47,28 +50,51 @@ def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
     if not isinstance(meta_agg, Mapping) and _is_columns(meta_agg):
         return kept.groupBy(*keys).agg(*([meta_agg] if isinstance(meta_agg, Column) else meta_agg))
     plan = _plan(df, keys, meta_agg)
-    plain, apart = [], []
+    floating = {c for c, _, _ in plan if is_floating(df.schema[c].dataType)}
+    kept = kept.withColumns({c: present(F.col(c)) for c in sorted(floating)})
+    plain, summed, apart = [], {}, []
     for c, make, alias in plan:
-        column = None if make == MEDIAN else _made(df, c, make)
-        if column is not None:
-            plain.append(column.alias(alias))
-        elif make == MEDIAN:
-            apart.append(quantiles(kept, keys, c, [0.5]).select(*keys, F.col("value").alias(alias)))
+        if make in SUMS + MEANS and c in floating:
+            summed.setdefault(c, []).append((make, alias))
+        elif make == MEDIAN or (column := _made(df, c, make)) is None:
+            apart.append((c, make, alias))
         else:
-            apart.append(aggregate_series(kept, keys, c, make, alias))
-    results = ([kept.groupBy(*keys).agg(*plain)] if plain else [kept.select(*keys).distinct()]) + apart
+            plain.append(column.alias(alias))
+    if bool(plain) + bool(summed) + len(apart) > 1:
+        # the rows are worked out once, for all that is taken from them
+        wide = any(make in ENDS for _, make, _ in plan)
+        kept = staged(kept if wide else kept.select(*dict.fromkeys([*keys, *(c for c, _, _ in plan)])), "group")
+    results = [kept.groupBy(*keys).agg(*plain)] if plain else []
+    if summed:
+        results.append(_sums(kept, keys, summed))
+    results += [_apart(kept, keys, *one) for one in apart]
+    if not plain and not summed:
+        results.insert(0, kept.select(*keys).distinct())
     result = results[0]
     for other in results[1:]:
         result = result.join(other, keys, "left")
     return result.select(*keys, *[alias for _, _, alias in plan])
 
 
+def _sums(kept: DataFrame, keys: list[str], summed: Mapping[str, list]) -> DataFrame:
+    """Exact sums and means of floating columns."""
+    names = {f"_sum{i}": c for i, c in enumerate(summed)}
+    sums = exact_sums(kept, keys, names)
+    return sums.select(*keys, *[(F.col(n) if make in SUMS else F.col(n) / F.col(f"{n}_n")).alias(alias)
+                                for n, c in names.items() for make, alias in summed[c]])
+
+
+def _apart(kept: DataFrame, keys: list[str], col: str, make, alias: str) -> DataFrame:
+    """An aggregate with a plan of its own."""
+    if make == MEDIAN:
+        return quantiles(kept, keys, col, [0.5]).select(*keys, F.col("value").alias(alias))
+    return aggregate_series(kept, keys, col, make, alias)
+
+
 def _made(df: DataFrame, col: str, make) -> Column | None:
-    """An aggregate of a column, None for a function of pandas series; sums and means of
-    floating numbers are exact."""
+    """An aggregate of a column, None for a function of pandas series."""
     if make in SUMS or make in MEANS:
-        total = exact_sum(col, df.schema[col].dataType)
-        return total if make in SUMS else total.cast("double") / F.count(col)
+        return F.sum(col) if make in SUMS else F.sum(col).cast("double") / F.count(col)
     if make in ENDS:
         dated = [c for c in ("trading_date", "trading_period") if c in df.columns]
         place = F.struct(*dated, *[c for c in df.columns if c not in dated])

@@ -15,21 +15,12 @@ import operator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from halfhourly.operators.exact import as_written, exact_sums, is_floating
 from halfhourly.session import staged
 
 _PART = "_part"
-_EXACT = "decimal(28,10)"
-
-
-def exact_sum(col: Column | str, kind: T.DataType) -> Column:
-    """Sum of a column of the given type; floating numbers are added up as decimals.
-
-    They are taken with ten decimal places and may have eighteen before the point.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.sum(c.cast(_EXACT)).cast("double")
-    return F.sum(c)
+#: Places, in powers of two below the largest value of a group, to which running sums are kept.
+_PLACES = 80
 
 
 def _cut(df: DataFrame, keys: list[str], order: list[str], label: str) -> DataFrame:
@@ -99,23 +90,51 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alia
 
     Returns one row per group and position: keys, position, its own sum, the
     running sum.  Rows without a group key or position belong nowhere and drop out.
+    Floating numbers are added up exactly at a position. Along the positions those that decimals hold are added
+    up as decimals, others as whole multiples of 2^-80 of the group's largest of them, so results do not depend
+    on how rows are cut. NaN counts as missing.
     """
-    floating = isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
-    own = F.col(col).cast(_EXACT) if floating else F.col(col)
-    steps = _present(df, [*keys, order_col]).groupBy(*keys, order_col).agg(F.sum(own).alias("_own"))
-    kind = steps.schema["_own"].dataType
-    rows = _cut(steps, keys, [order_col], "running").withColumn(
-        "_here", F.sum("_own").over(_inside(keys, order_col).rowsBetween(Window.unboundedPreceding, 0)))
+    named = _present(df, [*keys, order_col])
+    floating = is_floating(df.schema[col].dataType)
+    if floating:
+        steps = exact_sums(named, [*keys, order_col], {"_own": col}).drop("_own_n")
+    else:
+        steps = named.groupBy(*keys, order_col).agg(F.sum(col).alias("_own"))
+    rows = _cut(steps, keys, [order_col], "running")
+    added = {"_sum": F.col("_own")}
+    if floating:
+        rows = rows.withColumn("_sum", as_written(F.col("_own")))
+        size = F.when(F.col("_sum").isNull() & (F.abs("_own") < float("inf")), F.abs("_own"))
+        tops = rows.groupBy(*keys).agg(F.max(F.floor(F.log2(size))).alias("_top"))
+        rows = rows.join(tops, keys)
+        added = {"_sum": F.col("_sum"),
+                 "_odd": F.when(size.isNotNull(), F.col("_own") / _half_unit() / _half_unit()).cast("decimal(38,0)"),
+                 "_up": ((F.col("_own") == float("inf")) | F.isnan("_own")).cast("bigint"),
+                 "_down": ((F.col("_own") == float("-inf")) | F.isnan("_own")).cast("bigint")}
+    so_far = _inside(keys, order_col).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns(added).withColumn("_here", F.struct(*[F.sum(c).over(so_far).alias(c) for c in added]))
     before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(_PART, *keys).agg(F.sum("_own").cast(kind).alias("_total"))
-    carried = totals.withColumn("_before", F.sum("_total").over(before))
-    joined = _carried(rows, carried, keys, "_before")
-    upto = F.coalesce(F.col("_before") + F.col("_here"), F.col("_here"), F.col("_before"))
-
-    def result(value: Column) -> Column:
-        return value.cast("double") if floating else value
-
-    return joined.select(*keys, order_col, result(F.col("_own")).alias(col), result(upto).alias(alias))
+    totals = rows.groupBy(_PART, *keys).agg(*[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in added])
+    carried = totals.withColumn("_before", F.struct(*[F.sum(c).over(before).alias(c) for c in added]))
+    joined = _carried(rows, carried.select(_PART, *keys, "_before"), keys, "_before")
+
+    def upto(name: str) -> Column:
+        here, earlier = F.col(f"_here.{name}"), F.col(f"_before.{name}")
+        return F.coalesce(here + earlier, here, earlier)
+
+    result = upto("_sum")
+    if floating:
+        up, down = upto("_up") > 0, upto("_down") > 0
+        result = (F.when(up & down, F.lit(float("nan"))).when(up, F.lit(float("inf"))).when(down, F.lit(float("-inf")))
+                  .when(upto("_odd").isNull(), result.cast("double"))
+                  .otherwise(F.coalesce(result.cast("double"), F.lit(0.0))
+                             + upto("_odd").cast("double") * _half_unit() * _half_unit()))
+    return joined.select(*keys, order_col, F.col("_own").alias(col), result.alias(alias))
+
+
+def _half_unit() -> Column:
+    """The root of a group's unit, a power of two."""
+    return F.pow(F.lit(2.0), F.floor((F.coalesce("_top", F.lit(0)) - _PLACES) / 2).cast("double"))
 
 
 def quantiles(df: DataFrame, keys: list[str], col: str, probabilities: list[float]) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from halfhourly.operators.ordered import exact_sum
+from halfhourly.operators.exact import exact_sums, is_floating, present
 from halfhourly.schemas import HALF_HOUR_NAMES, MW_PER_HALF_HOUR_KWH, TABLES
 
 _PERIOD_COLUMN = re.compile(r"^TP\d+$", re.IGNORECASE)
@@ -15,9 +16,9 @@ _PERIOD_COLUMN = re.compile(r"^TP\d+$", re.IGNORECASE)
 def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> DataFrame:
     """Wide half-hour energy (TP1..TP50, kWh) as average MW, one row per period.
 
-    Rows that share all other columns are summed while still wide, so the shuffle
-    carries one row per day instead of fifty; empty periods give no row, and rows
-    with a null in an id column drop out.
+    Rows that share all other columns are added up. A row that is alone under its key passes as it
+    is, wide until after the shuffle; only rows of repeated keys are spread first and added up exactly. Empty
+    periods give no row, and rows with a null in an id column drop out.
     """
     named = df.toDF(*[HALF_HOUR_NAMES.get(c.upper(), c.upper()) for c in df.columns])
     periods = [c for c in named.columns if _PERIOD_COLUMN.match(c)]
@@ -25,13 +26,26 @@ def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> Da
     labelled = named.withColumn("Unit_Measure", F.lit("MW"))
     ids = ids if "Unit_Measure" in ids else [*ids, "Unit_Measure"]
     complete = labelled.dropna(subset=ids)
-    summed = complete.groupBy(*ids).agg(
-        *[exact_sum(p, complete.schema[p].dataType).alias(p) for p in periods])
+    kinds = {p: complete.schema[p].dataType for p in periods}
+    if any(map(is_floating, kinds.values())):
+        wide = complete.groupBy(*ids).agg(F.count(F.lit(1)).alias("_rows"), *[F.max(p).alias(p) for p in periods])
+        alone = _periods(wide.where(F.col("_rows") == 1), ids, periods)
+        repeated = complete.join(wide.where(F.col("_rows") > 1).select(*ids), ids, "left_semi")
+        sums = exact_sums(_periods(repeated, ids, periods), [*ids, "Trading_Period"],
+                          {"Average_Output": "Average_Output"}).drop("Average_Output_n")
+        long = alone.unionByName(sums)
+    else:
+        long = _periods(complete.groupBy(*ids).agg(*[F.sum(p).alias(p) for p in periods]), ids, periods)
+    value = F.col("Average_Output") * F.lit(factor)
+    return long.where(F.col("Average_Output").isNotNull()).withColumn("Average_Output", value)
+
+
+def _periods(wide: DataFrame, ids: list[str], periods: list[str]) -> DataFrame:
+    """One row per id and period."""
     bands = F.array(*[F.struct(F.lit(int(p[2:])).alias("Trading_Period"),
-                               F.col(p).cast("double").alias("Average_Output"))
+                               present(F.col(p).cast("double")).alias("Average_Output"))
                       for p in periods])
-    return (summed.select(*ids, F.inline(bands)).where(F.col("Average_Output").isNotNull())
-            .withColumn("Average_Output", F.col("Average_Output") * F.lit(factor)))
+    return wide.select(*ids, F.inline(bands))
 
 
 def columns_to_rows(df: DataFrame, ids: list[str], columns: list[str], name: str,
@@ -108,6 +122,16 @@ def lakes_to_columns(df: DataFrame, lakes: list[str], value: str = "lake_levels"
     return rows_to_columns(df, ["trading_date"], "lake", value, lakes)
 
 
+def quarters(begin: dt.date, end: dt.date) -> list[dt.date]:
+    """The first days of the quarters of a range of days."""
+    found = []
+    for year in range(begin.year, end.year + 1):
+        for month in (1, 4, 7, 10):
+            if (begin.year, (begin.month - 1) // 3) <= (year, month // 3) and dt.date(year, month, 1) <= end:
+                found.append(dt.date(year, month, 1))
+    return found
+
+
 def expiries_of(quotes: DataFrame) -> list:
     """The expiries of a series in order: a few for each year, as they become columns."""
     return [r[0] for r in quotes.select("expiry").where(F.col("expiry").isNotNull()).distinct()
@@ -115,7 +139,11 @@ def expiries_of(quotes: DataFrame) -> list:
 
 
 def quotes_to_columns(df: DataFrame, fields: list[str], expiries: list) -> DataFrame:
-    """Fields of the futures quotes by product and quote date, a column ``expiry_field`` for each."""
+    """Fields of the futures quotes by product and quote date, a column ``expiry_field`` for each.
+
+    ``outside`` counts the quotes whose expiry is none of those given, so none goes unnoticed.
+    """
+    outside = F.count_if(~F.coalesce(F.col("expiry").isin(expiries), F.lit(False)))
     return df.groupBy("product", "quote_date").agg(
         *[F.max(F.when(F.col("expiry") == F.lit(e), F.col(f))).alias(f"{e}_{f}")
-          for e in expiries for f in fields])
+          for e in expiries for f in fields], outside.alias("outside"))

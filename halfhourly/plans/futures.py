@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from halfhourly.functions.dates import expiry_label, is_weekday, summary_page_date
 from halfhourly.functions.text import clean_number, spread
 from halfhourly.operators.joins import missing_rows
 from halfhourly.operators.predicates import larger_than_bytes
+from halfhourly.operators.reshape import expiries_of, quotes_to_columns
 from halfhourly.schemas import FUTURES_FIELDS, FUTURES_PRODUCTS
+from halfhourly.session import staged
 from halfhourly.sources.markup import page_table
 
 QUOTE_TABLE = 1          # quotes are in the second table of a page
@@ -80,6 +83,43 @@ def append_new_quotes(held: DataFrame, quotes: DataFrame) -> DataFrame:
     return held.unionByName(missing_rows(fresh, held, ["product", "quote_date"]))
 
 
+def append_wide_quotes(quotes: DataFrame, path: str, fields: list[str]) -> int:
+    """Adds the quote days that a stored wide table lacks; returns how many rows that were.
+
+    Only the new days are pivoted, to columns of their own expiries, and written beside what is stored; what
+    is there is neither read nor written again but for its days. A day that is held keeps its quotes, so
+    an append that is run again adds nothing.
+    """
+    held = _stored_wide(quotes.sparkSession, path)
+    if held is not None:
+        quotes = missing_rows(quotes, held, ["product", "quote_date"])
+    new = staged(quotes.select("product", "quote_date", "expiry", *fields), "wide-quotes")
+    expiries = expiries_of(new)
+    if not expiries:
+        return 0
+    written = Observation()
+    (quotes_to_columns(new, fields, expiries).drop("outside").observe(written, F.count(F.lit(1)).alias("n"))
+     .write.mode("append").parquet(path))
+    return written.get["n"]
+
+
+def read_wide_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """The stored wide table; its columns are those of all appends, null where an append had no such expiry."""
+    held = _stored_wide(spark, path)
+    if held is None:
+        return spark.createDataFrame([], "product string, quote_date date")
+    return held.select("product", "quote_date", *sorted(set(held.columns) - {"product", "quote_date"}))
+
+
+def _stored_wide(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+
+
 def refresh_quotes(held: DataFrame, pages: DataFrame, min_page_bytes: int = FULL_PAGE_BYTES) -> DataFrame:
     """The series after reading the weekday pages (``name``, ``html``) of days that some product lacks.
 

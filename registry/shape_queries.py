@@ -10,14 +10,15 @@ from halfhourly.functions.dates import expiry_label
 from halfhourly.functions.text import first_word
 from halfhourly.operators.aggregates import span
 from halfhourly.operators.ordered import carry_down
-from halfhourly.operators.reshape import expiries_of, half_hour_to_long, quotes_to_columns, wind_to_long
-from halfhourly.plans.futures import (append_new_quotes, last_day_held, product_info,
-                                      weekdays_to_fetch)
+from halfhourly.operators.reshape import (expiries_of, half_hour_to_long, quarters, quotes_to_columns,
+                                           wind_to_long)
+from halfhourly.plans.futures import (append_new_quotes, append_wide_quotes, last_day_held, product_info,
+                                      read_wide_quotes, weekdays_to_fetch)
 from halfhourly.plans.hydro import (lake_matrix, shift_to_day_before, storage_by_day_of_year,
                                     year_of_series)
 from halfhourly.plans.market import query_offer
 from halfhourly.schemas import FUTURES_PRODUCTS, TABLES
-from halfhourly.session import staged
+from halfhourly.session import staged, work_folder
 from registry import views as V
 from registry.views import quantile_sql, query, sql
 
@@ -200,13 +201,42 @@ def _(spark, sf):
                           "expiry", "sett", "volume")
 
 
-@query("futures_wide", sql("""
-SELECT * FROM (PIVOT v_quote ON expiry USING MAX(sett) AS sett, MAX(volume) AS volume, MAX(op_int) AS op_int
-               GROUP BY product, quote_date)""", "v_quote"))
+#: The calendar of expiries that become columns; quotes of other expiries are counted.
+_EXPIRIES = quarters(dt.date(1995, 1, 1), dt.date(2002, 12, 31))
+_FIELDS = ["sett", "volume", "op_int"]
+_CELLS = ",\n       ".join(f"MAX(CASE WHEN expiry = DATE '{e}' THEN {f} END) AS \"{e}_{f}\""
+                          for e in _EXPIRIES for f in _FIELDS)
+_FIRST, _LAST = _EXPIRIES[0], _EXPIRIES[-1]
+
+
+@query("futures_wide", sql(f"""
+SELECT product, quote_date, {_CELLS},
+       COUNT(*) FILTER (expiry NOT BETWEEN DATE '{_FIRST}' AND DATE '{_LAST}') AS outside
+FROM v_quote GROUP BY product, quote_date""", "v_quote"))
+def _(spark, sf):
+    """All three fields of every expiry of a calendar."""
+    return quotes_to_columns(V.quote(spark, sf), _FIELDS, _EXPIRIES)
+
+
+@query("futures_wide_grown", sql(f"""
+SELECT product, quote_date, {_CELLS}, 3 AS n_appends, TRUE AS same_columns
+FROM v_quote GROUP BY product, quote_date""", "v_quote"))
 def _(spark, sf):
-    """All expiries of the lines and all three fields."""
+    """The wide table in three appends, each with expiries of its own, the last one run twice."""
+    folder = work_folder(spark, "wide-quotes")
     quotes = staged(V.quote(spark, sf), "quotes")
-    return quotes_to_columns(quotes, ["sett", "volume", "op_int"], expiries_of(quotes))
+    added = []
+    for first, last in (("1900-01-01", "1996-12-31"), ("1997-01-01", "1999-06-30"), ("1999-07-01", "2099-12-31")):
+        some = quotes.where(F.col("quote_date").between(first, last))
+        added.append(append_wide_quotes(some, folder, _FIELDS))
+    # a held day keeps its quotes
+    append_wide_quotes(quotes.withColumn("sett", F.col("sett") + 1), folder, _FIELDS)
+    grown = read_wide_quotes(spark, folder)
+    wanted = {f"{e}_{f}" for e in expiries_of(quotes) for f in _FIELDS}
+    cells = [F.col(c) if c in grown.columns else F.lit(None).cast("double" if c.endswith("sett") else "bigint").alias(c)
+             for c in (f"{e}_{f}" for e in _EXPIRIES for f in _FIELDS)]
+    return grown.select("product", "quote_date", *cells, F.lit(sum(n > 0 for n in added)).alias("n_appends"),
+                        F.lit(wanted == set(grown.columns) - {"product", "quote_date"}).alias("same_columns"))
 
 
 _HELD_UNTIL = dt.date(1998, 6, 30)
