@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 #: whole number that are read before the rest is only told zero from not zero.
 _BUCKET, _DIGIT, _ENOUGH = 16, 18, 2 ** 60
 _INFINITE, _WRITTEN = 1000, -2000
-_DECIMAL = "decimal(28,10)"
+DECIMAL = "decimal(28,10)"
 PARTS = ["bucket", "written", "d0", "d1", "d2", "d3", "n"]
 _BIG = "decimal(38,0)"
 
@@ -33,10 +33,21 @@ def present(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def is_written(value: Column) -> Column:
+    """Whether a double is the nearest one to a number that decimals hold: of ten places, of four beyond
+    900,000, whole beyond 900 billion. Up to those bounds the scaled number is exact in a double."""
+    size = F.abs(value)
+
+    def of_places(scale: float) -> Column:
+        return F.rint(value * scale) / scale == value
+
+    return F.coalesce(((size < 9e5) & of_places(1e10)) | ((size < 9e11) & of_places(1e4))
+                      | ((size < 1e17) & (F.rint(value) == value)), F.lit(False))
+
+
 def as_written(value: Column) -> Column:
-    """A double as the decimal it is written as; null where ten places do not hold it."""
-    decimal = F.when(F.abs(value) < 1e17, value).cast(_DECIMAL)
-    return F.when(decimal.cast("double") == value, decimal)
+    """A double as the decimal it is written as; null where that is not held."""
+    return F.when(is_written(value), value).cast(DECIMAL)
 
 
 def _two_to(power: Column) -> Column:
@@ -70,7 +81,7 @@ def _digits(rows: DataFrame, keys: list[str]) -> DataFrame:
     for i, name in enumerate(names):
         rows = rows.select(*kept, *names[:i], "_r", F.floor("_r").alias(name))
         rows = rows.select(*kept, *names[:i + 1], ((F.col("_r") - F.col(name)) * 2 ** _DIGIT).alias("_r"))
-    return rows.select(*keys, "bucket", F.coalesce("written", F.lit(0).cast(_DECIMAL)).alias("written"),
+    return rows.select(*keys, "bucket", F.coalesce("written", F.lit(0).cast(DECIMAL)).alias("written"),
                        *[(F.col("_sign").cast("bigint") * F.col(c)).alias(c) for c in names], "n")
 
 
@@ -80,15 +91,13 @@ def _whole(entry: Column) -> Column:
                entry["d3"].cast(_BIG)).cast(_BIG)
 
 
-def total(entries: Column) -> Column:
-    """The double nearest to the sum of a group's entries (``PARTS``)."""
-    odd = F.filter(entries, lambda e: F.abs(e["bucket"]) < _INFINITE)
-    written = F.aggregate(entries, F.lit(0).cast("decimal(38,10)"),
-                          lambda sum_, e: (sum_ + e["written"]).cast("decimal(38,10)")).cast("double")
-    buckets = F.transform(entries, lambda e: e["bucket"])
+def _total(written: Column, odd: Column) -> Column:
+    """The double nearest to a sum of decimals, with the entries of a group's other values."""
+    buckets = F.transform(odd, lambda e: e["bucket"])
     up, down = (F.array_contains(buckets, b) for b in (_INFINITE, -_INFINITE))
-    return (F.when(up & down, F.lit(float("nan"))).when(up, F.lit(float("inf"))).when(down, F.lit(float("-inf")))
-            .when(F.size(odd) == 0, written).otherwise(written + _put_together(odd)))
+    return (F.when(F.size(odd) == 0, written.cast("double"))
+            .when(up & down, F.lit(float("nan"))).when(up, F.lit(float("inf"))).when(down, F.lit(float("-inf")))
+            .otherwise(written.cast("double") + _put_together(odd)))
 
 
 def _put_together(entries: Column) -> Column:
@@ -142,9 +151,10 @@ def parts(df: DataFrame, keys: list[str], col: Column | str) -> DataFrame:
 
 def totals(sums: DataFrame, keys: list[str], alias: str = "total", count: str | None = None) -> DataFrame:
     """``keys``, the rounded sum of their entries and, with a name for it, the number of values in it."""
-    entries = F.collect_list(F.struct(*PARTS))          # one for each bucket, 135 at most
-    whole = sums.groupBy(*keys).agg(entries.alias("_entries"), F.sum("n").alias("_n"))
-    value = F.when(F.col("_n") > 0, total(F.col("_entries")))
+    # one entry for each bucket, 135 at most
+    odd = F.collect_list(F.when(F.col("bucket") != _WRITTEN, F.struct(*PARTS)))
+    whole = sums.groupBy(*keys).agg(F.sum("written").alias("_written"), odd.alias("_odd"), F.sum("n").alias("_n"))
+    value = F.when(F.col("_n") > 0, _total(F.col("_written"), F.col("_odd")))
     return whole.select(*keys, value.alias(alias), *([F.col("_n").alias(count)] if count else []))
 
 

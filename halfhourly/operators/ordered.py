@@ -13,7 +13,7 @@ from __future__ import annotations
 import functools
 import operator
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from halfhourly.operators.exact import as_written, exact_sums, is_floating
 from halfhourly.session import staged
@@ -100,9 +100,12 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alia
         steps = exact_sums(named, [*keys, order_col], {"_own": col}).drop("_own_n")
     else:
         steps = named.groupBy(*keys, order_col).agg(F.sum(col).alias("_own"))
-    rows = _cut(steps, keys, [order_col], "running")
-    added = {"_sum": F.col("_own")}
-    if floating:
+    seen = Observation()
+    noted = steps.observe(seen, F.count_if(as_written(F.col("_own")).isNull()).alias("odd")) if floating else steps
+    rows = _cut(noted, keys, [order_col], "running")
+    odd = floating and seen.get["odd"] > 0
+    added = {"_sum": as_written(F.col("_own")) if floating else F.col("_own")}
+    if odd:
         rows = rows.withColumn("_sum", as_written(F.col("_own")))
         size = F.when(F.col("_sum").isNull() & (F.abs("_own") < float("inf")), F.abs("_own"))
         tops = rows.groupBy(*keys).agg(F.max(F.floor(F.log2(size))).alias("_top"))
@@ -123,7 +126,9 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alia
         return F.coalesce(here + earlier, here, earlier)
 
     result = upto("_sum")
-    if floating:
+    if floating and not odd:
+        result = result.cast("double")
+    if odd:
         up, down = upto("_up") > 0, upto("_down") > 0
         result = (F.when(up & down, F.lit(float("nan"))).when(up, F.lit(float("inf"))).when(down, F.lit(float("-inf")))
                   .when(upto("_odd").isNull(), result.cast("double"))

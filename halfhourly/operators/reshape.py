@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from halfhourly.operators.exact import exact_sums, is_floating, present
 from halfhourly.schemas import HALF_HOUR_NAMES, MW_PER_HALF_HOUR_KWH, TABLES
+from halfhourly.session import staged
 
 _PERIOD_COLUMN = re.compile(r"^TP\d+$", re.IGNORECASE)
 
@@ -16,9 +17,10 @@ _PERIOD_COLUMN = re.compile(r"^TP\d+$", re.IGNORECASE)
 def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> DataFrame:
     """Wide half-hour energy (TP1..TP50, kWh) as average MW, one row per period.
 
-    Rows that share all other columns are added up. A row that is alone under its key passes as it
-    is, wide until after the shuffle; only rows of repeated keys are spread first and added up exactly. Empty
-    periods give no row, and rows with a null in an id column drop out.
+    Rows that share all other columns are added up exactly (see :mod:`halfhourly.operators.exact`). A row that is
+    alone under its key needs no sum: it stays wide, so the shuffle carries one row per day instead of
+    fifty. Only the rows of repeated keys are spread first. Empty periods give no row, and rows
+    with a null in an id column drop out.
     """
     named = df.toDF(*[HALF_HOUR_NAMES.get(c.upper(), c.upper()) for c in df.columns])
     periods = [c for c in named.columns if _PERIOD_COLUMN.match(c)]
@@ -26,16 +28,18 @@ def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> Da
     labelled = named.withColumn("Unit_Measure", F.lit("MW"))
     ids = ids if "Unit_Measure" in ids else [*ids, "Unit_Measure"]
     complete = labelled.dropna(subset=ids)
-    kinds = {p: complete.schema[p].dataType for p in periods}
-    if any(map(is_floating, kinds.values())):
-        wide = complete.groupBy(*ids).agg(F.count(F.lit(1)).alias("_rows"), *[F.max(p).alias(p) for p in periods])
-        alone = _periods(wide.where(F.col("_rows") == 1), ids, periods)
-        repeated = complete.join(wide.where(F.col("_rows") > 1).select(*ids), ids, "left_semi")
-        sums = exact_sums(_periods(repeated, ids, periods), [*ids, "Trading_Period"],
-                          {"Average_Output": "Average_Output"}).drop("Average_Output_n")
-        long = alone.unionByName(sums)
-    else:
+    if not any(is_floating(complete.schema[p].dataType) for p in periods):
         long = _periods(complete.groupBy(*ids).agg(*[F.sum(p).alias(p) for p in periods]), ids, periods)
+    else:
+        seen = Observation()
+        wide = staged(complete.groupBy(*ids).agg(F.count(F.lit(1)).alias("_rows"), *[F.max(p).alias(p) for p in periods])
+                      .observe(seen, F.count_if(F.col("_rows") > 1).alias("repeated")), "half-hours")
+        long = _periods(wide.where("_rows = 1"), ids, periods)
+        if seen.get["repeated"]:
+            spread = _periods(complete.join(wide.where("_rows > 1").select(*ids), ids, "left_semi"), ids, periods)
+            long = long.unionByName(
+                exact_sums(spread.where(F.col("Average_Output").isNotNull()), [*ids, "Trading_Period"],
+                           {"Average_Output": "Average_Output"}).drop("Average_Output_n"))
     value = F.col("Average_Output") * F.lit(factor)
     return long.where(F.col("Average_Output").isNotNull()).withColumn("Average_Output", value)
 

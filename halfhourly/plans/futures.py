@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from halfhourly.functions.dates import expiry_label, is_weekday, summary_page_date
@@ -13,7 +12,7 @@ from halfhourly.operators.joins import missing_rows
 from halfhourly.operators.predicates import larger_than_bytes
 from halfhourly.operators.reshape import expiries_of, quotes_to_columns
 from halfhourly.schemas import FUTURES_FIELDS, FUTURES_PRODUCTS
-from halfhourly.session import staged
+from halfhourly.session import path_exists, staged
 from halfhourly.sources.markup import page_table
 
 QUOTE_TABLE = 1          # quotes are in the second table of a page
@@ -112,12 +111,7 @@ def read_wide_quotes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _stored_wide(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
+    return spark.read.option("mergeSchema", True).parquet(path) if path_exists(spark, path) else None
 
 
 def refresh_quotes(held: DataFrame, pages: DataFrame, min_page_bytes: int = FULL_PAGE_BYTES) -> DataFrame:

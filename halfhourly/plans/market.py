@@ -18,7 +18,7 @@ from halfhourly.operators.predicates import (check_optional_range, check_require
                                              settled, value_filter)
 from halfhourly.operators.reshape import offer_bands
 from halfhourly.schemas import OFFER_TYPES
-from halfhourly.sources.tables import (Load, bytes_per_year, create_tables, insert_from_csv,
+from halfhourly.sources.tables import (Load, bytes_per_year, create_tables, insert_from_csv, stored_bytes,
                                        read_table)
 
 # A demand bound of zero asks for consuming nodes, so it leaves zero itself out.
@@ -134,7 +134,9 @@ class Market:
 
     def get_all_table_sizes(self, table: str) -> DataFrame:
         """Stored bytes of each year of a table."""
-        return bytes_per_year(self.table(table))
+        if table in self.tables:
+            return bytes_per_year(self.tables[table])
+        return stored_bytes(self.spark, self._place(table), table)
 
     def query_nodal_price(self, nodes=None, meta_how: str = "inner", **options) -> DataFrame:
         return query_nodal_price(self.table("nodal_prices"), nodes=nodes, meta_how=meta_how,

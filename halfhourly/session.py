@@ -67,19 +67,40 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
-def drop_work_folders(spark: SparkSession) -> int:
+def _files(spark: SparkSession, path: str):
+    """A place and the file system it is in."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _files(spark, path)
+    return bool(files.exists(place))
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or folder with all that is in it; whether there was one."""
+    place, files = _files(spark, path)
+    return bool(files.delete(place, True))
+
+
+def drop_work_folders(spark: SparkSession, after: int = 0) -> int:
     """Deletes the folders that this process made for intermediate tables; returns how many it found.
 
-    Results that were not written elsewhere can no longer be read then.
+    Results that were not written elsewhere can no longer be read then. ``after`` leaves as many of
+    the oldest folders, see :func:`work_folders`.
     """
     found = 0
-    while _FOLDERS:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
-        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found += bool(files.delete(place, True))
+    while len(_FOLDERS) > after:
+        found += delete_path(spark, _FOLDERS.pop())
     return found
 
 
+def work_folders() -> int:
+    """How many folders there are for intermediate tables; see :func:`drop_work_folders`."""
+    return len(_FOLDERS)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read from there, its lineage cut."""
     spark = df.sparkSession

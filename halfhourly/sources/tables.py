@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from halfhourly.operators.ordered import newest
 from halfhourly.schemas import TABLES, Table
-from halfhourly.session import staged
+from halfhourly.session import drop_work_folders, path_exists, staged, work_folders
 from halfhourly.sources.csvfiles import CSV_GLOB, REASON, SOURCE, check_file_year, read_csv, table_of
 
 YEAR = "trading_year"
@@ -31,17 +32,71 @@ def create_tables(spark: SparkSession, names: list[str] | None = None, database:
 
 
 def read_table(spark: SparkSession, path: str, table: Table | str) -> DataFrame:
-    """A stored table; no rows while nothing has been loaded."""
-    return _read_or_none(spark, path, stored_schema(table_of(table)))
+    """A stored table, of rows that were amended the newest version; no rows while nothing has been loaded."""
+    t = table_of(table)
+    stored = unamended(spark, path, t)
+    if not path_exists(spark, amended_path(path)):
+        return stored
+    return _merged(stored, _read_or_none(spark, amended_path(path), stored_schema(t)), t)
+
+
+def amended_path(path: str) -> str:
+    """Where newer versions of a table's rows are kept."""
+    return path.rstrip("/") + "_amended"
+
+
+def compacting_path(path: str) -> str:
+    """Where a compaction is built, and read from until it is in its place."""
+    return path.rstrip("/") + "_compacting"
+
+
+def version_order(table: Table) -> tuple[list[str], list[str]]:
+    """The columns that say which of two versions is newer: dates of amendment, then all others."""
+    order = [c for c in ("last_amended_date", "created_date") if c in table.names]
+    return order, [c for c in stored_schema(table).names if c not in table.key and c not in order]
+
+
+def version(table: Table) -> Column:
+    order, others = version_order(table)
+    return F.struct(*order, *others)
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def unamended(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """The stored rows as they stand without amended ones."""
+    stored = _read_or_none(spark, path, stored_schema(table))
+    folder = compacting_path(path)
+    if not is_whole(spark, folder):
+        return stored
+    rebuilt = _read_or_none(spark, folder, stored_schema(table))
+    if not table.by_year:
+        return rebuilt
+    return stored.where(~F.col(YEAR).isin(years_of(rebuilt))).unionByName(rebuilt)
+
+
+def years_of(rows: DataFrame) -> list[int]:
+    return [r[0] for r in rows.select(YEAR).distinct().collect()]
+
+
+def _merged(stored: DataFrame, amended: DataFrame, table: Table) -> DataFrame:
+    keys, order = list(table.key), version_order(table)[0]
+    latest = newest(amended, keys, order)
+    return (stored.join(amended.select(*_matched(table)), _matched(table), "left_anti")
+            .unionByName(latest).select(*stored_schema(table).names))
+
+
+def _matched(table: Table) -> list[str]:
+    """The columns that join versions of a row; the year among them lets Spark leave out years."""
+    return [*([YEAR] if table.by_year else []), *table.key]
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def stored_schema(table: Table) -> T.StructType:
@@ -51,17 +106,19 @@ def stored_schema(table: Table) -> T.StructType:
     return T.StructType(fields)
 
 
-def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "append") -> int:
+def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "append",
+               noted: Noted | None = None) -> int:
     """Rows into a stored table, each file holding a stretch of dates; returns how many.
 
-    The range is cut along the whole key, so a day that holds much of the data is
-    spread over tasks; the order gives each file narrow date bounds to skip by.
-    ``replace_years`` as mode writes the years of the rows anew.
+    Rows are cut into ranges of dates, and a day that holds much of the data over tasks; the order gives each
+    file narrow date bounds to skip by. With what was ``noted`` of the batch the ranges are known and rows
+    move once; else Spark takes a look at the rows first. ``replace_years`` as mode writes the years of the rows anew.
     """
     t = table_of(table)
     order = [t.date_col, *[k for k in t.key if k != t.date_col]]
     written = Observation()
-    ranged = rows.repartitionByRange(*order).observe(written, F.count(F.lit(1)).alias("n"))
+    ranged = rows.repartitionByRange(*order) if noted is None else noted.dealt(rows, t)
+    ranged = ranged.observe(written, F.count(F.lit(1)).alias("n"))
     # the year in front is the order the partitioned write asks for
     writer = ranged.sortWithinPartitions(*([YEAR] if t.by_year else []), *order).write
     if mode == "replace_years":
@@ -72,6 +129,62 @@ def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "appe
     return written.get["n"]
 
 
+#: Rows for one task of a write, and ranges of dates that are told apart.
+_TASK_ROWS, _RANGES = 250_000, 200
+#: Days since 1970 that a bitmap holds; others are known by their first and last alone.
+_BITMAP_DAYS = 32_768
+
+
+@dataclass(frozen=True)
+class Noted:
+    """What was noted of a batch while it was written: numbers of rows, its days, and dates that cut it evenly."""
+
+    total: int
+    rejected: int
+    spans: tuple[tuple[int, dt.date, dt.date], ...]
+    cuts: tuple[int, ...]
+
+    def dealt(self, rows: DataFrame, table: Table) -> DataFrame:
+        """The rows dealt to tasks by date; a day of several ranges, and a range of several tasks, by key."""
+        most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(1, min(most, -(-self.total // _TASK_ROWS)))
+        ranges = min(tasks, _RANGES)
+        cuts = [self.cuts[k * _RANGES // ranges - 1] for k in range(1, ranges)] if self.cuts else []
+        split = -(-tasks // ranges)
+        number = F.unix_date(F.col(table.date_col).cast("date"))
+        known = F.array(*[F.lit(c) for c in cuts]).cast("array<int>")
+        low, high = F.size(F.filter(known, lambda c: c < number)), F.size(F.filter(known, lambda c: c <= number))
+        share = F.hash(*table.key)
+        target = (low + F.pmod(share, high - low + 1)) * split + F.pmod(F.xxhash64(*table.key), F.lit(split))
+        return rows.repartitionById(ranges * split, target.cast("int"))
+
+
+def staged_batch(batch: DataFrame, table: Table) -> tuple[DataFrame, Noted]:
+    """A checked batch in the shared folder; what is asked about it later is noted in the same pass."""
+    rows, noted = checked_batch(batch, table), Observation()
+    good = F.col(REASON).isNull()
+    day = F.when(good, F.col(table.date_col).cast("date"))
+    number = F.unix_date(day)
+    held = number.between(0, _BITMAP_DAYS - 1)
+    steps = [k / _RANGES for k in range(1, _RANGES)]
+    rows = staged(rows.observe(
+        noted, F.count(F.lit(1)).alias("total"), F.count_if(~good).alias("rejected"),
+        F.bitmap_construct_agg(F.when(held, number.cast("bigint"))).alias("days"),
+        F.min(F.when(~held, day)).alias("first"), F.max(F.when(~held, day)).alias("last"),
+        F.percentile_approx(number, steps, 1000).alias("cuts")), "batch")
+    found = noted.get
+    bits = bytes(found["days"] or b"")
+    days = [dt.date(1970, 1, 1) + dt.timedelta(8 * i + k) for i, b in enumerate(bits) if b for k in range(8) if b >> k & 1]
+    spans: dict[int, tuple[dt.date, dt.date]] = {}
+    for d in days:
+        spans[d.year] = (spans.get(d.year, (d, d))[0], d)
+    if found["first"] is not None:      # of dates beyond the bitmap whole years are taken
+        spans.update({y: (dt.date(y, 1, 1), dt.date(y, 12, 31))
+                      for y in range(found["first"].year, found["last"].year + 1)})
+    return rows, Noted(found["total"], found["rejected"], tuple((y, *s) for y, s in sorted(spans.items())),
+                       tuple(found["cuts"] or ()))
+
+
 @dataclass(frozen=True)
 class Load:
     """What a load did: rows written, good rows that were not, and rows rejected."""
@@ -124,31 +237,26 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
         raise ValueError(f"load mode {mode!r}: use skip_rows or reject_file")
     if mode == "reject_file" and SOURCE not in batch.columns:
         raise ValueError(f"to reject files the batch needs {SOURCE!r}")
-    rows = staged(checked_batch(batch, t), "batch")
-    good, bad = rows.where(F.col(REASON).isNull()), rows.where(F.col(REASON).isNotNull())
-    spans = batch_spans(rows, t)
-    total, rejected = sum(s["n"] for s in spans), sum(s["rejected"] for s in spans)
-    if rejected:
-        set_aside(bad, path, t)
-    if total == rejected:
-        return Load(0, 0, rejected)
-    # written once before it is cut into ranges, which takes a look at the rows first
-    new = staged(new_rows(spark, good.drop(REASON), path, t, mode, order, spans)
-                 .select(*stored_schema(t).names), "new")
-    loaded = write_rows(new, path, t)
-    return Load(loaded, total - rejected - loaded, rejected)
-
-
-def batch_spans(batch: DataFrame, table: Table) -> list[Row]:
-    """Rows, rejected rows, first and last date of a batch for each of its years: a handful of values."""
-    day = F.col(table.date_col)
-    bad = F.col(REASON).isNotNull() if REASON in batch.columns else F.lit(False)
-    return batch.groupBy(F.year(day).alias("year")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("rejected"),
-        F.min(F.when(~bad, day)).alias("first"), F.max(F.when(~bad, day)).alias("last")).collect()
-
-
-def rows_near(stored: DataFrame, table: Table, spans: list[Row]) -> DataFrame:
+    folders = work_folders()
+    rows, noted = staged_batch(batch, t)
+    if noted.rejected:
+        set_aside(rows.where(F.col(REASON).isNotNull()), path, t)
+    good, loaded = noted.total - noted.rejected, 0
+    if good:
+        new = new_rows(spark, rows.where(F.col(REASON).isNull()).drop(REASON), path, t, mode, order, noted.spans)
+        loaded = write_rows(new.select(*stored_schema(t).names), path, t, noted=noted)
+    drop_work_folders(spark, folders)
+    return Load(loaded, good - loaded, noted.rejected)
+
+
+def batch_spans(batch: DataFrame, table: Table) -> list[tuple]:
+    """Year, first and last day of a batch, for each of its years."""
+    day = F.col(table.date_col).cast("date")
+    rows = batch.where(day.isNotNull()).groupBy(F.year(day).alias("year")).agg(F.min(day), F.max(day)).collect()
+    return [tuple(r) for r in rows]
+
+
+def rows_near(stored: DataFrame, table: Table, spans: Iterable[tuple]) -> DataFrame:
     """Stored rows between the dates of a batch, year by year.
 
     Every unique key holds the date, so no other row can have a key of the batch;
@@ -156,11 +264,13 @@ def rows_near(stored: DataFrame, table: Table, spans: list[Row]) -> DataFrame:
     """
     kind = table.struct[table.date_col].dataType
     found = F.lit(False)
-    for s in spans:
-        if s["first"] is not None:
-            between = F.col(table.date_col).between(F.lit(str(s["first"])).cast(kind),
-                                                    F.lit(str(s["last"])).cast(kind))
-            found = found | ((F.col(YEAR) == s["year"]) & between if table.by_year else between)
+    for year, first, last in spans:
+        day = F.col(table.date_col)
+        if isinstance(kind, T.DateType):
+            between = day.between(F.lit(first), F.lit(last))
+        else:
+            between = (day >= F.lit(first).cast(kind)) & (day < F.lit(last + dt.timedelta(1)).cast(kind))
+        found = found | ((F.col(YEAR) == year) & between if table.by_year else between)
     return stored.where(found)
 
 
@@ -191,7 +301,7 @@ def with_year(batch: DataFrame, table: Table) -> DataFrame:
 
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | str,
              mode: str = "skip_rows", order: list[str] | None = None,
-             spans: list[Row] | None = None) -> DataFrame:
+             spans: Iterable[tuple] | None = None) -> DataFrame:
     """The rows of a batch that :func:`append_new_rows` would add.
 
     Only the dates of the batch are read from the stored table.
@@ -199,7 +309,7 @@ def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | st
     t = table_of(table)
     keys = list(t.key)
     batch = batch.dropna(subset=keys)
-    held = rows_near(read_table(spark, path, t), t,
+    held = rows_near(unamended(spark, path, t), t,
                  batch_spans(batch, t) if spans is None else spans).select(*keys)
     if mode == "skip_rows":
         columns = [c for c in batch.columns if c in stored_schema(t).names]
@@ -230,13 +340,30 @@ def insert_from_csv(spark: SparkSession, path: str | list[str], store: str, tabl
 
 
 def bytes_per_year(df: DataFrame) -> DataFrame:
-    """Stored size of each year, from the sizes of the files read; one row for a table that is not split."""
+    """Size of each year of any rows read from files, from the sizes of the files; one row if they are not split.
+
+    :func:`stored_bytes` tells the same of a stored table without reading a row.
+    """
     keys = [YEAR] if YEAR in df.columns else []
     files = df.select(*keys, F.col("_metadata.file_path").alias("f"),
                       F.col("_metadata.file_size").alias("size")).distinct()
     return files.groupBy(*keys).agg(F.sum("size").alias("bytes"))
 
 
+def stored_bytes(spark: SparkSession, path: str, table: Table | str) -> DataFrame:
+    """Stored size of each year of a table, from a listing of its files; one row for a table that is not split."""
+    keys = [YEAR] if table_of(table).by_year else []
+    schema = T.StructType([T.StructField("bytes", T.LongType())])
+    if not path_exists(spark, path):
+        empty = T.StructType([*[T.StructField(k, T.IntegerType()) for k in keys], *schema])
+        return spark.createDataFrame([], empty)
+    # the contents are no column that is asked for, so they are not read
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", True).load(path))
+    year = F.regexp_extract("path", rf"/{YEAR}=(\d+)/", 1).try_cast("int").alias(YEAR)
+    return files.groupBy(*([year] if keys else [])).agg(F.sum("length").alias("bytes"))
+
+
 def run_sql(spark: SparkSession, text: str, n: int | None = None) -> DataFrame:
     """A query, all rows or its first ``n``."""
     result = spark.sql(text)

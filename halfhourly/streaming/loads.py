@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from halfhourly.functions.dates import trading_timestamp, utc_instant
+from halfhourly.operators.exact import added, parts, totals
 from halfhourly.schemas import Table
-from halfhourly.operators.ordered import newest
-from halfhourly.session import staged
+from halfhourly.session import drop_work_folders, work_folders
 from halfhourly.sources.csvfiles import CSV_GLOB, REASON, csv_rows, file_lines, table_of
-from halfhourly.sources.tables import (YEAR, checked_batch, rows_near, stored_schema, batch_spans, read_table, set_aside,
-                                       write_rows)
+from halfhourly.sources.tables import set_aside, staged_batch, stored_schema
+from halfhourly.sources.versions import upsert
 
 
 def stream_csv(spark: SparkSession, folder: str, table: Table | str, glob: str = CSV_GLOB,
@@ -27,26 +27,26 @@ def stream_csv(spark: SparkSession, folder: str, table: Table | str, glob: str =
 
 
 def load_new(stream: DataFrame, store: str, table: Table | str, checkpoint: str) -> StreamingQuery:
-    """Loads each file once and each unique key once into a stored table, then stops.
+    """Loads each file once and the newest row of each unique key into a stored table, then stops.
 
     Of rows with one key the newest is kept: the last by amendment date where the table
     has one, then by all other columns. Rows of a batch are compared with each other and
-    with the stored row, so the table is the same however files fall into batches. Years in
-    which a stored row gives way are written anew; other rows are appended. No state grows with
+    with the stored row, so the table is the same however files fall into batches. New rows are appended
+    to the table and newer versions beside it, nothing stored is written again; read the table by
+    :func:`halfhourly.sources.versions.read_current`. No state grows with
     the stream, no row is late, and a batch run again changes nothing. Rows with a
     ``reject_reason`` or without a key go to the table of rejects beside the store.
     """
     t = table_of(table)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        rows = staged(checked_batch(batch, t), "batch")
-        spans = batch_spans(rows, t)
-        if sum(s["rejected"] for s in spans):
+        folders = work_folders()
+        rows, noted = staged_batch(batch, t)
+        if noted.rejected:
             set_aside(rows.where(F.col(REASON).isNotNull()), store, t)
-        if all(s["n"] == s["rejected"] for s in spans):
-            return
-        _keep_newest(session, rows.where(F.col(REASON).isNull()).select(*_present(rows, t)), store, t, spans)
+        if noted.total > noted.rejected:
+            upsert(rows.where(F.col(REASON).isNull()).select(*_present(rows, t)), store, t, noted)
+        drop_work_folders(batch.sparkSession, folders)
 
     return (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -58,28 +58,6 @@ def _present(rows: DataFrame, table: Table) -> list[Column]:
             for f in stored_schema(table)]
 
 
-def _keep_newest(session: SparkSession, rows: DataFrame, store: str, t: Table, spans: list) -> None:
-    keys = list(t.key)
-    order = [c for c in ("last_amended_date", "created_date") if c in t.names]
-    others = [c for c in stored_schema(t).names if c not in keys and c not in order]
-    stored = read_table(session, store, t)
-    held = rows_near(stored, t, spans).select(*keys, F.struct(*order, *others).alias("_held"))
-    single = newest(rows, keys, order).join(held, keys, "left")
-    changed = staged(single.where(F.col("_held").isNull() | (F.struct(*order, *others) > F.col("_held")))
-                     .select(*stored_schema(t).names, F.col("_held").isNotNull().alias("_replaces")), "changed")
-    newer = changed.where("_replaces").drop("_replaces")
-    if newer.isEmpty():
-        write_rows(changed.drop("_replaces"), store, t)
-        return
-    years = [r[0] for r in newer.select(YEAR).distinct().collect()] if t.by_year else None
-    inside = F.col(YEAR).isin(years) if t.by_year else F.lit(True)
-    rest = stored.where(inside).join(newer.select(*keys), keys, "left_anti").select(*stored_schema(t).names)
-    rebuilt = staged(rest.unionByName(changed.where(inside).drop("_replaces")), "rebuilt")
-    write_rows(rebuilt, store, t, "replace_years" if t.by_year else "overwrite")
-    if t.by_year:
-        write_rows(changed.where(~inside).drop("_replaces"), store, t)
-
-
 def distinct_within(stream: DataFrame, keys: list[str], stamp: Column | str,
                     lateness: str) -> DataFrame:
     """Each key once, for a stream without a table behind it.
@@ -93,10 +71,9 @@ def distinct_within(stream: DataFrame, keys: list[str], stamp: Column | str,
 
 
 def half_hour_demand(demand: DataFrame, keys: list[str], value: str = "demand") -> DataFrame:
-    """Demand per half hour and group, from demand rows, as an exact decimal."""
+    """Demand per half hour and group, from demand rows, as sums that add up exactly (``exact.PARTS``)."""
     at = trading_timestamp("trading_date", "trading_period")
-    return demand.groupBy(at.alias("half_hour"), *keys).agg(
-        F.sum(F.col(value).cast("decimal(28,10)")).alias(value))
+    return parts(demand.withColumn("half_hour", at), ["half_hour", *keys], value)
 
 
 def add_half_hours(stream: DataFrame, path: str, keys: list[str], checkpoint: str,
@@ -104,7 +81,8 @@ def add_half_hours(stream: DataFrame, path: str, keys: list[str], checkpoint: st
     """Adds up each batch's half hours and keeps the sums in a stored table, then stops.
 
     Every row counts, however late it comes, since a half hour is never closed; see
-    :func:`half_hour_totals`. A batch run again replaces its own sums.
+    :func:`half_hour_totals`, and :mod:`halfhourly.streaming.windows` for half hours that close. A batch run
+    again replaces its own sums.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
@@ -116,5 +94,5 @@ def add_half_hours(stream: DataFrame, path: str, keys: list[str], checkpoint: st
 
 def half_hour_totals(spark: SparkSession, path: str, keys: list[str], value: str = "demand") -> DataFrame:
     """Demand per half hour and group over all batches so far."""
-    sums = spark.read.parquet(path)
-    return sums.groupBy("half_hour", *keys).agg(F.sum(value).cast("double").alias(value))
+    groups = ["half_hour", *keys]
+    return totals(added(spark.read.parquet(path), groups), groups, value)

@@ -5,6 +5,8 @@ The files go to a new folder below the shared one that ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from halfhourly.operators.joins import merge_meta
@@ -12,9 +14,11 @@ from halfhourly.schemas import TABLES
 from halfhourly.session import work_folder
 from halfhourly.sources.csvfiles import accepted, read_csv, write_csv
 from halfhourly.sources.markup import read_xml
-from halfhourly.sources.tables import (append_new_rows, bytes_per_year, conform, insert_from_csv,
-                                       read_rejects, read_table, write_rows, with_year)
+from halfhourly.sources.tables import (append_new_rows, conform, insert_from_csv, read_rejects,
+                                       read_table, stored_bytes, write_rows, with_year)
+from halfhourly.sources.versions import amended_shares, compact
 from halfhourly.streaming.loads import add_half_hours, half_hour_totals, load_new
+from halfhourly.streaming.windows import all_half_hours, close_half_hours, end_marker, late_rows, split_late
 from registry import views as V
 from registry.views import query, sql
 
@@ -95,7 +99,7 @@ def _(spark, sf):
     write_rows(with_year(demand, TABLES["nodal_demand"]), store, "nodal_demand")
     table = read_table(spark, store, "nodal_demand")
     rows = table.groupBy("trading_year").agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.join(bytes_per_year(table), "trading_year").select(
+    return rows.join(stored_bytes(spark, store, "nodal_demand"), "trading_year").select(
         "trading_year", "n_rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
@@ -106,8 +110,9 @@ def _(spark, sf):
     lakes = conform(V.storage(spark, sf).withColumn("unit", F.lit("GWh")), "lake_levels")
     append_new_rows(spark, lakes, store, "lake_levels")
     table = read_table(spark, store, "lake_levels")
-    listed = spark.read.format("binaryFile").load(store).agg(F.sum("length").alias("listed"))
-    bytes_held = bytes_per_year(table).first()["bytes"]
+    read = table.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")).distinct()
+    listed = read.agg(F.sum("size").alias("listed"))
+    bytes_held = stored_bytes(spark, store, "lake_levels").first()["bytes"]
     counted = table.agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.withColumn("size_agrees", F.lit(bytes_held == listed.first()["listed"] and bytes_held > 0))
 
@@ -176,8 +181,11 @@ def _(spark, sf):
 def _demand_stream(spark, sf, max_files=1):
     """The lines of the given table, one file a batch, as a stream of demand rows."""
     schema = V.read(spark, sf, "lineitem").schema
-    lines = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-             .parquet(f"{sf}/lineitem.parque[t]"))  # a pattern takes a file as well as a folder of files
+    return _demand_rows(spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+                        .parquet(f"{sf}/lineitem.parque[t]"))  # a pattern takes a file as well as a folder of files
+
+
+def _demand_rows(lines):
     return lines.select(
         F.col("l_shipdate").cast("date").alias("trading_date"),
         (((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 48).cast("int") + 1)
@@ -202,6 +210,44 @@ def _(spark, sf):
     return read_table(spark, store, "nodal_demand").drop("time", "island")
 
 
+_AMENDED = "l_orderkey % 100 = 0"
+
+
+@query("stream_amend", f"""
+SELECT trading_date, trading_period, node, demand, CAST(year(trading_date) AS INT) AS trading_year,
+       TRUE AS few_written, CAST(year(trading_date) AS INT) % 2 = 0 AS year_compacted
+FROM (SELECT CAST(l_shipdate AS DATE) AS trading_date,
+             CAST((l_orderkey * 7 + l_linenumber) % 48 AS INT) + 1 AS trading_period, 'S' || l_suppkey AS node,
+             MAX(l_quantity + CASE WHEN {_AMENDED} THEN 100 ELSE 0 END) AS demand
+      FROM lineitem GROUP BY 1, 2, 3) x""")
+def _(spark, sf):
+    """One row in a hundred is amended in a second stream: what is written then, and compaction of every second year."""
+    folder = work_folder(spark, "stream-amend")
+    store = f"{folder}/nodal_demand"
+    lines = V.read(spark, sf, "lineitem")
+    rows = conform(_demand_stream(spark, sf), "nodal_demand")
+    load_new(rows, store, "nodal_demand", f"{folder}/checkpoint").awaitTermination()
+    # the second stream repeats a twentieth of the rows as they are
+    (lines.where(f"{_AMENDED} OR l_orderkey % 20 = 7")
+     .withColumn("l_quantity", F.expr(f"l_quantity + IF({_AMENDED}, 100, 0)")).write.parquet(f"{folder}/more"))
+    again = conform(_demand_rows(spark.readStream.schema(lines.schema).parquet(f"{folder}/more")), "nodal_demand")
+    load_new(again, store, "nodal_demand", f"{folder}/more-checkpoint").awaitTermination()
+    written = spark.read.parquet(f"{store}_amended").count()
+    few = 0 < written <= 0.02 * spark.read.parquet(store).count()
+    even = work_folder(spark, "stream-amend") + "/nodal_demand"
+    shares = amended_shares(spark, store, "nodal_demand").count()
+    odd = F.col("trading_year") % 2 == 1
+    table = read_table(spark, store, "nodal_demand")
+    # the odd years go on as they are, the even ones are compacted in a table of their own
+    write_rows(spark.read.parquet(store).where(~odd).select(table.columns), even, "nodal_demand")
+    write_rows(spark.read.parquet(f"{store}_amended").where(~odd).select(table.columns), f"{even}_amended", "nodal_demand")
+    compacted = compact(spark, even, "nodal_demand", share=0.0)
+    both = table.where(odd).unionByName(read_table(spark, even, "nodal_demand"))
+    return both.drop("time", "island").select(
+        "*", F.lit(few and shares > 0).alias("few_written"),
+        F.col("trading_year").isin(compacted).alias("year_compacted"))
+
+
 @query("stream_halfhour_demand", sql("""
 SELECT CAST(trading_date AS TIMESTAMP) + to_minutes(trading_period * 30 - 30) AS half_hour,
        load_area, SUM(demand) AS demand
@@ -211,3 +257,33 @@ def _(spark, sf):
     rich = merge_meta(_demand_stream(spark, sf), V.meta(spark, sf), "demand", "inner")
     add_half_hours(rich, f"{folder}/out", ["load_area"], f"{folder}/checkpoint").awaitTermination()
     return half_hour_totals(spark, f"{folder}/out", ["load_area"])
+
+
+_LATENESS = dt.timedelta(days=3)
+
+
+@query("stream_windows", sql("""
+SELECT CAST(trading_date AS TIMESTAMP) + to_minutes(trading_period * 30 - 30) AS half_hour,
+       load_area, SUM(demand) AS demand, TRUE AS some_late, TRUE AS some_closed, TRUE AS none_lost
+FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1, 2""", "v_demand", "v_meta"))
+def _(spark, sf):
+    """Three files out of order: half hours that closed, and late rows beside them, make up the batch's sums."""
+    folder = work_folder(spark, "stream-windows")
+    lines = V.read(spark, sf, "lineitem")
+    part = (F.when((F.col("l_shipdate") < "1997-07-01") & (F.col("l_orderkey") % 10 != 0), 0)
+            .when((F.col("l_shipdate") < "2000-01-01") & (F.col("l_orderkey") % 10 != 1), 1).otherwise(2))
+    for k in range(3):
+        lines.where(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/files")
+    arriving = _demand_rows(spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1)
+                            .parquet(f"{folder}/files"))
+    rich = merge_meta(arriving, V.meta(spark, sf), "demand", "inner")
+    split_late(rich, f"{folder}/out", _LATENESS, f"{folder}/check-rows").awaitTermination()
+    end_marker(spark, f"{folder}/out", rich.schema, dt.datetime(2100, 1, 1))
+    close_half_hours(spark, f"{folder}/out", rich.schema, ["load_area"], "demand", _LATENESS,
+                     f"{folder}/check-sums").awaitTermination()
+    late = late_rows(spark, f"{folder}/out").count()
+    closed = spark.read.parquet(f"{folder}/out/closed").agg(F.sum("n")).first()[0]
+    stored = spark.read.parquet(f"{folder}/out/rows").where("demand IS NOT NULL").count()
+    return all_half_hours(spark, f"{folder}/out", ["load_area"], "demand").select(
+        "*", F.lit(late > 0).alias("some_late"), F.lit(closed > 0).alias("some_closed"),
+        F.lit(late + closed == stored).alias("none_lost"))

@@ -343,6 +343,32 @@ def _(spark, sf):
     return demand_by_area(merge_meta(lines, V.meta(spark, sf), "demand"))
 
 
+@query("exact_extremes", """
+SELECT load_area, kind, total AS demand_sum, total / n AS demand_mean, n AS demand_count, FALSE AS no_number
+FROM (SELECT l_returnflag AS load_area, 'mixed' AS kind, SUM(l_quantity) * power(2.0, -60) AS total, 3 * COUNT(*) AS n
+      FROM lineitem GROUP BY 1
+      UNION ALL SELECT l_returnflag, 'tiny', SUM(l_quantity) * power(2.0, -40), COUNT(*) FROM lineitem GROUP BY 1
+      UNION ALL SELECT l_returnflag, 'huge', SUM(l_quantity) * power(2.0, 63), COUNT(*) FROM lineitem GROUP BY 1
+      UNION ALL SELECT l_returnflag, 'missing', SUM(l_quantity) FILTER (l_linenumber <> 1),
+                       COUNT(*) FILTER (l_linenumber <> 1) FROM lineitem GROUP BY 1
+      UNION ALL SELECT l_returnflag, 'cents', CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE), COUNT(*)
+      FROM lineitem GROUP BY 1) x
+UNION ALL SELECT l_returnflag, 'infinite', NULL, NULL, COUNT(*), TRUE FROM lineitem GROUP BY 1""")
+def _(spark, sf):
+    """Tiny and huge values, huge ones that cancel each other, infinite ones and NaN, each in a group of its own."""
+    q, k = F.col("l_quantity"), F.col("l_orderkey").cast("double")
+    first = F.col("l_linenumber") == 1
+    values = [("mixed", q * 2.0 ** -60), ("mixed", k * 2.0 ** 70), ("mixed", k * -2.0 ** 70), ("tiny", q * 2.0 ** -40),
+              ("huge", q * 2.0 ** 63), ("infinite", F.when(first, float("inf")).otherwise(q)),
+              ("missing", F.when(first, float("nan")).otherwise(q)), ("cents", F.col("l_extendedprice"))]
+    rows = V.read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("load_area"), F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), v.alias("demand")) for kind, v in values])))
+    sums = group_by_meta(rows, ["load_area", "kind"], {"demand": ["sum", "mean", "count"]})
+    infinite = F.abs("demand_sum") == float("inf")
+    return sums.select("load_area", "kind", *[F.when(~infinite, F.col(c)).alias(c) for c in ("demand_sum", "demand_mean")],
+                       "demand_count", infinite.alias("no_number"))
+
+
 @query("rich_demand_group", sql("""
 SELECT trading_date, trading_period, island_name, load_area, SUM(demand) AS demand
 FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1, 2, 3, 4""", "v_demand", "v_meta"))
