@@ -94,6 +94,41 @@ def trading_id(date: Column | str, period: Column | str) -> Column:
             + _c(period)).cast("bigint")
 
 
+#: Where trading periods are counted; its clock changes give days of 46 and 50 periods.
+MARKET_ZONE = "Pacific/Auckland"
+
+
+def _utc_midnight(date: Column, zone: str) -> Column:
+    """The zone-less UTC time at which a local day begins."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), date.cast("timestamp_ntz"))
+
+
+def periods_of_day(date: Column | str, zone: str = MARKET_ZONE) -> Column:
+    """How many trading periods a local day has: 48, or 46 and 50 when clocks change."""
+    d = _c(date).cast("date")
+    minutes = F.timestamp_diff("MINUTE", _utc_midnight(d, zone), _utc_midnight(F.date_add(d, 1), zone))
+    return (minutes / PERIOD_MINUTES).cast("int")
+
+
+def period_start_utc(date: Column | str, period: Column | str, zone: str = MARKET_ZONE) -> Column:
+    """The zone-less UTC time at which a trading period begins, null beyond the day's last period.
+
+    Periods are counted through the day in the order they pass, so each has a time of its own, on days of 46, 48 and
+    50 periods alike; :func:`trading_timestamp` gives the local time instead and folds the last two.
+    """
+    d, number = _c(date).cast("date"), _c(period).cast("int")
+    start = F.timestamp_add("MINUTE", (number - 1) * PERIOD_MINUTES, _utc_midnight(d, zone))
+    return F.when(number.between(1, periods_of_day(d, zone)), start)
+
+
+def period_at_utc(stamp: Column | str, zone: str = MARKET_ZONE) -> Column:
+    """Local ``trading_date`` and ``trading_period`` of a zone-less UTC time, as a struct."""
+    at = _c(stamp)
+    d = F.convert_timezone(F.lit("UTC"), F.lit(zone), at).cast("date")
+    minutes = F.timestamp_diff("MINUTE", _utc_midnight(d, zone), at)
+    return F.struct(d.alias("trading_date"), (F.floor(minutes / PERIOD_MINUTES) + 1).cast("int").alias("trading_period"))
+
+
 def utc_instant(stamp: Column | str) -> Column:
     """A zone-less timestamp as an instant, whatever the session zone.
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from halfhourly.operators.exact import exact_sums, is_floating, present
+from halfhourly.operators.inparts import InParts, aggregate_in_parts
 from halfhourly.operators.ordered import quantiles
 from halfhourly.session import staged
 
@@ -38,7 +39,8 @@ def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
 
     A function may take a column and return an aggregate column, or take a pandas series and
     return a number. Of the latter, those in ``KNOWN`` are aggregated in parts like their names;
-    any other needs a whole group in one task, see :func:`aggregate_series`.
+    any other needs a whole group in one task, see :func:`aggregate_series`. An aggregate of one's own that is taken
+    in parts, whatever the size of groups, is an object, see :mod:`halfhourly.operators.inparts`.
     ``first`` and ``last`` go by date and period, then by all other columns. NaN counts as missing, like null;
     sums and means of floating numbers are exact, see :mod:`halfhourly.operators.exact`.
     """
@@ -54,15 +56,15 @@ def group_by_meta(df: DataFrame, meta_group, meta_agg) -> DataFrame:
     kept = kept.withColumns({c: present(F.col(c)) for c in sorted(floating)})
     plain, summed, apart = [], {}, []
     for c, make, alias in plan:
-        if make in SUMS + MEANS and c in floating:
+        if not isinstance(make, InParts) and make in SUMS + MEANS and c in floating:
             summed.setdefault(c, []).append((make, alias))
-        elif make == MEDIAN or (column := _made(df, c, make)) is None:
+        elif isinstance(make, InParts) or make == MEDIAN or (column := _made(df, c, make)) is None:
             apart.append((c, make, alias))
         else:
             plain.append(column.alias(alias))
     if bool(plain) + bool(summed) + len(apart) > 1:
         # the rows are worked out once, for all that is taken from them
-        wide = any(make in ENDS for _, make, _ in plan)
+        wide = any(isinstance(make, str) and make in ENDS for _, make, _ in plan)
         kept = staged(kept if wide else kept.select(*dict.fromkeys([*keys, *(c for c, _, _ in plan)])), "group")
     results = [kept.groupBy(*keys).agg(*plain)] if plain else []
     if summed:
@@ -86,6 +88,8 @@ def _sums(kept: DataFrame, keys: list[str], summed: Mapping[str, list]) -> DataF
 
 def _apart(kept: DataFrame, keys: list[str], col: str, make, alias: str) -> DataFrame:
     """An aggregate with a plan of its own."""
+    if isinstance(make, InParts):
+        return aggregate_in_parts(kept, keys, col, make, alias)
     if make == MEDIAN:
         return quantiles(kept, keys, col, [0.5]).select(*keys, F.col("value").alias(alias))
     return aggregate_series(kept, keys, col, make, alias)
@@ -93,6 +97,8 @@ def _apart(kept: DataFrame, keys: list[str], col: str, make, alias: str) -> Data
 
 def _made(df: DataFrame, col: str, make) -> Column | None:
     """An aggregate of a column, None for a function of pandas series."""
+    if isinstance(make, InParts):
+        return None
     if make in SUMS or make in MEANS:
         return F.sum(col) if make in SUMS else F.sum(col).cast("double") / F.count(col)
     if make in ENDS:
@@ -134,15 +140,19 @@ def _plan(df: DataFrame, keys: list[str], agg) -> list[tuple]:
 
 
 def _names(agg) -> tuple[list, bool]:
-    return ([agg], True) if isinstance(agg, str) or callable(agg) else (list(agg), False)
+    return ([agg], True) if isinstance(agg, (str, InParts)) or callable(agg) else (list(agg), False)
 
 
 def _label(name) -> str:
+    if isinstance(name, InParts):
+        return name.name
     return KNOWN.get(name, name) if isinstance(KNOWN.get(name, name), str) else name.__name__
 
 
 def _lookup(name):
     """The aggregate's name, or the function itself where it is none of the known ones."""
+    if isinstance(name, InParts):
+        return name
     if callable(name):
         return KNOWN.get(name, name)
     names = sorted([*AGGREGATES, *SUMS, *MEANS, *ENDS, MEDIAN])

@@ -139,6 +139,26 @@ def date_filter(df: DataFrame, dates=None, begin_date=None, end_date=None,
     return df.where(prune & wanted if year_col in df.columns else wanted)
 
 
+def on_days_of(df: DataFrame, days: DataFrame, date_col: str = "trading_date",
+               year_col: str = "trading_year", days_col: str = "trading_date") -> DataFrame:
+    """Rows of the dates of another DataFrame, however many.
+
+    The dates are joined by year and date, so Spark asks them at run time which years to read of a table
+    that has them as partitions; nothing is gathered and no list of thousands of dates is planned.
+    """
+    # the bound tells the optimizer that the dates are worth asking
+    wanted = days.where(F.col(days_col) >= F.lit("0001-01-01").cast("date")).select(
+        F.col(days_col).cast("date").alias("_day")).distinct()
+    rows = df
+    day_of = F.col(date_col).cast("date")
+    if year_col in df.columns:
+        wanted = wanted.select("_day", F.year("_day").alias("_year"))
+        same = (rows[year_col] == F.col("_year")) & (day_of == F.col("_day"))
+    else:
+        same = day_of == F.col("_day")
+    return rows.join(wanted, same, "left_semi")
+
+
 def _is_timestamp(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, (T.TimestampNTZType, T.TimestampType))
 

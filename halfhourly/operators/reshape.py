@@ -142,12 +142,12 @@ def expiries_of(quotes: DataFrame) -> list:
             .orderBy("expiry").collect()]
 
 
-def quotes_to_columns(df: DataFrame, fields: list[str], expiries: list) -> DataFrame:
+def quotes_to_columns(df: DataFrame, fields: list[str], expiries: list, outside: str | None = None) -> DataFrame:
     """Fields of the futures quotes by product and quote date, a column ``expiry_field`` for each.
 
-    ``outside`` counts the quotes whose expiry is none of those given, so none goes unnoticed.
+    ``outside`` names a column that counts the quotes whose expiry is none of those given, so none goes unnoticed.
     """
-    outside = F.count_if(~F.coalesce(F.col("expiry").isin(expiries), F.lit(False)))
+    others = F.count_if(~F.coalesce(F.col("expiry").isin(expiries), F.lit(False)))
     return df.groupBy("product", "quote_date").agg(
         *[F.max(F.when(F.col("expiry") == F.lit(e), F.col(f))).alias(f"{e}_{f}")
-          for e in expiries for f in fields], outside.alias("outside"))
+          for e in expiries for f in fields], *([others.alias(outside)] if outside else []))

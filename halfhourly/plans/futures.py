@@ -97,7 +97,7 @@ def append_wide_quotes(quotes: DataFrame, path: str, fields: list[str]) -> int:
     if not expiries:
         return 0
     written = Observation()
-    (quotes_to_columns(new, fields, expiries).drop("outside").observe(written, F.count(F.lit(1)).alias("n"))
+    (quotes_to_columns(new, fields, expiries).observe(written, F.count(F.lit(1)).alias("n"))
      .write.mode("append").parquet(path))
     return written.get["n"]
 

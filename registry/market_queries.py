@@ -7,12 +7,14 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import functions as F
 
-from halfhourly.functions.dates import (join_days, period_of, trading_id, trading_timestamp,
-                                        trading_timestamp_of_id)
+from halfhourly.functions.dates import (join_days, period_at_utc, period_of, period_start_utc, periods_of_day,
+                                        trading_id, trading_timestamp, trading_timestamp_of_id)
 from halfhourly.operators import predicates as P
 from halfhourly.operators.aggregates import (days_by_year, demand_by_area, distinct_values,
                                              group_by_meta, rows_per_year)
 from halfhourly.operators.coverage import calendar, month_slice, unloaded_dates
+from halfhourly.operators.daybits import add_bits, day_bits, days_missing, held_days, read_bits
+from halfhourly.operators.inparts import Quantile, TrimmedMean
 from halfhourly.operators.joins import difference, merge_meta, missing_rows
 from halfhourly.plans.analysis import (demand_distribution, histogram, merge_offers_demand,
                                        offer_curve, price_distribution)
@@ -20,10 +22,12 @@ from halfhourly.plans.market import (Market, query_nodal_demand, query_nodal_pri
                                      stack)
 from halfhourly.operators.ordered import newest
 from halfhourly.operators.reshape import offer_bands
+from halfhourly.operators.sketches import (RANK_ERROR, add_sketches, day_sketches, range_sketches,
+                                           sketch_quantiles)
 from halfhourly.schemas import CORE_NODES, TABLES, WIND_NODES
-from halfhourly.session import work_folder
+from halfhourly.session import staged, work_folder
 from halfhourly.sources.csvfiles import read_metadata, write_csv
-from halfhourly.sources.tables import run_sql
+from halfhourly.sources.tables import conform, read_table, run_sql, with_year, write_rows
 from registry import views as V
 from registry.views import quantile_sql, query, sql
 
@@ -50,6 +54,18 @@ def _(spark, sf):
     return P.date_filter(V.demand(spark, sf, dates=_DAYS), _DAYS)
 
 
+@query("date_table_multi_year", sql(
+    _DEMAND + "trading_date IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 3 = 0)", "v_demand"))
+def _(spark, sf):
+    """Dates that come as rows, over a stored table that is split by year."""
+    store = work_folder(spark, "date-table") + "/nodal_demand"
+    write_rows(with_year(conform(V.demand(spark, sf), "nodal_demand"), TABLES["nodal_demand"]), store, "nodal_demand")
+    days = V.read(spark, sf, "orders").where("o_orderkey % 3 = 0").select(
+        F.col("o_orderdate").cast("date").alias("trading_date"))
+    rows = P.on_days_of(read_table(spark, store, "nodal_demand"), days)
+    return rows.select("trading_date", "trading_period", "node", "demand")
+
+
 @query("date_range_multi_year", sql(_DEMAND + _IN_RANGE, "v_demand"))
 def _(spark, sf):
     rows = V.demand(spark, sf, begin_date=BEGIN, end_date=END)
@@ -318,15 +334,29 @@ SELECT load_area, CAST(SUM(trading_period) AS BIGINT) AS trading_period_sum, SUM
        quantile_cont(trading_period, 0.9) AS trading_period_upper, quantile_cont(demand, 0.9) AS demand_upper
 FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1""", "v_demand", "v_meta"))
 def _(spark, sf):
-    """A known pandas aggregate, taken in parts, and one that needs its group in one task."""
-    def upper(values):
-        return values.quantile(0.9)
-
+    """A known pandas aggregate and a quantile, both taken in parts."""
+    upper = Quantile(0.9, "upper")
     return query_nodal_demand(V.demand(spark, sf), **_ALWAYS, apply_meta=True,
                               meta_how="inner", metadata=V.meta(spark, sf),
                               meta_group="load_area", meta_agg=[pd.Series.sum, upper])
 
 
+_LARGE = "CASE WHEN l_orderkey % 10 = 0 THEN 'small' ELSE 'large' END"
+
+
+@query("demand_in_parts", f"""
+WITH ranked AS (
+  SELECT {_LARGE} AS load_area, l_quantity AS demand, l_tax AS tax,
+         row_number() OVER (PARTITION BY {_LARGE} ORDER BY l_quantity) AS place, COUNT(*) OVER (PARTITION BY {_LARGE}) AS n
+  FROM lineitem)
+SELECT load_area, AVG(demand) FILTER (place > floor(n * 0.1) AND place <= n - floor(n * 0.1)) AS demand_trimmed,
+       quantile_cont(demand, 0.75) AS demand_upper FROM ranked GROUP BY 1""")
+def _(spark, sf):
+    """Aggregates of one's own over a group that holds nine tenths of the rows."""
+    lines = V.read(spark, sf, "lineitem").select(F.expr(_LARGE).alias("load_area"), F.col("l_quantity").alias("demand"))
+    return group_by_meta(lines, "load_area", {"demand": [TrimmedMean(0.1, "trimmed"), Quantile(0.75, "upper")]})
+
+
 @query("exact_area_sums", sql("""
 SELECT CAST(l_shipdate AS DATE) AS trading_date,
        CAST((l_orderkey * 7 + l_linenumber) % 48 AS INT) + 1 AS trading_period, island_name, load_area,
@@ -416,6 +446,30 @@ def _(spark, sf):
     return missing_rows(published, held, "trading_date")
 
 
+@query("missing_dates_stored", """
+SELECT CAST(d AS DATE) AS trading_date
+FROM generate_series(TIMESTAMP '1992-01-01', TIMESTAMP '2003-12-31', INTERVAL 1 DAY) t(d)
+WHERE CAST(d AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)""")
+def _(spark, sf):
+    """The days held are bits of a stored table, which three loads added to."""
+    folder = work_folder(spark, "date-bits")
+    held = V.read(spark, sf, "lineitem").select("l_linenumber", F.col("l_shipdate").cast("date").alias("trading_date"))
+    for k in range(3):
+        add_bits(day_bits(held.where(F.col("l_linenumber") % 3 == k), []), folder)
+    return days_missing(read_bits(spark, folder, []), [], "1992-01-01", "2003-12-31")
+
+
+@query("days_held_stored", """
+SELECT 'S' || l_suppkey AS node, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS n_days FROM lineitem GROUP BY 1""")
+def _(spark, sf):
+    held = V.read(spark, sf, "lineitem").select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("node"),
+                                                F.col("l_shipdate").cast("date").alias("trading_date"))
+    folder = work_folder(spark, "node-bits")
+    for _ in range(2):      # a load that is run again changes nothing
+        add_bits(day_bits(held, ["node"]), folder)
+    return held_days(read_bits(spark, folder, ["node"]), ["node"])
+
+
 @query("date_difference", """
 SELECT CAST(o_orderdate AS DATE) AS trading_date FROM orders
 EXCEPT SELECT CAST(ts AS DATE) FROM events""")
@@ -461,6 +515,33 @@ def _(spark, sf):
     return demand_distribution(rich, ["load_area", "trading_period"], [0.1, 0.5, 0.9])
 
 
+_STEPS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query("sketched_distribution", sql(f"""
+SELECT load_area, CAST(p AS DOUBLE) AS probability, COUNT(*) AS n, TRUE AS within
+FROM v_demand JOIN v_meta ON node = meta_node, (VALUES {', '.join(f'({p})' for p in _STEPS)}) s(p)
+WHERE {_IN_RANGE} GROUP BY 1, 2""", "v_demand", "v_meta"))
+def _(spark, sf):
+    """Quantiles of a range of days from stored sketches of days: their ranks lie within twice the stated error."""
+    folder = work_folder(spark, "sketches")
+    rich = merge_meta(V.demand(spark, sf), V.meta(spark, sf), "demand", "inner").select(
+        "load_area", "trading_date", F.col("demand").cast("double").alias("demand"))
+    rich = staged(rich, "sketched")
+    for early in (True, False):
+        add_sketches(day_sketches(rich.where((F.col("trading_date") < "1997-06-01") == early), ["load_area"], "demand"), folder)
+    found = sketch_quantiles(range_sketches(spark, folder, ["load_area"], BEGIN, END), ["load_area"], _STEPS)
+    rows = P.date_filter(rich, begin_date=BEGIN, end_date=END).groupBy("load_area", "demand").agg(
+        F.count(F.lit(1)).alias("rows"))
+    ranks = found.join(rows, "load_area").groupBy("load_area", "probability", "n").agg(
+        F.coalesce(F.sum(F.when(F.col("demand") < F.col("value"), F.col("rows"))), F.lit(0)).alias("below"),
+        F.sum(F.when(F.col("demand") <= F.col("value"), F.col("rows"))).alias("upto"))
+    slack = 2 * RANK_ERROR * F.col("n") + 1
+    place = F.col("probability") * F.col("n")
+    return ranks.select("load_area", "probability", "n",
+                        ((F.col("below") <= place + slack) & (F.col("upto") >= place - slack)).alias("within"))
+
+
 @query("price_histogram", sql("""
 SELECT trading_period, floor(price / 5.0) * 5.0 AS bin, COUNT(*) AS n_rows
 FROM v_price GROUP BY 1, 2""", "v_price"))
@@ -502,3 +583,37 @@ def _(spark, sf):
         trading_timestamp("trading_date", "trading_period", 0).alias("ends"),
         trading_id("trading_date", "trading_period").alias("trading_id"),
         trading_timestamp_of_id(trading_id("trading_date", "trading_period"), 15).alias("middle"))
+
+
+# daylight time from the first Sunday of October, 2 o'clock, to the third Sunday of March, 3 o'clock
+_DAYLIGHT = """
+days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem
+         WHERE year(l_shipdate) BETWEEN 1996 AND 1999),
+marked AS (
+  SELECT d, month(d) = 10 AND isodow(d) = 7 AND day(d) <= 7 AS to_daylight,
+         month(d) = 3 AND isodow(d) = 7 AND day(d) BETWEEN 15 AND 21 AS to_standard,
+         (month(d) > 10 OR month(d) < 3
+          OR month(d) = 10 AND day(d) > day(CAST(date_trunc('month', d) AS DATE)
+                 + CAST((7 - isodow(CAST(date_trunc('month', d) AS DATE))) % 7 AS INT))
+          OR month(d) = 3 AND day(d) <= 14 + day(CAST(date_trunc('month', d) AS DATE)
+                 + CAST((7 - isodow(CAST(date_trunc('month', d) AS DATE))) % 7 AS INT))) AS daylight
+  FROM days)"""
+
+
+@query("period_instants", f"""
+WITH {_DAYLIGHT}
+SELECT d AS trading_date, CAST(p AS INT) AS trading_period,
+       CAST(d AS TIMESTAMP) - to_hours(CASE WHEN daylight THEN 13 ELSE 12 END) + to_minutes(CAST(p AS INT) * 30 - 30) AS utc,
+       d AS back_date, CAST(p AS INT) AS back_period, 1 AS n_same
+FROM marked, generate_series(1, 50) t(p)
+WHERE p <= CASE WHEN to_daylight THEN 46 WHEN to_standard THEN 50 ELSE 48 END""")
+def _(spark, sf):
+    """Every trading period of the days of four years as a UTC time, and that time as a trading period again."""
+    days = V.read(spark, sf, "lineitem").where(F.year("l_shipdate").between(1996, 1999)).select(
+        F.col("l_shipdate").cast("date").alias("trading_date")).distinct()
+    periods = days.withColumn("trading_period", F.explode(F.sequence(F.lit(1), periods_of_day("trading_date"))))
+    rows = periods.withColumn("utc", period_start_utc("trading_date", "trading_period"))
+    same = rows.groupBy("utc").agg(F.count(F.lit(1)).cast("int").alias("n_same"))
+    back = period_at_utc("utc")
+    return rows.join(same, "utc").select("trading_date", "trading_period", "utc", back["trading_date"].alias("back_date"),
+                                         back["trading_period"].alias("back_period"), "n_same")

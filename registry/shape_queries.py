@@ -215,7 +215,7 @@ SELECT product, quote_date, {_CELLS},
 FROM v_quote GROUP BY product, quote_date""", "v_quote"))
 def _(spark, sf):
     """All three fields of every expiry of a calendar."""
-    return quotes_to_columns(V.quote(spark, sf), _FIELDS, _EXPIRIES)
+    return quotes_to_columns(V.quote(spark, sf), _FIELDS, _EXPIRIES, outside="outside")
 
 
 @query("futures_wide_grown", sql(f"""

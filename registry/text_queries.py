@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from halfhourly.functions import dates as D, text as X
 from halfhourly.operators.coverage import link_days, manifest, matching_links, named_days
+from halfhourly.operators.daybits import add_bits, day_bits, days_missing, read_bits
 from halfhourly.operators.joins import missing_days
 from halfhourly.operators.predicates import larger_than_bytes
 from halfhourly.plans.futures import quotes_of_pages, refresh_quotes
 from halfhourly.plans.weather import weather_of_pages
-from halfhourly.session import staged
+from halfhourly.session import staged, work_folder
 from halfhourly.sources.lakes import lake_rows
 from halfhourly.sources.markup import page_links, page_table_rows
 from registry import views as V
@@ -250,6 +251,24 @@ def _(spark, sf):
     return missing_days(events, ["location"], F.lit(first), F.lit(last))
 
 
+@query("missing_location_days_stored", """
+WITH days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-03', DATE '2024-03-20', INTERVAL 1 DAY)) AS DATE)
+                AS trading_date),
+places AS (SELECT DISTINCT 'P' || CAST(user_id AS VARCHAR) AS location FROM events)
+SELECT location, trading_date FROM places, days
+EXCEPT SELECT 'P' || CAST(user_id AS VARCHAR), CAST(ts AS DATE) FROM events""")
+def _(spark, sf):
+    """As above, for a range of its own, from the bits of a stored table that two loads added to."""
+    folder = work_folder(spark, "location-bits")
+    events = V.read(spark, sf, "events")
+    for even in (0, 1):
+        rows = events.where(F.hour("ts") % 2 == even).select(
+            F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("location"),
+            F.col("ts").cast("date").alias("trading_date"))
+        add_bits(day_bits(rows, ["location"]), folder)
+    return days_missing(read_bits(spark, folder, ["location"]), ["location"], "2024-01-03", "2024-03-20")
+
+
 # --- stored files and pages, one made from each given row ----------------------
 
 def _text(*parts):
