@@ -10,6 +10,7 @@ HIDDEN_HTML = r"(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>"
 ANCHOR = r"(?is)<a\s[^>]*>.*?</a>"
 HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 TABLE = r"(?is)<table\b.*?</table>"
+NESTED_TABLE = r"(?is)<table\b(?:(?!</table).)*?<table\b"
 TABLE_ROW = r"(?is)<tr\b.*?</tr>"
 TABLE_CELL = r"(?is)<t[dh]\b.*?</t[dh]>"
 TAG = r"(?s)<[^>]*>"

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from halfhourly.functions.dates import file_year, parse_date, parse_timestamp
 from halfhourly.functions.text import base_name
 from halfhourly.schemas import TABLES, Table
+from halfhourly.session import work_folder
 
 REASON = "reject_reason"
 SOURCE = "source_file"
@@ -31,9 +32,10 @@ def read_csv(spark: SparkSession, path: str | list[str], table: Table | str,
     ``by_name``; columns the table does not have are passed over then.  The result has the
     table's columns, ``trading_year`` where the table is split by year, ``source_file`` and
     ``reject_reason`` (null for a good row); see :func:`accepted` and :func:`rejected`.
+    A record may go over several lines, where a quoted cell holds line breaks. The text is read once.
     """
     t = table_of(table)
-    lines = file_lines(spark.read.option("pathGlobFilter", glob).text(path))
+    lines = file_records(spark.read.option("pathGlobFilter", glob).text(path), t)
     return named_rows(lines, t) if by_name else csv_rows(lines, t, t.names)
 
 
@@ -43,13 +45,81 @@ def file_lines(text: DataFrame) -> DataFrame:
             .where(F.trim("value") != ""))
 
 
+#: Lines that one record may have; more are taken for a quote that is never closed.
+RECORD_LINES = 1000
+_HEAD, _BLOCK, _AT, _ODD = "_head", "_block", "_at", "_odd"
+
+
+def file_records(text: DataFrame, table: Table, most: int = RECORD_LINES) -> DataFrame:
+    """The records of text files with the file each is from and whether it is a header.
+
+    The lines are written to the shared folder once, headers apart, with the place of each and whether it leaves a
+    quote open. Only files that have such a line are looked at further, see :func:`joined_lines`.
+    """
+    plain = F.regexp_replace("value", r"\\.", "")
+    odd = F.when(F.contains("value", F.lit('"')), F.regexp_count(plain, F.lit('"')) % 2 == 1).otherwise(False)
+    lines = text.select("value", F.col("_metadata.file_path").alias(SOURCE),
+                        F.col("_metadata.file_block_start").alias(_BLOCK),
+                        F.monotonically_increasing_id().alias(_AT), odd.alias(_ODD))
+    filled = F.trim("value") != ""
+    seen = Observation()
+    place = work_folder(text.sparkSession, "lines")
+    (lines.withColumn(_HEAD, filled & is_header("value", table)).observe(seen, F.count_if(_ODD).alias("odd"))
+     .write.partitionBy(_HEAD).parquet(place))
+    schema = "value string, {} string, {} bigint, {} bigint, {} boolean, {} boolean".format(SOURCE, _BLOCK, _AT, _ODD, _HEAD)
+    lines = text.sparkSession.read.schema(schema).parquet(place)
+    kept = ["value", SOURCE, _HEAD]
+    if not seen.get["odd"]:
+        return lines.where(filled).select(*kept)
+    spread = lines.where(_ODD).select(SOURCE).distinct()
+    joined = joined_lines(lines.join(spread, SOURCE, "left_semi"), most)
+    joined = joined.withColumn(_HEAD, is_header("value", table))
+    return (lines.join(spread, SOURCE, "left_anti").select(*kept).unionByName(joined.select(*kept))).where(filled)
+
+
+def joined_lines(lines: DataFrame, most: int = RECORD_LINES) -> DataFrame:
+    """Lines of files put together to records: a record goes on while one of its quotes is open.
+
+    Whether a line begins inside quotes is the parity of the lines before it that leave a quote open. It is counted
+    inside each block of a file, and one count per block is carried over the blocks, so a file may be
+    split. A record of more than ``most`` lines has a quote that is never closed; its lines are returned one by one.
+    """
+    inside, block = Window.partitionBy(SOURCE, _BLOCK).orderBy(_AT), [SOURCE, _BLOCK]
+    over_blocks = Window.partitionBy(SOURCE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    odd = F.col(_ODD).cast("int")
+    opened = lines.groupBy(*block).agg(F.sum(odd).alias("n")).select(
+        *block, F.coalesce(F.sum("n").over(over_blocks), F.lit(0)).alias("_before"))
+    before = F.coalesce(F.sum(odd).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = (lines.withColumn("_here", before).join(opened, block)
+             .withColumn("_starts", (F.col("_here") + F.col("_before")) % 2 == 0))
+    place = F.when(F.col("_starts"), F.struct(_BLOCK, _AT))
+    starts = lines.groupBy(*block).agg(F.max(place).alias("_last")).select(
+        *block, F.max("_last").over(over_blocks).alias("_earlier"))
+    lines = (lines.withColumn("_record", F.last_value(place, True).over(inside)).join(starts, block)
+             .withColumn("_record", F.coalesce("_record", "_earlier")))
+    alone = F.col("_starts") & ~F.col(_ODD)
+    parts = lines.where(~alone)
+    sizes = parts.groupBy(SOURCE, "_record").agg(F.count(F.lit(1)).alias("_lines"))
+    sized = parts.join(sizes, [SOURCE, "_record"])
+    ordered = F.array_sort(F.collect_list(F.struct(_BLOCK, _AT, "value")))
+    records = (sized.where(F.col("_lines") <= most).groupBy(SOURCE, "_record").agg(ordered.alias("_parts"))
+               .select(SOURCE, F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value")))
+    columns = [SOURCE, "value"]
+    return (lines.where(alone).select(*columns).unionByName(records)
+            .unionByName(sized.where(F.col("_lines") > most).select(*columns)))
+
+
+def _heads(lines: DataFrame, table: Table) -> Column:
+    return F.col(_HEAD) if _HEAD in lines.columns else is_header("value", table)
+
+
 def csv_rows(lines: DataFrame, table: Table, order: list[str]) -> DataFrame:
     """Lines as typed rows, their cells in the given order of columns."""
     kinds = {n: raw_type(table.columns[n]).simpleString() for n in order}
     schema = ", ".join([f"`{n}` {kinds[n]}" for n in order] + [f"{CORRUPT} string"])
-    data = lines.where(~is_header("value", table))
+    data = lines.where(~_heads(lines, table))
     parsed = data.select(SOURCE, F.from_csv("value", schema, {
-        "columnNameOfCorruptRecord": CORRUPT, "ignoreLeadingWhiteSpace": "true",
+        "columnNameOfCorruptRecord": CORRUPT, "multiLine": "true", "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true"}).alias("_c"))
     return typed_rows(parsed.select(SOURCE, *[f"_c.{n}" for n in order], f"_c.{CORRUPT}"), table)
 
@@ -60,9 +130,9 @@ def named_rows(lines: DataFrame, table: Table) -> DataFrame:
     The headers, one row per file, are joined to the lines; nothing is gathered.
     """
     names = F.transform(csv_cells("value"), header_name)
-    heads = (lines.where(is_header("value", table)).groupBy(SOURCE).agg(F.min(names).alias("_names")))
+    heads = (lines.where(_heads(lines, table)).groupBy(SOURCE).agg(F.min(names).alias("_names")))
     in_order = F.array(*[F.lit(n) for n in table.names])
-    rows = (lines.where(~is_header("value", table)).join(heads, SOURCE, "left")
+    rows = (lines.where(~_heads(lines, table)).join(heads, SOURCE, "left")
             .select(SOURCE, csv_cells("value").alias("_cells"), F.coalesce("_names", in_order).alias("_names")))
     found = {n: F.nullif(F.get("_cells", F.array_position("_names", F.lit(n)) - 1), F.lit(""))
              for n in table.names}

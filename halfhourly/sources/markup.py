@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from halfhourly.functions.text import (TABLE, TABLE_CELL, TABLE_ROW, anchors, href_of,
+from halfhourly.functions.text import (NESTED_TABLE, TABLE, TABLE_CELL, TABLE_ROW, anchors, href_of,
                                        html_text, spread, visible_html)
 from halfhourly.schemas import Table
+from halfhourly.sources.nested import nested_table_rows
 from halfhourly.sources.csvfiles import CORRUPT, SOURCE, raw_type, table_of, typed_rows
 
 
@@ -51,7 +52,15 @@ def page_table(html_col: str, table_no: int) -> Column:
 
 
 def page_table_rows(pages: DataFrame, table_no: int, html_col: str = "html") -> DataFrame:
-    """The rows of the n-th table of a page (from 0): ``row_no`` and text ``cells``."""
+    """The rows of the n-th table of a page (from 0): ``row_no`` and text ``cells``.
+
+    Tables count in the order in which they open. Pages with a table inside another are parsed by a stack of
+    open tags, all others by patterns; rows of malformed tables are left to :func:`nested_table_rows`, which names the reason.
+    """
     others = [c for c in pages.columns if c != html_col]
+    inside = F.coalesce(visible_html(html_col).rlike(NESTED_TABLE), F.lit(False))
     numbered, filled = spread(page_table(html_col, table_no), "row_no", "cells")
-    return pages.select(*others, numbered).where(filled)
+    flat = pages.where(~inside).select(*others, numbered).where(filled)
+    deep = nested_table_rows(pages.where(inside), html_col).where(
+        (F.col("table_no") == table_no) & F.col("reject_reason").isNull()).select(*others, "row_no", "cells")
+    return flat.unionByName(deep)

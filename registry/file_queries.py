@@ -42,7 +42,9 @@ def _mixed_files(spark, sf, label):
     named = prices.where("trading_period <= 24").select(
         F.col("node").alias("Node"), F.col("Price").alias("PRICE"),
         F.col("trading_date").alias("Trading Date"), F.col("trading_period").alias("Trading_Period"),
-        F.lit('as "published", final').alias("Remark"))
+        F.concat(F.lit('as "published",\nin '), F.col("trading_period").cast("string"), F.lit(" lines\n\nor two")).alias("Remark"),
+        F.col("node").alias("Spare"))
+    named = named.select("Node", "PRICE", "Remark", "Trading Date", "Trading_Period", "Spare")
     write_csv(named, f"{folder}/named")
     prices.where("trading_period > 24").write.option("header", False).csv(f"{folder}/bare")
     return folder

@@ -16,6 +16,7 @@ from halfhourly.plans.weather import weather_of_pages
 from halfhourly.session import staged, work_folder
 from halfhourly.sources.lakes import lake_rows
 from halfhourly.sources.markup import page_links, page_table_rows
+from halfhourly.sources.nested import nested_table_rows
 from registry import views as V
 from registry.views import query
 
@@ -377,6 +378,31 @@ def _(spark, sf):
                                          F.col("day").alias("trading_date"), html.alias("html")))
 
 
+_KIND = "o_orderkey % 10"
+
+
+@query("nested_tables", f"""
+SELECT o_orderkey AS page, 0 AS table_no, CAST(NULL AS INT) AS parent_no, n AS row_no,
+       CASE n WHEN 0 THEN 'a' || o_orderkey || '|b e' ELSE 'last & end' END AS cells,
+       CASE WHEN {_KIND} = 3 THEN 'table is not closed' END AS reject_reason
+FROM orders, (VALUES (0), (1)) r(n) WHERE {_KIND} <> 4
+UNION ALL
+SELECT o_orderkey, 1, 0, n, CASE n WHEN 0 THEN 'c' || o_custkey || '|d' ELSE 'f|' END, NULL
+FROM orders, (VALUES (0), (1)) r(n) WHERE {_KIND} <> 4
+UNION ALL
+SELECT o_orderkey, 0, NULL, NULL, NULL, 'closing tag without a table' FROM orders WHERE {_KIND} = 4""")
+def _(spark, sf):
+    """Pages with a table in a cell, some left open, some closed without being opened."""
+    key = F.col("o_orderkey")
+    inner = _text("<table><tr><td>c", "{o_custkey}", "<td>d<tr><td>f<td></table>")
+    page = F.concat(_text("<html><!-- <table> --><table border=1><tr><td>a", "{o_orderkey}", "</td><td>b"), inner,
+                    F.lit("e</td></tr>\n<TR><th>last &amp; <b>end</b></th></TR>"),
+                    F.when(key % 10 == 3, "").otherwise("</table></html>"))
+    pages = V.read(spark, sf, "orders").select(
+        key.alias("page"), F.when(key % 10 == 4, "<p>x</table></p>").otherwise(page).alias("html"))
+    return nested_table_rows(pages).withColumn("cells", F.array_join("cells", "|"))
+
+
 @query("page_table_rows", """
 SELECT o_orderkey, CAST(i AS INT) AS row_no,
        CASE i WHEN 0 THEN 'key|price' ELSE o_orderkey || '|' || o_orderpriority END AS cells
