@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from halfhourly.llm.common import arrow_texts, slices, texts_of
+from halfhourly.llm.common import arrow_texts, decoded, slices, texts_of
 from halfhourly.llm.words import rolled, rolling, window_hashes, word_hashes
 
 MIN_MATCH, MIN_COVERAGE, BLOCK_BYTES = 5, 0.8, 8_000_000
@@ -190,7 +190,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], text
             block = Block(shared.value, min_match)
             for batch in (part for whole in batches for part in slices(whole, n)):
                 rows, out = [], []
-                for row, i, found in _found(block, [t.decode() for t in texts_of(batch, n)], min_coverage):
+                for row, i, found in _found(block, [decoded(t) for t in texts_of(batch, n)], min_coverage):
                     size = int(block.bounds[i + 1] - block.bounds[i])
                     covered = sum(t.words for t in found)
                     rows.append(row)
@@ -218,7 +218,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     """The documents that contain no item, same columns; the blocks of items filter one after another."""
     for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
         clean = _free_of(docs.sparkSession.sparkContext.broadcast(items), min_match, min_coverage)
-        docs = docs.where(clean(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+        docs = docs.where(clean(F.make_valid_utf8(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))))
     return docs
 
 

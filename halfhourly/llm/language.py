@@ -34,14 +34,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from halfhourly.llm.common import arrow_texts, slices, texts_of
+from halfhourly.llm.common import arrow_texts, decoded, slices, texts_of
 from halfhourly.session import staged
 
 FOLDS, HELD_OUT = 4, 2
 MAX_TEXTS, PIECE, STRUNG = 4_000, 24, 8
+#: Characters of a piece of a text to fit on.
+_STRETCH = 160
 MAX_WORDS = 50_000
 BLOCK, _BLOCKS_AT_ONCE, _BITS, _CACHED = 32, 4096, 16, 600_000
-_WORD = re.compile(r"[^\W\d_]+")
+#: Signs that patterns take for parts of words but that are no letters, such as fractions and circled numbers.
+_SIGNS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+_WORD = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 def held_out(id_col: str, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
@@ -200,7 +204,7 @@ def forward_backward(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndar
 
 
 def _words(text: bytes) -> list[str]:
-    return _WORD.findall(text.decode().lower())
+    return _WORD.findall(decoded(text).lower())
 
 
 def _lexicon(train: DataFrame, totals: dict[str, int], max_words: int) -> dict[str, tuple[float, ...]]:
@@ -313,21 +317,34 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     empty = Model(tuple(languages), {}, np.zeros((1 << _BITS, k)), 1.0, np.zeros((k, k)), np.zeros(k))
     if k < 2:
         return empty
-    middle = F.substring(F.col("text"), (F.length("text") / 3).cast("int") + 1, F.lit(20 * PIECE))
+    size = F.length("text")
+    # a short text whole, of a longer one its beginning, middle and end
+    places = F.when(size <= 3 * _STRETCH, F.array(F.lit(1))).otherwise(
+        F.array(F.lit(1), F.floor((size - _STRETCH) / 2).cast("int") + 1, (size - _STRETCH + 1).cast("int")))
+    pieces = F.transform(places, lambda p: F.substring(F.col("text"), p, F.when(size <= 3 * _STRETCH, size)
+                                                       .otherwise(_STRETCH).cast("int")))
     limit = max(1, max_texts // k)
     # of a language's texts about twice the limit by their hashes, of these the smallest
     share = F.create_map(*[F.lit(x) for c, n in totals.items() for x in (c, min(1.0, 2 * limit / n))])
     drawn = F.pmod("h", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * F.lit(1 << 30)
-    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h", "piece")
-    rows = (train.select("lang", middle.alias("piece"), "h").where(drawn)
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h", "pieces")
+    rows = (train.select("lang", pieces.alias("pieces"), "h").where(drawn)
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
             .orderBy("lang", "rank").collect())
-    pieces = [(languages.index(r.lang), words) for r in rows
-              if (words := _WORD.findall(r.piece.lower())[1:-1][:PIECE])]
+    pieces = [(languages.index(r.lang), words) for r in rows for words in _taught(r.pieces)]
     model = empty._replace(lexicon=_lexicon(train, totals, max_words))
     return _fitted(model, _sequences(pieces)) if pieces else model
 
 
+def _taught(pieces: list[str]) -> list[list[str]]:
+    """The words of a sampled text that weights are fitted on: all of a short text; else, of each piece, those that the
+    cuts left whole."""
+    found = [_WORD.findall(p.lower()) for p in pieces]
+    if len(found) == 3:
+        found = [found[0][:-1], found[1][1:-1], found[2][1:]]
+    return [words[i:i + PIECE] for words in found for i in range(0, len(words), PIECE)]
+
+
 _TAGGERS: dict[int, Tagger] = {}
 
 

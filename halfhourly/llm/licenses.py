@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from halfhourly.llm.common import arrow_texts, texts_of
+from halfhourly.llm.common import arrow_texts, decoded, texts_of
 
 MIN_SIMILARITY, LEVEL = 0.8, 9
 #: Characters around a cue sentence that belong to its block, as wrapped texts have lines without a cue.
@@ -353,7 +353,7 @@ def found_licenses(docs: DataFrame, keep: list[str], text_col: str = "text",
         for batch in batches:
             rows, found = [], []
             for i, text in enumerate(texts_of(batch, n)):
-                for f in scanner.find(text.decode()):
+                for f in scanner.find(decoded(text)):
                     rows.append(i)
                     found.append(f)
             kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:n]]

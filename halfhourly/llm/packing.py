@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from halfhourly.llm.common import arrow_texts, texts_of
+from halfhourly.llm.common import arrow_texts, decoded, texts_of
 
 WINDOW, END_ID, MAX_OPEN, CACHED_WORDS = 2048, 1, 4096, 800_000
 _ID_BYTES, _CHARS_AT_ONCE = 4, 500_000
@@ -241,7 +241,7 @@ def packed(docs: DataFrame, tokenizer_path: str, keep: list[str], text_col: str
         for batch in batches:
             kinds = [c.type for c in batch.columns[:n]]
             kept = list(zip(*[c.to_pylist() for c in batch.columns[:n]])) if n else [()] * batch.num_rows
-            for doc, ids in zip(kept, encode([t.decode() for t in texts_of(batch, n)])):
+            for doc, ids in zip(kept, encode([decoded(t) for t in texts_of(batch, n)])):
                 packer.add(doc, ids + end)
             if done := packer.take():
                 yield rows(done, number, kinds)

@@ -12,21 +12,25 @@ false-discovery control. Of findings that overlap the longest is reported, but w
 and path parts of plain words around a finding. Under "drawn at random from that alphabet" three tests
 are made: chi-squared over classes of the alphabet and over eight equal ranges of its symbols,
 a runs test about the alphabet's middle, and lag-one serial correlation. Fisher's method
-combines them to a score that is small for random runs.
+combines them to a score that is small for random runs. A readability test stands beside them: the
+mean logarithm of how much more frequent the run's pairs of neighbouring letters are in the corpus than by chance,
+held against what letters drawn at random give. A name or a path of words fails it by far.
 
 What would ordinary text score? Windows of the corpus's own letters and digits, of the
 lengths of the strata, go through the same tests: each stratum has windows side by side over
 all letters and digits of every text that reaches its length, the last one at the text's end. In each stratum of
-length and encoding the share of such windows that look as random is the p-value of a run,
-and Benjamini-Hochberg over all runs of the corpus, ``FALSE_SHARE`` at most, says which
+length and encoding the share of such windows that look as random is the p-value of a run. Such
+windows hold no separators, so for the alphabets with separators the runs that read as words, the corpus's own names and
+paths, are ordinary windows, too. By these p-values
+Benjamini-Hochberg over all other runs of the corpus, ``FALSE_SHARE`` at most, says which
 are findings. A short run is thus held against short windows, which often pass the
 tests by chance, and a long one against long windows, which never do. A finding must
 also pass every test itself at ``REJECT``, which a repeated or counted-up pattern does not.
 
-Only counts per stratum and score (some thousands of rows) are gathered; they are
+Only counts per stratum and score (some thousands of rows) and of pairs of letters (676) are gathered; they are
 small whatever the size of the corpus.
 
-Defined cases: a null text is empty; repeated rows are scanned each; null ids are
+Defined cases: a null text is empty; bytes that are no UTF-8 count as the replacement character; repeated rows are scanned each; null ids are
 passed on; no rows give no rows. Offsets are code points, ends are exclusive.
 """
 
@@ -36,13 +40,14 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from math import erfc
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halfhourly.llm.common import arrow_texts, texts_of
+from halfhourly.llm.common import arrow_texts, decoded, texts_of
 
 #: Kinds of spans; the order settles ties of their starts.
 KINDS = ("assign", "access", "hex", "random")
@@ -147,6 +152,73 @@ def battery(codes: np.ndarray, encoding: np.ndarray) -> tuple[np.ndarray, np.nda
     return -2 * log_p / 4, least
 
 
+class Pairs(NamedTuple):
+    """How much more frequent than by chance pairs of neighbouring letters are in a corpus, as logarithms, with the mean
+    and variance of that over letters drawn at random and the covariance of two pairs that share a letter."""
+
+    logs: np.ndarray
+    mean: float
+    variance: float
+    covariance: float
+
+
+def pairs_of(counts: np.ndarray) -> Pairs | None:
+    """The table of 26 x 26 counts; none for a corpus without pairs."""
+    if not counts.sum():
+        return None
+    smooth = counts + counts.sum() / 26 ** 2 * 0.05 + 0.5
+    logs = np.log(smooth / smooth.sum() * 26 ** 2)
+    mean = logs.mean()
+    shared = float(((logs.mean(axis=0) - mean) * (logs.mean(axis=1) - mean)).mean())
+    return Pairs(logs, float(mean), float(logs.var()), shared)
+
+
+_LETTER_NO = np.full(256, -1, dtype=np.int64)
+for _i, _c in enumerate(_LOWER):
+    _LETTER_NO[ord(_c)] = _LETTER_NO[ord(_c.upper())] = _i
+#: Encodings whose letters are the whole alphabet.
+_FULL = frozenset(_NAMES) - {"hex", "HEX"}
+
+
+def readable(codes: np.ndarray, pairs: Pairs | None) -> float:
+    """How likely letters drawn at random read as well as these; 1 without pairs of letters."""
+    numbers = _LETTER_NO[codes]
+    both = (numbers[1:] >= 0) & (numbers[:-1] >= 0)
+    n = int(both.sum())
+    if pairs is None or not n:
+        return 1.0
+    got = float(pairs.logs[numbers[:-1][both], numbers[1:][both]].sum())
+    next_to = int((both[1:] & both[:-1]).sum())
+    spread = max(n * pairs.variance + 2 * next_to * pairs.covariance, 1e-9)
+    return float(_tail(np.array([(got - n * pairs.mean) / np.sqrt(spread)]))[0])
+
+
+def letter_pairs(docs: DataFrame, text_col: str = "text") -> Pairs | None:
+    """The pairs of neighbouring letters of all texts, without regard to case."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(27 * 27, dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                codes = np.frombuffer(b"\n".join(texts_of(batch.slice(at, 256), 0)), dtype=np.uint8)
+                numbers = _LETTER_NO[codes]
+                counts += np.bincount(numbers[:-1] * 27 + numbers[1:] + 28, minlength=27 * 27)[:27 * 27]
+        kept = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(counts[kept], pa.int64())], names=["pair", "n"])
+
+    made = arrow_texts(docs, text_col, []).mapInArrow(run, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    table = np.zeros(27 * 27)
+    for r in made.collect():
+        table[r.pair] = r.n
+    return pairs_of(table.reshape(27, 27)[1:, 1:])
+
+
+class Cells(frozenset):
+    """Accepted (stratum, encoding, score step), with the pairs of letters that the readability test goes by."""
+
+    pairs: Pairs | None = None
+
+
 def _stratum(length: int) -> int:
     return max(k for k, size in enumerate(STRATA) if size <= length)
 
@@ -166,8 +238,9 @@ def _parts(text: str) -> Iterator[tuple[int, int]]:
             yield from sorted(stretches - {m.span()})
 
 
-def _runs(text: str) -> list[tuple[int, int, int, int, float]]:
-    """(start, end, stratum, encoding, ...) of each run and stretch, with its score step and smallest p-value.
+def _runs(text: str, pairs: Pairs | None = None) -> list[tuple[int, int, int, int, int, float, bool]]:
+    """(start, end, stratum, encoding, ...) of each run and stretch, with its score step, smallest p-value of the battery
+    and whether it passes as unreadable.
 
     A run that is longer than its stratum's window is tested whole.
     """
@@ -178,7 +251,8 @@ def _runs(text: str) -> list[tuple[int, int, int, int, float]]:
         if e[0] >= 0:
             score, least = battery(codes, e)
             step = int(min(score[0] / _SCORE_STEP, _SCORES))
-            out.append((start, end, _stratum(end - start), int(e[0]), step, float(least[0])))
+            unread = _NAMES[int(e[0])] not in _FULL or readable(codes[0], pairs) >= REJECT
+            out.append((start, end, _stratum(end - start), int(e[0]), step, float(least[0]), unread))
     return out
 
 
@@ -258,19 +332,20 @@ def _all_windows(texts: list[str]) -> Iterator[np.ndarray]:
 _COUNTS = "ordinary boolean, stratum int, encoding int, step int, passes boolean, n bigint"
 
 
-def score_counts(docs: DataFrame, text_col: str = "text", whole: bool = False) -> DataFrame:
+def score_counts(docs: DataFrame, text_col: str = "text", whole: bool = False, pairs: Pairs | None = None) -> DataFrame:
     """How many runs, and how many windows of ordinary text, have each stratum, encoding and score.
 
-    With ``whole``, windows cover all letters in every stratum; else each stratum has its part of every block.
+    With ``whole``, windows cover all letters in every stratum; else each stratum has its part of every block. Runs that
+    read as words by ``pairs`` count among the ordinary windows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, int] = {}
         for batch in batches:
-            texts = [t.decode() for t in texts_of(batch, 0)]
+            texts = [decoded(t) for t in texts_of(batch, 0)]
             for text in texts:
-                for _, _, k, e, step, least in _runs(text):
-                    key = (False, k, e, step, least >= REJECT)
+                for _, _, k, e, step, least, unread in _runs(text, pairs):
+                    key = (not unread, k, e, step, least >= REJECT or not unread)
                     counts[key] = counts.get(key, 0) + 1
             for a in range(0, len(texts), 256):
                 for k, windows in enumerate((_all_windows if whole else _sampled)(texts[a:a + 256])):
@@ -311,7 +386,10 @@ def accepted_cells(counts: pd.DataFrame, false_share: float = FALSE_SHARE) -> fr
 
 def fit(docs: DataFrame, text_col: str = "text", false_share: float = FALSE_SHARE) -> frozenset:
     """The accepted cells of a corpus. What is collected has at most strata x encodings x scores x 4 rows."""
-    return accepted_cells(score_counts(docs, text_col, whole=True).toPandas(), false_share)
+    pairs = letter_pairs(docs, text_col)
+    cells = Cells(accepted_cells(score_counts(docs, text_col, whole=True, pairs=pairs).toPandas(), false_share))
+    cells.pairs = pairs
+    return cells
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -326,7 +404,8 @@ def _in_order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 def all_spans(text: str, cells: frozenset) -> list[tuple[str, int, int]]:
     """Base spans and findings of the battery, in order."""
-    found = [(a, b) for a, b, k, e, step, least in _runs(text) if least >= REJECT and (k, e, step) in cells]
+    found = [(a, b) for a, b, k, e, step, least, unread in _runs(text, getattr(cells, "pairs", None))
+             if unread and least >= REJECT and (k, e, step) in cells]
     return _in_order(base_spans(text) + [("random", a, b) for a, b in _chosen(text, found)])
 
 
@@ -344,7 +423,7 @@ def found_secrets(docs: DataFrame, keep: list[str], cells: frozenset, text_col:
             counts: list[list[int]] = [[] for _ in KINDS]
             base, every = [], []
             for text in texts_of(batch, n):
-                spans = all_spans(text.decode(), cells)
+                spans = all_spans(decoded(text), cells)
                 for c, kind in zip(counts, KINDS):
                     c.append(sum(s[0] == kind for s in spans))
                 base.append(_joined([s for s in spans if s[0] != "random"]))
@@ -389,7 +468,7 @@ def without_secrets(docs: DataFrame, cells: frozenset, text_col: str = "text",
         for texts in batches:
             yield texts.map(lambda t: t if t is None else masked(t, cells, mark))
 
-    new = F.pandas_udf(hide, "string")(F.col(f"`{text_col}`").cast("string"))
+    new = F.pandas_udf(hide, "string")(F.make_valid_utf8(F.col(f"`{text_col}`").cast("string")))
     if length_col not in docs.columns:
         return docs.withColumn(text_col, new)
     hidden = docs.withColumn(text_col, new)

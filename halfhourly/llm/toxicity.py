@@ -1,15 +1,15 @@
 """Toxicity by a lexicon trie that Levenshtein automata run through, with context windows.
 
 Fitting takes at most ``max_rows`` labelled rows, those with the smallest hashes of their
-ids. Copies and near copies among them count once (by the smallest hash of their
-five-word shingles). A word joins the lexicon when its log-odds between toxic and other texts
-stand ``min_z`` standard errors above zero, are at least ``MIN_ODDS``, and a share of ``MIN_SHARE`` of the toxic texts has
+ids. Copies and near copies among them count once: texts that share their smallest five-word shingle and
+have a similarity of 0.8 or more. A word joins the lexicon when its log-odds between toxic and other texts
+stand ``min_z`` standard errors above zero, are at least ``MIN_ODDS``, and ``MIN_TEXTS`` toxic texts have
 it; at most ``max_terms`` do.
 
 A word of a text is run as a Levenshtein automaton, a set of states for each number of
 edits held as bits, along the branches of the lexicon's trie; branches where no state
 is left are cut. Words of 5 letters and more may miss a term by one edit, of 8 and more by
-two. A word that the other labelled texts use is no misspelling.
+two, as far as the term itself is that long. A word that the other labelled texts use is no misspelling.
 
 Each hit weighs what its term weighs, less for edits, and is shared between abuse and
 quotation by its context: quote marks around it on its line and reporting words in the
@@ -37,10 +37,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from halfhourly.llm.common import arrow_texts, texts_of
+from halfhourly.llm.common import arrow_texts, decoded, texts_of
 from halfhourly.session import staged
 
-MAX_ROWS, MAX_TERMS, MIN_Z, MIN_ODDS, MIN_TEXTS, MIN_SHARE = 20_000, 2_000, 3.3, 3.0, 4, 0.01
+MAX_ROWS, MAX_TERMS, MIN_Z, MIN_ODDS, MIN_TEXTS, SIMILAR = 20_000, 2_000, 3.3, 3.0, 4, 0.8
 FOLDS, HELD_OUT = 5, 0
 SPAN = 8
 _CACHED = 800_000
@@ -70,8 +70,9 @@ class Trie:
                 node = self.branches[node][c]
             self.ends[node] = term
 
-    def nearest(self, word: str, edits: int) -> tuple[int, str] | None:
-        """(edits, term) of the closest term within ``edits``; of equally close ones the first in order."""
+    def nearest(self, word: str, edits: int, allowed=None) -> tuple[int, str] | None:
+        """(edits, term) of the closest term within ``edits`` and, with ``allowed``, those that the length of the term
+        itself allows; of equally close ones the first in order."""
         after = {}
         for i, c in enumerate(word):
             after[c] = after.get(c, 0) | 1 << i
@@ -82,7 +83,7 @@ class Trie:
         while stack:
             node, states = stack.pop()
             if self.ends[node] is not None:
-                for d, held in enumerate(states):
+                for d, held in enumerate(states[:allowed(len(self.ends[node])) + 1] if allowed else states):
                     if held & last:
                         best = min(best, (d, self.ends[node])) if best else (d, self.ends[node])
                         break
@@ -125,8 +126,7 @@ class Scorer:
             return None
         if word in self.weights:
             return 0, word
-        found = self.trie.nearest(word, edits) if edits else None
-        return found if found and found[0] <= allowed_edits(len(found[1])) else None
+        return self.trie.nearest(word, edits, allowed_edits) if edits else None
 
     def sums(self, text: str) -> tuple[float, float, float]:
         """Weights of exact, misspelled and quoted hits, each as the logarithm of one and the sum."""
@@ -196,23 +196,35 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     return texts.join(F.broadcast(chosen), "id").select("label", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _shingle_key(words: list[str]) -> int:
-    parts = [" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))]
-    return min(map(xxhash.xxh64_intdigest, parts)) >> 1
+def _shingles(words: list[str]) -> list[int]:
+    """Hashes of the different runs of five words; of a shorter text the whole."""
+    return sorted({xxhash.xxh64_intdigest(" ".join(words[i:i + 5])) >> 1 for i in range(max(1, len(words) - 4))})
 
 
 def _different_words(rows: DataFrame) -> DataFrame:
-    """(label, word) once for each word of each text, copies and near copies counted once."""
+    """(label, word) once for each word of each text; copies and near copies count once.
+
+    Texts of a label that share their smallest shingle are compared with the first of them; those of a
+    similarity of 0.8 or more go.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [_WORD.findall(t.decode().lower()) for t in texts_of(batch, 1)]
+            split = [_WORD.findall(decoded(t).lower()) for t in texts_of(batch, 1)]
+            shingles = [_shingles(w) for w in split]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_shingle_key(w) for w in split], pa.int64()),
-                 pa.array([sorted(set(w)) for w in split], pa.list_(pa.string()))], names=["label", "key", "words"])
+                [batch.column(0), pa.array([s[0] for s in shingles], pa.int64()), pa.array(shingles, pa.list_(pa.int64())),
+                 pa.array([sorted(set(w)) for w in split], pa.list_(pa.string()))],
+                names=["label", "key", "shingles", "words"])
 
-    made = rows.select("label", "text").mapInArrow(run, "label int, key bigint, words array<string>")
-    return made.groupBy("label", "key").agg(F.min("words").alias("words"))
+    made = staged(rows.select("label", "text").mapInArrow(
+        run, "label int, key bigint, shingles array<bigint>, words array<string>").distinct(), "shingles")
+    firsts = made.groupBy("label", "key").agg(F.min(F.struct("shingles", "words")).alias("first"))
+    both = made.join(firsts, ["label", "key"])
+    shared = F.size(F.array_intersect("shingles", "first.shingles"))
+    similar = shared / (F.size("shingles") + F.size("first.shingles") - shared)
+    return (firsts.select("label", "key", "first.words")
+            .unionByName(both.where(similar < SIMILAR).select("label", "key", "words")))
 
 
 def _terms(words: DataFrame, max_terms: int, min_z: float) -> tuple[dict[str, float], DataFrame]:
@@ -223,7 +235,7 @@ def _terms(words: DataFrame, max_terms: int, min_z: float) -> tuple[dict[str, fl
               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (bad - F.col("a") + 0.5)) - F.log(b / (good - F.col("b") + 0.5))
-    scored = counts.where(F.col("a") >= max(MIN_TEXTS, MIN_SHARE * bad)).select("word", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
+    scored = counts.where(F.col("a") >= MIN_TEXTS).select("word", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
     top = scored.where((F.col("z") >= min_z) & (F.col("odds") >= MIN_ODDS) & (F.length("word") > 2)).orderBy(F.desc("z"), "word").limit(max_terms)
     return {r.word: r.odds for r in top.collect()}, counts.where("b > 0").select("word")
 
@@ -285,7 +297,7 @@ def _sums(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared.value)
         for batch in batches:
-            sums = [list(scorer.sums(t.decode())) for t in texts_of(batch, n)]
+            sums = [list(scorer.sums(decoded(t))) for t in texts_of(batch, n)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(sums, pa.list_(pa.float64()))],
                                              names=[*batch.schema.names[:n], "sums"])
 

@@ -99,3 +99,26 @@ def test_nothing_to_learn_from(spark, docs):
     one = language.fit(docs.where("lang = 'aa'"))
     assert {r.lang_pred for r in language.predicted(docs.where("doc_id < 30"), one).collect()} == {"aa"}
     assert language.predicted(docs.limit(0), model).count() == 0
+
+
+def test_signs_that_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ a"), (3, "٣ 12 _")], "doc_id long, text string")
+    model = language.Model(("x", "y"), {}, np.zeros((1 << language._BITS, 2)), 1.0, np.zeros((2, 2)), np.zeros(2))
+    found = {r.doc_id: r.lang_pred for r in language.predicted(docs, model).collect()}
+    assert found[1] == found[3] == "und" and found[2] != "und"
+    broken = spark.sql("SELECT 1L doc_id, CAST(X'61FF62' AS STRING) text")
+    assert [r.lang_pred != "und" for r in language.predicted(broken, model).collect()] == [True]
+
+
+def test_what_of_a_text_is_learnt():
+    assert language._taught(["one two three"]) == [["one", "two", "three"]]
+    assert language._taught(["ab cd e", "f gh ij k", "l mn op"]) == [["ab", "cd"], ["gh", "ij"], ["mn", "op"]]
+    many = language._taught([" ".join(["word"] * 60)])
+    assert [len(m) for m in many] == [24, 24, 12]
+
+
+def test_languages_of_short_texts_are_learnt(spark):
+    rows = [(i, t, l) for i in range(400) for t, l in [(("hello there", "en") if i % 2 else ("guten tag", "de"))]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.predicted(docs, language.fit(docs)).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang_pred <> lang").count() == 0

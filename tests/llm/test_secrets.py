@@ -3,6 +3,7 @@ import base64
 import random
 import re
 
+import numpy as np
 import pytest
 
 from halfhourly.llm import secrets
@@ -183,3 +184,71 @@ def test_random_strings_in_a_table_of_short_texts(spark):
     cells = secrets.fit(docs)
     found = {r.doc_id: r.spans for r in secrets.found_secrets(docs, ["doc_id"], cells).collect() if r.spans}
     assert set(found.items()) <= set(planted.items()) and len(found) >= 28
+
+
+PLACES = "Final View Notes Main Team Docs Eval Photo Video Release Cloud Report Draft Server Backup Index Theme Order".split()
+
+
+def ordinary_name(rng):
+    parts = [rng.choice(PLACES) + (str(rng.randrange(1, 2000)) if rng.random() < 0.4 else "") for _ in range(rng.randrange(4, 7))]
+    return rng.choice("/-_").join(parts)
+
+
+def test_names_and_paths_are_no_secrets(spark):
+    """400 ordinary names in 4,000 texts; base64 of 24 characters and more is found all the same."""
+    rng, rows, names, keys = random.Random(21), [], set(), {}
+    for i in range(4000):
+        text = prose(rng, rng.randrange(30, 60)) + " " + " ".join(rng.choices(PLACES, k=3)).lower()
+        if i % 10 == 0:
+            names.add(i)
+            text += " " + ordinary_name(rng)
+        if i % 20 == 7:
+            key = "".join(rng.choice(B64[:62]) for _ in range(rng.randrange(24, 60)))
+            key = key[:5] + rng.choice("+/") + key[6:]
+            keys[i] = key
+            text += " " + key
+        rows.append((i, text + " end", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    cells = secrets.fit(docs)
+    found = {r.doc_id for r in secrets.found_secrets(docs, ["doc_id"], cells).where("n_random > 0").collect()}
+    assert len(found & names) <= 4 and len(found & set(keys)) >= 0.95 * len(keys)
+    assert len(found - names - set(keys)) <= 4
+    masked = {r.doc_id: r.text for r in secrets.without_secrets(docs, cells).collect()}
+    assert sum(masked[i] != rows[i][1] for i in names) <= 4
+    assert sum(key in masked[i] for i, key in keys.items()) <= 0.05 * len(keys)
+
+
+def test_false_discovery_control_by_hand():
+    import pandas as pd
+    rng, rows = random.Random(4), []
+    for _ in range(3000):
+        rows.append((True, rng.randrange(2), rng.randrange(2), min(rng.randrange(60), rng.randrange(200)), True, 1 + rng.randrange(3)))
+    for _ in range(60):
+        rows.append((False, rng.randrange(2), rng.randrange(2), rng.randrange(3) if rng.random() < 0.5 else rng.randrange(60), True, 1))
+    counts = pd.DataFrame(rows, columns=["ordinary", "stratum", "encoding", "step", "passes", "n"])
+    for share in (0.01, 0.05, 0.3):
+        p = []
+        for o, k, e, step, _, n in rows:
+            if not o:
+                same = [r for r in rows if r[0] and r[1] == k]
+                random_looking = sum(r[5] for r in same if r[2] == e and r[3] <= step)
+                p += [((1 + random_looking) / (1 + sum(r[5] for r in same)), (k, e, step))] * n
+        p.sort()
+        passed = [i for i, (v, _) in enumerate(p) if v <= share * (i + 1) / len(p)]
+        want = {cell for _, cell in p[:passed[-1] + 1]} if passed else set()
+        assert secrets.accepted_cells(counts, share) == want
+
+
+def test_readability_of_random_letters_and_of_words():
+    rng = random.Random(8)
+    words = (prose(rng, 4000) + " " + " ".join(PLACES * 40)).lower()
+    counts = np.zeros((26, 26))
+    for a, b in zip(words, words[1:]):
+        if a.isascii() and b.isascii() and a.isalpha() and b.isalpha():
+            counts[ord(a) - 97, ord(b) - 97] += 1
+    pairs = secrets.pairs_of(counts)
+    read = lambda s: secrets.readable(np.frombuffer(s.encode(), dtype=np.uint8), pairs)
+    chance = [read("".join(rng.choice(B64) for _ in range(30))) for _ in range(1000)]
+    assert sum(p < secrets.REJECT for p in chance) <= 8
+    assert sum(read(ordinary_name(rng)) < secrets.REJECT for _ in range(300)) >= 295
+    assert secrets.readable(np.frombuffer(b"abc", dtype=np.uint8), None) == 1.0 and secrets.pairs_of(np.zeros((26, 26))) is None

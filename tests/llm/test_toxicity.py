@@ -102,3 +102,26 @@ def test_labels_of_one_kind_or_none(spark, tables):
         assert len(scores) == 1 and 0 < scores.pop() <= 0.5
     assert tox.scored(docs.limit(0), model).count() == 0
     assert tox.labelled(docs, labels, "doc_id", "text", "toxic", max_rows=10).count() <= 10
+
+
+def test_edits_go_by_the_terms_own_length():
+    scorer = tox.Scorer({"dumb": 1.0, "dummy": 1.0, "idiotic": 2.0})
+    assert scorer.near("dumby") == (1, "dummy") and scorer.near("dumb") == (0, "dumb")
+    assert scorer.near("dumbs") is None and scorer.near("idiotik") == (1, "idiotic")
+
+
+def test_only_near_copies_leave_the_word_counts(spark):
+    """Texts that share a long passage and differ in the rest are all counted; copies and near copies once."""
+    common = " ".join(f"passage{k}" for k in range(12))
+    rows = [(1, f"{common} " + " ".join(f"own{i}x{k}" for k in range(12))) for i in range(6)]
+    long = [f"long{k}" for k in range(60)]
+    rows += [(0, " ".join(long)), (0, " ".join(long)), (0, " ".join(long[:-1] + ["other"]))]
+    docs = spark.createDataFrame(rows, "label int, text string")
+    words = tox._different_words(docs).collect()
+    assert sum(r.label == 1 for r in words) == 6 and sum(r.label == 0 for r in words) == 1
+
+
+def test_bytes_that_are_no_text(spark):
+    docs = spark.sql("SELECT 1L doc_id, CAST(X'61FF62' AS STRING) text")
+    model = tox.Model({"dumb": 1.0}, frozenset(), (-1.0, 1.0, 1.0, 1.0))
+    assert tox.scored(docs, model).count() == 1
