@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from halfhourly.llm.common import arrow_texts, decoded, slices, texts_of
+from halfhourly.session import staged
 from halfhourly.llm.words import rolled, rolling, window_hashes, word_hashes
 
 MIN_MATCH, MIN_COVERAGE, BLOCK_BYTES = 5, 0.8, 8_000_000
@@ -170,6 +171,27 @@ def _found(block: Block, texts: list[str], min_coverage: float) -> Iterator[tupl
             yield d, item, found
 
 
+def _each_block(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int,
+                over) -> Iterator[DataFrame]:
+    """What ``over`` makes of each broadcast block of items.
+
+    One block is left to the caller's own job. Of several each is worked out and written before the next is
+    read, and then let go, so the driver and the executors hold one block, however long the benchmark.
+    """
+    blocks = _blocks(benchmark, id_col, text_col, block_bytes)
+    items, following = next(blocks), next(blocks, None)
+    context = docs.sparkSession.sparkContext
+    if following is None:
+        yield over(context.broadcast(items))
+        return
+    while items is not None:
+        shared = context.broadcast(items)
+        made = staged(over(shared), "benchmark-block")
+        shared.destroy()
+        yield made
+        items, following = following, next(blocks, None)
+
+
 _RESULT = ["item", "item_words", "covered_words", "n_tiles", "longest_tile", "coverage"]
 
 
@@ -183,9 +205,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], text
     item_type = benchmark.schema[item_col].dataType
     item_kind = to_arrow_type(item_type)
 
-    def over(items: list[tuple]) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
+    def over(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = Block(shared.value, min_match)
             for batch in (part for whole in batches for part in slices(whole, n)):
@@ -206,7 +226,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], text
             *kinds, f"item {item_type.simpleString()}", "item_words bigint", "covered_words bigint",
             "n_tiles bigint", "longest_tile bigint", "coverage double"]))
 
-    found = reduce(DataFrame.unionAll, map(over, _blocks(benchmark, item_col, item_text_col, block_bytes)))
+    found = reduce(DataFrame.unionAll, _each_block(docs, benchmark, item_col, item_text_col, block_bytes, over))
     return found.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
                         F.col("item").alias(item_col), *_RESULT[1:])
 
@@ -216,10 +236,15 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
                    min_match: int = MIN_MATCH, min_coverage: float = MIN_COVERAGE,
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that contain no item, same columns; the blocks of items filter one after another."""
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        clean = _free_of(docs.sparkSession.sparkContext.broadcast(items), min_match, min_coverage)
-        docs = docs.where(clean(F.make_valid_utf8(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))))
-    return docs
+    left = [docs]
+
+    def over(shared) -> DataFrame:
+        clean = _free_of(shared, min_match, min_coverage)
+        return left[0].where(clean(F.make_valid_utf8(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))))
+
+    for left[0] in _each_block(docs, benchmark, item_col, item_text_col, block_bytes, over):
+        pass
+    return left[0]
 
 
 def _free_of(shared, min_match: int, min_coverage: float):

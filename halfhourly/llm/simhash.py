@@ -199,7 +199,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large \
             else pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        # written first: its size tells Spark how to join, and the edges of a hub need not come to one task
+        low = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), f"{label}-low")
         joined = both.join(low, "a")
         if large:
             moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
