@@ -231,6 +231,13 @@ def _tells(word: str) -> bool:
     return any(c.isdigit() for c in word) or (len(word) > 1 and word == word.upper() and word.lower() != word)
 
 
+def _places(words: list[str]) -> dict[str, int]:
+    found: dict[str, int] = {}
+    for k, w in enumerate(words):
+        found[w] = found.get(w, 0) | 1 << k
+    return found
+
+
 class _Template(NamedTuple):
     name: str
     words: list[str]
@@ -239,6 +246,20 @@ class _Template(NamedTuple):
     tells: Counter
     need: float
     packer: zstandard.ZstdCompressor
+    places: dict[str, int]
+
+    def in_order(self, words: list[str]) -> int:
+        """How many of the template's words stand in these in its order, at most: their longest common subsequence.
+
+        The places of a word in the template are bits of a number; a step over a word is an addition.
+        """
+        every = (1 << len(self.lowered)) - 1
+        row = every
+        for w in words:
+            if at := self.places.get(w):
+                kept = row & at
+                row = (row + kept | row - kept) & every
+        return len(self.lowered) - row.bit_count()
 
 
 class Scanner:
@@ -254,7 +275,8 @@ class Scanner:
             lowered = [w.lower() for w in words]
             self.templates.append(_Template(name, words, lowered, Counter(lowered),
                                             Counter(w.lower() for w in words if _tells(w)), min_similarity * len(words),
-                                            zstandard.ZstdCompressor(compression_params=equal, dict_data=known)))
+                                            zstandard.ZstdCompressor(compression_params=equal, dict_data=known),
+                                            _places(lowered)))
         self.overlap = 2 * max((len(t.words) for t in self.templates), default=0)
 
     def find(self, text: str) -> list[Finding]:
@@ -297,19 +319,22 @@ class Scanner:
                  begin: int, limit: int, stop: int) -> Iterator[tuple]:
         """The places of a template that start before ``limit``, from left to right: first and last
         word, share of its words found, differences. Claimed words are None."""
-        _, wanted, target, counts, _, need, _ = template
+        _, wanted, target, counts, _, need, *_ = template
         width = 2 * len(target)
 
-        def match(i: int) -> list:
+        def wall_after(i: int) -> int:
             wall = i
             while wall < min(i + width, stop) and lowered[wall] is not None:
                 wall += 1
-            found = SequenceMatcher(None, lowered[i:wall], target, autojunk=False).get_matching_blocks()
+            return wall
+
+        def match(i: int) -> list:
+            found = SequenceMatcher(None, lowered[i:wall_after(i)], target, autojunk=False).get_matching_blocks()
             return [(i + m.a, m.b, m.size) for m in found if m.size]
 
         hits = [i for i in range(begin, stop) if lowered[i] in counts]
         near: Counter = Counter()
-        common, end, upto = 0, -1, 0
+        common, end, upto, futile = 0, -1, 0, -1.0
         for i in hits:
             if i >= limit:
                 break
@@ -320,7 +345,12 @@ class Scanner:
             enough = common >= need
             common -= near[lowered[i]] <= counts[lowered[i]]
             near[lowered[i]] -= 1
-            if i <= end or not enough:  # too few words of the template are near
+            if i <= end or i < futile or not enough:  # too few words of the template are near
+                continue
+            wall = wall_after(i)
+            ordered = template.in_order(lowered[i:wall])
+            if ordered < need:  # or too few in its order; a step to the right adds one at most
+                futile = min(i + need - ordered, wall)
                 continue
             found = match(i)
             same = sum(size for *_, size in found)

@@ -132,3 +132,34 @@ GPL_FILE = """# This program is free software: you can redistribute it and/or mo
 def test_usual_forms(text, name):
     (f,) = SCAN.find("Intro.\n" + text)
     assert f.license == name and f.missing == ""
+
+
+def test_words_in_order_bound_the_matches():
+    import random
+    from difflib import SequenceMatcher
+    draw = random.Random(3)
+    for template in licenses.Scanner(licenses.TEMPLATES).templates[:25]:
+        for _ in range(20):
+            words = draw.choices(template.lowered + ["other", None], k=draw.randrange(1, 2 * len(template.words) + 2))
+            found = SequenceMatcher(None, words, template.lowered, autojunk=False).get_matching_blocks()
+            table = [[0] * (len(template.lowered) + 1) for _ in range(len(words) + 1)]
+            for i, w in enumerate(words):
+                for j, t in enumerate(template.lowered):
+                    table[i + 1][j + 1] = table[i][j] + 1 if w == t else max(table[i][j + 1], table[i + 1][j])
+            assert template.in_order(words) == table[-1][-1] >= sum(m.size for m in found)
+
+
+def test_a_text_of_shuffled_template_words_is_soon_read():
+    import random
+    import time
+    draw = random.Random(5)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    template = max(scanner.templates, key=lambda t: "MIT" in t.name and len(t.words))
+    words = template.words * 120
+    draw.shuffle(words)
+    text = " ".join(words)[:122_000]
+    whole = " ".join(template.words)
+    began = time.process_time()
+    assert scanner.find(text) == []
+    assert time.process_time() - began < 3
+    assert [f.license for f in scanner.find(text + " " + whole)] == [template.name]
