@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -70,6 +71,7 @@ def main() -> int:
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     zone = os.environ.get("CHECK_ZONE", "UTC")
     spark = get_spark("check", "local[8]", **{"spark.sql.shuffle.partitions": "8",
+                                              "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-"),
                                               "spark.sql.session.timeZone": zone,
                                               "spark.sql.ansi.enabled": os.environ.get("CHECK_ANSI", "true")})
     spark.sparkContext.setLogLevel("ERROR")

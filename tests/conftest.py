@@ -8,9 +8,10 @@ sys.path[:0] = [os.path.dirname(_HERE), _HERE]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from halfhourly.session import get_spark
     session = get_spark("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4",
+                                                "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
                                                 "spark.log.level": "ERROR"})
     yield session
     session.stop()
