@@ -27,7 +27,7 @@ from halfhourly.llm.common import fresh, let
 WORD_GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
-CLOSED = r"[.!?:;…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
+CLOSED = r"[.!?:;…。！？।॥؟۔؛։።။។།][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
 SHOUTS = r"(!!|\?\?)[\x20\x09-\x0D]|(!!|\?\?)\z"
 SEPARATORS = r"[|»›•·→]"
 MENU = r"(?i)^[\x20\x09-\x0D]*(home|menu|next|previous|back to top|log ?in|sign (in|up)|skip to content|search|contact( us)?)[\x20\x09-\x0D.]*\z"

@@ -79,11 +79,12 @@ def _swept(keys: DataFrame, rules: DataFrame) -> DataFrame:
     last = rows.where(~F.col("is_key")).groupBy("range").agg(F.max_by("stack", "key").alias("last_stack"))
     reached = rows.select("range").distinct().join(last, "range", "left")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    handed = reached.select("range", F.last("last_stack", ignorenulls=True).over(before).alias("handed"))
+    # written, so that its size tells how to join
+    handed = staged(reached.select("range", F.last("last_stack", ignorenulls=True).over(before).alias("handed")), "handed")
     sweep = Window.partitionBy("range").orderBy("key", "is_key").rowsBetween(Window.unboundedPreceding, 0)
     seen = rows.withColumn("open", F.last("stack", ignorenulls=True).over(sweep)).where("is_key")
     stack = F.coalesce("open", "handed")
-    return (seen.join(F.broadcast(handed) if n <= 4096 else handed, "range")
+    return (seen.join(handed, "range")
             .select("level", "path", F.try_element_at(F.filter(stack, lambda e: F.col("key").startswith(e["key"])), F.lit(-1))
                     .alias("entry")).where(F.col("entry").isNotNull()))
 

@@ -88,3 +88,10 @@ def test_no_python_in_the_plan_and_no_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert out.count() == 0
+
+
+def test_sentences_of_other_scripts_end(spark):
+    hindi, urdu = " ".join(f"शब्द{k}" for k in range(25)) + " ।", " ".join(f"لفظ{k}" for k in range(25)) + "۔"
+    docs = spark.createDataFrame([(1, hindi), (2, urdu), (3, hindi[:-2])], "doc_id long, text string")
+    kept = {r.doc_id for r in quality.clean(docs).collect()}
+    assert {1, 2} <= kept and 3 not in kept
