@@ -43,9 +43,19 @@ MAX_TEXTS, PIECE, STRUNG = 4_000, 24, 8
 _STRETCH = 160
 MAX_WORDS = 50_000
 BLOCK, _BLOCKS_AT_ONCE, _BITS, _CACHED = 32, 4096, 16, 600_000
-#: Signs that patterns take for parts of words but that are no letters, such as fractions and circled numbers.
-_SIGNS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-_WORD = re.compile(rf"[^\W\d_{_SIGNS}]+")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def letters(text: str) -> list[str]:
+    """The words of a text, runs of letters alone.
+
+    The pattern takes fractions, circled numbers and the like for letters; few words hold one, and those are cut there.
+    """
+    words = _WORD.findall(text)
+    if words and not "".join(words).isalpha():
+        spaced = ("".join(c if c.isalpha() else " " for c in w) for w in words)
+        words = [part for w in spaced for part in w.split()]
+    return words
 
 
 def held_out(id_col: str, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
@@ -204,7 +214,7 @@ def forward_backward(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndar
 
 
 def _words(text: bytes) -> list[str]:
-    return _WORD.findall(decoded(text).lower())
+    return letters(decoded(text).lower())
 
 
 def _lexicon(train: DataFrame, totals: dict[str, int], max_words: int) -> dict[str, tuple[float, ...]]:
@@ -339,7 +349,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def _taught(pieces: list[str]) -> list[list[str]]:
     """The words of a sampled text that weights are fitted on: all of a short text; else, of each piece, those that the
     cuts left whole."""
-    found = [_WORD.findall(p.lower()) for p in pieces]
+    found = [letters(p.lower()) for p in pieces]
     if len(found) == 3:
         found = [found[0][:-1], found[1][1:-1], found[2][1:]]
     return [words[i:i + PIECE] for words in found for i in range(0, len(words), PIECE)]
