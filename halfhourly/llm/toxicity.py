@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from halfhourly.llm.common import arrow_texts, decoded, texts_of
 from halfhourly.session import staged
 
-MAX_ROWS, MAX_TERMS, MIN_Z, MIN_ODDS, MIN_TEXTS, SIMILAR = 20_000, 2_000, 3.3, 3.0, 4, 0.8
+MAX_ROWS, MAX_TERMS, MIN_Z, MIN_ODDS, MIN_TEXTS, SIMILAR, SKETCH = 20_000, 2_000, 3.3, 3.0, 4, 0.8, 128
 FOLDS, HELD_OUT = 5, 0
 SPAN = 8
 _CACHED = 800_000
@@ -196,35 +196,47 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     return texts.join(F.broadcast(chosen), "id").select("label", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _shingles(words: list[str]) -> list[int]:
-    """Hashes of the different runs of five words; of a shorter text the whole."""
-    return sorted({xxhash.xxh64_intdigest(" ".join(words[i:i + 5])) >> 1 for i in range(max(1, len(words) - 4))})
+def _sketch(words: list[str]) -> list[int]:
+    """The ``SKETCH`` smallest hashes of the different runs of five words; of a shorter text that of the whole."""
+    return sorted({xxhash.xxh64_intdigest(" ".join(words[i:i + 5])) >> 1 for i in range(max(1, len(words) - 4))})[:SKETCH]
 
 
-def _different_words(rows: DataFrame) -> DataFrame:
-    """(label, word) once for each word of each text; copies and near copies count once.
+def _near_copies(rows: DataFrame) -> DataFrame:
+    """The rows that are near copies of an earlier one of their label with the same smallest shingle.
 
-    Texts of a label that share their smallest shingle are compared with the first of them; those of a
-    similarity of 0.8 or more go.
+    Similarity is told by the smallest shingles of both: exactly where they have no more than ``SKETCH``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [_WORD.findall(decoded(t).lower()) for t in texts_of(batch, 1)]
-            shingles = [_shingles(w) for w in split]
+            sketches = [_sketch(_WORD.findall(decoded(t).lower())) for t in texts_of(batch, 2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s[0] for s in shingles], pa.int64()), pa.array(shingles, pa.list_(pa.int64())),
-                 pa.array([sorted(set(w)) for w in split], pa.list_(pa.string()))],
-                names=["label", "key", "shingles", "words"])
+                [batch.column(0), batch.column(1), pa.array([s[0] for s in sketches], pa.int64()),
+                 pa.array(sketches, pa.list_(pa.int64()))], names=["row", "label", "key", "sketch"])
+
+    made = staged(rows.select("row", "label", "text").mapInArrow(
+        run, "row bigint, label int, key bigint, sketch array<bigint>"), "sketches")
+    firsts = (made.groupBy("label", "key").agg(F.min(F.struct("row", "sketch")).alias("first"), F.count(F.lit(1)).alias("n"))
+              .where("n > 1"))
+    both = made.join(firsts, ["label", "key"]).where("row <> first.row")
+    union = F.slice(F.array_sort(F.array_union("sketch", "first.sketch")), 1, SKETCH)
+    shared = F.size(F.array_intersect(union, F.array_intersect("sketch", "first.sketch")))
+    return both.where(shared >= SIMILAR * F.size(union)).select("row")
+
+
+def _different_words(rows: DataFrame) -> DataFrame:
+    """(label, words) of each text, its different words; copies and near copies count once."""
+    if "row" not in rows.columns:
+        rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [sorted(set(_WORD.findall(decoded(t).lower()))) for t in texts_of(batch, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(split, pa.list_(pa.string()))],
+                                             names=["label", "words"])
 
-    made = staged(rows.select("label", "text").mapInArrow(
-        run, "label int, key bigint, shingles array<bigint>, words array<string>").distinct(), "shingles")
-    firsts = made.groupBy("label", "key").agg(F.min(F.struct("shingles", "words")).alias("first"))
-    both = made.join(firsts, ["label", "key"])
-    shared = F.size(F.array_intersect("shingles", "first.shingles"))
-    similar = shared / (F.size("shingles") + F.size("first.shingles") - shared)
-    return (firsts.select("label", "key", "first.words")
-            .unionByName(both.where(similar < SIMILAR).select("label", "key", "words")))
+    kept = rows.join(_near_copies(rows), "row", "left_anti")
+    return kept.select("label", "text").mapInArrow(run, "label int, words array<string>")
 
 
 def _terms(words: DataFrame, max_terms: int, min_z: float) -> tuple[dict[str, float], DataFrame]:
@@ -279,7 +291,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS, min_z: float = MIN_Z) -> Model:
-    rows = staged(labelled(docs, labels, id_col, text_col, label_col, max_rows), "labelled")
+    rows = staged(labelled(docs, labels, id_col, text_col, label_col, max_rows)
+                  .withColumn("row", F.monotonically_increasing_id()), "labelled")
     weights, ordinary = _terms(staged(_different_words(rows), "words"), max_terms, min_z)
     model = Model(weights, _near_terms(ordinary, weights) if weights else frozenset(), ())
     found = _sums(rows, model, ["label"]).collect()
