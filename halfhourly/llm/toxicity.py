@@ -4,8 +4,8 @@ Fitting takes at most ``max_rows`` labelled rows, those with the smallest hashes
 ids. Copies and near copies among them count once: texts that share their smallest five-word shingle and
 have a similarity of 0.8 or more. A word joins the lexicon when its log-odds between toxic and other texts
 stand ``min_z`` standard errors above zero, are at least ``MIN_ODDS``, and ``MIN_TEXTS`` toxic texts have
-it, or ``ROOT_TEXTS`` times the root of their number if that is more; at most ``max_terms`` do. So the share of texts that a term
-needs falls with the number of labels.
+it, or of many toxic texts a share of ``MIN_SHARE``, but no more than ``ROOT_TEXTS`` times the root of their number; at
+most ``max_terms`` do. So the share that a term needs falls as labels grow.
 
 A word of a text is run as a Levenshtein automaton, a set of states for each number of
 edits held as bits, along the branches of the lexicon's trie; branches where no state
@@ -41,7 +41,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from halfhourly.llm.common import arrow_texts, decoded, texts_of
 from halfhourly.session import staged
 
-MAX_ROWS, MAX_TERMS, MIN_Z, MIN_ODDS, MIN_TEXTS, ROOT_TEXTS, SIMILAR, SKETCH = 20_000, 2_000, 3.3, 3.0, 4, 0.4, 0.8, 128
+MAX_ROWS, MAX_TERMS, MIN_Z, MIN_ODDS, MIN_TEXTS, MIN_SHARE, ROOT_TEXTS = 20_000, 2_000, 3.3, 3.0, 4, 0.01, 0.4
+SIMILAR, SKETCH = 0.8, 128
 FOLDS, HELD_OUT = 5, 0
 SPAN = 8
 _CACHED = 800_000
@@ -248,7 +249,7 @@ def _terms(words: DataFrame, max_terms: int, min_z: float) -> tuple[dict[str, fl
               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (bad - F.col("a") + 0.5)) - F.log(b / (good - F.col("b") + 0.5))
-    scored = counts.where(F.col("a") >= max(MIN_TEXTS, ROOT_TEXTS * bad ** 0.5)).select("word", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
+    scored = counts.where(F.col("a") >= max(MIN_TEXTS, min(MIN_SHARE * bad, ROOT_TEXTS * bad ** 0.5))).select("word", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
     top = scored.where((F.col("z") >= min_z) & (F.col("odds") >= MIN_ODDS) & (F.length("word") > 2)).orderBy(F.desc("z"), "word").limit(max_terms)
     return {r.word: r.odds for r in top.collect()}, counts.where("b > 0").select("word")
 
