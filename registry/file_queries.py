@@ -269,17 +269,19 @@ SELECT CAST(trading_date AS TIMESTAMP) + to_minutes(trading_period * 30 - 30) AS
        load_area, SUM(demand) AS demand, TRUE AS some_late, TRUE AS some_closed, TRUE AS none_lost
 FROM v_demand JOIN v_meta ON node = meta_node GROUP BY 1, 2""", "v_demand", "v_meta"))
 def _(spark, sf):
-    """Three files out of order: half hours that closed, and late rows beside them, make up the batch's sums."""
+    """Three arrivals out of order: half hours that closed, and late rows beside them, make up the batch's sums."""
     folder = work_folder(spark, "stream-windows")
     lines = V.read(spark, sf, "lineitem")
     part = (F.when((F.col("l_shipdate") < "1997-07-01") & (F.col("l_orderkey") % 10 != 0), 0)
             .when((F.col("l_shipdate") < "2000-01-01") & (F.col("l_orderkey") % 10 != 1), 1).otherwise(2))
+    rich = None
     for k in range(3):
-        lines.where(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/files")
-    arriving = _demand_rows(spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1)
-                            .parquet(f"{folder}/files"))
-    rich = merge_meta(arriving, V.meta(spark, sf), "demand", "inner")
-    split_late(rich, f"{folder}/out", _LATENESS, f"{folder}/check-rows").awaitTermination()
+        # an arrival is one batch, of as many files as tasks write and read
+        lines.where(part == k).write.mode("append").parquet(f"{folder}/files")
+        if rich is None:
+            arriving = _demand_rows(spark.readStream.schema(lines.schema).parquet(f"{folder}/files"))
+            rich = merge_meta(arriving, V.meta(spark, sf), "demand", "inner")
+        split_late(rich, f"{folder}/out", _LATENESS, f"{folder}/check-rows").awaitTermination()
     end_marker(spark, f"{folder}/out", rich.schema, dt.datetime(2100, 1, 1))
     close_half_hours(spark, f"{folder}/out", rich.schema, ["load_area"], "demand", _LATENESS,
                      f"{folder}/check-sums").awaitTermination()
