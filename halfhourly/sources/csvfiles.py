@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 from halfhourly.functions.dates import file_year, parse_date, parse_timestamp
 from halfhourly.functions.text import base_name
 from halfhourly.schemas import TABLES, Table
-from halfhourly.session import work_folder
+from halfhourly.session import staged, work_folder
 
 REASON = "reject_reason"
 SOURCE = "source_file"
@@ -71,42 +71,46 @@ def file_records(text: DataFrame, table: Table, most: int = RECORD_LINES) -> Dat
     kept = ["value", SOURCE, _HEAD]
     if not seen.get["odd"]:
         return lines.where(filled).select(*kept)
-    spread = lines.where(_ODD).select(SOURCE).distinct()
+    spread = staged(lines.where(_ODD).select(SOURCE).distinct(), "spread")
     joined = joined_lines(lines.join(spread, SOURCE, "left_semi"), most)
-    joined = joined.withColumn(_HEAD, is_header("value", table))
-    return (lines.join(spread, SOURCE, "left_anti").select(*kept).unionByName(joined.select(*kept))).where(filled)
+    joined = staged(joined.withColumn(_HEAD, is_header("value", table)).select(*kept), "records")
+    return (lines.join(spread, SOURCE, "left_anti").select(*kept).unionByName(joined)).where(filled)
 
 
 def joined_lines(lines: DataFrame, most: int = RECORD_LINES) -> DataFrame:
     """Lines of files put together to records: a record goes on while one of its quotes is open.
 
     Whether a line begins inside quotes is the parity of the lines before it that leave a quote open. It is counted
-    inside each block of a file, and one count per block is carried over the blocks, so a file may be
-    split. A record of more than ``most`` lines has a quote that is never closed; its lines are returned one by one.
+    inside each block of a file, and one row per block is carried over the blocks, so a file may be
+    split: a block notes its lines as they are if it begins outside of quotes, and if it begins inside.
+    A record of more than ``most`` lines has a quote that is never closed; its lines are returned one by one.
     """
     inside, block = Window.partitionBy(SOURCE, _BLOCK).orderBy(_AT), [SOURCE, _BLOCK]
     over_blocks = Window.partitionBy(SOURCE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     odd = F.col(_ODD).cast("int")
-    opened = lines.groupBy(*block).agg(F.sum(odd).alias("n")).select(
-        *block, F.coalesce(F.sum("n").over(over_blocks), F.lit(0)).alias("_before"))
     before = F.coalesce(F.sum(odd).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lines = (lines.withColumn("_here", before).join(opened, block)
-             .withColumn("_starts", (F.col("_here") + F.col("_before")) % 2 == 0))
-    place = F.when(F.col("_starts"), F.struct(_BLOCK, _AT))
-    starts = lines.groupBy(*block).agg(F.max(place).alias("_last")).select(
-        *block, F.max("_last").over(over_blocks).alias("_earlier"))
-    lines = (lines.withColumn("_record", F.last_value(place, True).over(inside)).join(starts, block)
-             .withColumn("_record", F.coalesce("_record", "_earlier")))
-    alone = F.col("_starts") & ~F.col(_ODD)
-    parts = lines.where(~alone)
-    sizes = parts.groupBy(SOURCE, "_record").agg(F.count(F.lit(1)).alias("_lines"))
-    sized = parts.join(sizes, [SOURCE, "_record"])
+    lines = lines.withColumn("_here", before % 2 == 0)
+    starting = {"_even": F.when(F.col("_here"), F.col(_AT)), "_uneven": F.when(~F.col("_here"), F.col(_AT))}
+    lines = staged(lines.withColumns({n: F.last_value(at, True).over(inside) for n, at in starting.items()}), "lines-marked")
+    blocks = lines.groupBy(*block).agg(F.sum(odd).alias("n"), *[F.max(n).alias(f"{n}_last") for n in starting])
+    blocks = blocks.withColumn("_outside", F.coalesce(F.sum("n").over(over_blocks), F.lit(0)) % 2 == 0)
+    last = F.when(F.col("_outside"), F.col("_even_last")).otherwise(F.col("_uneven_last"))
+    place = F.when(last.isNotNull(), F.struct(_BLOCK, last.alias(_AT)))
+    # a row per block, whose stored size tells Spark that it may be broadcast
+    blocks = staged(blocks.select(*block, "_outside", F.max(place).over(over_blocks).alias("_earlier")), "blocks")
+    start = F.when(F.col("_outside"), F.col("_even")).otherwise(F.col("_uneven"))
+    lines = lines.join(blocks, block).withColumn(
+        "_record", F.coalesce(F.when(start.isNotNull(), F.struct(_BLOCK, start.alias(_AT))), "_earlier"))
+    alone = (F.col("_here") == F.col("_outside")) & ~F.col(_ODD)
+    parts, record = lines.where(~alone), [SOURCE, "_record"]
+    open_ = staged(parts.groupBy(*record).agg(F.count(F.lit(1)).alias("_lines")).where(F.col("_lines") > most)
+                   .select(*record), "open-records")
     ordered = F.array_sort(F.collect_list(F.struct(_BLOCK, _AT, "value")))
-    records = (sized.where(F.col("_lines") <= most).groupBy(SOURCE, "_record").agg(ordered.alias("_parts"))
+    records = (parts.join(open_, record, "left_anti").groupBy(*record).agg(ordered.alias("_parts"))
                .select(SOURCE, F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value")))
     columns = [SOURCE, "value"]
     return (lines.where(alone).select(*columns).unionByName(records)
-            .unionByName(sized.where(F.col("_lines") > most).select(*columns)))
+            .unionByName(parts.join(open_, record, "left_semi").select(*columns)))
 
 
 def _heads(lines: DataFrame, table: Table) -> Column:
@@ -127,10 +131,11 @@ def csv_rows(lines: DataFrame, table: Table, order: list[str]) -> DataFrame:
 def named_rows(lines: DataFrame, table: Table) -> DataFrame:
     """Lines as typed rows, their cells by the header of their file, or in table order without one.
 
-    The headers, one row per file, are joined to the lines; nothing is gathered.
+    The headers, one row per file, are joined to the lines; nothing is gathered. They are worked out once, into the
+    shared folder: their stored size tells Spark to broadcast them, so that lines are not dealt by file.
     """
     names = F.transform(csv_cells("value"), header_name)
-    heads = (lines.where(_heads(lines, table)).groupBy(SOURCE).agg(F.min(names).alias("_names")))
+    heads = staged(lines.where(_heads(lines, table)).groupBy(SOURCE).agg(F.min(names).alias("_names")), "headers")
     in_order = F.array(*[F.lit(n) for n in table.names])
     rows = (lines.where(~_heads(lines, table)).join(heads, SOURCE, "left")
             .select(SOURCE, csv_cells("value").alias("_cells"), F.coalesce("_names", in_order).alias("_names")))
@@ -155,7 +160,8 @@ def csv_cells(line: Column | str) -> Column:
         quoted = F.regexp_replace(F.substring(bare, F.lit(2), F.length(bare) - 2), r'(?:"|\\)(["\\])', "$1")
         return F.when(bare.startswith('"') & bare.endswith('"') & (F.length(bare) > 1), quoted).otherwise(bare)
 
-    return F.transform(raw, plain)
+    # most lines have no quote, and then a comma ends a cell
+    return F.when(F.contains(text, F.lit('"')), F.transform(raw, plain)).otherwise(F.transform(F.split(text, ","), lambda cell: F.trim(cell)))
 
 
 def header_name(cell: Column) -> Column:
