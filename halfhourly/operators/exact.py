@@ -22,6 +22,8 @@ _INFINITE, _WRITTEN = 1000, -2000
 DECIMAL = "decimal(28,10)"
 PARTS = ["bucket", "written", "d0", "d1", "d2", "d3", "n"]
 _BIG = "decimal(38,0)"
+#: Bits of the lower part of a whole number of ten-thousandths.
+_LOW = 20
 
 
 def is_floating(kind: T.DataType) -> bool:
@@ -158,6 +160,30 @@ def totals(sums: DataFrame, keys: list[str], alias: str = "total", count: str |
     return whole.select(*keys, value.alias(alias), *([F.col("_n").alias(count)] if count else []))
 
 
+def written_sums(df: DataFrame, keys: list[str], col: Column | str, alias: str) -> DataFrame:
+    """``keys``, the sum of a column by ``alias``, ``alias_n`` and ``alias_odd``: how many values are in it, and are no decimals.
+
+    One aggregate without lists of entries; where no value is odd the sum is that of :func:`exact_sums`, else it lacks
+    the odd values. Values below 10^8 with four decimal places are added up as whole numbers, in two parts.
+    """
+    value = (F.col(col) if isinstance(col, str) else col).cast("double")
+    rows = df.select(*keys, present(value).alias("_v"))
+    scaled = F.rint(F.col("_v") * 1e4)
+    short = (F.abs("_v") < 1e8) & (scaled / 1e4 == F.col("_v"))
+    rows = rows.select(*keys, "_v", F.when(short, scaled.cast("bigint")).alias("_k"))
+    rows = rows.select(*keys, "_v", "_k", F.when(F.col("_k").isNull(), as_written(F.col("_v"))).alias("_w"))
+    odd = F.col("_v").isNotNull() & F.col("_k").isNull() & F.col("_w").isNull()
+    sums = rows.groupBy(*keys).agg(
+        F.sum(F.shiftright("_k", _LOW)).alias("_high"), F.sum(F.col("_k").bitwiseAND(F.lit(2 ** _LOW - 1))).alias("_low"),
+        F.sum("_w").alias("_w"), F.count("_v").alias("_n"), F.count_if(odd).alias("_odd"))
+    high, low = (F.coalesce(F.col(c), F.lit(0)).cast("decimal(20,0)") for c in ("_high", "_low"))
+    whole = (high * F.lit(2 ** _LOW).cast("decimal(7,0)") + low) * F.lit("0.0001").cast("decimal(4,4)")
+    total = F.when(F.col("_w").isNull(), whole.cast("double")).otherwise(
+        (whole.cast("decimal(37,10)") + F.col("_w").cast("decimal(37,10)")).cast("double"))
+    return sums.select(*keys, F.when(F.col("_n") > 0, total).alias(alias), F.col("_n").alias(f"{alias}_n"),
+                       F.col("_odd").alias(f"{alias}_odd"))
+
+
 def exact_sums(df: DataFrame, keys: list[str], columns: Mapping[str, str]) -> DataFrame:
     """``keys`` and the sum of each column by its alias, with ``alias_n``, the number of values in it.
 

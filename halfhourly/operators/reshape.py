@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from halfhourly.operators.exact import exact_sums, is_floating, present
+from halfhourly.operators.exact import exact_sums, is_floating, present, written_sums
 from halfhourly.schemas import HALF_HOUR_NAMES, MW_PER_HALF_HOUR_KWH, TABLES
 from halfhourly.session import staged
 
@@ -37,19 +37,23 @@ def half_hour_to_long(df: DataFrame, factor: float = MW_PER_HALF_HOUR_KWH) -> Da
         long = _periods(wide.where("_rows = 1"), ids, periods)
         if seen.get["repeated"]:
             spread = _periods(complete.join(wide.where("_rows > 1").select(*ids), ids, "left_semi"), ids, periods)
-            long = long.unionByName(
-                exact_sums(spread.where(F.col("Average_Output").isNotNull()), [*ids, "Trading_Period"],
-                           {"Average_Output": "Average_Output"}).drop("Average_Output_n"))
+            filled, keys = spread.where(F.col("Average_Output").isNotNull()), [*ids, "Trading_Period"]
+            seen = Observation()
+            sums = staged(written_sums(filled, keys, "Average_Output", "Average_Output")
+                          .observe(seen, F.sum("Average_Output_odd").alias("unheld")), "half-hour-sums")
+            if seen.get["unheld"]:
+                sums = exact_sums(filled, keys, {"Average_Output": "Average_Output"})
+            long = long.unionByName(sums.select(*keys, "Average_Output"))
     value = F.col("Average_Output") * F.lit(factor)
     return long.where(F.col("Average_Output").isNotNull()).withColumn("Average_Output", value)
 
 
 def _periods(wide: DataFrame, ids: list[str], periods: list[str]) -> DataFrame:
-    """One row per id and period."""
-    bands = F.array(*[F.struct(F.lit(int(p[2:])).alias("Trading_Period"),
-                               present(F.col(p).cast("double")).alias("Average_Output"))
-                      for p in periods])
-    return wide.select(*ids, F.inline(bands))
+    """One row per id and filled period, without an array of all periods for each row."""
+    named = {p: f"_{p[2:]}" for p in periods}
+    cells = wide.select(*ids, *[present(F.col(p).cast("double")).alias(n) for p, n in named.items()])
+    long = columns_to_rows(cells, ids, list(named.values()), "_period", "Average_Output")
+    return long.select(*ids, F.substring("_period", 2, 9).cast("int").alias("Trading_Period"), "Average_Output")
 
 
 def columns_to_rows(df: DataFrame, ids: list[str], columns: list[str], name: str,
