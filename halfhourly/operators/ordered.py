@@ -15,7 +15,7 @@ import operator
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from halfhourly.operators.exact import as_written, exact_sums, is_floating
+from halfhourly.operators.exact import as_written, exact_sums, is_floating, written_sums
 from halfhourly.session import staged
 
 _PART = "_part"
@@ -95,15 +95,20 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, col: str, alia
     on how rows are cut. NaN counts as missing.
     """
     named = _present(df, [*keys, order_col])
-    floating = is_floating(df.schema[col].dataType)
+    floating, odd = is_floating(df.schema[col].dataType), False
     if floating:
-        steps = exact_sums(named, [*keys, order_col], {"_own": col}).drop("_own_n")
+        seen, unwritten = Observation(), F.count_if(as_written(F.col("_own")).isNull()).alias("odd")
+        # decimals add up in one plain aggregate; only where a value is none are all added up by digits
+        steps = written_sums(named, [*keys, order_col], col, "_own").observe(
+            seen, unwritten, F.sum("_own_odd").alias("unheld"))
+        rows = _cut(steps.select(*keys, order_col, "_own"), keys, [order_col], "running")
+        if seen.get["unheld"]:
+            seen = Observation()
+            steps = exact_sums(named, [*keys, order_col], {"_own": col}).drop("_own_n").observe(seen, unwritten)
+            rows = _cut(steps, keys, [order_col], "running")
+        odd = seen.get["odd"] > 0
     else:
-        steps = named.groupBy(*keys, order_col).agg(F.sum(col).alias("_own"))
-    seen = Observation()
-    noted = steps.observe(seen, F.count_if(as_written(F.col("_own")).isNull()).alias("odd")) if floating else steps
-    rows = _cut(noted, keys, [order_col], "running")
-    odd = floating and seen.get["odd"] > 0
+        rows = _cut(named.groupBy(*keys, order_col).agg(F.sum(col).alias("_own")), keys, [order_col], "running")
     added = {"_sum": as_written(F.col("_own")) if floating else F.col("_own")}
     if odd:
         rows = rows.withColumn("_sum", as_written(F.col("_own")))
