@@ -308,9 +308,10 @@ def _summary_pages(spark, sf):
     """A daily page for each customer, with rows of two products."""
     pages = V.read(spark, sf, "customer").withColumn(
         "day", F.date_add(F.lit(dt.date(2010, 1, 1)), (F.col("c_custkey") % 3000).cast("int")))
-    # a page is many times its row, so rows that one task can read are dealt out before they become pages
+    # a page is many times its row, so rows that one task can read are dealt out before they become pages;
+    # by key, as dealing in turn makes that one task sort them first
     pages = pages.select("c_custkey", "c_nationkey", "c_acctbal", "day").repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions")))
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
     pages = pages.select(
         "c_custkey", "c_nationkey", F.date_format("day", "yyMMdd").alias("code"),
         F.date_format("day", "MMM yyyy").alias("long"), F.date_format("day", "MMM yy").alias("short"),
