@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -115,12 +115,20 @@ def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "appe
     move once; else Spark takes a look at the rows first. ``replace_years`` as mode writes the years of the rows anew.
     """
     t = table_of(table)
-    order = [t.date_col, *[k for k in t.key if k != t.date_col]]
+    ranged = rows.repartitionByRange(*_file_order(t)[-len(t.key):]) if noted is None else noted.dealt(rows, t)
+    return _write_dealt(ranged, path, t, mode)
+
+
+def _file_order(table: Table) -> list[str]:
+    """The order of a file's rows: by date, then key; the year in front is the order the partitioned write asks for."""
+    return [*([YEAR] if table.by_year else []), table.date_col, *[k for k in table.key if k != table.date_col]]
+
+
+def _write_dealt(ranged: DataFrame, path: str, t: Table, mode: str = "append") -> int:
+    """Writes rows as they are dealt to tasks, those of each task in order; returns how many."""
     written = Observation()
-    ranged = rows.repartitionByRange(*order) if noted is None else noted.dealt(rows, t)
     ranged = ranged.observe(written, F.count(F.lit(1)).alias("n"))
-    # the year in front is the order the partitioned write asks for
-    writer = ranged.sortWithinPartitions(*([YEAR] if t.by_year else []), *order).write
+    writer = ranged.sortWithinPartitions(*_file_order(t)).write
     if mode == "replace_years":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -129,6 +137,37 @@ def write_rows(rows: DataFrame, path: str, table: Table | str, mode: str = "appe
     return written.get["n"]
 
 
+def write_newest(rows: DataFrame, path: str, table: Table, noted: Noted, order: list[str],
+                 held: DataFrame | None = None) -> int:
+    """Of each key the newest row (see ``newest``) into a stored table, unless the key is ``held``; returns how many.
+
+    Rows are dealt by date and key to the tasks that write them, so they move and are sorted once: the newest is told
+    in the order of the file. Held keys move with them, or are joined first where they are more than the
+    rows. A batch with a key that repeats very often is reduced before it moves.
+    """
+    columns, names = [c for c in rows.columns if c in stored_schema(table).names], stored_schema(table).names
+    rows, keys = rows.select(*columns), list(table.key)
+    if not noted.even:
+        single = newest(rows, keys, order)
+        if held is not None:
+            single = single.join(held, keys, "left_anti")
+        return write_rows(single.select(*names), path, table, noted=noted)
+    both = noted if held is None else noted.beside(rows, held, table)
+    if held is None or both is None:
+        rows = rows if held is None else rows.join(held, keys, "left_anti")
+        dealt = noted.dealt(rows.withColumn(_HELD, F.lit(False)), table, _TASK)
+    else:
+        known = with_year(held, table).withColumn(_HELD, F.lit(True))
+        dealt = both.dealt(rows.withColumn(_HELD, F.lit(False)).unionByName(known, allowMissingColumns=True), table, _TASK)
+    first = _file_order(table)
+    ordered = [c for c in order if c not in first] + [c for c in columns if c not in order and c not in first]
+    # a key's rows are in one task, whose number among the keys spares a shuffle by key
+    best = dealt.groupBy(*first, _TASK).agg(F.max(F.struct(*ordered)).alias("_row"), F.max(_HELD).alias(_HELD))
+    return _write_dealt(best.where(~F.col(_HELD)).select(*first, "_row.*").select(*names), path, table)
+
+
+_TASK, _HELD = "_task", "_held_key"
+
 #: Rows for one task of a write, and ranges of dates that are told apart.
 _TASK_ROWS, _RANGES = 250_000, 200
 #: Days since 1970 that a bitmap holds; others are known by their first and last alone.
@@ -137,26 +176,56 @@ _BITMAP_DAYS = 32_768
 
 @dataclass(frozen=True)
 class Noted:
-    """What was noted of a batch while it was written: numbers of rows, its days, and dates that cut it evenly."""
+    """What was noted of a batch while it was written: numbers of rows, its days, and dates that cut it evenly.
+
+    ``even``: no key repeats so often that it outweighs a task, and a row's year is that of its date.
+    """
 
     total: int
     rejected: int
     spans: tuple[tuple[int, dt.date, dt.date], ...]
     cuts: tuple[int, ...]
-
-    def dealt(self, rows: DataFrame, table: Table) -> DataFrame:
-        """The rows dealt to tasks by date; a day of several ranges, and a range of several tasks, by key."""
+    even: bool = False
+
+    def beside(self, rows: DataFrame, held: DataFrame, table: Table) -> Noted | None:
+        """What is noted of the rows and the held keys in one; None where the keys are more."""
+        day = F.unix_date(F.col(table.date_col).cast("date")).alias("day")
+        both = rows.select(day, F.lit(0).alias("held")).unionByName(held.select(day, F.lit(1).alias("held")))
+        found = both.agg(F.count(F.lit(1)).alias("total"), F.sum("held").alias("held"), _evenly("day")).first()
+        if 2 * found["held"] > found["total"]:
+            return None
+        return replace(self, total=found["total"], cuts=tuple(found["cuts"]))
+
+    def dealt(self, rows: DataFrame, table: Table, number_as: str | None = None) -> DataFrame:
+        """The rows dealt to tasks by date; a day of several ranges, and a range of several tasks, by key.
+
+        A key's rows go to one task, whose number the rows may take along.
+        """
         most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         tasks = max(1, min(most, -(-self.total // _TASK_ROWS)))
         ranges = min(tasks, _RANGES)
         cuts = [self.cuts[k * _RANGES // ranges - 1] for k in range(1, ranges)] if self.cuts else []
         split = -(-tasks // ranges)
         number = F.unix_date(F.col(table.date_col).cast("date"))
-        known = F.array(*[F.lit(c) for c in cuts]).cast("array<int>")
-        low, high = F.size(F.filter(known, lambda c: c < number)), F.size(F.filter(known, lambda c: c <= number))
+        low, high = _leading(cuts, lambda c: c < number), _leading(cuts, lambda c: c <= number)
         share = F.hash(*table.key)
         target = (low + F.pmod(share, high - low + 1)) * split + F.pmod(F.xxhash64(*table.key), F.lit(split))
-        return rows.repartitionById(ranges * split, target.cast("int"))
+        target = target.cast("int")
+        if number_as is None:
+            return rows.repartitionById(ranges * split, target)
+        return rows.withColumn(number_as, target).repartitionById(ranges * split, F.col(number_as))
+
+
+def _leading(values: list[int], holds: Callable[[Column], Column]) -> Column:
+    """For how many of ascending values something holds that holds for the first of them alone; told by halving."""
+    known = F.array(*[F.lit(v) for v in values]).cast("array<int>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(values).bit_length()))]).cast("array<int>")
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(holds(F.get(known, at + step - 1)), step).otherwise(0))
+
+
+def _evenly(number: Column | str) -> Column:
+    """Values that cut numbers into ranges of much the same size."""
+    return F.percentile_approx(number, [k / _RANGES for k in range(1, _RANGES)], 1000).alias("cuts")
 
 
 def staged_batch(batch: DataFrame, table: Table) -> tuple[DataFrame, Noted]:
@@ -166,13 +235,15 @@ def staged_batch(batch: DataFrame, table: Table) -> tuple[DataFrame, Noted]:
     day = F.when(good, F.col(table.date_col).cast("date"))
     number = F.unix_date(day)
     held = number.between(0, _BITMAP_DAYS - 1)
-    steps = [k / _RANGES for k in range(1, _RANGES)]
+    # the most frequent key, if any key has more than some two thousandths of the rows
+    most = F.expr(f"approx_top_k(xxhash64({', '.join(table.key)}), 1, 10000)").alias("most")
     rows = staged(rows.observe(
         noted, F.count(F.lit(1)).alias("total"), F.count_if(~good).alias("rejected"),
         F.bitmap_construct_agg(F.when(held, number.cast("bigint"))).alias("days"),
         F.min(F.when(~held, day)).alias("first"), F.max(F.when(~held, day)).alias("last"),
-        F.percentile_approx(number, steps, 1000).alias("cuts")), "batch")
+        _evenly(number), most), "batch")
     found = noted.get
+    even = (YEAR not in batch.columns) and all(r["count"] <= _TASK_ROWS for r in found["most"] or ())
     bits = bytes(found["days"] or b"")
     days = [dt.date(1970, 1, 1) + dt.timedelta(8 * i + k) for i, b in enumerate(bits) if b for k in range(8) if b >> k & 1]
     spans: dict[int, tuple[dt.date, dt.date]] = {}
@@ -182,7 +253,7 @@ def staged_batch(batch: DataFrame, table: Table) -> tuple[DataFrame, Noted]:
         spans.update({y: (dt.date(y, 1, 1), dt.date(y, 12, 31))
                       for y in range(found["first"].year, found["last"].year + 1)})
     return rows, Noted(found["total"], found["rejected"], tuple((y, *s) for y, s in sorted(spans.items())),
-                       tuple(found["cuts"] or ()))
+                       tuple(found["cuts"] or ()), even)
 
 
 @dataclass(frozen=True)
@@ -243,8 +314,13 @@ def append_new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Tab
         set_aside(rows.where(F.col(REASON).isNotNull()), path, t)
     good, loaded = noted.total - noted.rejected, 0
     if good:
-        new = new_rows(spark, rows.where(F.col(REASON).isNull()).drop(REASON), path, t, mode, order, noted.spans)
-        loaded = write_rows(new.select(*stored_schema(t).names), path, t, noted=noted)
+        valid = rows.where(F.col(REASON).isNull()).drop(REASON)
+        if mode == "skip_rows":
+            held = _held_keys(spark, path, t, noted.spans) if _holds_rows(spark, path) else None
+            loaded = write_newest(valid, path, t, noted, order or amended_order(t, valid.columns), held)
+        else:
+            new = new_rows(spark, valid, path, t, mode, order, noted.spans)
+            loaded = write_rows(new.select(*stored_schema(t).names), path, t, noted=noted)
     drop_work_folders(spark, folders)
     return Load(loaded, good - loaded, noted.rejected)
 
@@ -299,6 +375,19 @@ def with_year(batch: DataFrame, table: Table) -> DataFrame:
     return batch.withColumn(YEAR, F.year(table.date_col))
 
 
+def amended_order(table: Table, columns: list[str]) -> list[str]:
+    """The dates of amendment that a batch has, by which the newest of its rows is told."""
+    return [c for c in version_order(table)[0] if c in columns]
+
+
+def _holds_rows(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, path) or path_exists(spark, compacting_path(path))
+
+
+def _held_keys(spark: SparkSession, path: str, table: Table, spans: Iterable[tuple]) -> DataFrame:
+    return rows_near(unamended(spark, path, table), table, spans).select(*table.key)
+
+
 def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | str,
              mode: str = "skip_rows", order: list[str] | None = None,
              spans: Iterable[tuple] | None = None) -> DataFrame:
@@ -309,12 +398,10 @@ def new_rows(spark: SparkSession, batch: DataFrame, path: str, table: Table | st
     t = table_of(table)
     keys = list(t.key)
     batch = batch.dropna(subset=keys)
-    held = rows_near(unamended(spark, path, t), t,
-                 batch_spans(batch, t) if spans is None else spans).select(*keys)
+    held = _held_keys(spark, path, t, batch_spans(batch, t) if spans is None else spans)
     if mode == "skip_rows":
         columns = [c for c in batch.columns if c in stored_schema(t).names]
-        order = order or [c for c in ("last_amended_date", "created_date") if c in columns]
-        single = newest(batch.select(*columns), keys, order)
+        single = newest(batch.select(*columns), keys, order or amended_order(t, columns))
         return single.join(held, keys, "left_anti")
     per_file = batch.groupBy(*keys, SOURCE).agg(F.count(F.lit(1)).alias("_n"))
     firsts = batch.groupBy(*keys).agg(F.min(SOURCE).alias("_first"))

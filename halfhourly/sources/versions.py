@@ -21,7 +21,8 @@ from halfhourly.schemas import Table
 from halfhourly.session import delete_path, path_exists, staged
 from halfhourly.sources.csvfiles import table_of
 from halfhourly.sources.tables import (YEAR, Noted, amended_path, compacting_path, is_whole, read_table, rows_near,
-                                       stored_schema, unamended, version, version_order, write_rows, years_of)
+                                       stored_schema, unamended, version, version_order, write_newest, write_rows,
+                                       years_of)
 
 
 @dataclass(frozen=True)
@@ -41,10 +42,11 @@ def upsert(rows: DataFrame, path: str, table: Table | str, noted: Noted) -> Upse
     t, spark = table_of(table), rows.sparkSession
     finish_compaction(spark, path, t)
     keys, order = list(t.key), version_order(t)[0]
-    single = newest(rows.select(*stored_schema(t).names), keys, order)
+    rows = rows.select(*stored_schema(t).names)
     held = rows_near(read_table(spark, path, t), t, noted.spans)
     if held.isEmpty():
-        return Upsert(write_rows(single, path, t, noted=noted), 0)
+        return Upsert(write_newest(rows, path, t, noted, order), 0)
+    single = newest(rows, keys, order)
     known = held.select(*keys, version(t).alias("_held"))
     changed = staged(single.join(known, keys, "left")
                      .where(F.col("_held").isNull() | (version(t) > F.col("_held")))
